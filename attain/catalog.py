@@ -8,13 +8,28 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from attain.plans import questions
-from attain.sources.ledger import ledger_model
+from attain.sources.ledger import LedgerModel
+from attain.sources.stage import fingerprint
+
+SOURCE_TABLES = ("region", "nation", "supplier", "customer", "part", "orders", "lineitem")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_models: dict[tuple, LedgerModel] = {}
+
+
+def model(spark: SparkSession, path: str) -> LedgerModel:
+    """The star schema of one folder, built once per session for as long as its files stay the same."""
+    files = tuple(fingerprint(spark, f"{path.rstrip('/')}/{t}.parquet") for t in SOURCE_TABLES)
+    key = (spark.sparkContext.applicationId, id(spark), path, files)
+    if key not in _models:
+        _models[key] = LedgerModel(spark, path)
+    return _models[key]
+
+
 def on_model(function, spark: SparkSession, path: str) -> DataFrame:
-    return function(ledger_model(spark, path))
+    return function(model(spark, path))
 
 
 def queries() -> dict[str, Query]:

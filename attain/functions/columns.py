@@ -113,5 +113,5 @@ def band_number(achievement: Column) -> Column:
 
 def tenure_band(months: Column) -> Column:
     """Right-closed tenure bands in months."""
-    return (F.when(months <= 6, "0-6m").when(months <= 12, "6-12m").when(months <= 24, "1-2y")
+    return (F.when(months <= -1, F.lit(None)).when(months <= 6, "0-6m").when(months <= 12, "6-12m").when(months <= 24, "1-2y")
             .when(months <= 48, "2-4y").when(months <= 999, "4y+"))

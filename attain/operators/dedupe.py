@@ -6,7 +6,7 @@ the shuffle, so a key owning a large share of the rows never lands on one task a
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -30,11 +30,8 @@ def keep_latest(df: DataFrame, keys: list[str], order: list[str], copies: str |
     return kept.select(*keys, "_last.*", *([copies] if copies else []))
 
 
-def surplus_rows(df: DataFrame, keys: list[str], name: str = "surplus") -> DataFrame:
-    """One row: how many rows repeat a key that was already seen."""
+def surplus_rows(df: DataFrame, keys: list[str], name: str = "surplus", total: str = "_total") -> DataFrame:
+    """One row: how many rows repeat a key that was already seen, and how many rows there are."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias(name))
-
-
-def count_rows(condition: Column) -> Column:
-    return F.count(F.when(condition, 1))
+    return per_key.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias(name),
+                       F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias(total))

@@ -12,19 +12,18 @@ from pyspark.sql import functions as F
 
 from attain.functions import columns as C
 from attain.operators.ranking import group_rank
-from attain.plans.model import Model
-from attain.policy import plan_months
+from attain.plans.model import Model, view
 
 
 DRIVERS = ("actual", "invoiced_revenue", "credit_notes", "gross_list_value", "discount_value", "gross_margin",
            "month_end_revenue", "strategic_revenue")
-PAY_INPUTS = ("weighted_invoiced", "weighted_clawback", "credit_notes_outside_window")
 
 
-def rep_month_sales(fact: DataFrame, months: DataFrame | None = None) -> DataFrame:
-    """Net revenue and its drivers per rep and month; with plan months also the weighted pay inputs."""
+def rep_month_sales(m: Model) -> DataFrame:
+    """Net revenue, its drivers and the weighted pay inputs per rep and month, in one pass over the lines."""
     inv = F.col("doc_type") == "INV"
-    measures = [
+    windows = m.plan_months.select("month_key", "clawback_window_days")
+    return m.fact_sales.join(windows, "month_key", "left").groupBy("rep_key", "month_key").agg(
         C.total("net_amount_usd").alias("actual"),
         C.total("net_amount_usd", inv).alias("invoiced_revenue"),
         C.total("net_amount_usd", ~inv).alias("credit_notes"),
@@ -34,11 +33,7 @@ def rep_month_sales(fact: DataFrame, months: DataFrame | None = None) -> DataFra
         F.count_distinct(F.when(inv, F.col("document_no"))).alias("deals"),
         C.total("net_amount_usd", inv & (F.col("is_month_end_window") == 1)).alias("month_end_revenue"),
         C.total("net_amount_usd", inv & (F.col("commission_weight") > 1)).alias("strategic_revenue"),
-    ]
-    if months is not None:
-        measures += pay_inputs()
-        fact = fact.join(months.select("month_key", "clawback_window_days"), "month_key")
-    return fact.groupBy("rep_key", "month_key").agg(*measures)
+        *pay_inputs())
 
 
 def pay_inputs() -> list:
@@ -55,20 +50,18 @@ def pay_inputs() -> list:
     ]
 
 
-def rep_month_base(m: Model, pay: bool = False) -> DataFrame:
+@view(stage=["month_key"])
+def rep_month_base(m: Model) -> DataFrame:
     """One row per active rep-month, whether or not anything was sold."""
-    months = plan_months(m.tiers) if pay else None
-    sales = rep_month_sales(m.fact_sales, months)
     teams = m.dim_team.select("team_key", "team_name", "country_code", "department_code")
     targets = m.fact_targets.select("rep_key", "month_key", F.col("target_amount_usd").alias("target"))
-    filled = [F.coalesce(c, F.lit(0).cast(C.SUM_MONEY)).alias(c) for c in DRIVERS]
-    if pay:
-        filled += [F.coalesce(c, F.lit(0).cast(C.WEIGHTED)).alias(c) for c in PAY_INPUTS]
+    money = [F.coalesce(c, F.lit(0).cast(C.SUM_MONEY)).alias(c) for c in (*DRIVERS, "credit_notes_outside_window")]
+    weighted = [F.coalesce(c, F.lit(0).cast(C.WEIGHTED)).alias(c) for c in ("weighted_invoiced", "weighted_clawback")]
     return (m.bridge.join(targets, ["rep_key", "month_key"], "left")
-            .join(sales, ["rep_key", "month_key"], "left")
+            .join(rep_month_sales(m), ["rep_key", "month_key"], "left")
             .join(teams, "team_key")
             .select("rep_key", "month_key", "team_key", "team_name", "country_code", "department_code",
-                    "tenure_months", "is_ramp_month", "target", *filled,
+                    "tenure_months", "is_ramp_month", "target", *money, *weighted,
                     F.coalesce("deals", F.lit(0)).cast("long").alias("deals")))
 
 
@@ -91,12 +84,13 @@ def running(keys: list[str], order: list[str]):
     return history, to_date.rowsBetween(W.unboundedPreceding, W.currentRow)
 
 
-def rep_month_trend(m: Model, pay: bool = False) -> DataFrame:
+@view
+def rep_month_trend(m: Model) -> DataFrame:
     """Ratios, month-on-month growth, year to date and rolling three months per rep."""
     history, ytd = running(["rep_key"], ["year", "month_key"])
     last3 = history.rowsBetween(-2, W.currentRow)
     prev = F.col("_prev")
-    staged = add_ratios(rep_month_base(m, pay)).select(
+    staged = add_ratios(rep_month_base(m)).select(
         "*", F.lag("actual").over(history).alias("_prev"),
         F.sum("actual").over(ytd).alias("ytd_actual"), F.sum("target").over(ytd).alias("ytd_target"),
         F.sum("actual").over(last3).alias("_r3_actual"), F.sum("target").over(last3).alias("_r3_target"))
@@ -113,6 +107,7 @@ def add_names(df: DataFrame, m: Model) -> DataFrame:
     return df.join(names, "rep_key")
 
 
+@view
 def rep_month_performance(m: Model) -> DataFrame:
     """The rep-month view with names and ranks within team and company."""
     named = add_names(rep_month_trend(m), m)
@@ -121,29 +116,28 @@ def rep_month_performance(m: Model) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- team, country, company
-def team_month(m: Model, commission: DataFrame | None = None) -> DataFrame:
-    """Plan, allocated target, revenue by team at time of sale and headcount per team and month."""
+@view(stage=["month_key"])
+def team_month(m: Model) -> DataFrame:
+    """Plan, allocated target, revenue by team at time of sale, headcount and pay per team and month."""
+    from attain.plans.commission import commission_rep_month
+
     keys = ["team_key", "month_key"]
     revenue = m.fact_sales.groupBy(*keys).agg(F.sum("net_amount_usd").alias("actual"),
                                               F.sum("gross_margin_usd").alias("gross_margin"))
     target = m.fact_targets.groupBy(*keys).agg(F.sum("target_amount_usd").alias("allocated_target"))
     seats = m.bridge.groupBy(*keys).agg(F.count(F.lit(1)).alias("active_reps"),
                                         F.sum("is_ramp_month").alias("ramping_reps"))
+    pay = commission_rep_month(m).groupBy(*keys).agg(F.sum("commission").alias("commission"))
     teams = m.dim_team.select("team_key", "team_name", "country_code", "department_code")
     joined = (m.fact_team_plan.select(*keys, "planned_headcount", F.col("plan_amount_usd").alias("plan"))
               .join(teams, "team_key").join(revenue, keys, "left").join(target, keys, "left")
-              .join(seats, keys, "left"))
-    money = ["allocated_target", "actual", "gross_margin"]
-    extra = []
-    if commission is not None:
-        pay = commission.groupBy(*keys).agg(F.sum("commission").alias("commission"))
-        joined = joined.join(pay, keys, "left")
-        extra = [F.coalesce("commission", F.lit(0).cast("decimal(38,8)")).alias("commission")]
+              .join(seats, keys, "left").join(pay, keys, "left"))
     rows = joined.select(
         *keys, C.year_of("month_key").alias("year"), "team_name", "country_code", "department_code",
         "planned_headcount", F.coalesce("active_reps", F.lit(0)).alias("active_reps"),
         F.coalesce("ramping_reps", F.lit(0)).alias("ramping_reps"), "plan",
-        *[F.coalesce(c, F.lit(0).cast(C.SUM_MONEY)).alias(c) for c in money], *extra)
+        *[F.coalesce(c, F.lit(0).cast(C.SUM_MONEY)).alias(c) for c in ("allocated_target", "actual", "gross_margin")],
+        F.coalesce("commission", F.lit(0).cast("decimal(38,8)")).alias("commission"))
     history, ytd = running(["team_key"], ["year", "month_key"])
     staged = rows.select(
         "*", F.lag("actual").over(history).alias("_prev"), F.sum("actual").over(ytd).alias("ytd_actual"),
@@ -157,7 +151,7 @@ def team_month(m: Model, commission: DataFrame | None = None) -> DataFrame:
         F.greatest(F.col("planned_headcount") - F.col("active_reps"), F.lit(0)).cast("long").alias("vacant_seats"),
         C.ratio("ytd_actual", "ytd_target").alias("ytd_achievement"),
         C.ratio(F.col("actual") - F.col("_prev"), "_prev").alias("mom_growth"),
-        *([C.ratio("commission", "actual").alias("commission_to_revenue")] if extra else [])).drop("_prev")
+        C.ratio("commission", "actual").alias("commission_to_revenue")).drop("_prev")
     return bounded_dense_rank(out, ["month_key"], "achievement", "team_rank")
 
 
@@ -171,9 +165,7 @@ def bounded_dense_rank(df: DataFrame, by: list[str], value: str, name: str) -> D
 
 
 def country_month(team: DataFrame) -> DataFrame:
-    sums = ["plan", "allocated_target", "actual", "gross_margin", "active_reps", "planned_headcount"]
-    if "commission" in team.columns:
-        sums.append("commission")
+    sums = ["plan", "allocated_target", "actual", "gross_margin", "active_reps", "planned_headcount", "commission"]
     rows = team.groupBy("country_code", "month_key", "year").agg(*[F.sum(c).alias(c) for c in sums])
     history, ytd = running(["country_code"], ["year", "month_key"])
     staged = rows.select("*", F.lag("actual").over(history).alias("_prev"),

@@ -11,7 +11,6 @@ from dataclasses import dataclass, field, replace
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 NO_TARGET = "No Target"
 
@@ -109,6 +108,23 @@ class Policy:
         return self.plans[0].strategic_weight
 
 
+def values(spark: SparkSession, rows: list[tuple], columns: dict[str, str]) -> DataFrame:
+    """Policy rows as a local relation: the planner knows its exact (small) size."""
+    def literal(value) -> str:
+        if value is None:
+            return "NULL"
+        if isinstance(value, dt.date):
+            return f"DATE '{value.isoformat()}'"
+        if isinstance(value, str):
+            return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+        return str(value)
+
+    tuples = ", ".join("(" + ", ".join(literal(v) for v in row) + ")" for row in rows)
+    typed = ", ".join(f"CAST(c{i} AS {kind}) AS {name}" for i, (name, kind) in enumerate(columns.items()))
+    names = ", ".join(f"c{i}" for i in range(len(columns)))
+    return spark.sql(f"SELECT {typed} FROM VALUES {tuples} AS v({names})")
+
+
 def plan_tiers(spark: SparkSession, policy: Policy) -> DataFrame:
     """One row per plan and tier (the commission plan dimension)."""
     rows, key = [], 0
@@ -118,28 +134,51 @@ def plan_tiers(spark: SparkSession, policy: Policy) -> DataFrame:
             rows.append((key, plan.plan_id, plan.name, plan.effective_from, plan.effective_to, order, tier.name,
                          tier.floor, tier.ceiling, tier.rate, plan.strategic_weight, plan.cap_multiple,
                          plan.clawback_days))
-    return spark.createDataFrame(rows, """
-        plan_tier_key int, plan_id string, plan_name string, effective_from date, effective_to date,
-        tier_order int, tier_name string, min_achievement double, max_achievement double,
-        commission_rate decimal(5,4), strategic_weight decimal(4,2), cap_multiple_of_target decimal(4,2),
-        clawback_window_days int""")
-
-
-def plan_months(tiers: DataFrame) -> DataFrame:
+    return values(spark, rows, {
+        "plan_tier_key": "int", "plan_id": "string", "plan_name": "string", "effective_from": "date",
+        "effective_to": "date", "tier_order": "int", "tier_name": "string", "min_achievement": "double",
+        "max_achievement": "double", "commission_rate": "decimal(5,4)", "strategic_weight": "decimal(4,2)",
+        "cap_multiple_of_target": "decimal(4,2)", "clawback_window_days": "int"})
+
+
+def policy_plans(tiers: DataFrame, limit: int = 10_000) -> tuple[Plan, ...]:
+    """Plans back from a plan table. The table is configuration; one too large to be that is refused."""
+    rows = tiers.orderBy("plan_id", "tier_order").limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"commission plan table has more than {limit} rows")
+    plans: dict[str, Plan] = {}
+    for r in rows:
+        known = plans.get(r["plan_id"])
+        tier = Tier(r["tier_name"], float(r["min_achievement"]), float(r["max_achievement"]),
+                    Decimal(str(r["commission_rate"])))
+        plans[r["plan_id"]] = replace(known, tiers=known.tiers + (tier,)) if known else Plan(
+            r["plan_id"], r["plan_name"], r["effective_from"], r["effective_to"], (tier,),
+            Decimal(str(r["strategic_weight"])), Decimal(str(r["cap_multiple_of_target"])),
+            int(r["clawback_window_days"]))
+    return tuple(sorted(plans.values(), key=lambda p: p.effective_from))
+
+
+def month_starts(start: dt.date, end: dt.date) -> list[dt.date]:
+    """First days of the months that begin inside [start, end]."""
+    index = start.year * 12 + start.month - 1 + (1 if start.day > 1 else 0)
+    days = []
+    while (day := dt.date(index // 12, index % 12 + 1, 1)) <= end:
+        days.append(day)
+        index += 1
+    return days
+
+
+def plan_months(spark: SparkSession, policy: Policy) -> DataFrame:
     """Plan parameters per month: the effective-date range becomes an equi-join key."""
-    versions = tiers.select("plan_id", "plan_name", "effective_from", "effective_to", "strategic_weight",
-                            "cap_multiple_of_target", "clawback_window_days").distinct()
-    first = F.expr("trunc(add_months(date_sub(effective_from, 1), 1), 'MM')")
-    months = F.when(first <= F.col("effective_to"), F.sequence(first, F.col("effective_to"), F.expr("interval 1 month")))
-    return (versions.select("*", F.explode(months).alias("month_start"))
-            .select("plan_id", "plan_name", "cap_multiple_of_target", "clawback_window_days",
-                    F.date_format("month_start", "yyyyMM").cast("int").alias("month_key")))
-
-
-def tier_bands(tiers: DataFrame) -> DataFrame:
-    """Half-open achievement bands per plan, the outermost ones open-ended."""
-    last = tiers.groupBy("plan_id").agg(F.max("tier_order").alias("last_order"))
-    return (tiers.join(last, "plan_id")
-            .select("plan_id", "tier_name", "commission_rate",
-                    F.when(F.col("tier_order") > 1, F.col("min_achievement")).alias("band_floor"),
-                    F.when(F.col("tier_order") < F.col("last_order"), F.col("max_achievement")).alias("band_ceiling")))
+    rows = [(day.year * 100 + day.month, p.plan_id, p.name, p.cap_multiple, p.clawback_days)
+            for p in policy.plans for day in month_starts(p.effective_from, p.effective_to)]
+    return values(spark, rows, {"month_key": "int", "plan_id": "string", "plan_name": "string",
+                                "cap_multiple_of_target": "decimal(4,2)", "clawback_window_days": "int"})
+
+
+def tier_bands(spark: SparkSession, policy: Policy) -> DataFrame:
+    """Half-open achievement bands per plan, the outermost ones open-ended (null edge)."""
+    rows = [(p.plan_id, t.name, t.rate, None if i == 0 else t.floor, None if i == len(p.tiers) - 1 else t.ceiling)
+            for p in policy.plans for i, t in enumerate(p.tiers)]
+    return values(spark, rows, {"plan_id": "string", "tier_name": "string", "commission_rate": "decimal(5,4)",
+                                "band_floor": "double", "band_ceiling": "double"})

@@ -7,8 +7,8 @@ nations are teams, regions are markets. Every function returns a lazy DataFrame.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
 from decimal import Decimal
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from attain.operators.dedupe import keep_first
 from attain.operators.joins import dated_join
 from attain.plans.model import Model
 from attain.policy import PLAN_PHASING, RAMP_FACTORS, Plan, Policy, plan_tiers, standard_tiers
+from attain.sources.stage import store
 
 BASE_QUOTA = {"ENT": "170000", "SME": "150000", "CHN": "160000"}
 EPOCH = 1995 * 12
@@ -47,13 +48,17 @@ LEDGER_POLICY = Policy(
 )
 
 
-@dataclass(frozen=True)
 class Tables:
-    spark: SparkSession
-    path: str
+    """Parquet tables of one folder; each is opened once."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self._open: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path.rstrip('/')}/{name}.parquet")
+        if name not in self._open:
+            self._open[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+        return self._open[name]
 
 
 def code(prefix: str, key: str, digits: int = 12):
@@ -153,11 +158,11 @@ def ledger_lines(t: Tables) -> DataFrame:
     return keep_first(lines, ["l_orderkey", "l_linenumber"])
 
 
-def fact_sales(t: Tables, policy: Policy) -> DataFrame:
+def fact_sales(t: Tables, assigned: DataFrame, products: DataFrame, policy: Policy) -> DataFrame:
     """Clean signed ledger lines with the team of the rep on the order date."""
     orders = t["orders"].select("o_orderkey", F.col("o_custkey").alias("customer_key"),
                                 F.to_date("o_orderdate").alias("order_date"))
-    product = dim_product(t, policy).select("product_key", "unit_cost_pct", "commission_weight")
+    product = products.select("product_key", "unit_cost_pct", "commission_weight")
     credit = F.col("l_returnflag") == "R"
     sign = F.when(credit, F.lit(-1)).otherwise(F.lit(1))
     posted = F.when(credit, F.col("ship_date")).otherwise(F.col("order_date"))
@@ -166,7 +171,7 @@ def fact_sales(t: Tables, policy: Policy) -> DataFrame:
              .where(F.col("document_date").between(F.lit(policy.start), F.lit(policy.end))
                     & (~credit | (F.col("ship_date") >= F.col("order_date"))))
              .withColumnRenamed("l_suppkey", "rep_key").withColumnRenamed("l_partkey", "product_key"))
-    owned = dated_join(dated, assignments(t).drop("hire_index"), "rep_key", "order_date")
+    owned = dated_join(dated, assigned.drop("hire_index"), "rep_key", "order_date")
     priced = (owned.join(product, "product_key")
               .withColumn("gross_amount_usd", (F.col("list_value") * sign).cast(C.MONEY))
               .withColumn("net_amount_usd", F.round(F.col("list_value") * (1 - F.col("discount_pct")) * sign, 2)
@@ -190,13 +195,13 @@ def fact_sales(t: Tables, policy: Policy) -> DataFrame:
         C.in_month_end_window(F.col("document_date"), policy.month_end_days).alias("is_month_end_window"))
 
 
-def bridge(t: Tables, policy: Policy) -> DataFrame:
+def bridge(assigned: DataFrame, policy: Policy) -> DataFrame:
     """Rep-months: every month whose 15th falls inside an assignment."""
     months = F.sequence(F.lit(policy.start), F.lit(policy.end), F.expr("interval 1 month"))
     active = F.filter(months, lambda m: (F.date_add(m, 14) >= F.col("start_date"))
                       & (F.col("end_date").isNull() | (F.date_add(m, 14) <= F.col("end_date"))))
     tenure = (C.month_index("month_key") - EPOCH - F.col("hire_index")).cast("int")
-    return (assignments(t).select("rep_key", "team_key", "hire_index", F.explode(active).alias("_m"))
+    return (assigned.select("rep_key", "team_key", "hire_index", F.explode(active).alias("_m"))
             .withColumn("month_key", C.month_key(F.col("_m"))).withColumn("tenure_months", tenure)
             .select("rep_key", "month_key", "team_key", "tenure_months",
                     (F.col("tenure_months") < policy.ramp_months).cast("int").alias("is_ramp_month")))
@@ -210,7 +215,7 @@ def base_quota(department, key):
     return base * phasing
 
 
-def raw_targets(t: Tables, policy: Policy) -> DataFrame:
+def raw_targets(spine: DataFrame, policy: Policy) -> DataFrame:
     """Published targets with superseded and faulty revisions, before any rule has run."""
     idx = C.month_index("month_key") - EPOCH
     slot = F.col("rep_key") + idx
@@ -223,16 +228,16 @@ def raw_targets(t: Tables, policy: Policy) -> DataFrame:
                         .cast(C.MONEY).alias("target_amount_usd"))
     revised = F.struct(F.lit(2).alias("revision_no"), quota.alias("target_amount_usd"))
     revisions = F.when(slot % 20 == 0, F.array(original, revised)).otherwise(F.array(original))
-    return (bridge(t, policy).where(slot % 37 != 5)
+    return (spine.where(slot % 37 != 5)
             .select("rep_key", "team_key", "month_key", "is_ramp_month", F.explode(revisions).alias("_r"))
             .select("rep_key", "team_key", "month_key", "is_ramp_month", "_r.*"))
 
 
-def fact_targets(t: Tables, policy: Policy) -> DataFrame:
+def fact_targets(published: DataFrame) -> DataFrame:
     """Latest positive target per rep-month. Revision 2 exists exactly where revision 1 is superseded."""
     slot = F.col("rep_key") + C.month_index("month_key") - EPOCH
     latest = F.when(slot % 20 == 0, F.lit(2)).otherwise(F.lit(1))
-    return raw_targets(t, policy).where((F.col("revision_no") == latest) & (F.col("target_amount_usd") > 0))
+    return published.where((F.col("revision_no") == latest) & (F.col("target_amount_usd") > 0))
 
 
 def fact_team_plan(t: Tables, policy: Policy) -> DataFrame:
@@ -249,10 +254,28 @@ def fact_team_plan(t: Tables, policy: Policy) -> DataFrame:
                     .cast(C.MONEY).alias("plan_amount_usd")))
 
 
-def ledger_model(spark: SparkSession, path: str, policy: Policy = LEDGER_POLICY) -> Model:
-    t = Tables(spark, path)
-    return Model(
-        policy=policy, tiers=plan_tiers(spark, policy), fact_sales=fact_sales(t, policy),
-        fact_targets=fact_targets(t, policy), fact_team_plan=fact_team_plan(t, policy), bridge=bridge(t, policy),
-        dim_team=dim_team(t), dim_country=dim_country(t), dim_employee=dim_employee(t, policy),
-        dim_product=dim_product(t, policy), dim_customer=dim_customer(t))
+class LedgerModel(Model):
+    """The star schema over the driver's tables, each part planned on first use."""
+
+    def __init__(self, spark: SparkSession, path: str, policy: Policy = LEDGER_POLICY, staged: bool = True):
+        super().__init__(policy, staged)
+        self.source = Tables(spark, path)
+
+    tiers = cached_property(lambda self: plan_tiers(self.source.spark, self.policy))
+    assignments = cached_property(lambda self: assignments(self.source))
+    bridge = cached_property(lambda self: bridge(self.assignments, self.policy))
+    raw_targets = cached_property(lambda self: raw_targets(self.bridge, self.policy))
+
+    @cached_property
+    def fact_sales(self) -> DataFrame:
+        """Written once when staged: every KPI, question and report reads it."""
+        lines = fact_sales(self.source, self.assignments, self.dim_product, self.policy)
+        return store(lines, "fact_sales", ["month_key"]) if self.staged else lines
+
+    fact_targets = cached_property(lambda self: fact_targets(self.raw_targets))
+    fact_team_plan = cached_property(lambda self: fact_team_plan(self.source, self.policy))
+    dim_team = cached_property(lambda self: dim_team(self.source))
+    dim_country = cached_property(lambda self: dim_country(self.source))
+    dim_employee = cached_property(lambda self: dim_employee(self.source, self.policy))
+    dim_product = cached_property(lambda self: dim_product(self.source, self.policy))
+    dim_customer = cached_property(lambda self: dim_customer(self.source))
