@@ -93,6 +93,7 @@ def ledger_extracts(m: LedgerModel) -> Extracts:
     year_months = F.explode(F.sequence(F.lit(policy.start), F.lit(policy.end), F.expr("interval 1 month")))
     return Extracts(
         policy=policy,
+        orders=t["orders"],
         sales_lines=sales_lines(t),
         sales_targets=m.raw_targets.select(
             month_text(F.col("month_key")).alias("target_month"), code("REP-", "rep_key").alias("rep_code"),

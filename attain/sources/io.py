@@ -84,4 +84,4 @@ def first_rows(df: DataFrame, n: int, key: str) -> DataFrame:
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """n rows picked by a seeded hash of their key: the same rows however the table is partitioned."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), key).limit(n)
+    return df.orderBy(F.md5(F.concat(F.lit(f"{seed}-"), F.col(key).cast("string"))), key).limit(n)

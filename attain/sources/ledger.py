@@ -71,8 +71,9 @@ def first_day(index):
     return F.make_date(F.floor(months / 12).cast("int"), (months % 12 + 1).cast("int"), F.lit(1))
 
 
-def department_of(nation: str):
-    return F.when(F.col(nation) % 3 == 0, "ENT").when(F.col(nation) % 3 == 1, "SME").otherwise("CHN")
+def department_of(nation):
+    team = F.col(nation) if isinstance(nation, str) else nation
+    return F.when(team % 3 == 0, "ENT").when(team % 3 == 1, "SME").otherwise("CHN")
 
 
 def fx_rate(region, month0):
@@ -93,9 +94,13 @@ def employees(t: Tables) -> DataFrame:
         first_day(hire).alias("hire_date"), leave.alias("exit_date"), F.col("s_nationkey").alias("home_team"))
 
 
+def moves_team():
+    return (F.col("rep_key") % 7 == 3) & (F.col("hire_index") < 42)
+
+
 def assignments(t: Tables) -> DataFrame:
     """Dated team membership; some reps move to another team in July 1998."""
-    moves = (F.col("rep_key") % 7 == 3) & (F.col("hire_index") < 42)
+    moves = moves_team()
     move_day = F.lit(dt.date(1998, 7, 1))
     first = F.struct(F.col("home_team").alias("team_key"), F.col("hire_date").alias("start_date"),
                      F.when(moves, F.date_sub(move_day, 1)).otherwise(F.col("exit_date")).alias("end_date"))
@@ -125,7 +130,9 @@ def dim_country(t: Tables) -> DataFrame:
 def dim_employee(t: Tables, policy: Policy) -> DataFrame:
     return employees(t).select(
         F.col("rep_key").alias("employee_key"), "employee_code", "full_name", "role", "hire_date", "exit_date",
-        (F.col("hire_date") >= F.lit(policy.start)).cast("int").alias("is_new_hire_in_period"))
+        (F.col("hire_date") >= F.lit(policy.start)).cast("int").alias("is_new_hire_in_period"),
+        department_of(F.when(moves_team(), (F.col("home_team") + 5) % 25).otherwise(F.col("home_team")))
+        .alias("department_code"))
 
 
 def dim_product(t: Tables, policy: Policy) -> DataFrame:
