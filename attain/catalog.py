@@ -47,14 +47,25 @@ def run(spark: SparkSession, path: str) -> etl.Run:
     return _runs[key]
 
 
-def present(df: DataFrame) -> DataFrame:
-    """Result columns as plain numbers and text: decimals and ratios rounded, dates in ISO form."""
+# Results that add up floating-point numbers in no fixed order are rounded; everything else is exact.
+DIGITS: dict[str, dict[str, int]] = {
+    **{name: {"*": 4} for name in ("plan_bridge_company", "plan_bridge_country", "plan_bridge_long", "waterfall",
+                                   "yoy_lmdi_grains", "yoy_lmdi_long")},
+    "anomalies": {"robust_z": 6},
+    "deal_volume": {"deal_index": 6},
+    "metrics_rep_ranks": {"deal_volume_index": 6},
+}
+
+
+def present(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """Result columns as plain numbers and text: exact decimals as doubles, dates in ISO form."""
     def shown(field: T.StructField):
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DecimalType):
             return F.round(c, 4).cast("double").alias(field.name)
         if isinstance(field.dataType, T.DoubleType):
-            return F.round(c, 6).alias(field.name)
+            places = digits.get(field.name, digits.get("*"))
+            return c if places is None else F.round(c, places).alias(field.name)
         if isinstance(field.dataType, T.DateType):
             return F.date_format(c, "yyyy-MM-dd").alias(field.name)
         return c
@@ -62,12 +73,12 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*[shown(f) for f in df.schema.fields])
 
 
-def on_model(function, spark: SparkSession, path: str) -> DataFrame:
-    return present(function(model(spark, path)))
+def on_model(name: str, function, spark: SparkSession, path: str) -> DataFrame:
+    return present(function(model(spark, path)), DIGITS.get(name, {}))
 
 
-def on_run(function, spark: SparkSession, path: str) -> DataFrame:
-    return present(function(run(spark, path)))
+def on_run(name: str, function, spark: SparkSession, path: str) -> DataFrame:
+    return present(function(run(spark, path)), DIGITS.get(name, {}))
 
 
 # --------------------------------------------------------------------------- KPI side
@@ -237,8 +248,8 @@ RUN_QUERIES: dict[str, Callable] = {
     "cn_original_join": lambda r: r.routed.where(F.col("late") & (F.col("doc_type") == "CN")).select(
         "line_id", "original_document_no", "team_id", "original_date",
         F.datediff("document_date", "original_date").alias("days_since_original")),
-    "over_credit": lambda r: r.documents.where(F.col("credited").isNotNull()).select(
-        "doc", F.round("invoiced", 2).alias("invoiced"), F.round("credited", 2).alias("credited"), "over_credited"),
+    "over_credit": lambda r: r.documents.where(F.col("credited_usd").isNotNull()).select(
+        "doc", "invoiced_usd", "credited_usd", "over_credited"),
     "fx_conform": lambda r: accepted(r).select("line_id", "currency", "fx_rate", F.round(F.col("net_amount_local") / F.col("fx_rate"), 2).alias("usd")),
     "price_repair": lambda r: accepted(r).where(F.col("repair")).select("line_id", "unit_list_price_local",
                                                                        "net_amount_local"),
@@ -257,9 +268,9 @@ RUN_QUERIES: dict[str, Callable] = {
 
 
 def queries() -> dict[str, Query]:
-    out: dict[str, Query] = {name: partial(on_model, f) for name, f in questions.QUESTIONS.items()}
-    out |= {name: partial(on_model, f) for name, f in MODEL_QUERIES.items()}
-    out |= {name: partial(on_run, f) for name, f in RUN_QUERIES.items()}
+    out: dict[str, Query] = {name: partial(on_model, name, f) for name, f in questions.QUESTIONS.items()}
+    out |= {name: partial(on_model, name, f) for name, f in MODEL_QUERIES.items()}
+    out |= {name: partial(on_run, name, f) for name, f in RUN_QUERIES.items()}
     return out
 
 

@@ -19,8 +19,8 @@ def m4(names: str, prefix: str = "") -> str:
     return ", ".join(f"round({prefix}{n}, 4)::DOUBLE AS {n}" for n in names.split())
 
 
-def r6(names: str, prefix: str = "") -> str:
-    return ", ".join(f"round({prefix}{n}::DOUBLE, 6) AS {n}" for n in names.split())
+def ratios(names: str, prefix: str = "") -> str:
+    return ", ".join(f"{prefix}{n}::DOUBLE AS {n}" for n in names.split())
 
 
 FLAGS = {
@@ -130,12 +130,14 @@ register({
                     ON t.rep_code = s.rep_code AND s.document_date >= t.start_date
                    AND (t.end_date IS NULL OR s.document_date <= t.end_date)
                  WHERE len(early) = 0) a""",
-    "docs": """
-               (min({'line': line_id, 'team': own_team}) FILTER (NOT is_cn)).team AS invoice_team,
-               min(document_date) FILTER (NOT is_cn) AS invoice_date,
-               SUM(net::DOUBLE / fx_rate::DOUBLE) FILTER (NOT is_cn) AS invoiced,
-               SUM(-net::DOUBLE / fx_rate::DOUBLE) FILTER (is_cn) AS credited
-          FROM (SELECT *, CASE WHEN is_cn THEN original_document_no ELSE document_no END AS doc FROM accepted)
+    "docs": f"""
+        SELECT doc, struct_extract(min({{'line': line_id, 'team': own_team}}) FILTER (WHERE NOT is_cn), 'team') AS invoice_team,
+               min(document_date) FILTER (WHERE NOT is_cn) AS invoice_date,
+               SUM(usd_cents) FILTER (WHERE NOT is_cn) AS invoiced_usd, SUM(-usd_cents) FILTER (WHERE is_cn) AS credited_usd,
+               SUM(net::DOUBLE / fx_rate::DOUBLE) FILTER (WHERE NOT is_cn) AS invoiced,
+               SUM(-net::DOUBLE / fx_rate::DOUBLE) FILTER (WHERE is_cn) AS credited
+          FROM (SELECT *, CASE WHEN is_cn THEN original_document_no ELSE document_no END AS doc,
+                       {cents_over_fx('(net * 10000)::BIGINT')} AS usd_cents FROM accepted)
          GROUP BY doc""",
     "routed": """
         SELECT a.*, CASE WHEN is_cn THEN invoice_team ELSE own_team END AS team_id,
@@ -307,7 +309,7 @@ SQL = {
     "cn_original_join": """
         SELECT line_id, original_document_no, team_id, original_date::VARCHAR AS original_date,
                date_diff('day', original_date, document_date) AS days_since_original FROM routed WHERE is_cn""",
-    "over_credit": "SELECT doc, round(invoiced, 2) AS invoiced, round(credited, 2) AS credited, "
+    "over_credit": "SELECT doc, invoiced_usd::DOUBLE AS invoiced_usd, credited_usd::DOUBLE AS credited_usd, "
                    "credited > coalesce(invoiced, 0) + 1.0 AS over_credited FROM docs WHERE credited IS NOT NULL",
     "fx_conform": "SELECT line_id, currency, fx_rate::DOUBLE AS fx_rate, "
                   f"{cents_over_fx('(net * 10000)::BIGINT')}::DOUBLE AS usd FROM accepted",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from attain.oracle.etl import m4, r6
+from attain.oracle.etl import m4, ratios
 from attain.oracle.prelude import register
 from attain.oracle.questions import SQL as QUESTIONS
 from attain.oracle.questions import merge, pct, usd
@@ -142,14 +142,14 @@ SALES_MEASURES = """
 
 GRAIN_OUTPUT = f"""
     {m4('net_revenue invoiced_revenue credit_notes gross_list_value discount_amount gross_margin target capacity_plan')},
-    deals, round(discount_amount::DOUBLE / nullif(gross_list_value, 0)::DOUBLE, 6) AS discount_rate_pct,
-    round((-credit_notes)::DOUBLE / nullif(invoiced_revenue, 0)::DOUBLE, 6) AS credit_note_rate_pct,
-    round(gross_margin::DOUBLE / nullif(net_revenue, 0)::DOUBLE, 6) AS gross_margin_pct,
-    round(invoiced_revenue::DOUBLE / nullif(deals, 0)::DOUBLE, 6) AS avg_deal_size,
-    round(strat::DOUBLE / nullif(invoiced_revenue, 0)::DOUBLE, 6) AS strategic_mix_pct,
-    round(me::DOUBLE / nullif(invoiced_revenue, 0)::DOUBLE, 6) AS month_end_share_pct,
-    round(net_revenue::DOUBLE / nullif(target, 0)::DOUBLE, 6) AS achievement_pct,
-    round(net_revenue::DOUBLE / nullif(capacity_plan, 0)::DOUBLE, 6) AS plan_achievement_pct,
+    deals, (discount_amount::DOUBLE / nullif(gross_list_value, 0)::DOUBLE) AS discount_rate_pct,
+    ((-credit_notes)::DOUBLE / nullif(invoiced_revenue, 0)::DOUBLE) AS credit_note_rate_pct,
+    (gross_margin::DOUBLE / nullif(net_revenue, 0)::DOUBLE) AS gross_margin_pct,
+    (invoiced_revenue::DOUBLE / nullif(deals, 0)::DOUBLE) AS avg_deal_size,
+    (strat::DOUBLE / nullif(invoiced_revenue, 0)::DOUBLE) AS strategic_mix_pct,
+    (me::DOUBLE / nullif(invoiced_revenue, 0)::DOUBLE) AS month_end_share_pct,
+    (net_revenue::DOUBLE / nullif(target, 0)::DOUBLE) AS achievement_pct,
+    (net_revenue::DOUBLE / nullif(capacity_plan, 0)::DOUBLE) AS plan_achievement_pct,
     round(net_revenue - target, 4)::DOUBLE AS variance, round(capacity_plan - target, 4)::DOUBLE AS capacity_gap,
     CASE WHEN target IS NULL THEN 'No target' WHEN net_revenue::DOUBLE / target::DOUBLE >= 1.0 THEN 'On / above target'
          WHEN net_revenue::DOUBLE / target::DOUBLE >= 0.9 THEN 'Slightly below' ELSE 'Materially below' END
@@ -179,7 +179,7 @@ def ach(prefix: str = "") -> str:
 
 
 YEAR_SUMS = "SUM(plan) AS plan, SUM(allocated_target) AS allocated_target, SUM(actual) AS actual, SUM(commission) AS commission"
-YEAR_RATIOS = ("round(actual::DOUBLE / nullif(allocated_target, 0)::DOUBLE, 6) AS achievement, "
+YEAR_RATIOS = ("(actual::DOUBLE / nullif(allocated_target, 0)::DOUBLE) AS achievement, "
                "round(actual - allocated_target, 4)::DOUBLE AS variance_to_target")
 STATEMENT_BASE = "(weighted_invoiced + weighted_clawback)"
 
@@ -188,27 +188,27 @@ SQL = {
     "rep_month_performance": f"""
         SELECT {BASE_KEYS}, year, employee_code, full_name, deals, performance_band, rank_in_team, rank_in_company,
                {m4('target ' + DRIVERS + ' weighted_invoiced weighted_clawback credit_notes_outside_window variance ytd_actual ytd_target')},
-               {r6('achievement discount_rate avg_deal_size credit_note_rate month_end_share strategic_mix gross_margin_pct mom_growth ytd_achievement rolling_3m_achievement')}
+               {ratios('achievement discount_rate avg_deal_size credit_note_rate month_end_share strategic_mix gross_margin_pct mom_growth ytd_achievement rolling_3m_achievement')}
           FROM perf""",
     "team_month": f"""
         SELECT team_key, month_key, year, team_name, country_code, department_code, planned_headcount, active_reps,
                ramping_reps, vacant_seats, team_rank,
                {m4('plan allocated_target actual gross_margin commission variance_to_target variance_to_plan capacity_gap ytd_actual ytd_target ytd_plan')},
-               {r6('achievement plan_achievement ytd_achievement mom_growth')},
-               round(commission::DOUBLE / nullif(actual, 0)::DOUBLE, 6) AS commission_to_revenue
+               {ratios('achievement plan_achievement ytd_achievement mom_growth')},
+               (commission::DOUBLE / nullif(actual, 0)::DOUBLE) AS commission_to_revenue
           FROM teamperf""",
     "country_month": f"""
         SELECT country_code, month_key, year, active_reps, planned_headcount, country_rank,
                {m4('plan allocated_target actual gross_margin commission variance_to_target variance_to_plan')},
-               {r6('achievement plan_achievement ytd_achievement mom_growth')}
+               {ratios('achievement plan_achievement ytd_achievement mom_growth')}
           FROM countryperf""",
     "company_month": f"""
         SELECT month_key, year, active_reps, {m4('plan target actual gross_margin variance ytd_actual ytd_target')},
-               {r6('achievement mom_growth yoy_growth actual_3m_avg rolling_3m_achievement')} FROM company""",
+               {ratios('achievement mom_growth yoy_growth actual_3m_avg rolling_3m_achievement')} FROM company""",
     "commission_rep_month": f"""
         SELECT {BASE_KEYS}, deals, plan_id, tier_name, is_capped, achievement_band,
                {m4('target ' + DRIVERS + ' weighted_invoiced weighted_clawback credit_notes_outside_window weighted_base cap_amount commissionable_base commission commission_rate')},
-               {r6('achievement')}, round(commission::DOUBLE / nullif(actual, 0)::DOUBLE, 6) AS effective_commission_rate
+               {ratios('achievement')}, (commission::DOUBLE / nullif(actual, 0)::DOUBLE) AS effective_commission_rate
           FROM com""",
     "commission_plan_by_month": """
         SELECT b.month_key, p.plan_id, p.plan_name, 1.5::DOUBLE AS cap_multiple_of_target, 90 AS clawback_window_days,
@@ -235,13 +235,13 @@ SQL = {
         "FROM planbridgecountry" for i, (label, c) in enumerate((*STEPS, ("5 Actual", "actual")))) + "))",
     "yoy_lmdi_grains": f"""
         SELECT grain, grp AS "group", round(n0, 4) AS revenue_{Y0}, round(n1, 4) AS revenue_{Y1}, round(change, 4) AS change,
-               {m4(' '.join(n for n, _ in FACTORS))}, round(dr0, 6) AS discount_rate_{Y0}, round(dr1, 6) AS discount_rate_{Y1},
-               round(dprm0, 6) AS deals_per_rm_{Y0}, round(dprm1, 6) AS deals_per_rm_{Y1}, 0.0::DOUBLE AS residual
+               {m4(' '.join(n for n, _ in FACTORS))}, round(dr0, 4) AS discount_rate_{Y0}, round(dr1, 4) AS discount_rate_{Y1},
+               round(dprm0, 4) AS deals_per_rm_{Y0}, round(dprm1, 4) AS deals_per_rm_{Y1}, 0.0::DOUBLE AS residual
           FROM lmdi""",
     "yoy_lmdi_long": " UNION ALL ".join(
         f"SELECT grain, grp AS \"group\", '{n}' AS driver, round({n}, 4) AS amount_usd FROM lmdi" for n, _ in FACTORS),
     "anomalies": f"""
-        SELECT employee_code, full_name, team_name, month_key, {m4('target actual commission')}, {r6('achievement')},
+        SELECT employee_code, full_name, team_name, month_key, {m4('target actual commission')}, {ratios('achievement')},
                round(z, 6) AS robust_z, kind AS anomaly_type, round(month_end_share, 3) AS month_end_share, tier_name,
                CASE WHEN kind = 'Spike' AND round(month_end_share, 3) >= 0.5
                     THEN 'Spike concentrated in month-end window' ELSE '' END AS revenue_quality_flag FROM anomaly""",
@@ -250,7 +250,7 @@ SQL = {
                round(first_pct, 1) AS rolling_3m_6_months_ago_pct, round(last_pct, 1) AS rolling_3m_latest_pct,
                round(100 * ytd, 1) AS ytd_achievement_pct FROM decline""",
     "scenario_sale_month": f"SELECT year, {m4('paid moved leakage')} FROM salemonth",
-    "scenario_quarterly": f"SELECT rep_key, year, quarter_key, plan_id, tier_name, {r6('achievement')}, "
+    "scenario_quarterly": f"SELECT rep_key, year, quarter_key, plan_id, tier_name, {ratios('achievement')}, "
                           f"{m4('commission_monthly commission_quarterly')} FROM quarterpay",
     "scenario_table": f"""
         SELECT 'Monthly tiers (actual plan)' AS scenario, year, {usd('SUM(commission_monthly)')} AS commission_usd
@@ -273,7 +273,7 @@ SQL = {
                {pct('(SELECT SUM(revenue) FROM topreps)', '(SELECT SUM(revenue) FROM perrep)')} AS top20pct_share_of_revenue,
                (SELECT round(corr(actual::DOUBLE, commission::DOUBLE), 3) FROM kpi)
                    AS pearson_revenue_vs_commission_rep_month""",
-    "deal_volume": f"SELECT rep_key, department_code, months, {r6('deal_index achievement_pct')} FROM dealvolume",
+    "deal_volume": f"SELECT rep_key, department_code, months, round(deal_index, 6) AS deal_index, achievement_pct FROM dealvolume",
     "deal_volume_corr": "SELECT COUNT(*) AS reps, round(corr(deal_index, achievement_pct), 4) AS pearson_r FROM dealvolume",
     "headline": "SELECT " + ", ".join(
         [f"{usd(team_sum(c, y))} AS {n}_{y}" for c, n in (("actual", "revenue"), ("allocated_target", "target"))
@@ -289,8 +289,8 @@ SQL = {
            "(SELECT COUNT(DISTINCT rep_key) FROM kpi) AS unique_reps", "(SELECT COUNT(*) FROM anomaly) AS anomalies",
            "(SELECT COUNT(*) FROM anomaly WHERE kind = 'Spike' AND round(month_end_share, 3) >= 0.5) "
            "AS anomaly_spikes_month_end", "(SELECT COUNT(*) FROM decline) AS declining_reps_trend"]),
-    "company_rolling3": "SELECT month_key, round(100 * achievement, 6) AS achievement_pct, "
-                        "round(100 * rolling_3m_achievement, 6) AS rolling_3m_achievement_pct FROM company",
+    "company_rolling3": "SELECT month_key, (100 * achievement) AS achievement_pct, "
+                        "(100 * rolling_3m_achievement) AS rolling_3m_achievement_pct FROM company",
     "exec_summary": " UNION ALL ".join([
         figure("Net revenue (USD)", lambda y: usd(team_sum("actual", y))),
         figure("Allocated target (USD)", lambda y: usd(team_sum("allocated_target", y))),
@@ -300,20 +300,20 @@ SQL = {
         figure("Commission / revenue", lambda y: f"round({rep_sum('commission', y)}::DOUBLE / {rep_sum('actual', y)}::DOUBLE, 4)")]),
     "country_year": f"""
         SELECT country_code, year, {m4('plan allocated_target actual commission')}, {YEAR_RATIOS},
-               round(actual::DOUBLE / nullif(plan, 0)::DOUBLE, 6) AS plan_achievement
+               (actual::DOUBLE / nullif(plan, 0)::DOUBLE) AS plan_achievement
           FROM (SELECT country_code, year, {YEAR_SUMS} FROM countryperf GROUP BY 1, 2)""",
     "team_year": f"""
         SELECT team_name, year, {m4('plan allocated_target actual commission')}, {YEAR_RATIOS}
           FROM (SELECT team_name, year, {YEAR_SUMS} FROM teamperf GROUP BY 1, 2)""",
     "rep_ytd": f"""
         SELECT employee_code, full_name, team_name, months, deals, {m4('target actual commission')},
-               round({ach()}, 6) AS achievement,
+               ({ach()}) AS achievement,
                CASE WHEN target IS NOT NULL THEN rank() OVER (ORDER BY {ach()} DESC NULLS LAST) END AS rank
           FROM (SELECT employee_code, full_name, team_name, COUNT(*) AS months, SUM(target) AS target,
                        SUM(actual) AS actual, SUM(deals)::BIGINT AS deals, SUM(commission) AS commission
                   FROM kpi WHERE year = (SELECT MAX(year) FROM kpi) GROUP BY 1, 2, 3)""",
     "statements": f"""
-        SELECT employee_code, full_name, team_name, plan_id, month_key, tier_name, {r6('achievement')},
+        SELECT employee_code, full_name, team_name, plan_id, month_key, tier_name, {ratios('achievement')},
                {m4('target actual commission_rate weighted_invoiced weighted_clawback cap_amount ytd_commission')},
                round({STATEMENT_BASE}, 4)::DOUBLE AS weighted_base,
                round(least(greatest({STATEMENT_BASE}, 0), cap_amount), 4)::DOUBLE AS commissionable_base,
@@ -323,7 +323,7 @@ SQL = {
           FROM stmt s JOIN (SELECT rep_key AS rk, SUM(commission) AS ytd_commission FROM kpi WHERE year = 2000 GROUP BY 1) y
             ON y.rk = s.rep_key""",
     "statement_history": f"""
-        SELECT employee_code, month_key, tier_name, {m4('target actual commission')}, {r6('achievement')}
+        SELECT employee_code, month_key, tier_name, {m4('target actual commission')}, {ratios('achievement')}
           FROM kpi WHERE year = 2000 AND rep_key IN (SELECT rep_key FROM stmt)""",
     "statement_lines": f"""
         SELECT s.employee_code, f.line_id, f.document_no, f.doc_type, f.date_key, c.c_name AS customer,
@@ -336,10 +336,10 @@ SQL = {
                    + ") UNION ALL SELECT 'team', team_name, year, achievement_pct, NULL, NULL, status FROM ("
                    + QUESTIONS["q03_team_status_by_year"] + ")",
     "team_cost_to_revenue": f"""
-        SELECT team_name, {m4('commission actual')}, round(100 * (commission::DOUBLE / nullif(actual, 0)::DOUBLE), 6) AS rate_pct
+        SELECT team_name, {m4('commission actual')}, (100 * (commission::DOUBLE / nullif(actual, 0)::DOUBLE)) AS rate_pct
           FROM (SELECT team_name, SUM(commission) AS commission, SUM(actual) AS actual FROM teamperf GROUP BY 1)""",
     "country_achievement": "SELECT country_code, " + ", ".join(
-        f"round(100 * (SUM(actual) FILTER (year = {y})::DOUBLE / SUM(allocated_target) FILTER (year = {y})::DOUBLE), 6) "
+        f"(100 * (SUM(actual) FILTER (year = {y})::DOUBLE / SUM(allocated_target) FILTER (year = {y})::DOUBLE)) "
         f"AS achievement_{y}_pct" for y in (Y0, Y1)) + " FROM countryperf GROUP BY 1",
     "tier_distribution": f"""
         SELECT * FROM (SELECT plan_id, tier_name, COUNT(*) AS rep_months,
@@ -358,7 +358,7 @@ SQL = {
                (SELECT SUM(plan_amount_usd) AS capacity_plan FROM dimplan) p""",
     "metrics_by_rep": f"""
         SELECT rep_key, year, {m4('net_revenue target')}, deals,
-               round(net_revenue::DOUBLE / nullif(target, 0)::DOUBLE, 6) AS achievement_pct,
+               (net_revenue::DOUBLE / nullif(target, 0)::DOUBLE) AS achievement_pct,
                round(net_revenue - target, 4)::DOUBLE AS variance,
                CASE WHEN target IS NULL THEN 'No target' WHEN net_revenue::DOUBLE / target::DOUBLE >= 1.0
                     THEN 'On / above target' WHEN net_revenue::DOUBLE / target::DOUBLE >= 0.9 THEN 'Slightly below'
@@ -369,12 +369,12 @@ SQL = {
          USING (rep_key, year)""",
     "metrics_time": f"""
         SELECT country_name, month_key, round(rev, 4)::DOUBLE AS mtd_net_revenue, round(pm, 4)::DOUBLE AS net_revenue_pm,
-               round((rev - pm)::DOUBLE / nullif(pm, 0)::DOUBLE, 6) AS mom_growth_pct, round(py, 4)::DOUBLE AS net_revenue_py,
-               round((rev - py)::DOUBLE / nullif(py, 0)::DOUBLE, 6) AS yoy_growth_pct,
+               ((rev - pm)::DOUBLE / nullif(pm, 0)::DOUBLE) AS mom_growth_pct, round(py, 4)::DOUBLE AS net_revenue_py,
+               ((rev - py)::DOUBLE / nullif(py, 0)::DOUBLE) AS yoy_growth_pct,
                round(ytd, 4)::DOUBLE AS ytd_net_revenue, round(ytd_t, 4)::DOUBLE AS ytd_target,
-               round(ytd::DOUBLE / nullif(ytd_t, 0)::DOUBLE, 6) AS ytd_achievement_pct,
-               round(r3::DOUBLE / nullif(t3, 0)::DOUBLE, 6) AS rolling_3m_achievement_pct,
-               round(r3::DOUBLE / 3, 6) AS net_revenue_3m_avg
+               (ytd::DOUBLE / nullif(ytd_t, 0)::DOUBLE) AS ytd_achievement_pct,
+               (r3::DOUBLE / nullif(t3, 0)::DOUBLE) AS rolling_3m_achievement_pct,
+               (r3::DOUBLE / 3) AS net_revenue_3m_avg
           FROM (SELECT a.*, b.rev AS pm, c.rev AS py, SUM(a.rev) OVER y AS ytd, SUM(a.tgt_sum) OVER y AS ytd_t,
                        SUM(a.rev) OVER r AS r3, SUM(a.tgt_sum) OVER r AS t3
                   FROM countrymonth a
@@ -384,12 +384,12 @@ SQL = {
                        r AS (PARTITION BY a.country_name ORDER BY a.idx RANGE BETWEEN 2 PRECEDING AND CURRENT ROW))""",
     "metrics_commission": """
         SELECT year, round(SUM(commission), 4)::DOUBLE AS commission,
-               round(SUM(commission)::DOUBLE / nullif(SUM(actual), 0)::DOUBLE, 6) AS commission_to_revenue_pct,
+               (SUM(commission)::DOUBLE / nullif(SUM(actual), 0)::DOUBLE) AS commission_to_revenue_pct,
                round(SUM(commissionable_base), 4)::DOUBLE AS commissionable_base, COUNT(*) AS rep_months,
-               round((COUNT(*) FILTER (commission > 0))::DOUBLE / COUNT(*), 6) AS reps_paid_pct,
+               ((COUNT(*) FILTER (commission > 0))::DOUBLE / COUNT(*)) AS reps_paid_pct,
                COUNT(*) FILTER (is_capped = 1) AS capped_rep_months,
-               round(SUM(CASE WHEN tier_name = 'T3 Accelerator' THEN commission ELSE 0 END)::DOUBLE
-                     / nullif(SUM(commission), 0)::DOUBLE, 6) AS accelerator_share_pct,
+               (SUM(CASE WHEN tier_name = 'T3 Accelerator' THEN commission ELSE 0 END)::DOUBLE
+                     / nullif(SUM(commission), 0)::DOUBLE) AS accelerator_share_pct,
                round(SUM(commission), 4)::DOUBLE AS commission_check, 0.0::DOUBLE AS check_difference
           FROM kpi GROUP BY year""",
     "metrics_whatif_grid": """
@@ -428,7 +428,7 @@ SQL = {
                                                ELSE e.home_team END)
         SELECT rep_key, round(rev, 4)::DOUBLE AS net_revenue, round(tg, 4)::DOUBLE AS target, deals, employee_code,
                full_name, department_code,
-               round(CASE WHEN tg IS NOT NULL THEN rev::DOUBLE / nullif(tg, 0)::DOUBLE END, 6) AS achievement_pct,
+               (CASE WHEN tg IS NOT NULL THEN rev::DOUBLE / nullif(tg, 0)::DOUBLE END) AS achievement_pct,
                round(100 * (deals / (AVG(deals) FILTER (deals > 0) OVER (PARTITION BY department_code))), 6)
                    AS deal_volume_index,
                full_name || ' (' || employee_code || ')' AS rep_label,
@@ -437,7 +437,7 @@ SQL = {
           FROM x""",
     **{f"metrics_{kind}_ranks": f"""
         SELECT {kind}_name, year, round(rev, 4)::DOUBLE AS net_revenue, round(tg, 4)::DOUBLE AS target,
-               round(rev::DOUBLE / nullif(tg, 0)::DOUBLE, 6) AS achievement_pct,
+               (rev::DOUBLE / nullif(tg, 0)::DOUBLE) AS achievement_pct,
                CASE WHEN rev::DOUBLE / nullif(tg, 0)::DOUBLE IS NOT NULL THEN dense_rank() OVER (PARTITION BY year
                    ORDER BY rev::DOUBLE / nullif(tg, 0)::DOUBLE DESC NULLS LAST) END AS {kind}_rank
           FROM (SELECT {kind}_name, year, SUM(net_amount_usd) AS rev FROM dimfact GROUP BY 1, 2) s
@@ -466,7 +466,7 @@ SQL = {
         SELECT CASE grouping_id(country_name, department_code, team_name) WHEN 7 THEN 'total' WHEN 3 THEN 'country'
                     WHEN 1 THEN 'department' ELSE 'team' END AS level, country_name, department_code, team_name,
                round(SUM(rev), 4)::DOUBLE AS net_revenue, round(SUM(tg), 4)::DOUBLE AS target,
-               round(SUM(pl), 4)::DOUBLE AS capacity_plan, round(SUM(rev)::DOUBLE / nullif(SUM(tg), 0)::DOUBLE, 6)
+               round(SUM(pl), 4)::DOUBLE AS capacity_plan, (SUM(rev)::DOUBLE / nullif(SUM(tg), 0)::DOUBLE)
                    AS achievement_pct, round(SUM(rev) - SUM(tg), 4)::DOUBLE AS variance,
                round(SUM(pl) - SUM(tg), 4)::DOUBLE AS capacity_gap
           FROM (SELECT country_name, department_code, team_name, SUM(net_amount_usd) AS rev FROM dimfact GROUP BY ALL) s
@@ -476,7 +476,7 @@ SQL = {
          USING (country_name, department_code, team_name)
          GROUP BY ROLLUP (country_name, department_code, team_name)""",
     "metrics_matrix": "SELECT month_key, strftime(make_date(month_key // 100, month_key % 100, 1), '%b %y') AS month_label, "
-        + ", ".join(f"round(MAX(rev::DOUBLE / nullif(tgt_sum, 0)::DOUBLE) FILTER (country_name = '{n}'), 6) AS "
+        + ", ".join(f"(MAX(rev::DOUBLE / nullif(tgt_sum, 0)::DOUBLE) FILTER (country_name = '{n}')) AS "
                     f"{n.lower().replace(' ', '_')}" for n in ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"))
         + " FROM countrymonth GROUP BY month_key",
     "metrics_tier_mix": f"""

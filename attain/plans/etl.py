@@ -229,13 +229,18 @@ class Run:
 
     @cached_property
     def documents(self) -> DataFrame:
-        """Per original document: team and date of its first accepted invoice line, invoiced and credited value."""
+        """Per original document: team and date of its first accepted invoice line, invoiced and credited value.
+
+        The comparison runs on unrounded values; the shown totals are sums of lines rounded to cents.
+        """
         cn = is_type("CN")
+        cents = F.round(F.col("net_amount_local") / F.col("fx_rate"), 2).cast(C.MONEY)
         return (self.kept.where(F.size("failed") == 0).groupBy("doc")
                 .agg(F.min(F.when(~cn, F.struct("line_id", "team_id", "document_date"))).alias("_first"),
-                     F.sum(F.when(~cn, F.col("usd"))).alias("invoiced"), F.sum(F.when(cn, -F.col("usd"))).alias("credited"))
-                .select("doc", F.col("_first.team_id").alias("invoice_team"),
-                        F.col("_first.document_date").alias("invoice_date"), "invoiced", "credited",
+                     F.sum(F.when(~cn, F.col("usd"))).alias("invoiced"), F.sum(F.when(cn, -F.col("usd"))).alias("credited"),
+                     F.sum(F.when(~cn, cents)).alias("invoiced_usd"), F.sum(F.when(cn, -cents)).alias("credited_usd"))
+                .select("doc", "invoiced_usd", "credited_usd", F.col("_first.team_id").alias("invoice_team"),
+                        F.col("_first.document_date").alias("invoice_date"),
                         F.coalesce(F.col("credited") > F.coalesce("invoiced", F.lit(0.0)) + 1.0, F.lit(False))
                         .alias("over_credited")))
 
@@ -243,7 +248,7 @@ class Run:
     def routed(self) -> DataFrame:
         """Every kept line with the rules that hold it back: all broken row rules, else the first late rule."""
         cn = is_type("CN")
-        lines = self.kept.join(self.documents.drop("invoiced", "credited"), "doc", "left").withColumns({
+        lines = self.kept.join(self.documents.drop("invoiced_usd", "credited_usd"), "doc", "left").withColumns({
             "team_id": F.when(cn, F.col("invoice_team")).otherwise(F.col("team_id")),
             "original_date": F.when(cn, F.col("invoice_date"))}).drop("invoice_team", "invoice_date")
         late = F.slice(failed_ids(POST_RULES, self.policy, QUARANTINE), 1, 1)

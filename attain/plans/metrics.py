@@ -251,7 +251,7 @@ def narrative(m: Model) -> DataFrame:
     millions = F.format_number(F.round(F.col("net_revenue").cast("double") / 1e6, 1), 1)
     title = F.concat(F.lit("Net revenue $"), millions, F.lit("M | "),
                      F.format_string("%.1f", F.round(100 * F.col("achievement_pct"), 1)), F.lit("% of target | "),
-                     F.coalesce(F.concat(signed, F.lit("%")), F.lit("")), F.lit(" YoY"))
+                     F.when(growth.isNull(), "").otherwise(F.concat(signed, F.lit("%"))), F.lit(" YoY"))
     gaps = measure(m, ["variance"], ["year", "country_name"])
     worst = W.partitionBy("year").orderBy(F.asc_nulls_last("variance"))
     largest = (gaps.withColumn("_r", F.rank().over(worst)).where(F.col("_r") == 1).groupBy("year")
