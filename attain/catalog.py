@@ -200,11 +200,11 @@ def deduped(r: etl.Run) -> DataFrame:
 
 
 def joined_ids(r: etl.Run) -> DataFrame:
-    return r.quarantine.select("line_id", F.array_join("dq_failed_rules", ";").alias("dq_failed_rules"))
+    return r.quarantine.select("line_id", "dq_failed_rules")
 
 
 def accepted(r: etl.Run) -> DataFrame:
-    return r.kept.where(F.size("failed") == 0)
+    return r.kept.where(F.col("failed") == "")
 
 
 def target_flags(r: etl.Run) -> DataFrame:
@@ -237,8 +237,8 @@ RUN_QUERIES: dict[str, Callable] = {
     "dq_rule_log": lambda r: r.rule_log.select("rule_id", "rows_affected", "pct_of_rows"),
     "dq_dedupe": deduped,
     "dq_quarantine": joined_ids,
-    "dq_post_rules": lambda r: r.routed.where(F.col("late") & (F.size("failed") > 0)).select(
-        "line_id", "doc_type", "document_no", F.get("failed", F.lit(0)).alias("rule_id")),
+    "dq_post_rules": lambda r: r.routed.where(F.col("late") & (F.col("failed") != "")).select(
+        "line_id", "doc_type", "document_no", F.col("failed").alias("rule_id")),
     "dq_target_rules": target_flags,
     "row_reconciliation": lambda r: r.reconciliation,
     "integrity_checks": lambda r: checks.integrity_checks(r.model).drop("description"),

@@ -10,7 +10,9 @@ SUM_MONEY = "decimal(28,2)"
 WEIGHTED = "decimal(24,4)"
 PAY = "decimal(30,8)"
 
-DATE_PATTERNS = ("yyyy-M-d", "d/M/yyyy", "yyyy/M/d", "d-M-yyyy")
+YEAR_FIRST = r"^\d{4}-\d{1,2}-\d{1,2}$"
+YEAR_SLASH = r"^(\d{4})/(\d{1,2})/(\d{1,2})$"
+DAY_FIRST = r"^(\d{1,2})([/-])(\d{1,2})\2(\d{4})$"
 
 
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:
@@ -43,9 +45,17 @@ def count_if(condition: Column) -> Column:
 
 
 def parse_dates(text: Column) -> Column:
-    """First accepted pattern wins; text no pattern accepts becomes null."""
+    """Dates written y-m-d, d/m/y, y/m/d or d-m-y; text of any other shape, or no real day, becomes null.
+
+    Full ISO dates are cast as they are; the other shapes are turned into y-m-d first. Each text is
+    parsed once and never fails its way through a list of formats.
+    """
     clean = F.trim(text)
-    return F.coalesce(*[F.try_to_date(clean, pattern) for pattern in DATE_PATTERNS])
+    plain = ((F.length(clean) == 10) & (F.substring(clean, 5, 1) == "-") & (F.substring(clean, 8, 1) == "-")
+             & F.substring(clean, 10, 1).between("0", "9"))
+    iso = F.regexp_replace(clean, DAY_FIRST, "$4-$3-$1")
+    iso = F.regexp_replace(iso, YEAR_SLASH, "$1-$2-$3")
+    return F.when(plain, clean.try_cast("date")).when(iso.rlike(YEAR_FIRST), iso.try_cast("date"))
 
 
 def month_key(day: Column) -> Column:

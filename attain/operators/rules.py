@@ -28,9 +28,14 @@ class Rule:
 
 
 def failed_ids(rules: list[Rule], policy: Policy, action: str) -> Column:
-    """Ids of the broken rules of one action, in rule order."""
+    """Ids of the broken rules of one action in rule order, joined by semicolons; empty when none is."""
     hits = [F.when(r.flag(policy), F.lit(r.rule_id)) for r in rules if r.action == action and r.check]
-    return F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
+    return F.concat_ws(";", *hits)
+
+
+def first_failed(rules: list[Rule], policy: Policy) -> Column:
+    """Id of the first broken rule, empty when none is."""
+    return F.coalesce(*[F.when(r.flag(policy), F.lit(r.rule_id)) for r in rules], F.lit(""))
 
 
 def log_entry(rule: Rule, rows: Column, of: Column | None) -> Column:
@@ -48,10 +53,10 @@ def rule_counts(df: DataFrame, flags: dict[str, Column], total: str = "_total")
                   *[F.count(F.when(flag, 1)).alias(name) for name, flag in flags.items()])
 
 
-def rule_log(counts: DataFrame, rules: list[Rule], total: str | None = "_total") -> DataFrame:
-    """Turn the one-row counts into one log row per rule."""
-    of = F.col(total) if total else None
-    entries = F.array(*[log_entry(r, F.col(f"`{r.rule_id}`"), of) for r in rules])
+def rule_log(counts: DataFrame, rules: list[Rule], corrections: list[Rule] = (), total: str = "_total") -> DataFrame:
+    """Turn the one-row counts into one log row per rule; corrections are logged without a share."""
+    entries = F.array(*[log_entry(r, F.col(f"`{r.rule_id}`"), None) for r in corrections],
+                      *[log_entry(r, F.col(f"`{r.rule_id}`"), F.col(total)) for r in rules])
     return counts.select(F.explode(entries).alias("_e")).select("_e.*")
 
 
@@ -61,9 +66,3 @@ def evaluate(df: DataFrame, rules: list[Rule], policy: Policy) -> tuple[DataFram
     flagged = df.select("*", *[r.flag(policy).alias(r.rule_id) for r in checked])
     counts = rule_counts(df, {r.rule_id: r.flag(policy) for r in checked})
     return flagged, rule_log(counts, checked)
-
-
-def status(rules: list[Rule], policy: Policy) -> Column:
-    """QUARANTINE before FIX before CLEAN; dropped rows are gone before this is asked."""
-    quarantined = F.size(failed_ids(rules, policy, QUARANTINE)) > 0
-    return F.when(quarantined, F.lit("QUARANTINE")).otherwise(F.lit("CLEAN"))

@@ -11,7 +11,7 @@ from attain.functions import columns as C
 from attain.operators.dedupe import keep_first, keep_latest, surplus_rows
 from attain.operators.joins import point_in_time_join
 from attain.operators.ranking import dense_key
-from attain.operators.rules import DROP, FIX, FLAG, QUARANTINE, Rule, failed_ids, rule_counts, rule_log
+from attain.operators.rules import DROP, FIX, FLAG, QUARANTINE, Rule, failed_ids, first_failed, rule_counts, rule_log
 from attain.plans.model import Model
 from attain.policy import Policy, values
 from attain.schema import RAW, model_columns
@@ -164,25 +164,29 @@ class Run:
     def __init__(self, x: Extracts, staged: bool = False):
         self.x, self.policy, self.staged = x, x.policy, staged
 
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        """Stages several others read are written once."""
+        return store(df, name) if self.staged else df
+
     # masters with surrogate keys
     @cached_property
     def employees(self) -> DataFrame:
-        return dense_key(self.x.employees, "employee_code", "employee_key")
+        return self.keep(dense_key(self.x.employees, "employee_code", "employee_key"), "employees")
 
     @cached_property
     def products(self) -> DataFrame:
         strategic = F.col("product_line").isin(*self.policy.strategic_lines)
         weight = F.when(strategic, F.lit(self.policy.strategic_weight)).otherwise(F.lit(1)).cast("decimal(4,2)")
-        return dense_key(self.x.products.withColumn("is_strategic", strategic.cast("int"))
-                         .withColumn("commission_weight", weight), "sku", "product_key")
+        return self.keep(dense_key(self.x.products.withColumn("is_strategic", strategic.cast("int"))
+                                   .withColumn("commission_weight", weight), "sku", "product_key"), "products")
 
     @cached_property
     def customers(self) -> DataFrame:
-        return dense_key(self.x.customers, "customer_code", "customer_key")
+        return self.keep(dense_key(self.x.customers, "customer_code", "customer_key"), "customers")
 
     @cached_property
     def teams(self) -> DataFrame:
-        return dense_key(self.x.teams, "team_id", "team_key")
+        return self.keep(dense_key(self.x.teams, "team_id", "team_key"), "teams")
 
     def checked(self, lines: DataFrame, keyed: bool) -> DataFrame:
         """Standardised lines with master attributes; surrogate keys only where they will be used."""
@@ -204,10 +208,6 @@ class Run:
         """Every exported line, repeats included: what the rule counts are taken over."""
         return self.checked(self.x.sales_lines, keyed=False)
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Stages several others read are written once."""
-        return store(df, name) if self.staged else df
-
     @cached_property
     def kept(self) -> DataFrame:
         """Lines without repeats: the quarantine rules each one breaks, exchange rate, repaired price,
@@ -235,7 +235,7 @@ class Run:
         """
         cn = is_type("CN")
         cents = F.round(F.col("net_amount_local") / F.col("fx_rate"), 2).cast(C.MONEY)
-        return (self.kept.where(F.size("failed") == 0).groupBy("doc")
+        return (self.kept.where(F.col("failed") == "").groupBy("doc")
                 .agg(F.min(F.when(~cn, F.struct("line_id", "team_id", "document_date"))).alias("_first"),
                      F.sum(F.when(~cn, F.col("usd"))).alias("invoiced"), F.sum(F.when(cn, -F.col("usd"))).alias("credited"),
                      F.sum(F.when(~cn, cents)).alias("invoiced_usd"), F.sum(F.when(cn, -cents)).alias("credited_usd"))
@@ -251,19 +251,19 @@ class Run:
         lines = self.kept.join(self.documents.drop("invoiced_usd", "credited_usd"), "doc", "left").withColumns({
             "team_id": F.when(cn, F.col("invoice_team")).otherwise(F.col("team_id")),
             "original_date": F.when(cn, F.col("invoice_date"))}).drop("invoice_team", "invoice_date")
-        late = F.slice(failed_ids(POST_RULES, self.policy, QUARANTINE), 1, 1)
+        late = first_failed(POST_RULES, self.policy)
         return self.keep(lines.withColumns({
-            "late": F.size("failed") == 0,
-            "failed": F.when(F.size("failed") == 0, late).otherwise(F.col("failed"))}).drop("over_credited"),
+            "late": F.col("failed") == "",
+            "failed": F.when(F.col("failed") == "", late).otherwise(F.col("failed"))}).drop("over_credited"),
             "routed_lines")
 
     @cached_property
     def clean(self) -> DataFrame:
-        return usd_economics(self.routed.where(F.size("failed") == 0), self.policy)
+        return usd_economics(self.routed.where(F.col("failed") == ""), self.policy)
 
     @cached_property
     def quarantine(self) -> DataFrame:
-        return self.routed.where(F.size("failed") > 0).select(
+        return self.routed.where(F.col("failed") != "").select(
             "line_id", "document_no", "doc_type", "original_document_no", "document_date", "rep_code",
             "customer_code", "country_code", "sku", "quantity", "unit_list_price_local", "discount_pct",
             "net_amount_local", "currency", F.col("failed").alias("dq_failed_rules"))
@@ -277,12 +277,11 @@ class Run:
     def sales_log(self) -> DataFrame:
         """Corrections, row rules and late rules with the rows each one touched."""
         counts = rule_counts(self.all_lines, {r.rule_id: r.flag(self.policy) for r in STANDARDS + SALES_RULES})
-        late = rule_counts(self.routed, {r.rule_id: F.array_contains("failed", r.rule_id) for r in POST_RULES},
+        late = rule_counts(self.routed, {r.rule_id: F.col("failed") == r.rule_id for r in POST_RULES},
                            "_accepted")
         raw = self.x.sales_lines.agg(F.count(F.lit(1))).scalar()
-        return (rule_log(counts, STANDARDS, None)
+        return (rule_log(counts, SALES_RULES, STANDARDS)
                 .unionByName(rule_log(self.repeats.withColumnRenamed("dropped_duplicates", "DQ-S01"), [DUPLICATE]))
-                .unionByName(rule_log(counts, SALES_RULES))
                 .unionByName(rule_log(late.withColumn("_total", raw), POST_RULES)))
 
     @cached_property
@@ -317,8 +316,8 @@ class Run:
     @cached_property
     def reconciliation(self) -> DataFrame:
         """raw = clean + quarantined + dropped, as one row."""
-        routed = self.routed.agg(C.count_if(F.size("failed") > 0).alias("quarantined"),
-                                 C.count_if(F.size("failed") == 0).alias("clean_rows"))
+        routed = self.routed.agg(C.count_if(F.col("failed") != "").alias("quarantined"),
+                                 C.count_if(F.col("failed") == "").alias("clean_rows"))
         repeats = self.repeats.agg(F.max("dropped_duplicates")).scalar()
         raw = self.x.sales_lines.agg(F.count(F.lit(1))).scalar()
         one = routed.select(raw.alias("raw_rows"), repeats.alias("dropped_duplicates"), "quarantined", "clean_rows")
@@ -385,9 +384,9 @@ class Run:
                   .join(self.teams.select("team_id", "team_key"), "team_id")
                   .select("rep_key", "team_key", "hire_date", F.explode(covered).alias("_m")))
         tenure = ((F.year("_m") - F.year("hire_date")) * 12 + F.month("_m") - F.month("hire_date")).cast("int")
-        return (spread.withColumn("month_key", C.month_key(F.col("_m"))).withColumn("tenure_months", tenure)
-                .select("rep_key", "month_key", "team_key", "tenure_months",
-                        (F.col("tenure_months") < self.policy.ramp_months).cast("int").alias("is_ramp_month")))
+        rows = spread.withColumn("month_key", C.month_key(F.col("_m"))).withColumn("tenure_months", tenure)
+        ramp = (F.col("tenure_months") < self.policy.ramp_months).cast("int")
+        return self.keep(rows.withColumn("is_ramp_month", ramp).select(*model_columns("bridge")), "bridge")
 
     @cached_property
     def fact_sales(self) -> DataFrame:
@@ -398,7 +397,7 @@ class Run:
                                "rep_key": F.col("employee_key"), "quantity": F.col("quantity").cast("int"),
                                "unit_list_price_usd": F.round(F.col("unit_list_price_local") / F.col("fx_rate"), 2)
                                .cast(C.MONEY)}))
-        return project(keyed, model_columns("fact_sales"), "fact_sales")
+        return self.keep(project(keyed, model_columns("fact_sales"), "fact_sales"), "etl_fact_sales")
 
     @cached_property
     def fact_targets(self) -> DataFrame:
@@ -408,7 +407,7 @@ class Run:
                  .join(self.bridge.select("rep_key", "month_key", "team_key", "is_ramp_month"),
                        ["rep_key", "month_key"], "left")
                  .withColumn("date_key", F.col("month_key") * 100 + 1))
-        return project(keyed, model_columns("fact_targets"), "fact_targets")
+        return self.keep(project(keyed, model_columns("fact_targets"), "fact_targets"), "etl_fact_targets")
 
     @cached_property
     def fact_team_plan(self) -> DataFrame:

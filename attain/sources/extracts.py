@@ -15,6 +15,7 @@ from attain.functions import columns as C
 from attain.plans.etl import Extracts
 from attain.policy import plan_tiers
 from attain.sources.ledger import LedgerModel, Tables, code, department_of, employees, first_day, fx_rate
+from attain.sources.stage import store
 
 
 def every(n: int, remainder: int = 0):
@@ -94,7 +95,7 @@ def ledger_extracts(m: LedgerModel) -> Extracts:
     return Extracts(
         policy=policy,
         orders=t["orders"],
-        sales_lines=sales_lines(t),
+        sales_lines=store(sales_lines(t), "raw_sales_lines") if m.staged else sales_lines(t),
         sales_targets=m.raw_targets.select(
             month_text(F.col("month_key")).alias("target_month"), code("REP-", "rep_key").alias("rep_code"),
             "target_amount_usd", "revision_no", F.lit(None).cast("date").alias("revised_at")),

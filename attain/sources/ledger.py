@@ -57,10 +57,24 @@ class Tables:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._open:
-            self._open[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+            df = self.spark.read.parquet(f"{self.path}/{name}.parquet")
+            self._open[name] = spread(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
         return self._open[name]
 
 
+# Keys that tell rows of the large tables apart, for spreading files that cannot be split.
+SPREAD_KEYS = {"lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "orders": ["o_orderkey"]}
+
+
+def spread(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Use all cores for a table stored in fewer splits than there are cores; a table with enough
+    splits is read as it lies."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def code(prefix: str, key: str, digits: int = 12):
     return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), digits, "0"))
 
