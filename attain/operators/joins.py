@@ -3,7 +3,9 @@ and adaptive execution splits skewed partitions of the shuffled ones."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 OPEN_END = "2099-12-31"
@@ -61,5 +63,7 @@ def missing_keys(df: DataFrame, master: DataFrame, keys: list[str]) -> DataFrame
     return df.join(master.select(*keys).distinct(), keys, "left_anti")
 
 
-def same_or_null(left: Column, right: Column) -> Column:
-    return left.eqNullSafe(right)
+def one_row(*parts: DataFrame) -> DataFrame:
+    """Put one-row results with different columns side by side without a join."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])

@@ -12,6 +12,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BINS_PER_OCTAVE = 4096
+SMALL_INPUT = 32 * 1024 * 1024
+
+
+def is_small(df: DataFrame, limit: int = SMALL_INPUT) -> bool:
+    """Whether the planner's size bound (file sizes, joins counted as products) is below a limit.
+
+    Only then may a whole group be sorted by one task; any larger or unknown size takes the binned way.
+    """
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
 
 
 def magnitude_bin(value: Column) -> Column:
@@ -21,11 +30,21 @@ def magnitude_bin(value: Column) -> Column:
 
 
 def group_rank(df: DataFrame, by: list[str], value: str, rank: str | None = None, dense: str | None = None,
-               descending: bool = True) -> DataFrame:
-    """Add RANK and/or DENSE_RANK of a numeric column within groups; null values stay unranked."""
+               descending: bool = True, binned: bool | None = None) -> DataFrame:
+    """Add RANK and/or DENSE_RANK of a numeric column within groups; null values stay unranked.
+
+    Inputs of checked small size are ranked by a plain window, all others by bins; ``binned``
+    forces one of the ways.
+    """
     direction = F.desc if descending else F.asc
     spine = by or ["_all"]
     base = df if by else df.withColumn("_all", F.lit(0))
+    if not (binned if binned is not None else not is_small(df)):
+        nulls_last = F.desc_nulls_last if descending else F.asc_nulls_last
+        whole = W.partitionBy(*spine).orderBy(nulls_last(value))
+        present = F.col(value).isNotNull()
+        named = [(rank, F.rank()), (dense, F.dense_rank())]
+        return base.withColumns({n: F.when(present, f.over(whole)).cast("long") for n, f in named if n}).drop("_all")
     values = (base.where(F.col(value).isNotNull()).groupBy(*spine, value).agg(F.count(F.lit(1)).alias("_n"))
               .withColumn("_bin", magnitude_bin(F.col(value))))
 
@@ -47,22 +66,24 @@ def group_rank(df: DataFrame, by: list[str], value: str, rank: str | None = None
     return base.join(placed.select(*spine, value, *columns), [*spine, value], "left").drop("_all")
 
 
-def group_median(df: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
-    """Exact median per group as one aggregate row per group."""
-    return df.groupBy(*by).agg(F.median(value).alias(name))
+def top_rows(df: DataFrame, value: str, key: str, share: float, binned: bool | None = None) -> DataFrame:
+    """The first max(1, round(share * n)) rows by value, ties settled by the smaller key; also carries n.
 
-
-def top_rows(df: DataFrame, value: str, key: str, share: float) -> DataFrame:
-    """The first max(1, round(share * n)) rows by value, ties settled by the smaller key; also carries n."""
-    ranked = group_rank(df, [], value, rank="_rank")
+    Values whose ties fit are taken whole; of the value at the edge, rows are taken by key.
+    """
+    if not (binned if binned is not None else not is_small(df)):
+        whole = W.partitionBy(F.lit(0))
+        return (df.withColumn("n_all", F.count(F.lit(1)).over(whole))
+                .withColumn("_pos", F.row_number().over(whole.orderBy(F.desc_nulls_last(value), key)))
+                .where(F.col("_pos") <= F.greatest(F.lit(1), F.bround(F.col("n_all") * share))).drop("_pos"))
+    ranked = group_rank(df, [], value, rank="_rank", binned=True)
     ties = df.groupBy(value).agg(F.count(F.lit(1)).alias("_ties"))
-    size = df.agg(F.count(F.lit(1)).alias("n_all")).select(
-        "n_all", F.greatest(F.lit(1), F.bround(F.col("n_all") * share)).cast("long").alias("_k"),
-        F.lit(0).alias("_one"))
-    sized = (ranked.join(ties, value).withColumn("_one", F.lit(0)).join(size, "_one").drop("_one"))
+    n_all = df.agg(F.count(F.lit(1))).scalar()
+    sized = ranked.join(ties, value).withColumn("n_all", n_all).withColumn(
+        "_k", F.greatest(F.lit(1), F.bround(F.col("n_all") * share)).cast("long"))
     sure = sized.where(F.col("_rank") + F.col("_ties") - 1 <= F.col("_k"))
     edge = sized.where((F.col("_rank") <= F.col("_k")) & (F.col("_rank") + F.col("_ties") - 1 > F.col("_k")))
-    edge = (group_rank(edge, [], key, rank="_place", descending=False)
+    edge = (group_rank(edge, [], key, rank="_place", descending=False, binned=True)
             .where(F.col("_place") <= F.col("_k") - F.col("_rank") + 1).drop("_place"))
     return sure.unionByName(edge).drop("_rank", "_ties", "_k")
 

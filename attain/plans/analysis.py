@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from attain.functions import columns as C
-from attain.operators.joins import band_join
+from attain.operators.joins import band_join, one_row
 from attain.operators.ranking import top_rows
 from attain.plans.commission import capped_base, commission_rep_month, kpi_rep_month
 from attain.plans.kpi import company_month, team_month
@@ -219,9 +219,7 @@ def scenario_summary(m: Model) -> DataFrame:
                      C.pct(C.count_if(F.col("commission_quarterly") > 0), F.count(F.lit(1))).alias("quarters_paid"))
     months = kpi_rep_month(m).where(F.col("target").isNotNull()).agg(
         C.pct(C.count_if(F.col("commission") > 0), F.count(F.lit(1)))).scalar()
-    one = F.lit(1).alias("_one")
-    joined = moved.select("*", one).join(quarters.select("*", one), "_one")
-    return joined.select(
+    return one_row(moved, quarters).select(
         C.usd("paid").alias("baseline_commission_usd"), C.usd("moved").alias("clawback_to_sale_month_commission_usd"),
         C.usd(F.col("paid") - F.col("moved")).alias("clawback_leakage_usd"),
         C.pct(F.col("paid") - F.col("moved"), "paid", 2).alias("clawback_leakage_pct"),
@@ -234,13 +232,11 @@ def concentration(m: Model, share: float = 0.2) -> DataFrame:
     """Share of commission and revenue of the best-paid fifth of the reps, and their correlation."""
     rep = kpi_rep_month(m)
     per_rep = rep.groupBy("rep_key").agg(F.sum("commission").alias("commission"), F.sum("actual").alias("revenue"))
-    all_reps = per_rep.agg(F.sum("commission").alias("all_commission"), F.sum("revenue").alias("all_revenue"),
-                           F.lit(1).alias("_one"))
+    all_reps = per_rep.agg(F.sum("commission").alias("all_commission"), F.sum("revenue").alias("all_revenue"))
     top = top_rows(per_rep, "commission", "rep_key", share).agg(
-        F.max("n_all").alias("reps"), F.sum("commission").alias("commission"), F.sum("revenue").alias("revenue"),
-        F.lit(1).alias("_one"))
+        F.max("n_all").alias("reps"), F.sum("commission").alias("commission"), F.sum("revenue").alias("revenue"))
     together = rep.agg(F.round(F.corr(F.col("actual").cast("double"), F.col("commission").cast("double")), 3)).scalar()
-    return top.join(all_reps, "_one").select(
+    return one_row(top, all_reps).select(
         "reps", C.pct("commission", "all_commission").alias("top20pct_share_of_commission"),
         C.pct("revenue", "all_revenue").alias("top20pct_share_of_revenue"),
         together.alias("pearson_revenue_vs_commission_rep_month"))
@@ -273,16 +269,15 @@ def headline(m: Model) -> DataFrame:
 
     last = rep.agg(F.max("month_key")).scalar()
     by_team = team.agg(*[of(c, y).alias(f"{n}_{y}") for c, n in (("actual", "revenue"), ("allocated_target", "target"))
-                         for y in (y0, y1)], F.lit(1).alias("_one"))
+                         for y in (y0, y1)])
     by_rep = rep.agg(*[of(c, y).alias(f"_{c}_{y}") for c in ("actual", "target", "commission") for y in (y0, y1)],
                      F.sum("gross_margin").alias("_gm"), F.sum("actual").alias("_all"),
                      C.count_if(F.col("month_key") == last).alias("active_reps_end"),
-                     F.count_distinct("rep_key").alias("unique_reps"), F.lit(1).alias("_one"))
+                     F.count_distinct("rep_key").alias("unique_reps"))
     odd = detect_anomalies(m).agg(F.count(F.lit(1)).alias("anomalies"),
-                                  C.count_if(F.col("revenue_quality_flag") != "").alias("anomaly_spikes_month_end"),
-                                  F.lit(1).alias("_one"))
+                                  C.count_if(F.col("revenue_quality_flag") != "").alias("anomaly_spikes_month_end"))
     declining = detect_declines(m).agg(F.count(F.lit(1))).scalar()
-    j = by_team.join(by_rep, "_one").join(odd, "_one")
+    j = one_row(by_team, by_rep, odd)
 
     def growth(a: str, b: str):
         return F.round(100.0 * (C.ratio(a, b) - 1), 1)

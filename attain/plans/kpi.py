@@ -110,9 +110,8 @@ def add_names(df: DataFrame, m: Model) -> DataFrame:
 @view
 def rep_month_performance(m: Model) -> DataFrame:
     """The rep-month view with names and ranks within team and company."""
-    named = add_names(rep_month_trend(m), m)
-    ranked = group_rank(named, ["team_key", "month_key"], "achievement", rank="rank_in_team")
-    return group_rank(ranked, ["month_key"], "achievement", rank="rank_in_company")
+    ranked = group_rank(rep_month_trend(m), ["team_key", "month_key"], "achievement", rank="rank_in_team")
+    return add_names(group_rank(ranked, ["month_key"], "achievement", rank="rank_in_company"), m)
 
 
 # --------------------------------------------------------------------------- team, country, company

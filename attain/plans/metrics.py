@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from attain.functions import columns as C
-from attain.operators.joins import band_join
+from attain.operators.joins import band_join, one_row
 from attain.operators.ranking import group_rank
 from attain.plans.commission import commission_rep_month, kpi_rep_month
 from attain.plans.kpi import bounded_dense_rank, team_month
@@ -131,8 +131,8 @@ def measure(m: Model, names: list[str], by: list[str], where: Callable[[], Colum
         rows = facts(m, fact)
         rows = rows.where(where()) if where else rows
         parts.append(rows.groupBy(*by).agg(*[BASES[b].aggregate().alias(b) for b in bases]) if by else
-                     rows.agg(*[BASES[b].aggregate().alias(b) for b in bases], F.lit(1).alias("_one")))
-    joined = reduce(lambda a, b: a.join(b, by or "_one", "full_outer"), parts)
+                     rows.agg(*[BASES[b].aggregate().alias(b) for b in bases]))
+    joined = reduce(lambda a, b: a.join(b, by, "full_outer"), parts) if by else one_row(*parts)
     return joined.select(*by, *[DERIVED[n].expression().alias(n) if n in DERIVED else F.col(n) for n in names])
 
 
@@ -197,10 +197,10 @@ def what_if_grid(m: Model, gates=GATES, accelerators=ACCELERATORS) -> DataFrame:
     sums = rep.agg(F.array(*[held((ach >= float(g)) & (ach < 1.0)) for g in gates]).alias("low"),
                    held((ach >= 1.0) & (ach < 1.2)).alias("mid"), held(ach >= 1.2).alias("high"),
                    F.sum("commission").alias("paid"))
-    grid = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(g)).alias("gate_threshold"),
-                                        F.lit(a).cast("decimal(5,4)").alias("accelerator_rate"))
-                               for i, g in enumerate(gates) for a in accelerators]))
-    cells = sums.select("*", grid.alias("_g")).select("low", "mid", "high", "paid", "_g.*")
+    gate_values = F.array(*[F.lit(float(g)) for g in gates])
+    rates = F.array(*[F.lit(a).cast("decimal(5,4)") for a in accelerators])
+    cells = (sums.select("*", F.posexplode(gate_values).alias("i", "gate_threshold"))
+             .select("*", F.explode(rates).alias("accelerator_rate")))
     rate = [F.lit(Decimal(r)).cast("decimal(5,4)") for r in ("0.0050", "0.0100")]
     pay = (F.get("low", F.col("i")) * rate[0] + F.col("mid") * rate[1] + F.col("high") * F.col("accelerator_rate"))
     return cells.withColumn("pay", pay).select(

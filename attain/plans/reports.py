@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from attain.functions import columns as C
+from attain.operators.joins import one_row
 from attain.operators.ranking import group_rank
 from attain.plans.commission import commission_rep_month, kpi_rep_month
 from attain.plans.kpi import company_month, country_month, team_month
@@ -20,13 +21,13 @@ YEAR_SUMS = ("plan", "allocated_target", "actual", "commission")
 def executive_summary(m: Model) -> DataFrame:
     """Six company figures for the two comparison years, one row per figure."""
     years = m.policy.compare_years
-    rep, one = kpi_rep_month(m), F.lit(1).alias("_one")
+    rep = kpi_rep_month(m)
 
     def of(column: str, year: int):
         return F.sum(F.when(F.col("year") == year, F.col(column)))
 
-    t = team_month(m).agg(*[of(c, y).alias(f"{c}_{y}") for c in ("actual", "allocated_target") for y in years], one)
-    r = rep.agg(*[of(c, y).alias(f"rep_{c}_{y}") for c in ("actual", "commission") for y in years], one)
+    t = team_month(m).agg(*[of(c, y).alias(f"{c}_{y}") for c in ("actual", "allocated_target") for y in years])
+    r = rep.agg(*[of(c, y).alias(f"rep_{c}_{y}") for c in ("actual", "commission") for y in years])
     figures = [
         ("Net revenue (USD)", lambda y: C.usd(f"actual_{y}")),
         ("Allocated target (USD)", lambda y: C.usd(f"allocated_target_{y}")),
@@ -37,7 +38,7 @@ def executive_summary(m: Model) -> DataFrame:
     ]
     rows = F.array(*[F.struct(F.lit(label).alias("kpi"), value(years[0]).alias(f"fy{years[0]}"),
                               value(years[1]).alias(f"fy{years[1]}")) for label, value in figures])
-    return t.join(r, "_one").select(F.explode(rows).alias("_k")).select("_k.*")
+    return one_row(t, r).select(F.explode(rows).alias("_k")).select("_k.*")
 
 
 def per_year(df: DataFrame, *keys: str) -> DataFrame:
