@@ -16,7 +16,7 @@ from attain.plans import analysis, commission, etl, kpi, metrics, questions, rep
 from attain.sources import io
 from attain.sources.extracts import ledger_extracts
 from attain.sources.ledger import LedgerModel
-from attain.sources.stage import fingerprint
+from attain.sources.stage import fingerprint, size_shuffles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,7 @@ def model(spark: SparkSession, path: str) -> LedgerModel:
     """The star schema of one folder, built once per session for as long as its files stay the same."""
     key = model_key(spark, path)
     if key not in _models:
+        size_shuffles(spark, sum(length for files in key[-1] for _, length, _ in files))
         _models[key] = LedgerModel(spark, path)
     return _models[key]
 

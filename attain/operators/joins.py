@@ -53,16 +53,6 @@ def band_join(df: DataFrame, bands: DataFrame, on: str, value: str,
     return df.join(right, (df[on] == right["_on"]) & inside, "left").drop("_on", floor, ceiling)
 
 
-def with_presence(df: DataFrame, master: DataFrame, on: str, flag: str) -> DataFrame:
-    """Left join to a master with unique keys, adding its attributes and whether it was found."""
-    return df.join(master.withColumn(flag, F.lit(True)), on, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
-
-
-def missing_keys(df: DataFrame, master: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of df without a partner (anti join)."""
-    return df.join(master.select(*keys).distinct(), keys, "left_anti")
-
-
 def one_row(*parts: DataFrame) -> DataFrame:
     """Put one-row results with different columns side by side without a join."""
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
