@@ -39,13 +39,12 @@ def rep_month_sales(m: Model) -> DataFrame:
 def pay_inputs() -> list:
     """Weighted invoices, weighted credit notes inside the clawback window, and those outside it."""
     inv = F.col("doc_type") == "INV"
-    weighted = (F.col("net_amount_usd") * F.col("commission_weight")).cast(C.WEIGHTED)
-    zero = F.lit(0).cast(C.WEIGHTED)
+    weighted = F.col("net_amount_usd") * F.col("commission_weight")
     recent = ~inv & (F.col("days_since_original") <= F.col("clawback_window_days"))
     late = ~inv & (F.col("days_since_original") > F.col("clawback_window_days"))
     return [
-        F.sum(F.when(inv, weighted).otherwise(zero)).cast(C.WEIGHTED).alias("weighted_invoiced"),
-        F.sum(F.when(recent, weighted).otherwise(zero)).cast(C.WEIGHTED).alias("weighted_clawback"),
+        C.total(weighted, inv, 4, C.WEIGHTED).alias("weighted_invoiced"),
+        C.total(weighted, recent, 4, C.WEIGHTED).alias("weighted_clawback"),
         C.total("net_amount_usd", late).alias("credit_notes_outside_window"),
     ]
 
@@ -121,8 +120,8 @@ def team_month(m: Model) -> DataFrame:
     from attain.plans.commission import commission_rep_month
 
     keys = ["team_key", "month_key"]
-    revenue = m.fact_sales.groupBy(*keys).agg(F.sum("net_amount_usd").alias("actual"),
-                                              F.sum("gross_margin_usd").alias("gross_margin"))
+    revenue = m.fact_sales.groupBy(*keys).agg(C.total("net_amount_usd").alias("actual"),
+                                              C.total("gross_margin_usd").alias("gross_margin"))
     target = m.fact_targets.groupBy(*keys).agg(F.sum("target_amount_usd").alias("allocated_target"))
     seats = m.bridge.groupBy(*keys).agg(F.count(F.lit(1)).alias("active_reps"),
                                         F.sum("is_ramp_month").alias("ramping_reps"))

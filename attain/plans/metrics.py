@@ -48,12 +48,12 @@ def quotient(a: str, b: str) -> Derived:
 
 
 BASES: dict[str, Base] = {
-    "net_revenue": Base("sales", lambda: F.sum("net_amount_usd")),
+    "net_revenue": Base("sales", lambda: C.total("net_amount_usd")),
     "invoiced_revenue": Base("sales", lambda: C.total("net_amount_usd", invoices())),
     "credit_notes": Base("sales", lambda: C.total("net_amount_usd", ~invoices())),
     "gross_list_value": Base("sales", lambda: C.total("gross_amount_usd", invoices())),
     "discount_amount": Base("sales", lambda: C.total("discount_amount_usd", invoices())),
-    "gross_margin": Base("sales", lambda: F.sum("gross_margin_usd")),
+    "gross_margin": Base("sales", lambda: C.total("gross_margin_usd")),
     "deals": Base("sales", lambda: F.count_distinct(F.when(invoices(), F.col("document_no")))),
     "strategic_revenue": Base("sales", lambda: C.total("net_amount_usd", invoices() & (F.col("commission_weight") > 1))),
     "month_end_revenue": Base("sales", lambda: C.total("net_amount_usd",
