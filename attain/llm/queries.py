@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attain.llm import licenses, packing, sharding
+from attain.llm import langid, licenses, linedup, packing, sharding
 from attain.llm.common import table
 
 
@@ -17,6 +17,20 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def id_remainder(name: str, n: int) -> Column:
+    """crc32 of the id as text, modulo n; a null id counts as empty text."""
+    return F.crc32(F.encode(F.coalesce(F.col(name).cast("string"), F.lit("")), "UTF-8")) % n
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = id_remainder("doc_id", 4) == 2
+    model = langid.fit(docs.where(~held_out))
+    found = langid.identify(docs.select("doc_id", "text", held_out.alias("held_out")), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen shards of near equal bytes, by document id."""
     docs = table(spark, sf_dir, "documents")
@@ -37,6 +51,12 @@ def op6_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without repeated and near repeated lines."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return linedup.dedup_lines(docs)
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -63,9 +83,11 @@ FROM whole LEFT JOIN known ON known.digest = whole.digest LEFT JOIN listed ON li
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_language": op1_language,
         "op3_histogram_sort": op3_histogram_sort,
         "op5_vector_packing": op5_vector_packing,
         "op6_license_digests": op6_license_digests,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 
