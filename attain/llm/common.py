@@ -7,12 +7,14 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SHINGLE_WORDS = 5
 #: Bytes of text that are turned into arrays at once inside a task.
 CHUNK_BYTES = 1 << 21
+#: Rows of 64 bits in a filter table: its size is fixed (1 MB), whatever the data.
+FILTER_ROWS = 1 << 16
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,6 +86,33 @@ def components(edges: DataFrame, stages: Stages) -> DataFrame:
             if mark else spark.createDataFrame([], "id long, component long"))
 
 
+def shift_left(value: Column, bits: Column) -> Column:
+    return F.call_function("shiftleft", value, bits.cast("int"))
+
+
+def filter_rows(keys: DataFrame) -> DataFrame:
+    """A bitmap of the 64-bit keys: at most FILTER_ROWS rows (slot, bits). It may hold more, never fewer."""
+    return (keys.groupBy(F.pmod(F.shiftright("key", 6), F.lit(FILTER_ROWS)).alias("slot"))
+            .agg(F.bit_or(shift_left(F.lit(1).cast("long"), F.pmod("key", F.lit(64)))).alias("bits")))
+
+
+def maybe_in(df: DataFrame, key: str, rows: DataFrame) -> DataFrame:
+    """df with a flag __in, false only where the key is certainly not among those of rows."""
+    bit = shift_left(F.lit(1).cast("long"), F.pmod(key, F.lit(64))).bitwiseAND(F.coalesce("bits", F.lit(0).cast("long"))) != 0
+    return (df.join(F.broadcast(rows), F.pmod(F.shiftright(key, 6), F.lit(FILTER_ROWS)) == F.col("slot"), "left")
+            .withColumn("__in", bit).drop("slot", "bits"))
+
+
+def without(df: DataFrame, id_col: str, lost: DataFrame) -> DataFrame:
+    """The rows of df whose integer id is not among lost (id). Only rows that may be lost are shuffled."""
+    ids = lost.select(F.col("id").alias("lost_id")).where("lost_id IS NOT NULL")
+    key = F.xxhash64(F.col(id_col).cast("long"))
+    rows = maybe_in(df.select(F.struct(*df.columns).alias("row"), F.col(id_col).cast("long").alias("id"), key.alias("hit")), "hit",
+                    filter_rows(ids.select(F.xxhash64(F.col("lost_id").cast("long")).alias("key"))))
+    rest = rows.where("__in").join(ids, F.col("id") == F.col("lost_id"), "left_anti")
+    return rows.where("NOT __in").select("row.*").unionByName(rest.select("row.*"))
+
+
 # ---------------------------------------------------------------- words and shingles in tasks
 
 _rng = np.random.default_rng(20240817)

@@ -9,32 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attain.llm.common import Stages, components
+from attain.llm.common import Stages, components, filter_rows, maybe_in
 
 #: Letters whose counts a line carries to the join: two lines within e edits differ by at most 2e in all of them.
 LETTERS = "eainrtos"
-#: Rows of 64 bits in a filter table: its size is fixed (1 MB), whatever the data.
-FILTER_ROWS = 1 << 16
 NO_ID = (1 << 63) - 1
 
 
-def shift_left(value: Column, bits: Column) -> Column:
-    return F.call_function("shiftleft", value, bits.cast("int"))
-
-
-def filter_rows(keys: DataFrame) -> DataFrame:
-    """A bitmap of the 64-bit keys: at most FILTER_ROWS rows (slot, bits). It may hold more, never fewer."""
-    return (keys.groupBy(F.pmod(F.shiftright("key", 6), F.lit(FILTER_ROWS)).alias("slot"))
-            .agg(F.bit_or(shift_left(F.lit(1).cast("long"), F.pmod("key", F.lit(64)))).alias("bits")))
-
-
-def maybe_in(df: DataFrame, key: str, rows: DataFrame) -> DataFrame:
-    """df with a flag __in, false only where the key is certainly not among those of rows."""
-    bit = shift_left(F.lit(1).cast("long"), F.pmod(key, F.lit(64))).bitwiseAND(F.coalesce("bits", F.lit(0).cast("long"))) != 0
-    return (df.join(F.broadcast(rows), F.pmod(F.shiftright(key, 6), F.lit(FILTER_ROWS)) == F.col("slot"), "left")
-            .withColumn("__in", bit).drop("slot", "bits"))
-
-
 def lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """Lines of at least min_chars characters in normal form, with two hashes of it and their place."""
     out = (docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_key"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attain.llm import langid, licenses, linedup, packing, sharding
+from attain.llm import langid, licenses, linedup, minhash, packing, sharding
 from attain.llm.common import table
 
 
@@ -51,6 +51,11 @@ def op6_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose five-word shingles are three quarters alike."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without repeated and near repeated lines."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -87,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_histogram_sort": op3_histogram_sort,
         "op5_vector_packing": op5_vector_packing,
         "op6_license_digests": op6_license_digests,
+        "op7_minhash": op7_minhash,
         "op10_line_dedup": op10_line_dedup,
     }
 
