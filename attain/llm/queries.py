@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attain.llm import langid, licenses, linedup, minhash, packing, sharding
+from attain.llm import langid, licenses, linedup, lm, minhash, packing, sharding
 from attain.llm.common import table
 
 
@@ -31,6 +31,14 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents under a model of four fifths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = id_remainder("doc_id", 5) == 1
+    out = lm.score(docs, lm.fit(docs.where(~held_out)))
+    return out.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sixteen shards of near equal bytes, by document id."""
     docs = table(spark, sf_dir, "documents")
@@ -89,6 +97,7 @@ FROM whole LEFT JOIN known ON known.digest = whole.digest LEFT JOIN listed ON li
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language": op1_language,
+        "op2_language_model": op2_language_model,
         "op3_histogram_sort": op3_histogram_sort,
         "op5_vector_packing": op5_vector_packing,
         "op6_license_digests": op6_license_digests,
