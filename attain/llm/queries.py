@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attain.llm import langid, licenses, linedup, lm, minhash, packing, sharding
+from attain.llm import langid, licenses, linedup, lm, minhash, packing, sharding, vectors
 from attain.llm.common import table
 
 
@@ -64,6 +64,11 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of embeddings of one label with a cosine of 0.93 or more."""
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without repeated and near repeated lines."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -102,6 +107,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_vector_packing": op5_vector_packing,
         "op6_license_digests": op6_license_digests,
         "op7_minhash": op7_minhash,
+        "op8_multi_index": op8_multi_index,
         "op10_line_dedup": op10_line_dedup,
     }
 
