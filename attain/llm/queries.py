@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attain.llm import langid, licenses, linedup, lm, minhash, packing, sharding, vectors
+from attain.llm import decontam, langid, licenses, linedup, lm, minhash, packing, sharding, vectors
 from attain.llm.common import table
 
 
@@ -48,6 +48,11 @@ def op3_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold items of the benchmark."""
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole documents in sequences of 2048 tokens."""
     out = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -104,6 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_language": op1_language,
         "op2_language_model": op2_language_model,
         "op3_histogram_sort": op3_histogram_sort,
+        "op4_decontamination": op4_decontamination,
         "op5_vector_packing": op5_vector_packing,
         "op6_license_digests": op6_license_digests,
         "op7_minhash": op7_minhash,
