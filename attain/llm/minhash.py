@@ -21,6 +21,8 @@ BITS = 4
 MARGIN = 0.17
 #: Members of a bucket that are compared in one step; larger buckets are dealt out in chunks.
 CHUNK = 512
+#: Pairs of a member that a later round checks in one bucket.
+PARTNERS = 64
 
 _rng = np.random.default_rng(31)
 _FACTORS = (_rng.integers(1, 2**63, HASHES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -111,10 +113,12 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, size: int, wanted:
             .mapInArrow(run, "rid long, codes binary"))
 
 
-def forest(rid: np.ndarray, label: np.ndarray, n: np.ndarray, signs: np.ndarray, refuted: list, percent: int) -> list[tuple[int, int]]:
-    """Edges of a maximum spanning forest over the estimates of pairs that may link different labels.
+def bucket_edges(rid: np.ndarray, label: np.ndarray, n: np.ndarray, signs: np.ndarray, refuted: list | None, percent: int) -> list[tuple[int, int]]:
+    """Pairs of a bucket to check among those that may link different labels.
 
-    Pairs of one label count as joined already; pairs that were refuted are left out.
+    The first time (refuted is None) these are a maximum spanning forest over the estimates. Later, without the
+    pairs that were refuted, each member has all its pairs, or the PARTNERS with the best estimates; the rest
+    follow in later rounds.
     """
     m = len(rid)
     weight = np.empty((m, m))
@@ -128,6 +132,11 @@ def forest(rid: np.ndarray, label: np.ndarray, n: np.ndarray, signs: np.ndarray,
             for other in (others if others is not None else ()):
                 if (j := place.get(other)) is not None:
                     weight[i, j] = weight[j, i] = 0
+        weight[label[:, None] == label[None, :]] = 0
+        if m > PARTNERS:
+            worst = np.partition(weight, m - PARTNERS, axis=1)[:, m - PARTNERS]
+            weight[(weight < worst[:, None]) & (weight < worst[None, :])] = 0
+        return [(int(rid[i]), int(rid[j])) for i, j in np.argwhere(np.triu(weight, 1) > 0)]
     weight[label[:, None] == label[None, :]] = 2
     edges, best, link = [], np.zeros(m), np.zeros(m, np.int64)
     todo = np.ones(m, bool)
@@ -163,7 +172,7 @@ def candidate_edges(members: DataFrame, percent: int, with_refuted: bool) -> Dat
                 found += zip(rid[two[like]].tolist(), rid[two[like] + 1].tolist())
             for s, e in zip(starts, ends):
                 if e - s > 2 or with_refuted and e - s == 2:
-                    found += forest(rid[s:e], label[s:e], n[s:e], signs[s:e], refuted[s:e] if refuted else None, percent)
+                    found += bucket_edges(rid[s:e], label[s:e], n[s:e], signs[s:e], refuted[s:e] if refuted else None, percent)
             found = list({(min(p), max(p)) for p in found})
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
 
@@ -239,8 +248,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     id and text are ignored. An empty table gives no rows.
 
     Copies (equal sets) are one candidate. In each band bucket a maximum spanning forest over the estimated
-    similarities is checked on full sets; buckets whose members do not yet form one component are taken up again,
-    without the pairs that were refuted, until nothing is left to check. So the pairs of a group are never listed.
+    similarities is checked on full sets; buckets whose members do not yet form one component are taken up again
+    with their remaining pairs of different components, until nothing is left to check. So the pairs of a group are never listed.
     """
     spark = docs.sparkSession
     stages = Stages(spark, "minhash")
