@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attain.llm import decontam, langid, licenses, linedup, lm, minhash, packing, sharding, vectors
+from attain.llm import decontam, html, langid, licenses, linedup, lm, minhash, packing, sharding, vectors
 from attain.llm.common import table
 
 
@@ -74,6 +74,13 @@ def op8_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    out = html.extract(pages, html.fit(pages))
+    return out.select("page_id", "url", "text", "n_chars")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without repeated and near repeated lines."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -114,6 +121,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_license_digests": op6_license_digests,
         "op7_minhash": op7_minhash,
         "op8_multi_index": op8_multi_index,
+        "op9_main_text": op9_main_text,
         "op10_line_dedup": op10_line_dedup,
     }
 
