@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attain.llm.common import SHINGLE_WORDS, Stages, chunks, components, filter_rows, maybe_in, mix, shingles, word_codes
@@ -21,8 +21,8 @@ BITS = 4
 MARGIN = 0.17
 #: Members of a bucket that are compared in one step; larger buckets are dealt out in chunks.
 CHUNK = 512
-#: Pairs of a member that a later round checks in one bucket.
-PARTNERS = 64
+#: Members of a bucket whose pairs are listed; in larger ones the full sets come to the block.
+FEW = 32
 
 _rng = np.random.default_rng(31)
 _FACTORS = (_rng.integers(1, 2**63, HASHES, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -113,86 +113,118 @@ def shingle_sets(docs: DataFrame, id_col: str, text_col: str, size: int, wanted:
             .mapInArrow(run, "rid long, codes binary"))
 
 
-def bucket_edges(rid: np.ndarray, label: np.ndarray, n: np.ndarray, signs: np.ndarray, refuted: list | None, percent: int) -> list[tuple[int, int]]:
-    """Pairs of a bucket to check among those that may link different labels.
-
-    The first time (refuted is None) these are a maximum spanning forest over the estimates. Later, without the
-    pairs that were refuted, each member has all its pairs, or the PARTNERS with the best estimates; the rest
-    follow in later rounds.
-    """
-    m = len(rid)
+def may_link(label: np.ndarray, n: np.ndarray, signs: np.ndarray, percent: int) -> np.ndarray:
+    """Estimates of all pairs of a block; 0 where the pair has one label or cannot be near enough."""
+    m = len(label)
     weight = np.empty((m, m))
     for i in range(0, m, 64):
         weight[i:i + 64] = estimate(signs[i:i + 64, None, :], signs[None, :, :])
     weight[weight < percent / 100 - MARGIN] = 0
     weight[100 * np.minimum.outer(n, n) < percent * np.maximum.outer(n, n)] = 0
-    if refuted is not None:
-        place = {r: i for i, r in enumerate(rid.tolist())}
-        for i, others in enumerate(refuted):
-            for other in (others if others is not None else ()):
-                if (j := place.get(other)) is not None:
-                    weight[i, j] = weight[j, i] = 0
-        weight[label[:, None] == label[None, :]] = 0
-        if m > PARTNERS:
-            worst = np.partition(weight, m - PARTNERS, axis=1)[:, m - PARTNERS]
-            weight[(weight < worst[:, None]) & (weight < worst[None, :])] = 0
-        return [(int(rid[i]), int(rid[j])) for i, j in np.argwhere(np.triu(weight, 1) > 0)]
-    weight[label[:, None] == label[None, :]] = 2
+    weight[label[:, None] == label[None, :]] = 0
+    return weight
+
+
+def spanning_pairs(weight: np.ndarray) -> list[tuple[int, int]]:
+    """A maximum spanning forest over the estimates of a block."""
+    m = len(weight)
     edges, best, link = [], np.zeros(m), np.zeros(m, np.int64)
     todo = np.ones(m, bool)
     for _ in range(m):
         at = int(np.argmax(np.where(todo, best, -1)))
-        if 0 < best[at] < 2:
-            edges.append((int(rid[link[at]]), int(rid[at])))
+        if best[at] > 0:
+            edges.append((int(link[at]), at))
         todo[at] = False
         better = todo & (weight[at] > best)
         best[better], link[better] = weight[at][better], at
     return edges
 
 
-def candidate_edges(members: DataFrame, percent: int, with_refuted: bool) -> DataFrame:
-    """(a, b) to check from members (bucket, rid, label, n, sign, refuted) of buckets of bounded size."""
+def linked_pairs(weight: np.ndarray, n: np.ndarray, codes: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """Links of a block, confirmed on full sets, that join what is not joined yet; all pairs with a weight are tried."""
+    joined, out = np.arange(len(codes)), []
+    for i in range(len(codes)):
+        others = np.flatnonzero(weight[i, :i])
+        others = others[joined[others] != joined[i]]
+        if not len(others):
+            continue
+        found = np.concatenate([codes[j] for j in others])
+        at = np.minimum(np.searchsorted(codes[i], found), len(codes[i]) - 1)
+        starts = np.concatenate([[0], np.cumsum(n[others])[:-1]])
+        both = np.add.reduceat(codes[i][at] == found, starts, dtype=np.int64)
+        for j in others[100 * both >= percent * (n[i] + n[others] - both)]:
+            if joined[i] != joined[j]:
+                out.append((i, int(j)))
+                joined[joined == joined[j]] = joined[i]
+    return out
+
+
+def in_blocks(members: DataFrame, work) -> DataFrame:
+    """(a, b): the pairs that work (arrays of a block by column name -> pairs of places) finds in each block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
 
-        def edges(t: pa.Table) -> pa.RecordBatch:
-            bucket = t.column("bucket").to_numpy()
-            rid, label, n = (t.column(c).to_numpy() for c in ("rid", "label", "n"))
-            signs = np.frombuffer(b"".join(t.column("sign").to_pylist()), np.uint64).reshape(len(rid), -1)
-            refuted = t.column("refuted").to_pylist() if with_refuted else None
-            cuts = np.flatnonzero(np.diff(bucket)) + 1
-            starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(bucket)]])
-            found = []
-            two = starts[ends - starts == 2]
-            if len(two) and not with_refuted:
-                like = estimate(signs[two], signs[two + 1]) >= percent / 100 - MARGIN
-                like &= 100 * np.minimum(n[two], n[two + 1]) >= percent * np.maximum(n[two], n[two + 1])
-                like &= label[two] != label[two + 1]
-                found += zip(rid[two[like]].tolist(), rid[two[like] + 1].tolist())
-            for s, e in zip(starts, ends):
-                if e - s > 2 or with_refuted and e - s == 2:
-                    found += bucket_edges(rid[s:e], label[s:e], n[s:e], signs[s:e], refuted[s:e] if refuted else None, percent)
+        def pairs(t: pa.Table) -> pa.RecordBatch:
+            block, rid = t.column("block").to_numpy(), t.column("rid").to_numpy()
+            cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
+            found = set()
+            for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if e - s > 1:
+                    found.update((int(rid[s + i]), int(rid[s + j])) for i, j in work(t.slice(s, e - s)))
             found = list({(min(p), max(p)) for p in found})
             return pa.RecordBatch.from_arrays([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], names=["a", "b"])
 
         for batch in batches:
             t = pa.Table.from_batches([batch])
             t = pa.concat_tables([rest, t]) if rest is not None else t
-            bucket = t.column("bucket").to_numpy()
-            whole = int(np.searchsorted(bucket, bucket[-1], "left")) if len(bucket) else 0
+            block = t.column("block").to_numpy()
+            whole = int(np.searchsorted(block, block[-1], "left")) if len(block) else 0
             if whole:
-                yield edges(t.slice(0, whole).combine_chunks())
+                yield pairs(t.slice(0, whole).combine_chunks())
             rest = t.slice(whole)
         if rest is not None and rest.num_rows:
-            yield edges(rest.combine_chunks())
+            yield pairs(rest.combine_chunks())
 
-    return (members.repartition("bucket").sortWithinPartitions("bucket")
+    return (members.repartition("block").sortWithinPartitions("block")
             .mapInArrow(run, "a long, b long").where("a <> b").distinct())
 
 
+def columns_of(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    signs = np.frombuffer(b"".join(t.column("sign").to_pylist()), np.uint64).reshape(t.num_rows, -1)
+    return t.column("label").to_numpy(), t.column("n").to_numpy(), signs
+
+
+def first_pairs(members: DataFrame, percent: int) -> DataFrame:
+    return in_blocks(members, lambda t: spanning_pairs(may_link(*columns_of(t), percent)))
+
+
+def all_pairs(members: DataFrame, percent: int) -> DataFrame:
+    return in_blocks(members, lambda t: np.argwhere(np.triu(may_link(*columns_of(t), percent))).tolist())
+
+
+def confirmed_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Links in blocks whose members bring their full sets. A pair that shares several buckets is tried in that with
+    the smallest key; where bucket is null, blocks have each pair once."""
+
+    def work(t: pa.Table) -> list[tuple[int, int]]:
+        label, n, signs = columns_of(t)
+        weight = may_link(label, n, signs, percent)
+        bucket = t.column("bucket")[0].as_py()
+        if bucket is not None:
+            bands = np.array(t.column("bands").to_pylist(), np.int64)
+            for i in np.flatnonzero(weight.any(1)):
+                others = np.flatnonzero(weight[i])
+                shared = np.where(bands[others] == bands[i], bands[others], np.iinfo(np.int64).max).min(1)
+                weight[i, others[shared != bucket]] = 0
+        codes = [np.frombuffer(c, np.uint64) for c in t.column("codes").to_pylist()]
+        return linked_pairs(weight, n, codes, percent)
+
+    return in_blocks(members, work)
+
+
 def check(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b, linked): exact similarity of the full shingle sets."""
+    """The pairs (a, b) whose full shingle sets are near enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -201,40 +233,53 @@ def check(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+            keep = pa.array(linked, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
 
     left = sets.select(F.col("rid").alias("a"), F.col("codes").alias("codes_a"))
     right = sets.select(F.col("rid").alias("b"), F.col("codes").alias("codes_b"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long, linked boolean")
+    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
+
+
+def chunk_of(count: str) -> Column:
+    return F.pmod(F.xxhash64("rid"), F.ceil(F.col(count) / CHUNK))
+
+
+def numbers(count: str) -> Column:
+    """0, 1, ... for each chunk of count members."""
+    return F.sequence(F.lit(0).cast("long"), F.ceil(F.col(count) / CHUNK) - 1)
 
 
-def groups(members: DataFrame, labels: DataFrame | None, refuted: DataFrame | None) -> DataFrame:
-    """Members of buckets (of bounded size) that may still give links between different labels.
+def open_blocks(now: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Blocks (block, bucket, rid, label) of what may still link different labels, from all members (bucket, rid, label):
+    those of small buckets, and those of large buckets and labels.
 
-    The first time, large buckets are dealt out in chunks. Later, when near copies have one label, a large bucket
-    is cut into members of its most frequent label and the others; chunks of these meet all chunks of both.
+    A label of many members stands for them: whoever shares a bucket with it meets all its members once, not
+    once for each bucket that they share. All others meet in their buckets, chunk by chunk in large ones.
     """
-    if labels is None:
-        parts = F.ceil(F.col("size") / CHUNK)
-        part = F.when(F.col("size") > CHUNK, F.pmod(F.xxhash64("rid"), parts)).otherwise(0)
-        return members.select(F.xxhash64("bucket", part).alias("bucket"), "rid", F.col("rid").alias("label"), "n", "sign")
-    now = members.join(labels.withColumnsRenamed({"id": "rid"}), "rid", "left").withColumn("label", F.coalesce("component", "rid")).drop("component")
-    mixed = now.groupBy("bucket").agg(F.min("label").alias("l0"), F.max("label").alias("l1")).where("l0 <> l1").select("bucket")
-    now = now.join(mixed, "bucket", "left_semi")
-    per_label = now.where(F.col("size") > CHUNK).groupBy("bucket", "label").agg(F.count("*").alias("c"))
-    most = per_label.groupBy("bucket").agg(F.max("c").alias("c"), F.sum("c").alias("all"))
-    top = per_label.join(most, ["bucket", "c"]).groupBy("bucket").agg(F.min("label").alias("top"), F.first("c").alias("c"), F.first("all").alias("all"))
-    now = now.join(top, "bucket", "left")
-    p, q = F.ceil(F.col("c") / CHUNK), F.ceil((F.col("all") - F.col("c")) / CHUNK)
-    own = F.when(F.col("label") == F.col("top"), F.pmod(F.xxhash64("rid"), p)).otherwise(F.pmod(F.xxhash64("rid"), q))
-    tops = F.transform(F.sequence(F.lit(0).cast("long"), q - 1), lambda j: F.xxhash64("bucket", F.lit("ab"), own, j))
-    others = F.concat(F.transform(F.sequence(F.lit(0).cast("long"), p - 1), lambda i: F.xxhash64("bucket", F.lit("ab"), i, own)),
-                      F.transform(F.sequence(F.lit(0).cast("long"), q - 1), lambda j: F.xxhash64("bucket", F.lit("bb"), F.least(own, j), F.greatest(own, j))))
-    keys = F.when(F.col("top").isNull(), F.array(F.xxhash64("bucket"))).when(F.col("label") == F.col("top"), tops).otherwise(others)
-    out = now.select(F.explode(keys).alias("bucket"), "rid", "label", "n", "sign")
-    lists = (refuted.select("a", "b").unionByName(refuted.select(F.col("b").alias("a"), F.col("a").alias("b")))
-             .groupBy(F.col("a").alias("rid")).agg(F.collect_set("b").alias("refuted")))
-    return out.join(lists, "rid", "left")
+    large = now.select("rid", "label").distinct().groupBy("label").agg(F.count("*").alias("c")).where(F.col("c") > CHUNK)
+    now = now.join(large, "label", "left")
+    small = now.where("c IS NULL").select("bucket", "rid", "label")
+    mixed = (small.groupBy("bucket").agg(F.count("*").alias("m"), F.min("label").alias("l0"), F.max("label").alias("l1"))
+             .where("l0 <> l1").select("bucket", "m"))
+    rows = small.join(mixed, "bucket")
+    few = rows.where(F.col("m") <= FEW).select(F.col("bucket").alias("block"), "bucket", "rid", "label")
+    own = chunk_of("m")
+    meets = F.transform(numbers("m"), lambda j: F.xxhash64("bucket", F.least(own, j), F.greatest(own, j)))
+    many = rows.where(F.col("m") > FEW).select(F.explode(meets).alias("block"), "bucket", "rid", "label")
+    big = now.where("c IS NOT NULL").select("bucket", F.col("label").alias("big"), "c").distinct()
+    lesser = big.select("bucket", F.col("big").alias("lesser"), F.col("c").alias("lesser_c"))
+    touching = (big.join(lesser, "bucket").where("lesser_c < c OR lesser_c = c AND lesser < big").select("big", "c", "lesser").distinct())
+    held = now.where("c IS NOT NULL").select("label", "rid", "c").distinct()
+    asks = (small.join(big, "bucket").select("big", "c", "rid", "label").distinct()
+            .unionByName(held.drop("c").join(touching, F.col("label") == F.col("lesser")).select("big", "c", "rid", "label")))
+    asked = asks.groupBy("big").agg(F.count("*").alias("q"))
+    own_q, own_c = chunk_of("q"), chunk_of("c")
+    meet = F.transform(numbers("c"), lambda i: F.xxhash64(F.lit("large"), F.col("big"), i, own_q))
+    wait = F.transform(numbers("q"), lambda j: F.xxhash64(F.lit("large"), F.col("big"), own_c, j))
+    none = F.lit(None).cast("long").alias("bucket")
+    return few, (many.unionByName(asks.join(asked, "big").select(F.explode(meet).alias("block"), none, "rid", "label"))
+                 .unionByName(held.withColumn("big", F.col("label")).join(asked, "big").select(F.explode(wait).alias("block"), none, "rid", "label")))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, size: int = SHINGLE_WORDS) -> DataFrame:
@@ -247,9 +292,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     group without any id has a null component and is kept. Repeated rows stay in the result. Columns beside
     id and text are ignored. An empty table gives no rows.
 
-    Copies (equal sets) are one candidate. In each band bucket a maximum spanning forest over the estimated
-    similarities is checked on full sets; buckets whose members do not yet form one component are taken up again
-    with their remaining pairs of different components, until nothing is left to check. So the pairs of a group are never listed.
+    Copies (equal sets) are one candidate. First, in each band bucket, a maximum spanning forest over the estimated
+    similarities is checked on full sets. Then all other pairs of a bucket whose members are not yet in one
+    component are checked: in small buckets they are listed, in large ones the sets meet in blocks of a bounded number
+    of members. So the pairs of a large group are never listed.
     """
     spark = docs.sparkSession
     stages = Stages(spark, "minhash")
@@ -261,27 +307,31 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     keys = reps.select("rid", F.explode("bands").alias("bucket"))
     buckets = keys.groupBy("bucket").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("rid")).alias("who"), F.bit_xor(F.xxhash64(F.lit(1), "rid")).alias("too")).where("size > 1")
     buckets = stages.write(buckets.groupBy("size", "who", "too").agg(F.min("bucket").alias("bucket")).select("bucket", "size"))
-    rows = reps.select("id", "rid", "n", "sign", F.explode("bands").alias("band"))
-    rows = maybe_in(rows, "band", filter_rows(buckets.select(F.col("bucket").alias("key")))).where("__in").drop("__in")
-    members = stages.write(rows.join(buckets, F.col("band") == F.col("bucket")).select("bucket", "size", "id", "rid", "n", "sign").distinct())
-    places = members.select("id", "rid").distinct()
-    checked, sets, labels = None, None, None
-    while True:
-        refuted = checked.where("NOT linked") if checked is not None else None
-        pairs = stages.write(candidate_edges(groups(members, labels, refuted), percent, labels is not None))
-        if pairs.isEmpty():
-            break
-        need = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-        if sets is not None:
-            need = need.join(sets.select("rid"), "rid", "left_anti")
-        wanted = places.join(need, "rid", "left_semi").groupBy("rid").agg(F.min("id").alias("id"))
-        more = stages.write(shingle_sets(docs, id_col, text_col, size, wanted).dropDuplicates(["rid"]))
-        sets = more if sets is None else sets.unionByName(more)
-        new = check(pairs, sets, percent)
-        checked = stages.write(new if checked is None else checked.unionByName(new))
-        labels = stages.write(components(checked.where("linked").select("a", "b"), stages))
-    of = least.withColumn("component", F.col("rid")) if labels is None else (
-        least.join(labels.withColumnRenamed("id", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid")))
+    rows = maybe_in(reps.select("rid", F.explode("bands").alias("band")), "band", filter_rows(buckets.select(F.col("bucket").alias("key"))))
+    members = stages.write(rows.where("__in").join(buckets, F.col("band") == F.col("bucket")).select("bucket", "size", "rid").distinct())
+    signs = stages.write(reps.select("id", "rid", "n", "sign", "bands").join(members.select("rid").distinct(), "rid", "left_semi").dropDuplicates(["id", "rid"]))
+    signed = signs.select("rid", "n", "sign")
+
+    def sets_of(rids: DataFrame) -> DataFrame:
+        wanted = signs.select("id", "rid").join(rids, "rid", "left_semi")
+        return stages.write(shingle_sets(docs, id_col, text_col, size, wanted).dropDuplicates(["rid"]))
+
+    part = F.when(F.col("size") > CHUNK, chunk_of("size")).otherwise(0)
+    blocks = members.select(F.xxhash64("bucket", part).alias("block"), "rid", F.col("rid").alias("label"))
+    pairs = stages.write(first_pairs(blocks.join(signed, "rid"), percent))
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct())
+    links = stages.write(check(pairs, sets, percent))
+    labels = components(links, stages)
+    now = stages.write(members.join(labels.withColumnRenamed("id", "rid"), "rid", "left").select("bucket", "rid", F.coalesce("component", "rid").alias("label")))
+    few, many = open_blocks(now)
+    listed = stages.write(all_pairs(few.join(signed, "rid"), percent).join(pairs, ["a", "b"], "left_anti"))
+    many = stages.write(many)
+    rids = listed.select(F.explode(F.array("a", "b")).alias("rid")).unionByName(many.select("rid")).distinct()
+    sets = sets.unionByName(sets_of(rids.join(sets, "rid", "left_anti")))
+    met = many.join(signs.select("rid", "n", "sign", "bands"), "rid").join(sets, "rid")
+    links = stages.write(links.unionByName(check(listed, sets, percent)).unionByName(confirmed_pairs(met, percent)))
+    labels = components(links, stages)
+    of = least.join(labels.withColumnRenamed("id", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
     lowest = of.groupBy("component").agg(F.min("least").alias("component_id"))
     of = of.join(lowest, "component").select("rid", "component_id")
     done = all_docs.select("id", "n", "rid").join(of, "rid", "left")

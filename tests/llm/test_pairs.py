@@ -103,9 +103,10 @@ def test_near_duplicates_of_awkward_rows(spark):
     compare_near(spark, awkward())
 
 
-def test_near_duplicates_by_brute_force(spark, monkeypatch):
+@pytest.mark.parametrize("few", [2, 5, 1000])
+def test_near_duplicates_by_brute_force(spark, monkeypatch, few):
     monkeypatch.setattr(minhash, "CHUNK", 8)  # groups are larger than what is compared at once
-    monkeypatch.setattr(minhash, "PARTNERS", 4)
+    monkeypatch.setattr(minhash, "FEW", few)
     rows = []
     for family in range(6):
         base = prose(family, 60)
