@@ -129,9 +129,12 @@ _powers: list[np.ndarray] = []
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit values that spreads all bits."""
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
+    x = x ^ (x >> np.uint64(33))
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(33)
+    x *= np.uint64(0xC4CEB9FE1A85EC53)
+    x ^= x >> np.uint64(33)
+    return x
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -172,14 +175,21 @@ def words(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def span_codes(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit code of each span of lower-cased bytes."""
+    up, down = powers(len(lower) + 1)
+    total = np.zeros(len(lower) + 1, np.uint64)
+    part = BYTE_CODES.take(lower)
+    part *= up[:len(lower)]
+    np.cumsum(part, out=total[1:])
+    return mix((total.take(ends) - total.take(starts)) * down.take(starts) + (ends - starts).astype(np.uint64))
+
+
 def word_codes(offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit code of every lower-cased word, and for each text the number of words before it."""
-    data = LOWER[data]
-    starts, ends, first = words(offsets, data)
-    up, down = powers(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_CODES[data] * up[:len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64)), first
+    lower = LOWER[data]
+    starts, ends, first = words(offsets, lower)
+    return span_codes(lower, starts, ends), first
 
 
 def shingles(codes: np.ndarray, first: np.ndarray, size: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attain.llm.common import SHINGLE_CODES, Stages
+from attain.llm.common import CHUNK_BYTES, LOWER, SHINGLE_CODES, Stages, chunks, span_codes, word_codes, words
 
 CLASSES = 32
 #: Leaves of each class; the first OWN of all leaves belong to single words.
@@ -26,7 +27,7 @@ CLASS_ROWS, LEAF_ROWS = 1 << 12, 1 << 14
 #: Words whose counts every task holds; counts of the rest are joined.
 HELD = 100_000
 #: Learning rate of AdaGrad, tokens of a gradient step.
-RATE, STEP = 0.25, 4096
+RATE, STEP = 0.25, 8192
 END = b"\n"  # no word has white space
 TOTAL = CLASSES * LEAVES
 
@@ -99,19 +100,19 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     own = {w: i for i, w in enumerate(([END] if END in held else []) + [w for w in order if w != END][:OWN - 1])}
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, words = np.zeros(TOTAL, np.int64), np.zeros(TOTAL, np.int64)
+        n, different = np.zeros(TOTAL, np.int64), np.zeros(TOTAL, np.int64)
         for batch in batches:
-            words_in = batch.column("word").to_pylist()
-            leaf = np.array([own[w] if w in own else shared_leaf(w) for w in words_in], np.int64)
+            asked = batch.column("word").to_pylist()
+            leaf = np.array([own[w] if w in own else shared_leaf(w) for w in asked], np.int64)
             np.add.at(n, leaf, batch.column("n").to_numpy())
-            np.add.at(words, leaf, 1)
-        used = np.flatnonzero(words)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n[used]), pa.array(words[used])], names=["leaf", "n", "words"])
+            np.add.at(different, leaf, 1)
+        used = np.flatnonzero(different)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(n[used]), pa.array(different[used])], names=["leaf", "n", "words"])
 
-    tokens, words = np.zeros(TOTAL, np.int64), np.zeros(TOTAL, np.int64)
+    tokens, different = np.zeros(TOTAL, np.int64), np.zeros(TOTAL, np.int64)
     for r in counts.mapInArrow(leaves, "leaf long, n long, words long").groupBy("leaf").agg(F.sum("n").alias("n"), F.sum("words").alias("words")).collect():
-        tokens[r["leaf"]], words[r["leaf"]] = r["n"], r["words"]
-    return Vocabulary(held, own, tokens, words)
+        tokens[r["leaf"]], different[r["leaf"]] = r["n"], r["words"]
+    return Vocabulary(held, own, tokens, different)
 
 
 class Weights:
@@ -126,14 +127,12 @@ class Weights:
 
 
 def features(leaf: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """(features, tokens) codes: the word before, the two before, and the words two and three before (skips)."""
+    """(features, tokens) codes: the word before, the two before, and the word two before (a skip)."""
     n = len(leaf)
     at = np.arange(n)
     start = np.repeat(first[:-1], np.diff(first))
-    back = [np.where(at - k >= start, leaf[np.maximum(at - k, 0)], TOTAL).astype(np.uint64) for k in (1, 2, 3)]
-    one = np.uint64(1)
-    return np.stack([(back[0] + one) * SHINGLE_CODES[1], (back[0] + one) * SHINGLE_CODES[2] + (back[1] + one) * SHINGLE_CODES[3],
-                     (back[1] + one) * SHINGLE_CODES[4], (back[2] + one) * SHINGLE_CODES[5]])
+    back = [np.where(at - k >= start, leaf.take(np.maximum(at - k, 0)), TOTAL).astype(np.uint64) + np.uint64(1) for k in (1, 2)]
+    return np.stack([back[0] * SHINGLE_CODES[1], back[0] * SHINGLE_CODES[2] + back[1] * SHINGLE_CODES[3], back[1] * SHINGLE_CODES[4]])
 
 
 def class_index(codes: np.ndarray) -> np.ndarray:
@@ -146,47 +145,79 @@ def leaf_index(codes: np.ndarray, cls: np.ndarray) -> np.ndarray:
 
 def softmax(rows: np.ndarray, index: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Probabilities (tokens, outcomes) from the summed rows of each token's features."""
-    score = rows[index[0]]
+    score = rows.take(index[0], axis=0)
     for k in range(1, len(index)):
-        score += rows[index[k]]
+        score += rows.take(index[k], axis=0)
     score += bias
-    score -= score.max(1, keepdims=True)
+    np.minimum(score, 60, out=score)  # far above any learned score; keeps exp finite
     np.exp(score, out=score)
-    score /= score.sum(1, keepdims=True)
+    score /= (score @ np.ones(score.shape[1], np.float32))[:, None]
     return score
 
 
+def segment_sums(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows, by adding neighbours pairwise until one row of each run is left."""
+    out, runs = np.empty((len(starts), values.shape[1]), values.dtype), np.arange(len(starts))
+    while len(runs):
+        one = sizes == 1
+        out[runs[one]] = values.take(starts[one], axis=0)
+        runs, starts, sizes = runs[~one], starts[~one], sizes[~one]
+        half = sizes >> 1
+        begin = np.cumsum(half) - half
+        left = np.repeat(starts - 2 * begin, half) + 2 * np.arange(half.sum())
+        halved = values.take(left, axis=0)
+        halved += values.take(left + 1, axis=0)
+        odd = np.flatnonzero(sizes & 1)
+        halved[begin[odd]] += values.take(starts[odd] + sizes[odd] - 1, axis=0)
+        values, starts, sizes = halved, begin, half
+    return out
+
+
 def step(rows: np.ndarray, squares: np.ndarray, index: np.ndarray, gradient: np.ndarray) -> None:
     """One AdaGrad step: the gradient of each row is the sum over the tokens and features that use it."""
-    flat = index.ravel()
+    flat = index.ravel().astype(np.uint16)  # at most 2^16 rows, for a radix sort
     order = np.argsort(flat, kind="stable")
-    cuts = np.flatnonzero(np.concatenate([[True], np.diff(flat[order]) > 0]))
-    summed = np.add.reduceat(gradient[order % index.shape[1]], cuts, axis=0)
-    used = flat[order][cuts]
-    squares[used] += summed * summed
-    rows[used] += RATE * summed / np.sqrt(squares[used] + 1e-3)
-
-
-def read(batches: Iterator[pa.RecordBatch], vocab: Vocabulary) -> Iterator[tuple[pa.RecordBatch, int, list[list[bytes]], np.ndarray, np.ndarray]]:
-    """Whole texts a few at a time: batch, first row, tokens of each, their leaves, offsets."""
-    cache = dict(vocab.own)
-    for batch in batches:
-        column, row = batch.column("text"), 0
-        while row < len(column):
-            texts, n, begin = [], 0, row
-            while row < len(column) and n < 16 * STEP:
-                texts.append(tokens_of(column[row]))
-                n += len(texts[-1])
-                row += 1
-            leaf = []
-            for words in texts:
-                for w in words:
-                    if (at := cache.get(w)) is None:
-                        at = cache[w] = shared_leaf(w)
-                    leaf.append(at)
-            if len(cache) > 200_000:
-                cache = dict(vocab.own)
-            yield batch, begin, texts, np.array(leaf, np.int64), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    flat = flat[order]
+    starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
+    used = flat[starts].astype(np.int64)
+    summed = segment_sums(gradient.take(order % index.shape[1], axis=0), starts, np.diff(np.concatenate([starts, [len(flat)]])))
+    square = squares.take(used, axis=0)
+    square += summed * summed
+    squares[used] = square
+    square += 1e-3
+    np.sqrt(square, out=square)
+    summed *= RATE
+    summed /= square
+    summed += rows.take(used, axis=0)
+    rows[used] = summed
+
+
+def leaves_of(column: pa.Array, own_codes: np.ndarray, own_leaves: np.ndarray, limit: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """First row, leaves of all tokens (ends included) and offsets of whole texts, about limit bytes at a time."""
+    for row, offsets, data in chunks(column, limit):
+        lower = LOWER[data]
+        starts, ends, first = words(offsets, lower)
+        codes = span_codes(lower, starts, ends)
+        size = ends - starts
+        leaf = lower.take(ends - 1).astype(np.uint64)
+        for k in (1, 2):
+            leaf += np.where(size > k, lower.take(np.maximum(ends - 1 - k, 0)), 0).astype(np.uint64) << np.uint64(8 * k)
+        leaf = OWN + (leaf * np.uint64(0x9E3779B1) >> np.uint64(7)).astype(np.int64) % (TOTAL - OWN)
+        if len(own_codes) and len(codes):
+            at = np.minimum(np.searchsorted(own_codes, codes), len(own_codes) - 1)
+            hit = own_codes[at] == codes
+            leaf[hit] = own_leaves[at[hit]]
+        yield row, np.insert(leaf, first[1:], own_leaves[-1]), first + np.arange(len(first))
+
+
+def own_tables(vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes of the words with leaves of their own and the leaves; the last leaf is that of END."""
+    named = [w for w in vocab.own if w != END]
+    data = np.frombuffer(b"".join(named), np.uint8)
+    codes, _ = word_codes(np.cumsum([0, *map(len, named)]), data)
+    order = np.argsort(codes)
+    end = vocab.own.get(END, shared_leaf(END))
+    return codes[order], np.array([*(vocab.own[named[i]] for i in order), end], np.int64)
 
 
 def train(docs: DataFrame, text_col: str, vocab: Vocabulary, rounds: int = 1) -> Weights:
@@ -200,8 +231,8 @@ def train(docs: DataFrame, text_col: str, vocab: Vocabulary, rounds: int = 1) ->
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             vocab, class_rows, leaf_rows = sent.value
             w = Weights(vocab, class_rows.copy(), leaf_rows.copy())
-            squares = np.zeros_like(w.class_rows), np.zeros_like(w.leaf_rows)
-            for _, _, _, leaf, first in read(batches, vocab):
+            squares, own_words = (np.zeros_like(w.class_rows), np.zeros_like(w.leaf_rows)), own_tables(vocab)
+            for leaf, first in ((x, y) for b in batches for _, x, y in leaves_of(b.column("text"), *own_words, CHUNK_BYTES)):
                 codes = features(leaf, first)
                 cls, inner = place(leaf)
                 for i in range(0, len(leaf), STEP):
@@ -270,8 +301,9 @@ def score(docs: DataFrame, model: tuple[DataFrame, Vocabulary, Weights], *, id_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, class_rows, leaf_rows = sent.value
         w = Weights(vocab, class_rows, leaf_rows)
-        held, below = vocab.counts, np.log10(vocab.tokens + 0.5 * (vocab.words + 1))
-        for batch, begin, texts, leaf, first in read(batches, vocab):
+        held, below, own_words = vocab.counts, np.log10(vocab.tokens + 0.5 * (vocab.words + 1)), own_tables(vocab)
+        for batch, (begin, leaf, first) in ((b, x) for b in batches for x in leaves_of(b.column("text"), *own_words, CHUNK_BYTES)):
+            texts = [tokens_of(text) for text in batch.column("text").slice(begin, len(first) - 1)]
             codes = features(leaf, first)
             cls, inner = place(leaf)
             logs = np.empty(len(leaf))
@@ -283,13 +315,12 @@ def score(docs: DataFrame, model: tuple[DataFrame, Vocabulary, Weights], *, id_c
                 logs[part] = np.log10(np.maximum(p.astype(float), 1e-38)) + np.log10(np.maximum(q.astype(float), 1e-38))
             logs -= below[leaf]
             out, counted, seen, rare = np.add.reduceat(logs, first[:-1]), [], [], []
-            for words in texts:
-                n = [held.get(x, 0) for x in words]
-                found = np.array(n)
-                got = found > 0
-                seen.append(int(got.sum()))
-                counted.append(float(np.log10(found[got] + 0.5).sum()))
-                rare.append([x for x, k in zip(words, n) if not k])
+            for own in texts:
+                found = np.fromiter(map(held.get, own, repeat(0)), np.int64, len(own))
+                missing = np.flatnonzero(found == 0)
+                seen.append(len(own) - len(missing))
+                counted.append(float(np.log10(found[found > 0] + 0.5).sum()))
+                rare.append([own[i] for i in missing.tolist()])
             yield pa.RecordBatch.from_arrays([
                 batch.column("id").slice(begin, len(texts)), pa.array(np.diff(first)), pa.array(seen, pa.int64()),
                 pa.array(counted, pa.float64()), pa.array(out), pa.array(rare, pa.list_(pa.binary()))],
