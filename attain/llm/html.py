@@ -122,46 +122,73 @@ class Nodes:
     marks: list[str | None]
 
 
+def bits(masks: list[int], width: int) -> np.ndarray:
+    """Rows of 0 and 1 from numbers whose bit k is column k."""
+    return (np.array(masks, np.int64)[:, None] >> np.arange(width)) & 1
+
+
 def nodes_of(html: str) -> Nodes:
-    page = Page(html)
-    n = len(page.tags)
-    parent = np.array(page.parents)
-    texts = [None if t is None else " ".join("".join(t).split()) for t in page.texts]
-    run = np.array([t is not None for t in texts])
-    length = np.array([0 if t is None else len(t) for t in texts], float)
-    sums = np.stack([length, np.minimum(np.array(page.linked, float), length), run.astype(float), (~run).astype(float),
-                     np.array([0 if t is None else sum(map(t.count, ".,;:!?")) for t in texts], float),
-                     np.array([0 if t is None else t[-1:] in ".!?" for t in texts], float),
-                     np.array([0 if t is None else sum(map(t.count, "0123456789")) for t in texts], float)], 1)
-    longest, depth = length.copy(), np.zeros(n)
-    order, children, same = np.zeros(n), np.zeros(n), np.zeros(n)
-    kinds: dict[tuple[int, str], int] = {}
-    start = np.cumsum(length) - length
-    tag_own, tag_above = np.zeros((n, len(TAGS))), np.zeros((n, len(TAGS)))
-    token_own, token_above = np.zeros((n, len(TOKENS))), np.zeros((n, len(TOKENS)))
-    for i in range(1, n):
-        p = parent[i]
-        depth[i], order[i] = depth[p] + 1, children[p]
-        children[p] += 1
-        kinds[p, page.tags[i]] = kinds.get((p, page.tags[i]), 0) + 1
-        tag_above[i], token_above[i] = np.maximum(tag_above[p], tag_own[p]), np.maximum(token_above[p], token_own[p])
-        if run[i]:
-            tag_own[i], token_own[i] = tag_own[p], token_own[p]
-        else:
-            if (g := TAG_GROUP.get(page.tags[i])) is not None:
-                tag_own[i, g] = 1
-            token_own[i, list(page.groups[i])] = 1
-    for i in range(n - 1, 0, -1):
-        sums[parent[i]] += sums[i]
-        longest[parent[i]] = max(longest[parent[i]], longest[i])
-        same[i] = kinds[parent[i], page.tags[i]]
-    total, text = max(sums[0, 0], 1.0), np.maximum(sums[:, 0], 1.0)
-    above = np.maximum(parent, 0)
+    return nodes_of_all([html])[0]
+
+
+def nodes_of_all(htmls: list[str]) -> list[Nodes]:
+    """The nodes of some pages; their features are computed together, level by level."""
+    pages = [Page(h) for h in htmls]
+    sizes = [len(p.tags) for p in pages]
+    begin = np.concatenate([[0], np.cumsum(sizes)])
+    n = int(begin[-1])
+    local = np.concatenate([np.array(p.parents) for p in pages])
+    root = local < 0
+    parent = np.where(root, np.arange(n), local + np.repeat(begin[:-1], sizes))
+    texts = [[None if t is None else " ".join("".join(t).split()) for t in p.texts] for p in pages]
+    every = [t for own in texts for t in own]
+    run = np.array([t is not None for t in every])
+    length = np.array([0 if t is None else len(t) for t in every], float)
+    linked = np.array([x for p in pages for x in p.linked], float)
+    sums = np.stack([length, np.minimum(linked, length), run.astype(float), (~run).astype(float),
+                     np.array([0 if t is None else sum(map(t.count, ".,;:!?")) for t in every], float),
+                     np.array([0 if t is None else t[-1:] in ".!?" for t in every], float),
+                     np.array([0 if t is None else sum(map(t.count, "0123456789")) for t in every], float)], 1)
+    # what lies above a node, and its place among its siblings, in page order
+    depth, order, tag_own, tag_above, token_own, token_above = [], [], [], [], [], []
+    for page in pages:
+        depths, children, tags, tags_up, tokens, tokens_up = [0], [0] * len(page.tags), [0], [0], [0], [0]
+        order.append(0)
+        for tag, p, groups in zip(page.tags[1:], page.parents[1:], page.groups[1:]):
+            depths.append(depths[p] + 1)
+            order.append(children[p])
+            children[p] += 1
+            tags_up.append(tags_up[p] | tags[p])
+            tokens_up.append(tokens_up[p] | tokens[p])
+            if tag == "#text":
+                tags.append(tags[p]), tokens.append(tokens[p])
+            else:
+                tags.append(1 << TAG_GROUP[tag] if tag in TAG_GROUP else 0)
+                tokens.append(sum(1 << g for g in groups))
+        depth += depths
+        tag_own += tags
+        tag_above += tags_up
+        token_own += tokens
+        token_above += tokens_up
+    depth = np.array(depth)
+    longest = length.copy()
+    levels = np.argsort(depth, kind="stable")
+    for level in reversed(np.split(levels, np.cumsum(np.bincount(depth))[:-1])[1:]):
+        np.add.at(sums, parent[level], sums[level])
+        np.maximum.at(longest, parent[level], longest[level])
+    kinds = {tag: i for i, tag in enumerate(sorted({t for p in pages for t in p.tags}))}
+    _, kind, count = np.unique(parent * len(kinds) + np.array([kinds[t] for p in pages for t in p.tags]), return_inverse=True, return_counts=True)
+    same = count[kind]
+    children = np.bincount(parent[~root], minlength=n)[parent]
+    before = np.cumsum(length) - length
+    start = before - np.repeat(before[begin[:-1]], sizes)
+    total, text, runs = np.repeat(np.maximum(sums[begin[:-1], 0], 1.0), sizes), np.maximum(sums[:, 0], 1.0), np.maximum(sums[:, 2], 1)
     base = np.stack([run, np.log1p(sums[:, 0]), sums[:, 1] / text, np.log1p(sums[:, 2]), np.log1p(sums[:, 0] / (sums[:, 3] + 1)), depth,
-                     np.log1p(order), np.log1p(children[above]), sums[:, 0] / total, start / total, np.log1p(sums[:, 0] / np.maximum(sums[:, 2], 1)),
-                     sums[:, 4] / text, sums[:, 5] / np.maximum(sums[:, 2], 1), sums[:, 6] / text, sums[:, 0] / np.maximum(text[above], 1),
-                     same / np.maximum(children[above], 1), np.log1p(longest), np.log1p(sums[above, 0])], 1)
-    return Nodes(page.parents, texts, np.hstack([base, tag_own, tag_above, token_own, token_above]).astype(np.float32), page.marks)
+                     np.log1p(np.array(order)), np.log1p(children), sums[:, 0] / total, start / total, np.log1p(sums[:, 0] / runs),
+                     sums[:, 4] / text, sums[:, 5] / runs, sums[:, 6] / text, sums[:, 0] / text[parent],
+                     same / np.maximum(children, 1), np.log1p(longest), np.log1p(sums[parent, 0])], 1)
+    features = np.hstack([base, bits(tag_own, len(TAGS)), bits(tag_above, len(TAGS)), bits(token_own, len(TOKENS)), bits(token_above, len(TOKENS))]).astype(np.float32)
+    return [Nodes(p.parents, own, features[a:b], p.marks) for p, own, a, b in zip(pages, texts, begin[:-1], begin[1:])]
 
 
 @dataclass(frozen=True)
@@ -183,8 +210,11 @@ class Trees:
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 60, depth: int = 4, rate: float = 0.25, bins: int = 32, ridge: float = 2.0) -> Trees:
-    """Logistic boosting with second-order gains over binned features."""
+def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 100, depth: int = 4, rate: float = 0.25, bins: int = 32, ridge: float = 1.0,
+          columns: float = 0.3) -> Trees:
+    """Logistic boosting with second-order gains over binned features; each tree sees a share of the columns, so that no
+    single cue decides alone."""
+    rng = np.random.default_rng(17)
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1])) for j in range(x.shape[1])]
     binned = np.stack([np.searchsorted(e, x[:, j], "left") for j, e in enumerate(edges)], 1)
     share = float(np.clip(np.average(y, weights=weight), 1e-3, 1 - 1e-3))
@@ -192,7 +222,9 @@ def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 60, de
     margin = np.full(len(x), start)
     inner = (1 << depth) - 1
     all_f, all_t, all_l = [], [], []
+    usable = [j for j, e in enumerate(edges) if len(e)]
     for _ in range(rounds):
+        chosen = rng.permutation(usable)[:max(1, round(columns * len(usable)))]
         p = 1 / (1 + np.exp(-margin))
         g, h = weight * (y - p), weight * p * (1 - p)
         feature, threshold, at = np.zeros(inner, np.int64), np.full(inner, np.inf, np.float32), np.zeros(len(x), np.int64)
@@ -202,9 +234,8 @@ def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 60, de
             gain, pick = np.zeros(count), [(0, np.inf)] * count
             sum_g, sum_h = (np.bincount(place, v, count) for v in (g, h))
             before = sum_g**2 / (sum_h + ridge)
-            for j, cuts in enumerate(edges):
-                if not len(cuts):
-                    continue
+            for j in chosen:
+                cuts = edges[j]
                 width = len(cuts) + 1
                 key = place * width + binned[:, j]
                 left_g = np.bincount(key, g, count * width).reshape(count, width).cumsum(1)[:, :-1]
@@ -301,6 +332,9 @@ def variant(html: str, pool: list[str], rng: np.random.Generator) -> str | None:
         return _PARTS.sub(lambda m: wrapped(pick(_WRONG[m[1].lower()]) if rng.random() < 0.5 else m[1].lower(), m[2], "drop"), rest)
 
     inner = found[2]
+    if rng.random() < 0.2:  # the page as it is
+        return _PARTS.sub(lambda m: wrapped(m[1].lower(), m[2], "drop"), html[:found.start()]) + wrapped(found[1].lower(), inner, "keep") + _PARTS.sub(
+            lambda m: wrapped(m[1].lower(), m[2], "drop"), html[found.end():])
     if rng.random() < 0.4:  # something foreign between two blocks
         ends = [m.end() for m in re.finditer(r"</p>", inner)]
         if ends:
@@ -315,11 +349,11 @@ def variant(html: str, pool: list[str], rng: np.random.Generator) -> str | None:
     for kind in ("comment", "aside", "form", "nav", "ad", "notice"):
         if rng.random() < 0.25:
             after = part(kind) + after
-    name = found[1].lower() if rng.random() < 0.3 else pick(_RIGHT)
+    name = pick(("article", "main")) if rng.random() < 0.4 else pick(_RIGHT)
     return before + wrapped(name, inner, "keep") + after
 
 
-def fit(pages: DataFrame, *, html_col: str = "html", sample: int = 200, variants: int = 4) -> Trees | None:
+def fit(pages: DataFrame, *, html_col: str = "html", sample: int = 300, variants: int = 5) -> Trees | None:
     """Trees from variants of at most sample pages that mark their main element (article or main), picked by a hash.
 
     The pages' own marks are the labels; renaming and adding parts keeps the trees from relying on any one mark.
@@ -338,7 +372,7 @@ def fit(pages: DataFrame, *, html_col: str = "html", sample: int = 200, variants
     made = [v for t in texts for _ in range(variants) if (v := variant(t, pool, rng))]
     if not made:
         return None
-    nodes = [nodes_of(v) for v in made]
+    nodes = nodes_of_all(made)
     x, y = np.concatenate([p.features for p in nodes]), np.concatenate([labels_of(p) for p in nodes])
     weight = np.concatenate([np.full(len(p.parents), 1 / np.sqrt(len(p.parents))) for p in nodes])
     return boost(x, y, weight / weight.mean())
@@ -357,7 +391,7 @@ def extract(pages: DataFrame, trees: Trees | None, *, html_col: str = "html") ->
     def run(column: pa.Array) -> pa.Array:
         trees, out = sent["trees"], []
         for first in range(0, len(column), 64):
-            found = [nodes_of(h or "") for h in column.slice(first, 64).to_pylist()]
+            found = nodes_of_all([h or "" for h in column.slice(first, 64).to_pylist()])
             logits = trees.margin(np.concatenate([p.features for p in found])) if trees else np.full(sum(len(p.parents) for p in found), 30.0)
             at = 0
             for p in found:

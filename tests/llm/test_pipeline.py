@@ -14,7 +14,7 @@ def folder(spark, tmp_path):
     spark.createDataFrame(bench, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     rows = [(i, prose(i, 60)) for i in range(40)] + [(40 + i, prose(i, 60).replace("alpha", "beta", 1)) for i in range(10)]
     rows += [(60 + i, prose(700 + i, 30) + " " + bench[i % 2][1] + "\n" + prose(800, 40)) for i in range(6)]
-    rows += [(i, t) for i, t in awkward() if i is None or i not in (6, 7)]
+    rows += [(None if i is None else i + 500, t) for i, t in awkward() if i is None or i not in (6, 7)]
     langs = {i: "xx" for i in range(0, 40, 2)}
     docs = frame(spark, [(None if i is None else i + 1000, t) for i, t in rows], {k + 1000: v for k, v in langs.items()})
     docs.write.parquet(str(tmp_path / "documents.parquet"))
