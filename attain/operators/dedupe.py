@@ -1,23 +1,33 @@
 """Keep-first and keep-latest reductions.
 
 Both are aggregates rather than windows: every map task reduces its own copies of a key before
-the shuffle, so a key owning a large share of the rows never lands on one task as raw rows.
+the shuffle, so a key that owns a large share of the rows never lands on one task as raw rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def keep_first(df: DataFrame, keys: list[str], copies: str | None = None) -> DataFrame:
-    """Smallest row per key in the order of the remaining columns; optionally how many copies there were."""
+    """Smallest row per key in the order of the remaining columns; optionally how many copies there were.
+
+    Keys are counted by a hash aggregate; only rows of keys that repeat are compared with each other,
+    the others pass without being sorted.
+    """
     rest = [c for c in df.columns if c not in keys]
-    aggregates = [F.min(F.struct(*rest)).alias("_first")]
-    if copies:
-        aggregates.append(F.count(F.lit(1)).alias(copies))
-    kept = df.groupBy(*keys).agg(*aggregates)
-    return kept.select(*keys, "_first.*", *([copies] if copies else []))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
+    again = per_key.select(*[F.col(k).alias(f"_again_{i}") for i, k in enumerate(keys)])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_again_{i}")) for i, k in enumerate(keys)])
+    once = df.join(again, same, "left_anti").select(*keys, *rest, F.lit(1).cast("long").alias("_copies"))
+    many = (df.join(again, same, "left_semi").groupBy(*keys)
+            .agg(F.min(F.struct(*rest)).alias("_first"), F.count(F.lit(1)).alias("_copies"))
+            .select(*keys, "_first.*", "_copies"))
+    kept = once.unionByName(many)
+    return kept.withColumnRenamed("_copies", copies) if copies else kept.drop("_copies")
 
 
 def keep_latest(df: DataFrame, keys: list[str], order: list[str], copies: str | None = None) -> DataFrame:

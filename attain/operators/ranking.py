@@ -11,40 +11,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BINS_PER_OCTAVE = 4096
-SMALL_INPUT = 32 * 1024 * 1024
-
-
-def is_small(df: DataFrame, limit: int = SMALL_INPUT) -> bool:
-    """Whether the planner's size bound (file sizes, joins counted as products) is below a limit.
+from attain.sources.stage import store
 
-    Only then may a whole group be sorted by one task; any larger or unknown size takes the binned way.
-    """
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
+BINS_PER_OCTAVE = 4096
+#: Bins of infinities and of NaN, which sorts above every number.
+INFINITE, NAN = 1 << 40, 1 << 41
 
 
 def magnitude_bin(value: Column) -> Column:
     """Order-preserving bin of a number: fine near zero, logarithmic away from it."""
     v = value.cast("double")
-    return (F.signum(v) * F.floor(F.log2(F.abs(v) + 1.0) * BINS_PER_OCTAVE)).cast("long")
+    size = F.abs(v)
+    finite = F.signum(v) * F.floor(F.log2(F.when(size < float("inf"), size).otherwise(0.0) + 1.0) * BINS_PER_OCTAVE)
+    return (F.when(F.isnan(v), F.lit(NAN)).when(size == float("inf"), F.when(v > 0, INFINITE).otherwise(-INFINITE))
+            .otherwise(finite.cast("long")))
 
 
 def group_rank(df: DataFrame, by: list[str], value: str, rank: str | None = None, dense: str | None = None,
-               descending: bool = True, binned: bool | None = None) -> DataFrame:
+               descending: bool = True) -> DataFrame:
     """Add RANK and/or DENSE_RANK of a numeric column within groups; null values stay unranked.
 
-    Inputs of checked small size are ranked by a plain window, all others by bins; ``binned``
-    forces one of the ways.
+    NaN counts as the largest value. The input's columns come first, in their order.
     """
     direction = F.desc if descending else F.asc
     spine = by or ["_all"]
     base = df if by else df.withColumn("_all", F.lit(0))
-    if not (binned if binned is not None else not is_small(df)):
-        nulls_last = F.desc_nulls_last if descending else F.asc_nulls_last
-        whole = W.partitionBy(*spine).orderBy(nulls_last(value))
-        present = F.col(value).isNotNull()
-        named = [(rank, F.rank()), (dense, F.dense_rank())]
-        return base.withColumns({n: F.when(present, f.over(whole)).cast("long") for n, f in named if n}).drop("_all")
     values = (base.where(F.col(value).isNotNull()).groupBy(*spine, value).agg(F.count(F.lit(1)).alias("_n"))
               .withColumn("_bin", magnitude_bin(F.col(value))))
 
@@ -60,44 +51,42 @@ def group_rank(df: DataFrame, by: list[str], value: str, rank: str | None = None
               .join(bins, [*spine, "_bin"]))
     columns = []
     if rank:
-        columns.append((F.col("_rows_above") + F.col("_before") + 1).alias(rank))
+        columns.append((F.col("_rows_above") + F.col("_before") + 1).cast("long").alias(rank))
     if dense:
-        columns.append((F.col("_values_above") + F.col("_pos")).alias(dense))
-    return base.join(placed.select(*spine, value, *columns), [*spine, value], "left").drop("_all")
+        columns.append((F.col("_values_above") + F.col("_pos")).cast("long").alias(dense))
+    ranked = base.join(placed.select(*spine, value, *columns), [*spine, value], "left")
+    return ranked.select(*df.columns, *[n for n in (rank, dense) if n])
 
 
-def top_rows(df: DataFrame, value: str, key: str, share: float, binned: bool | None = None) -> DataFrame:
+def top_rows(df: DataFrame, value: str, key: str, share: float) -> DataFrame:
     """The first max(1, round(share * n)) rows by value, ties settled by the smaller key; also carries n.
 
     Values whose ties fit are taken whole; of the value at the edge, rows are taken by key.
     """
-    if not (binned if binned is not None else not is_small(df)):
-        whole = W.partitionBy(F.lit(0))
-        return (df.withColumn("n_all", F.count(F.lit(1)).over(whole))
-                .withColumn("_pos", F.row_number().over(whole.orderBy(F.desc_nulls_last(value), key)))
-                .where(F.col("_pos") <= F.greatest(F.lit(1), F.bround(F.col("n_all") * share))).drop("_pos"))
-    ranked = group_rank(df, [], value, rank="_rank", binned=True)
+    ranked = group_rank(df, [], value, rank="_rank")
     ties = df.groupBy(value).agg(F.count(F.lit(1)).alias("_ties"))
     n_all = df.agg(F.count(F.lit(1))).scalar()
     sized = ranked.join(ties, value).withColumn("n_all", n_all).withColumn(
         "_k", F.greatest(F.lit(1), F.bround(F.col("n_all") * share)).cast("long"))
     sure = sized.where(F.col("_rank") + F.col("_ties") - 1 <= F.col("_k"))
     edge = sized.where((F.col("_rank") <= F.col("_k")) & (F.col("_rank") + F.col("_ties") - 1 > F.col("_k")))
-    edge = (group_rank(edge, [], key, rank="_place", descending=False, binned=True)
+    edge = (group_rank(edge, [], key, rank="_place", descending=False)
             .where(F.col("_place") <= F.col("_k") - F.col("_rank") + 1).drop("_place"))
-    return sure.unionByName(edge).drop("_rank", "_ties", "_k")
+    return sure.unionByName(edge).select(*df.columns, "n_all")
 
 
-def dense_key(df: DataFrame, order: str, name: str, tail: int = 5) -> DataFrame:
-    """Surrogate keys 1..n in the order of a unique code.
+def dense_key(df: DataFrame, order: str, name: str) -> DataFrame:
+    """Surrogate keys 1..n in the order of a unique code, ahead of the other columns.
 
-    Codes are binned by everything but their last characters, which keeps the order of codes of
-    equal length; each bin numbers its own rows and starts after the rows of the earlier bins.
+    The rows are range-partitioned and sorted by the code and written once; each row's place in its
+    partition is then moved on by the rows of the partitions before it. Only one row per partition
+    meets on a task.
     """
-    binned = df.withColumn("_bin", F.expr(f"left({order}, greatest(length({order}) - {tail}, 0))"))
-    earlier = W.partitionBy(F.lit(0)).orderBy("_bin").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (binned.groupBy("_bin").agg(F.count(F.lit(1)).alias("_rows"))
-               .select("_bin", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")))
-    return (binned.withColumn("_pos", F.row_number().over(W.partitionBy("_bin").orderBy(order)))
-            .join(offsets, "_bin")
-            .select((F.col("_offset") + F.col("_pos")).cast("long").alias(name), *df.columns))
+    place = F.monotonically_increasing_id()
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = store(df.repartitionByRange(parts, order).sortWithinPartitions(order)
+                   .withColumns({"_part": F.shiftright(place, 33), "_pos": place.bitwiseAND(F.lit((1 << 33) - 1))}), f"keys-{name}")
+    earlier = W.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = (placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+               .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")))
+    return placed.join(offsets, "_part").select((F.col("_offset") + F.col("_pos") + 1).cast("long").alias(name), *df.columns)

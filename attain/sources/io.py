@@ -34,13 +34,11 @@ def project(df: DataFrame, columns: list[str], table: str) -> DataFrame:
 
 def write_table(df: DataFrame, folder: str, name: str, partition_by: str | None = None,
                 sort_by: list[str] | None = None) -> str:
-    """Overwrite one parquet table. Partitioned tables are clustered so that a month is a few large
-    files; the clustering is by month and a hash of the row, so a heavy month uses many tasks."""
+    """Overwrite one parquet table. Partitioned tables are rebalanced by the partition column: adaptive
+    execution merges small months and cuts a heavy one into as many tasks as its size asks for."""
     path = f"{folder.rstrip('/')}/{name}"
     if partition_by:
-        parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
-        key = sort_by[-1] if sort_by else df.columns[0]
-        df = df.repartition(parts, F.col(partition_by), F.pmod(F.xxhash64(key), F.lit(8)))
+        df = df.hint("rebalance", partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*([partition_by] if partition_by else []), *sort_by)
     writer = df.write.mode("overwrite")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attain.functions import columns as C
-from attain.operators.dedupe import keep_first
+from attain.operators.dedupe import keep_first, keep_latest, surplus_rows
 from attain.operators.joins import dated_join
 from attain.plans.model import Model
 from attain.policy import PLAN_PHASING, RAMP_FACTORS, Plan, Policy, plan_tiers, standard_tiers
@@ -57,24 +57,10 @@ class Tables:
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._open:
-            df = self.spark.read.parquet(f"{self.path}/{name}.parquet")
-            self._open[name] = spread(df, SPREAD_KEYS[name]) if name in SPREAD_KEYS else df
+            self._open[name] = self.spark.read.parquet(f"{self.path}/{name}.parquet")
         return self._open[name]
 
 
-# Keys that tell rows of the large tables apart, for spreading files that cannot be split.
-SPREAD_KEYS = {"lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], "orders": ["o_orderkey"]}
-
-
-def spread(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Use all cores for a table stored in fewer splits than there are cores; a table with enough
-    splits is read as it lies."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.queryExecution().toRdd().getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def code(prefix: str, key: str, digits: int = 12):
     return F.concat(F.lit(prefix), F.lpad(F.col(key).cast("string"), digits, "0"))
 
@@ -216,6 +202,25 @@ def fact_sales(t: Tables, assigned: DataFrame, products: DataFrame, policy: Poli
         C.in_month_end_window(F.col("document_date"), policy.month_end_days).alias("is_month_end_window"))
 
 
+def line_accounting(t: Tables, assigned: DataFrame, products: DataFrame, policy: Policy) -> DataFrame:
+    """What becomes of the line items: repeats, the first reason that keeps a line out of the fact, and the rest."""
+    spans = assigned.select(F.col("rep_key").alias("_rep"), "start_date", F.coalesce("end_date", F.lit(dt.date(9999, 12, 31))).alias("_end"))
+    orders = t["orders"].select("o_orderkey", F.to_date("o_orderdate").alias("order_date"))
+    known = products.select(F.col("product_key").alias("_product"))
+    credit = F.col("l_returnflag") == "R"
+    posted = F.when(credit, F.col("ship_date")).otherwise(F.col("order_date"))
+    covered = (F.col("l_suppkey") == F.col("_rep")) & F.col("order_date").between(F.col("start_date"), F.col("_end"))
+    lines = (ledger_lines(t).join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+             .join(spans, covered, "left").join(known, F.col("l_partkey") == F.col("_product"), "left"))
+    reason = (F.when(F.col("o_orderkey").isNull(), "order missing")
+              .when(~F.coalesce(posted.between(F.lit(policy.start), F.lit(policy.end)), F.lit(False)), "outside the window")
+              .when(credit & ~F.coalesce(F.col("ship_date") >= F.col("order_date"), F.lit(False)), "credit before its order")
+              .when(F.col("_rep").isNull(), "rep without assignment")
+              .when(F.col("_product").isNull(), "product missing").otherwise("kept"))
+    repeats = surplus_rows(t["lineitem"], ["l_orderkey", "l_linenumber"], "line_items").select(F.lit("repeated").alias("outcome"), "line_items")
+    return repeats.unionByName(lines.groupBy(reason.alias("outcome")).agg(F.count(F.lit(1)).alias("line_items")))
+
+
 def bridge(assigned: DataFrame, policy: Policy) -> DataFrame:
     """Rep-months: every month whose 15th falls inside an assignment."""
     months = F.sequence(F.lit(policy.start), F.lit(policy.end), F.expr("interval 1 month"))
@@ -255,10 +260,8 @@ def raw_targets(spine: DataFrame, policy: Policy) -> DataFrame:
 
 
 def fact_targets(published: DataFrame) -> DataFrame:
-    """Latest positive target per rep-month. Revision 2 exists exactly where revision 1 is superseded."""
-    slot = F.col("rep_key") + C.month_index("month_key") - EPOCH
-    latest = F.when(slot % 20 == 0, F.lit(2)).otherwise(F.lit(1))
-    return published.where((F.col("revision_no") == latest) & (F.col("target_amount_usd") > 0))
+    """Latest revision per rep-month, where it is positive."""
+    return keep_latest(published, ["rep_key", "month_key"], ["revision_no"]).where(F.col("target_amount_usd") > 0)
 
 
 def fact_team_plan(t: Tables, policy: Policy) -> DataFrame:

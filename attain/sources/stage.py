@@ -28,7 +28,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def store(df: DataFrame, name: str, sort_by: list[str] | None = None) -> DataFrame:
-    """Write and read back. Sorting inside the partitions costs no shuffle and lets readers skip row groups."""
+    """Write and read back: the write runs now, while the query is still being put together.
+
+    Sorting inside the partitions costs no shuffle and lets readers skip row groups.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     (df.sortWithinPartitions(*sort_by) if sort_by else df).write.parquet(path)
@@ -42,15 +45,3 @@ def fingerprint(spark: SparkSession, path: str) -> tuple:
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return tuple((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in fs.listStatus(target))
 
-
-PARTITION_BYTES = 256 * 1024 * 1024
-MAX_PARTITIONS = 40_000
-
-
-def size_shuffles(spark: SparkSession, input_bytes: int, expansion: int = 3) -> None:
-    """Start shuffles of large inputs with enough partitions to fit in memory; adaptive execution
-    merges the small ones. A number the user has set, or a larger default, is left alone."""
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    needed = min(-(-input_bytes * expansion // PARTITION_BYTES), MAX_PARTITIONS)
-    if spark.conf.get(key, None) is None and needed > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set(key, str(needed))

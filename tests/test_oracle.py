@@ -5,11 +5,12 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from attain import catalog
 from attain.catalog import SOURCE_TABLES
 from compare import connect, differences, rows_of_duck, rows_of_spark
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLE = catalog.queries(), catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -48,8 +49,8 @@ def test_changed_input_is_read_again(spark, tmp_path):
     import shutil
 
     for name in SOURCE_TABLES:
-        shutil.copy(f"{FOLDER}/{name}.parquet", tmp_path / f"{name}.parquet")
+        shutil.copyfile(f"{FOLDER}/{name}.parquet", tmp_path / f"{name}.parquet")
     query = QUERIES["revenue_tie_out"]
     first = query(spark, str(tmp_path)).collect()
-    shutil.copy("/root/testdata/sf0.01/lineitem.parquet", tmp_path / "lineitem.parquet")
+    shutil.copyfile("/root/testdata/sf0.01/lineitem.parquet", tmp_path / "lineitem.parquet")
     assert query(spark, str(tmp_path)).collect() != first
