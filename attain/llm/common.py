@@ -43,7 +43,7 @@ class Stages:
     def write(self, df: DataFrame) -> DataFrame:
         self.count += 1
         path = f"{self.root}/{self.count}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out.stage_path = path
         return out

@@ -12,17 +12,19 @@ from pyspark.sql import functions as F
 from attain.llm.common import Stages, components, filter_rows, maybe_in
 
 #: Letters whose counts a line carries to the join: two lines within e edits differ by at most 2e in all of them.
-LETTERS = "eainrtos"
+LETTERS = "enai"
 NO_ID = (1 << 63) - 1
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """Lines of at least min_chars characters in normal form, with two hashes of it and their place."""
-    out = (docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_key"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
-           .withColumn("norm", F.lower(F.btrim("line", F.lit(" \t\r")))).where(F.length("norm") >= min_chars))
+    cut = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_key"),
+                      F.posexplode(F.split(F.lower(text_col), "\n")).alias("line_no", "line"))
+    norm = F.btrim("line", F.lit(" \t\r"))
     place = F.coalesce("id", F.lit(NO_ID)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("line_no").cast("decimal(10,0)")
-    return out.select("id", "text_key", "line_no", "norm", F.xxhash64("norm").alias("h1"),
-                      F.xxhash64(F.lit("second"), "norm").alias("h2"), place.cast("decimal(33,0)").alias("place"))
+    return (cut.where((F.octet_length("line") >= min_chars) & (F.length(norm) >= min_chars))
+            .select("id", "text_key", "line_no", norm.alias("norm"), place.cast("decimal(33,0)").alias("place"))
+            .select("*", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit("second"), "norm").alias("h2")))
 
 
 def segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
@@ -44,7 +46,8 @@ def index_keys(max_edits: int) -> Column:
 
 
 def probe_keys(max_edits: int, min_chars: int) -> Column:
-    """Keys of the substrings that a line of this or a smaller length must share one of, with a flag for smaller.
+    """Keys of the substrings that a line of this or a smaller length must share one of, with a flag for smaller;
+    null where a line has no such substring.
 
     For the i-th segment, a shared substring can only be shifted as far as the edits before it (at most i) and
     those behind it (at most max_edits - i) allow.
@@ -59,7 +62,7 @@ def probe_keys(max_edits: int, min_chars: int) -> Column:
                 fits = (at >= 0) & (at + size <= F.col("n")) & (n >= min_chars)
                 key = F.when(fits, F.xxhash64(n, F.lit(i), piece(at, size)))
                 out.append(F.struct(key.alias("key"), F.lit(less > 0).alias("longer")))
-    return F.filter(F.array(*out), lambda x: x["key"].isNotNull())
+    return F.array(*out)
 
 
 def letter_counts() -> Column:
@@ -79,8 +82,9 @@ def letters_apart(a: Column, b: Column) -> Column:
     return out
 
 
-def within_edits(a: Column, b: Column, max_edits: int) -> Column:
-    """Whether the strings are at most max_edits edits apart, by a banded bit-parallel automaton.
+def within_edits(ca: Column, cb: Column, max_edits: int) -> Column:
+    """Whether two strings, given as arrays of characters, are at most max_edits edits apart, by a banded bit-parallel
+    automaton.
 
     The state holds max_edits + 1 words of 2 * max_edits + 1 bits, one bit for each diagonal of the band:
     word e has the diagonals that are reachable with e edits after the characters of a so far.
@@ -89,7 +93,7 @@ def within_edits(a: Column, b: Column, max_edits: int) -> Column:
         raise ValueError("the band fits into 64 bits for 0 to 4 edits")
     width, levels = 2 * max_edits + 1, max_edits + 1
     full = (1 << width) - 1
-    last = F.length(b) - F.length(a) + max_edits  # the diagonal that ends in both strings
+    last = F.size(cb) - F.size(ca) + max_edits  # the diagonal that ends in both strings
 
     def level(state: Column, e: int) -> Column:
         return F.shiftright(state, width * e).bitwiseAND(F.lit(full).cast("long"))
@@ -100,7 +104,6 @@ def within_edits(a: Column, b: Column, max_edits: int) -> Column:
             out = out.bitwiseOR(F.shiftleft(words[e], width * e))
         return out
 
-    ca, cb = F.split(a, ""), F.split(b, "")
     start = sum(((1 << (max_edits + 1 + e)) - (1 << max_edits)) << (width * e) for e in range(levels))
 
     def step(state: Column, i: Column) -> Column:
@@ -119,18 +122,17 @@ def within_edits(a: Column, b: Column, max_edits: int) -> Column:
             words.append(now)
         return packed(words)
 
-    walked = F.aggregate(F.when(F.length(a) > 0, F.sequence(F.lit(0), F.length(a) - 1)).otherwise(F.array().cast("array<int>")),
+    walked = F.aggregate(F.when(F.size(ca) > 0, F.sequence(F.lit(0), F.size(ca) - 1)).otherwise(F.array().cast("array<int>")),
                          F.lit(start).cast("long"), step)
     reached = F.shiftright(walked, width * max_edits)
-    return (F.abs(F.length(a) - F.length(b)) <= max_edits) & (F.call_function("shiftright", reached, last.cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1)
+    return (F.abs(F.size(ca) - F.size(cb)) <= max_edits) & (F.call_function("shiftright", reached, last.cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1)
 
 
 def line_links(reps: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
-    """Pairs (a, b) of line hashes whose lines share a segment in place and nearly have the same letters."""
-    sized = reps.select("h1", "norm", F.length("norm").alias("n"), letter_counts().alias("letters"))
-    index = sized.select("h1", "letters", F.explode(index_keys(max_edits)).alias("key"))
-    probe = (sized.select(F.col("h1").alias("h1_b"), F.col("letters").alias("letters_b"), F.explode(probe_keys(max_edits, min_chars)).alias("p"))
-             .select("h1_b", "letters_b", F.col("p.key").alias("key_b"), F.col("p.longer").alias("longer")))
+    """Pairs (a, b) of line hashes, from (h1, norm, n, letters), whose lines share a segment in place and nearly have the same letters."""
+    index = reps.select("h1", "letters", F.explode(index_keys(max_edits)).alias("key"))
+    probe = (reps.select(F.col("h1").alias("h1_b"), F.col("letters").alias("letters_b"), F.explode(probe_keys(max_edits, min_chars)).alias("p"))
+             .select("h1_b", "letters_b", F.col("p.key").alias("key_b"), F.col("p.longer").alias("longer")).where("key_b IS NOT NULL"))
     near = letters_apart(F.col("letters"), F.col("letters_b")) <= 2 * max_edits
     return (index.join(probe, (F.col("key") == F.col("key_b")) & (F.col("longer") | (F.col("h1") < F.col("h1_b"))) & near)
             .select(F.least("h1", "h1_b").alias("a"), F.greatest("h1", "h1_b").alias("b")).where("a <> b").distinct())
@@ -148,14 +150,15 @@ def repeated_lines(docs: DataFrame, stages: Stages, *, id_col: str = "doc_id", t
     others = (flagged.where("__in").join(firsts, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")) & (F.col("place") == F.col("first"))))
     columns = ("h1", "h2", "norm")
     reps = flagged.where("NOT __in").select(*columns).unionByName(others.select(*columns))
+    reps = stages.write(reps.select("h1", "norm", F.length("norm").alias("n"), letter_counts().alias("letters")))
     pairs = stages.write(line_links(reps, max_edits, min_chars))
     wanted = filter_rows(pairs.select(F.explode(F.array("a", "b")).alias("key")))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
     texts = stages.write(maybe_in(reps, "h1", wanted).where("__in").join(ends, F.col("h1") == F.col("end"), "left_semi")
-                         .select("h1", "norm").distinct())
-    left, right = (texts.select(F.col("h1").alias(k), F.col("norm").alias(f"text_{k}")) for k in ("a", "b"))
+                         .select("h1", F.split("norm", "").alias("chars")).dropDuplicates(["h1", "chars"]))
+    left, right = (texts.select(F.col("h1").alias(k), F.col("chars").alias(f"chars_{k}")) for k in ("a", "b"))
     edges = (pairs.join(left, "a").join(right, "b")
-             .where(within_edits(F.col("text_a"), F.col("text_b"), max_edits)).select("a", "b"))
+             .where(within_edits(F.col("chars_a"), F.col("chars_b"), max_edits)).select("a", "b"))
     linked = components(edges, stages)
     near = (classes.join(linked, F.col("h1") == F.col("id")).select("h1", "h2", "first", "component"))
     keeps = near.groupBy("component").agg(F.min("first").alias("keep"))

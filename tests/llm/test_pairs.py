@@ -205,9 +205,9 @@ def test_banded_automaton(spark):
         a = "".join(rng.choice("abé") for _ in range(rng.randint(0, 9)))
         b = "".join(rng.choice("abé") for _ in range(rng.randint(0, 9))) if rng.random() < 0.5 else a[1:] + rng.choice(["", "a", "bb"])
         pairs.append((a, b))
-    df = spark.createDataFrame(pairs, "a string, b string")
+    df = spark.createDataFrame([(a, b, list(a), list(b)) for a, b in pairs], "a string, b string, ca array<string>, cb array<string>")
     for k in range(5):
-        rows = df.select("a", "b", linedup.within_edits(F.col("a"), F.col("b"), k).alias("w")).collect()
+        rows = df.select("a", "b", linedup.within_edits(F.col("ca"), F.col("cb"), k).alias("w")).collect()
         assert all(r["w"] == (edits(r["a"], r["b"]) <= k) for r in rows)
 
 
