@@ -15,7 +15,7 @@ from attain.operators.rules import evaluate
 from attain.plans import analysis, commission, etl, kpi, metrics, questions, reports, sqlviews
 from attain.sources import io
 from attain.sources.extracts import ledger_extracts
-from attain.sources.ledger import LedgerModel
+from attain.sources.ledger import LedgerModel, line_accounting
 from attain.sources.stage import fingerprint
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,6 +184,7 @@ MODEL_QUERIES: dict[str, Callable] = {
 SAMPLE = ("line_id", "document_no", "doc_type", "date_key", "rep_key", "product_key", "net_amount_usd")
 
 MODEL_QUERIES |= {
+    "ledger_line_outcomes": lambda m: line_accounting(m.source, m.assignments, m.dim_product, m.policy),
     "seeded_sample": lambda m: io.seeded_sample(m.fact_sales, "line_id", 5000, 20240101).select(*SAMPLE),
     "first_lines": lambda m: io.first_rows(m.fact_sales, 2000, "line_id").select(*SAMPLE),
 }
@@ -256,6 +257,9 @@ RUN_QUERIES: dict[str, Callable] = {
     "usd_economics": lambda r: r.clean.select("line_id", "gross_amount_usd", "net_amount_usd", "discount_amount_usd",
                                               "cost_amount_usd", "gross_margin_usd", "commission_weight"),
     "dim_date": calendar,
+    "dim_country": lambda r: r.dim_country,
+    "dim_department": lambda r: r.dim_department,
+    "dim_commission_plan": lambda r: r.tiers,
     "dim_team": lambda r: r.dim_team.drop("hc_2024", "hc_2025"),
     "dim_employee": lambda r: r.dim_employee,
     "dim_product": lambda r: r.dim_product,

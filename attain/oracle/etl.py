@@ -36,7 +36,7 @@ FLAGS = {
     "DQ-S11": "doc_type = 'CN' AND quantity > 0",
     "DQ-S12": "doc_type = 'CN' AND original_document_no IS NULL",
     "DQ-S13": "doc_type = 'INV' AND (coalesce(price, 0) = 0 OR coalesce(net, 0) = 0)",
-    "DQ-S14": "discount_pct < 0 OR discount_pct > 0.60",
+    "DQ-S14": "any_discount < 0 OR any_discount > 0.60",
     "DQ-S15": "coalesce(price, 0) <> 0 AND abs(quantity * price * (1 - discount_pct) - net) > abs(net) * 0.01 + 1",
 }
 HOLD = [r for r in FLAGS if r not in ("DQ-S13", "DQ-S15")]
@@ -75,14 +75,15 @@ register({
                     ELSE r_name END AS country,
                CASE WHEN k % 107 = 0 THEN 'SKU-UNKNOWN' WHEN k % 6 = 1 THEN ' sku-' || lpad(l_partkey::VARCHAR, 12, '0')
                     ELSE 'SKU-' || lpad(l_partkey::VARCHAR, 12, '0') END AS sku,
-               (q * sgn * CASE WHEN (k % 113 = 0 AND NOT credit) OR (k % 157 = 0 AND credit) THEN -1 ELSE 1 END)::VARCHAR
+               (CASE WHEN k % 179 = 0 THEN 123456789 ELSE q END * sgn * CASE WHEN (k % 113 = 0 AND NOT credit) OR (k % 157 = 0 AND credit) THEN -1 ELSE 1 END)::VARCHAR
                    AS quantity,
                (CASE WHEN k % 101 = 0 AND NOT credit THEN 0 ELSE price0 END)::DECIMAL(18,2)::VARCHAR
                    AS unit_list_price_local,
-               CASE WHEN k % 127 = 0 THEN '0.75' WHEN k % 167 = 0 THEN 'n/a' ELSE disc::VARCHAR END AS discount_pct,
+               CASE WHEN k % 127 = 0 THEN '0.75' WHEN k % 173 = 0 THEN '150' WHEN k % 193 = 0 THEN '1e30' WHEN k % 167 = 0 THEN 'n/a' ELSE disc::VARCHAR END AS discount_pct,
                (CASE WHEN k % 101 = 0 AND NOT credit THEN 0
                      WHEN k % 163 = 0 THEN round(round(q * price0 * (1 - disc), 2)::DECIMAL(18,2) * sgn * 1.10 + 5, 2)
-                     ELSE round(q * price0 * (1 - disc), 2) * sgn END)::DECIMAL(18,2)::VARCHAR AS net_amount_local,
+                     ELSE round(q * price0 * (1 - disc), 2) * sgn END)::DECIMAL(18,2)::VARCHAR
+                 || CASE WHEN k % 181 = 0 THEN '5' ELSE '' END AS net_amount_local,
                CASE WHEN k % 109 = 0 THEN 'XXX' WHEN k % 4 = 2 THEN ' ccy' || r_regionkey || ' '
                     ELSE 'CCY' || r_regionkey END AS currency,
                strftime(ship_date, '%Y-%m-%d') AS exported_at
@@ -99,10 +100,11 @@ register({
                                 try_strptime(trim(document_date), '%d-%m-%Y'))::DATE AS document_date,
                        trim(rep_code) AS rep_code, customer_code,
                        CASE WHEN c.code IS NOT NULL THEN c.code END AS country_code, upper(trim(sku)) AS sku,
-                       TRY_CAST(quantity AS DECIMAL(10,2)) AS quantity,
-                       TRY_CAST(unit_list_price_local AS DECIMAL(18,2)) AS price,
-                       TRY_CAST(discount_pct AS DECIMAL(6,4)) AS discount_pct,
-                       TRY_CAST(net_amount_local AS DECIMAL(18,2)) AS net,
+                       quantity::DECIMAL(20,0) AS quantity, unit_list_price_local::DECIMAL(14,3) AS price,
+                       TRY_CAST(discount_pct AS DOUBLE) AS any_discount,
+                       CASE WHEN abs(TRY_CAST(discount_pct AS DOUBLE)) < 10000 THEN TRY_CAST(discount_pct AS DECIMAL(9,4)) END
+                           AS discount_pct,
+                       net_amount_local::DECIMAL(18,3) AS net,
                        coalesce(upper(trim(currency)), '') AS currency, rn
                   FROM (SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY """
                + ", ".join(f"{c.strip()} NULLS FIRST" for c in RAW_ORDER.split(",")) + """) AS rn FROM rawline) x
@@ -116,11 +118,11 @@ register({
     "keptline": "SELECT *, list_filter([" + ", ".join(f"CASE WHEN \"{r}\" THEN '{r}' END" for r in HOLD)
                 + "], lambda x: x IS NOT NULL) AS early FROM flagged WHERE rn = 1",
     "accepted": """
-        SELECT * REPLACE (CASE WHEN a."DQ-S13" THEN round(quantity * price1 * (1 - discount_pct), 2)::DECIMAL(18,2)
+        SELECT * REPLACE (CASE WHEN a."DQ-S13" THEN round(quantity * price1 * (1 - discount_pct), 2)::DECIMAL(18,3)
                                ELSE net END AS net, price1 AS price)
           FROM (SELECT s.*, fx_rate, p.list_price_usd, p.unit_cost_pct, p.commission_weight, p.product_key,
                        t.team_id AS own_team, doc_type = 'CN' AS is_cn,
-                       CASE WHEN s."DQ-S13" THEN round(p.list_price_usd * fx_rate, 2)::DECIMAL(18,2) ELSE price END AS price1
+                       CASE WHEN s."DQ-S13" THEN round(p.list_price_usd * fx_rate, 2)::DECIMAL(14,3) ELSE price END AS price1
                   FROM keptline s
                   JOIN LATERAL (SELECT (1.0000 + s.currency[4:]::INT * 0.5000 + (month(s.document_date) - 1) * 0.0100)
                                        ::DECIMAL(10,4) AS fx_rate) f ON TRUE
@@ -148,7 +150,7 @@ register({
           FROM accepted a LEFT JOIN docs d
             ON d.doc = CASE WHEN a.is_cn THEN a.original_document_no ELSE a.document_no END""",
     "cleanusd": f"""
-        SELECT r.*, {cents_over_fx('(quantity * price * 10000)::BIGINT')} AS gross_usd,
+        SELECT r.*, {cents_over_fx('(quantity * price * 1000)::HUGEINT * 10')} AS gross_usd,
                {cents_over_fx('(net * 10000)::BIGINT')} AS net_usd,
                {cents_over_fx('(price * 10000)::BIGINT')} AS unit_usd,
                round(quantity * list_price_usd * unit_cost_pct, 2)::DECIMAL(18,2) AS cost_usd
@@ -171,7 +173,7 @@ register({
                (year(document_date) * 10000 + month(document_date) * 100 + day(document_date))::INT AS date_key,
                (year(document_date) * 100 + month(document_date))::INT AS month_key, e.employee_key AS rep_key,
                team_id[2:]::INT + 1 AS team_key, customer_code[6:]::BIGINT + 1 AS customer_key,
-               product_key + 1 AS product_key, c.country_code, currency, fx_rate, quantity::INT AS quantity,
+               product_key + 1 AS product_key, c.country_code, currency, fx_rate, quantity::BIGINT AS quantity,
                unit_usd AS unit_list_price_usd, discount_pct, gross_usd AS gross_amount_usd,
                gross_usd - net_usd AS discount_amount_usd, net_usd AS net_amount_usd, cost_usd AS cost_amount_usd,
                net_usd - cost_usd AS gross_margin_usd, commission_weight,
@@ -271,6 +273,27 @@ CONSTRAINTS = {
     "CON-12": "SELECT COUNT(*) - COUNT(DISTINCT (team_key, month_key)) FROM tplan",
     "CON-13": "SELECT COUNT(*) - COUNT(DISTINCT (rep_key, month_key)) FROM bridge",
     "CON-14": "SELECT COUNT(*) FROM bridge WHERE team_key NOT IN (SELECT n_nationkey FROM nation)",
+    "CON-15": "SELECT COUNT(*) FROM ebridge WHERE rep_key NOT IN (SELECT employee_key FROM demp)",
+    "CON-16": "SELECT COUNT(*) FROM tgt WHERE team_key NOT IN (SELECT n_nationkey FROM nation)",
+    "CON-17": "SELECT COUNT(*) FROM tplan WHERE team_key NOT IN (SELECT n_nationkey FROM nation)",
+    "CON-18": "SELECT COUNT(*) FROM efact WHERE country_code NOT IN (SELECT 'R' || r_regionkey FROM region)",
+    "CON-19": "SELECT COUNT(*) - COUNT(DISTINCT r_regionkey) FROM region",
+    "CON-20": "SELECT COUNT(*) - COUNT(DISTINCT team_key) FROM team",
+    "CON-21": "SELECT COUNT(*) - COUNT(DISTINCT team_id) FROM team",
+    "CON-22": "SELECT COUNT(*) FROM team WHERE team_name IS NULL",
+    "CON-23": "SELECT COUNT(*) FROM team WHERE country_code[2:]::INT NOT IN (SELECT r_regionkey FROM region)",
+    "CON-24": "SELECT COUNT(*) FROM team WHERE department_code NOT IN ('ENT', 'SME', 'CHN')",
+    "CON-25": "SELECT COUNT(*) - COUNT(DISTINCT employee_key) FROM demp",
+    "CON-26": "SELECT COUNT(*) - COUNT(DISTINCT employee_code) FROM demp",
+    "CON-27": "SELECT COUNT(*) FROM demp WHERE hire_date IS NULL",
+    "CON-28": "SELECT COUNT(*) - COUNT(DISTINCT p_partkey) FROM part",
+    "CON-29": "SELECT COUNT(*) - COUNT(DISTINCT p_partkey) FROM part WHERE p_partkey IS NOT NULL",
+    "CON-30": "SELECT COUNT(*) FROM part WHERE p_retailprice IS NULL",
+    "CON-31": "SELECT COUNT(*) - COUNT(DISTINCT c_custkey) FROM customer",
+    "CON-32": "SELECT COUNT(*) - COUNT(DISTINCT c_custkey) FROM customer WHERE c_custkey IS NOT NULL",
+    "CON-33": "SELECT COUNT(*) FROM customer JOIN nation ON n_nationkey = c_nationkey "
+              "WHERE n_regionkey NOT IN (SELECT r_regionkey FROM region)",
+    "CON-34": "SELECT 0",
 }
 
 SQL = {
@@ -356,6 +379,37 @@ SQL = {
                'R' || n_regionkey AS country_code, c_mktsegment AS customer_segment,
                'T' || lpad(n_nationkey::VARCHAR, 2, '0') AS owning_team_id
           FROM customer JOIN nation ON n_nationkey = c_nationkey""",
+    "dim_country": "SELECT country_code, country_name, 'CCY' || country_code[2:] AS currency, "
+                   "CASE WHEN country_code[2:]::INT % 2 = 0 THEN 'EAST' ELSE 'WEST' END AS region "
+                   "FROM (SELECT 'R' || r_regionkey AS country_code, r_name AS country_name FROM region)",
+    "dim_department": "SELECT * FROM (VALUES ('ENT', 'Enterprise Sales'), ('SME', 'SME Sales'), "
+                      "('CHN', 'Channel & Partner Sales')) d(department_code, department_name)",
+    "dim_commission_plan": """
+        SELECT row_number() OVER (ORDER BY plan_id, tier_order) AS plan_tier_key, plan_id, plan_name,
+               effective_from, effective_to, tier_order::INT AS tier_order, tier_name,
+               CASE tier_order WHEN 1 THEN -99.0 WHEN 2 THEN gate WHEN 3 THEN 1.0 ELSE 1.2 END::DOUBLE AS min_achievement,
+               CASE tier_order WHEN 1 THEN gate WHEN 2 THEN 1.0 WHEN 3 THEN 1.2 ELSE 99.0 END::DOUBLE AS max_achievement,
+               ((tier_order - 1) * 0.005)::DOUBLE AS commission_rate, 1.25::DOUBLE AS strategic_weight,
+               1.5::DOUBLE AS cap_multiple_of_target, 90 AS clawback_window_days
+          FROM (VALUES ('PLAN-A', '1995-1997 Sales Incentive Plan', '1995-01-01', '1997-12-31', 0.80),
+                       ('PLAN-B', '1998-2001 Sales Incentive Plan', '1998-01-01', '2001-12-31', 0.85))
+               p(plan_id, plan_name, effective_from, effective_to, gate),
+               (VALUES (1, 'T0 Below Gate'), (2, 'T1 Approaching'), (3, 'T2 On Target'), (4, 'T3 Accelerator'))
+               t(tier_order, tier_name)""",
+    "ledger_line_outcomes": """
+        SELECT 'repeated' AS outcome, COUNT(*) - COUNT(DISTINCT (l_orderkey, l_linenumber)) AS line_items FROM lineitem
+        UNION ALL
+        SELECT outcome, COUNT(*) FROM (
+            SELECT CASE WHEN o_orderkey IS NULL THEN 'order missing'
+                        WHEN NOT coalesce(CASE WHEN l_returnflag = 'R' THEN ship_date ELSE o_orderdate::DATE END
+                                          BETWEEN DATE '1995-01-01' AND DATE '2001-07-31', FALSE) THEN 'outside the window'
+                        WHEN l_returnflag = 'R' AND ship_date < o_orderdate::DATE THEN 'credit before its order'
+                        WHEN a.rep_key IS NULL THEN 'rep without assignment'
+                        WHEN p_partkey IS NULL THEN 'product missing' ELSE 'kept' END AS outcome
+              FROM line l LEFT JOIN orders ON o_orderkey = l_orderkey
+              LEFT JOIN asg a ON a.rep_key = l_suppkey AND o_orderdate::DATE >= a.start_date
+                             AND (a.end_date IS NULL OR o_orderdate::DATE <= a.end_date)
+              LEFT JOIN part ON p_partkey = l_partkey) GROUP BY 1""",
     "bridge_rep_team_month": "SELECT * FROM ebridge",
     "fact_sales": "SELECT line_id, document_no, doc_type, original_document_no, date_key, month_key, rep_key, team_key, "
                   "customer_key, product_key, country_code, currency, quantity, days_since_original, is_month_end_window, "

@@ -9,7 +9,7 @@ from attain.functions import columns as C
 from attain.operators.joins import band_join
 from attain.plans.kpi import add_names, rep_month_base, rep_month_trend
 from attain.plans.model import Model, view
-from attain.policy import NO_TARGET
+from attain.policy import NO_PLAN, NO_TARGET
 
 
 def capped_base(weighted_base, cap):
@@ -18,13 +18,16 @@ def capped_base(weighted_base, cap):
 
 
 def add_commission(rep_months: DataFrame, m: Model) -> DataFrame:
-    """Price rep-months carrying target, achievement and weighted inputs. Months no plan covers drop out."""
+    """Price rep-months carrying target, achievement and weighted inputs.
+
+    Months that no plan covers stay, without a plan and without pay; uncovered_months lists them.
+    """
     plans = m.plan_months.drop("clawback_window_days", "plan_name")
-    base = rep_months.join(plans, "month_key").withColumn(
+    base = rep_months.join(plans, "month_key", "left").withColumn(
         "weighted_base", (F.col("weighted_invoiced") + F.col("weighted_clawback")).cast(C.WEIGHTED)).withColumn(
         "cap_amount", (F.col("cap_multiple_of_target") * F.col("target")).cast(C.WEIGHTED))
     banded = band_join(base, m.tier_bands, "plan_id", "achievement")
-    priced = (banded.withColumn("tier_name", F.coalesce("tier_name", F.lit(NO_TARGET)))
+    priced = (banded.withColumn("tier_name", F.when(F.col("plan_id").isNull(), NO_PLAN).otherwise(F.coalesce("tier_name", F.lit(NO_TARGET))))
               .withColumn("commission_rate", F.coalesce("commission_rate", F.lit(0).cast("decimal(5,4)")))
               .withColumn("commissionable_base", capped_base(F.col("weighted_base"), F.col("cap_amount"))))
     return priced.select(

@@ -11,7 +11,7 @@ from attain.functions import columns as C
 from attain.operators.dedupe import keep_first, keep_latest, surplus_rows
 from attain.operators.joins import point_in_time_join
 from attain.operators.ranking import dense_key
-from attain.operators.rules import DROP, FIX, FLAG, QUARANTINE, Rule, failed_ids, first_failed, rule_counts, rule_log
+from attain.operators.rules import DROP, FIX, FLAG, QUARANTINE, Rule, first_failed, rule_counts, rule_log
 from attain.plans.model import Model
 from attain.policy import Policy, values
 from attain.schema import RAW, model_columns
@@ -73,15 +73,16 @@ SALES_RULES = [
     Rule("DQ-S09", "sales_lines", "Country not a known market", "HIGH", QUARANTINE,
          lambda p: F.col("country_code").isNull()),
     Rule("DQ-S10", "sales_lines", "Invoice with negative quantity", "HIGH", QUARANTINE,
-         lambda p: is_type("INV") & (F.col("quantity") < 0)),
+         lambda p: is_type("INV") & ((F.col("quantity") < 0) | F.col("impossible_amount"))),
     Rule("DQ-S11", "sales_lines", "Credit note with positive quantity", "HIGH", QUARANTINE,
-         lambda p: is_type("CN") & (F.col("quantity") > 0)),
+         lambda p: is_type("CN") & ((F.col("quantity") > 0) | F.col("impossible_amount"))),
     Rule("DQ-S12", "sales_lines", "Credit note without original invoice", "MEDIUM", QUARANTINE,
          lambda p: is_type("CN") & F.col("original_document_no").isNull()),
     Rule("DQ-S13", "sales_lines", "Invoice line without price, repaired from the list price", "MEDIUM", FIX,
          lambda p: is_type("INV") & (misses("unit_list_price_local") | misses("net_amount_local"))),
     Rule("DQ-S14", "sales_lines", "Discount outside 0-60%", "MEDIUM", QUARANTINE,
-         lambda p: (F.col("discount_pct") < 0) | (F.col("discount_pct") > F.lit(0.60).cast("decimal(3,2)"))),
+         lambda p: F.coalesce((F.col("discount_pct") < 0) | (F.col("discount_pct") > F.lit(0.60).cast("decimal(3,2)")),
+                              F.lit(False)) | F.col("impossible_discount")),
     Rule("DQ-S15", "sales_lines", "Net amount off by more than 1%", "MEDIUM", FLAG,
          lambda p: net_gap() & ~misses("unit_list_price_local")),
 ]
@@ -118,8 +119,16 @@ def alias_lookup(text: Column, aliases: dict[str, str]) -> Column:
     return F.try_element_at(F.create_map(*pairs), F.lower(F.trim(text)))
 
 
+# Wide enough for any plausible entry; rounding to cents comes with the dollar amounts.
+QUANTITY, AMOUNT, SHARE = "decimal(14,4)", "decimal(16,4)", "decimal(10,6)"
+
+
 def standardise_sales(df: DataFrame, policy: Policy) -> DataFrame:
-    """Typed and cleaned lines, with a flag per kind of correction made."""
+    """Typed and cleaned lines, with a flag per kind of correction made.
+
+    Text that is no number becomes null. A number that does not fit its column (or is not finite) is marked as
+    impossible, so that a rule holds the line back.
+    """
     sku = F.upper(F.trim("sku"))
     iso = F.coalesce(F.col("document_date").rlike(r"^\d{4}-\d{2}-\d{2}$"), F.lit(False))
     parsed = C.parse_dates(F.col("document_date"))
@@ -129,14 +138,21 @@ def standardise_sales(df: DataFrame, policy: Policy) -> DataFrame:
     def number(column: str, kind: str) -> Column:
         return F.col(column).try_cast(kind).alias(column)
 
+    def impossible(column: str, kind: str) -> Column:
+        return F.col(column).try_cast(kind).isNull() & F.col(column).try_cast("double").isNotNull()
+
     return df.select(
         "line_id", "document_no", F.upper(F.trim("doc_type")).alias("doc_type"), "original_document_no",
         parsed.alias("document_date"), F.trim("rep_code").alias("rep_code"), "customer_code",
-        country.alias("country_code"), sku.alias("sku"), number("quantity", "decimal(10,2)"),
-        number("unit_list_price_local", C.MONEY), number("discount_pct", "decimal(6,4)"),
-        number("net_amount_local", C.MONEY), F.coalesce(F.upper(F.trim("currency")), F.lit("")).alias("currency"),
+        country.alias("country_code"), sku.alias("sku"), number("quantity", QUANTITY),
+        number("unit_list_price_local", AMOUNT), number("discount_pct", SHARE),
+        number("net_amount_local", AMOUNT), F.coalesce(F.upper(F.trim("currency")), F.lit("")).alias("currency"),
         (~iso & parsed.isNotNull()).alias("fixed_date"), (~canonical & country.isNotNull()).alias("fixed_country"),
-        F.coalesce(sku != F.col("sku"), F.lit(False)).alias("fixed_sku"))
+        F.coalesce(sku != F.col("sku"), F.lit(False)).alias("fixed_sku"),
+        (impossible("quantity", QUANTITY) | impossible("unit_list_price_local", AMOUNT)
+         | impossible("net_amount_local", AMOUNT)).alias("impossible_amount"),
+        impossible("discount_pct", SHARE).alias("impossible_discount"),
+        F.struct(*[c for c in df.columns if c != "line_id"]).alias("raw"))
 
 
 def known(master: DataFrame, code: str, name: str, flag: str, *attributes: str) -> DataFrame:
@@ -152,11 +168,6 @@ def attach_masters(lines: DataFrame, reps: DataFrame, products: DataFrame, custo
     return joined.withColumns({f: F.coalesce(F.col(f), F.lit(False)) for f in flags})
 
 
-def unique_lines(x: Extracts) -> DataFrame:
-    """Raw lines without repeats: the first of equal line ids in the order of the other columns."""
-    return keep_first(x.sales_lines, ["line_id"])
-
-
 # --------------------------------------------------------------------------- the run
 class Run:
     """One pass from extracts to star schema; every stage is a lazy table planned on first use."""
@@ -188,74 +199,74 @@ class Run:
     def teams(self) -> DataFrame:
         return self.keep(dense_key(self.x.teams, "team_id", "team_key"), "teams")
 
-    def checked(self, lines: DataFrame, keyed: bool) -> DataFrame:
-        """Standardised lines with master attributes; surrogate keys only where they will be used."""
-        x = self.x
-        rep_keys, sku_keys, customer_keys = (["employee_key"], ["product_key"], ["customer_key"]) if keyed else (
-            [], [], [])
-        sku_keys += ["list_price_usd", "unit_cost_pct", "commission_weight"] if keyed else []
-        reps = (self.employees if keyed else x.employees).where(F.col("role") == REP_ROLE)
-        return attach_masters(
-            standardise_sales(lines, self.policy),
-            known(reps, "employee_code", "rep_code", "known_rep", *rep_keys),
-            known(self.products if keyed else x.products, "sku", "sku", "known_sku", *sku_keys),
-            known(self.customers if keyed else x.customers, "customer_code", "customer_code", "known_customer",
-                  *customer_keys),
-            known(x.fx_rates.select("currency").distinct(), "currency", "currency", "known_currency"))
-
     @cached_property
     def all_lines(self) -> DataFrame:
-        """Every exported line, repeats included: what the rule counts are taken over."""
-        return self.checked(self.x.sales_lines, keyed=False)
+        """Every exported line, repeats included: standardised, with what the masters know of it and a flag
+        per correction and row rule. Read and joined once; counts and kept lines both come from here."""
+        x = self.x
+        reps = self.employees.where(F.col("role") == REP_ROLE)
+        lines = attach_masters(
+            standardise_sales(x.sales_lines, self.policy),
+            known(reps, "employee_code", "rep_code", "known_rep", "employee_key"),
+            known(self.products, "sku", "sku", "known_sku", "product_key", "list_price_usd", "unit_cost_pct",
+                  "commission_weight"),
+            known(self.customers, "customer_code", "customer_code", "known_customer", "customer_key"),
+            known(x.fx_rates.select("currency").distinct(), "currency", "currency", "known_currency"))
+        flags = {r.rule_id: r.flag(self.policy) for r in STANDARDS + SALES_RULES}
+        return self.keep(lines.withColumns(flags).drop(
+            "known_rep", "known_sku", "known_customer", "known_currency", "fixed_date", "fixed_country", "fixed_sku",
+            "impossible_amount", "impossible_discount"), "checked_lines")
 
     @cached_property
     def kept(self) -> DataFrame:
-        """Lines without repeats: the quarantine rules each one breaks, exchange rate, repaired price,
-        own team and the document it belongs to."""
-        repair = next(r for r in SALES_RULES if r.rule_id == "DQ-S13")
-        lines = self.checked(unique_lines(self.x), keyed=True).withColumns({
-            "failed": failed_ids(SALES_RULES, self.policy, QUARANTINE), "repair": repair.flag(self.policy),
-            "fx_month": F.date_format("document_date", "yyyy-MM")})
+        """Lines without repeats (the first in the order of the raw columns): the quarantine rules each one
+        breaks, exchange rate, repaired price, own team and the document it belongs to."""
+        raw_first = ["line_id", "raw"] + [c for c in self.all_lines.columns if c not in ("line_id", "raw")]
+        unique = keep_first(self.all_lines.select(*raw_first), ["line_id"]).drop("raw")
+        held_back = [F.when(F.col(f"`{r.rule_id}`"), F.lit(r.rule_id)) for r in SALES_RULES if r.action == QUARANTINE]
+        lines = unique.withColumns({"failed": F.concat_ws(";", *held_back), "repair": F.col("`DQ-S13`"),
+                                    "fx_month": F.date_format("document_date", "yyyy-MM")})
         fx = self.x.fx_rates.select("fx_month", "currency", F.col("rate_per_usd").alias("fx_rate"))
         lines = repair_price(lines.join(fx, ["fx_month", "currency"], "left"))
         placed = point_in_time_join(lines, self.x.rep_assignments, "rep_code", "document_date", "team_id")
         cn = is_type("CN")
         return self.keep(placed.withColumns({
             "team_id": F.when(~cn, F.col("team_id")),
-            "usd": F.col("net_amount_local").cast("double") / F.col("fx_rate").cast("double"),
             "doc": F.when(cn, F.col("original_document_no")).otherwise(F.col("document_no"))}).drop(
-            "known_rep", "known_sku", "known_customer", "known_currency", "fixed_date", "fixed_country", "fixed_sku",
-            "fx_month"), "checked_lines")
+            "fx_month", *[r.rule_id for r in STANDARDS + SALES_RULES]), "kept_lines")
 
     @cached_property
     def documents(self) -> DataFrame:
         """Per original document: team and date of its first accepted invoice line, invoiced and credited value.
 
-        The comparison runs on unrounded values; the shown totals are sums of lines rounded to cents.
+        The comparison runs on exact unrounded quotients; the shown totals are sums of lines rounded to cents.
         """
         cn = is_type("CN")
-        cents = F.round(F.col("net_amount_local") / F.col("fx_rate"), 2).cast(C.MONEY)
+        usd = F.col("net_amount_local") / F.col("fx_rate")
+        cents = F.round(usd, 2).cast(C.MONEY)
         return (self.kept.where(F.col("failed") == "").groupBy("doc")
                 .agg(F.min(F.when(~cn, F.struct("line_id", "team_id", "document_date"))).alias("_first"),
-                     F.sum(F.when(~cn, F.col("usd"))).alias("invoiced"), F.sum(F.when(cn, -F.col("usd"))).alias("credited"),
+                     F.sum(F.when(~cn, usd)).alias("invoiced"), F.sum(F.when(cn, -usd)).alias("credited"),
                      F.sum(F.when(~cn, cents)).alias("invoiced_usd"), F.sum(F.when(cn, -cents)).alias("credited_usd"))
                 .select("doc", "invoiced_usd", "credited_usd", F.col("_first.team_id").alias("invoice_team"),
                         F.col("_first.document_date").alias("invoice_date"),
-                        F.coalesce(F.col("credited") > F.coalesce("invoiced", F.lit(0.0)) + 1.0, F.lit(False))
+                        F.coalesce(F.col("credited") > F.coalesce("invoiced", F.lit(0)) + 1, F.lit(False))
                         .alias("over_credited")))
 
     @cached_property
     def routed(self) -> DataFrame:
-        """Every kept line with the rules that hold it back: all broken row rules, else the first late rule."""
+        """Every kept line with the rules that hold it back: all broken row rules, else the first late rule.
+
+        Only lines that passed the row rules meet the documents.
+        """
         cn = is_type("CN")
-        lines = self.kept.join(self.documents.drop("invoiced_usd", "credited_usd"), "doc", "left").withColumns({
+        held = self.kept.where(F.col("failed") != "").withColumns({"original_date": F.lit(None).cast("date"), "late": F.lit(False)})
+        passed = self.kept.where(F.col("failed") == "")
+        lines = passed.join(self.documents.drop("invoiced_usd", "credited_usd"), "doc", "left").withColumns({
             "team_id": F.when(cn, F.col("invoice_team")).otherwise(F.col("team_id")),
             "original_date": F.when(cn, F.col("invoice_date"))}).drop("invoice_team", "invoice_date")
-        late = first_failed(POST_RULES, self.policy)
-        return self.keep(lines.withColumns({
-            "late": F.col("failed") == "",
-            "failed": F.when(F.col("failed") == "", late).otherwise(F.col("failed"))}).drop("over_credited"),
-            "routed_lines")
+        late = lines.withColumns({"late": F.lit(True), "failed": first_failed(POST_RULES, self.policy)}).drop("over_credited")
+        return self.keep(late.unionByName(held), "routed_lines")
 
     @cached_property
     def clean(self) -> DataFrame:
@@ -270,13 +281,13 @@ class Run:
 
     @cached_property
     def repeats(self) -> DataFrame:
-        return surplus_rows(self.x.sales_lines, ["line_id"], "dropped_duplicates")
+        return surplus_rows(self.all_lines, ["line_id"], "dropped_duplicates")
 
     # logs
     @cached_property
     def sales_log(self) -> DataFrame:
         """Corrections, row rules and late rules with the rows each one touched."""
-        counts = rule_counts(self.all_lines, {r.rule_id: r.flag(self.policy) for r in STANDARDS + SALES_RULES})
+        counts = rule_counts(self.all_lines, {r.rule_id: F.col(f"`{r.rule_id}`") for r in STANDARDS + SALES_RULES})
         late = rule_counts(self.routed, {r.rule_id: F.col("failed") == r.rule_id for r in POST_RULES},
                            "_accepted")
         raw = self.x.sales_lines.agg(F.count(F.lit(1))).scalar()
@@ -394,7 +405,7 @@ class Run:
         day = F.col("document_date")
         keyed = (self.clean.join(teams, "team_id", "left")
                  .withColumns({"date_key": C.date_key(day), "month_key": C.month_key(day),
-                               "rep_key": F.col("employee_key"), "quantity": F.col("quantity").cast("int"),
+                               "rep_key": F.col("employee_key"), "quantity": F.col("quantity").cast("long"),
                                "unit_list_price_usd": F.round(F.col("unit_list_price_local") / F.col("fx_rate"), 2)
                                .cast(C.MONEY)}))
         return self.keep(project(keyed, model_columns("fact_sales"), "fact_sales"), "etl_fact_sales")
@@ -421,22 +432,27 @@ class Run:
         return self.bridge.join(self.fact_targets.select("rep_key", "month_key"), ["rep_key", "month_key"], "left_anti")
 
     @cached_property
-    def model(self) -> Model:
-        from attain.policy import plan_tiers
+    def tiers(self) -> DataFrame:
+        """The plan extract, one row per plan and tier; pay, bands and clawback windows all follow from it."""
+        order = F.concat(F.date_format("effective_from", "yyyyMMdd"), F.lit("|"), "plan_id", F.lit("|"),
+                         F.lpad(F.col("tier_order").cast("string"), 10, "0"))
+        return dense_key(self.x.commission_plans.withColumn("_order", order), "_order", "plan_tier_key").drop("_order")
 
-        return Model(self.policy, tiers=plan_tiers(self.x.spark, self.policy), fact_sales=self.fact_sales,
+    @cached_property
+    def model(self) -> Model:
+        return Model(self.policy, tiers=self.tiers, fact_sales=self.fact_sales,
                      fact_targets=self.fact_targets, fact_team_plan=self.fact_team_plan, bridge=self.bridge,
-                     dim_team=self.dim_team, dim_country=self.dim_country, dim_employee=self.dim_employee,
+                     dim_team=self.dim_team, dim_country=self.dim_country, dim_department=self.dim_department, dim_employee=self.dim_employee,
                      dim_product=self.dim_product, dim_customer=self.dim_customer)
 
 
 def repair_price(lines: DataFrame) -> DataFrame:
     """Lines flagged for repair get the list price in local currency and the net that follows from it."""
-    price = F.when(F.col("repair"), F.round(F.col("list_price_usd") * F.col("fx_rate"), 2).cast(C.MONEY)).otherwise(
+    price = F.when(F.col("repair"), F.round(F.col("list_price_usd") * F.col("fx_rate"), 2).cast(AMOUNT)).otherwise(
         F.col("unit_list_price_local"))
     net = F.when(F.col("repair"),
                  F.round(F.col("quantity") * F.col("unit_list_price_local") * (1 - F.col("discount_pct")), 2)
-                 .cast(C.MONEY)).otherwise(F.col("net_amount_local"))
+                 .cast(AMOUNT)).otherwise(F.col("net_amount_local"))
     return lines.withColumn("unit_list_price_local", price).withColumn("net_amount_local", net)
 
 

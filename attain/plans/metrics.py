@@ -20,7 +20,7 @@ from attain.operators.joins import band_join, one_row
 from attain.operators.ranking import group_rank
 from attain.plans.commission import commission_rep_month, kpi_rep_month
 from attain.plans.kpi import bounded_dense_rank, team_month
-from attain.plans.model import Model
+from attain.plans.model import Model, view
 
 
 @dataclass(frozen=True)
@@ -55,9 +55,8 @@ BASES: dict[str, Base] = {
     "discount_amount": Base("sales", lambda: C.total("discount_amount_usd", invoices())),
     "gross_margin": Base("sales", lambda: C.total("gross_margin_usd")),
     "deals": Base("sales", lambda: F.count_distinct(F.when(invoices(), F.col("document_no")))),
-    "strategic_revenue": Base("sales", lambda: C.total("net_amount_usd", invoices() & (F.col("commission_weight") > 1))),
-    "month_end_revenue": Base("sales", lambda: C.total("net_amount_usd",
-                                                       invoices() & (F.col("is_month_end_window") == 1))),
+    "strategic_revenue": Base("sales", lambda: C.total("strategic_amount_usd")),
+    "month_end_revenue": Base("sales", lambda: C.total("month_end_amount_usd")),
     "target": Base("targets", lambda: F.sum("target_amount_usd")),
     "capacity_plan": Base("plan", lambda: F.sum("plan_amount_usd")),
     "commission": Base("rep_months", lambda: F.sum("commission")),
@@ -68,7 +67,7 @@ BASES: dict[str, Base] = {
     "capped_rep_months": Base("rep_months", lambda: C.count_if(F.col("is_capped") == 1)),
     "ramping_rep_months": Base("rep_months", lambda: C.count_if(F.col("is_ramp_month") == 1)),
     "accelerator_commission": Base("rep_months", lambda: F.sum(
-        F.when(F.col("tier_name") == "T3 Accelerator", F.col("commission")).otherwise(F.lit(0).cast(C.PAY)))),
+        F.when(F.col("is_top_tier"), F.col("commission")).otherwise(F.lit(0).cast(C.PAY)))),
     "vacant_seat_months": Base("team_months", lambda: F.sum("vacant_seats")),
 }
 
@@ -99,18 +98,30 @@ def achieved() -> Column:
     return C.ratio("net_revenue", "target")
 
 
+@view(stage=["month_key"])
+def sales_documents(m: Model) -> DataFrame:
+    """Sales by team, rep, month and document: the grain on which documents can be counted at any coarser one."""
+    sums = ("net_amount_usd", "gross_amount_usd", "discount_amount_usd", "gross_margin_usd")
+    return m.fact_sales.groupBy("team_key", "rep_key", "month_key", "document_no", "doc_type").agg(
+        *[C.total(c).alias(c) for c in sums],
+        C.total("net_amount_usd", invoices() & (F.col("commission_weight") > 1)).alias("strategic_amount_usd"),
+        C.total("net_amount_usd", invoices() & (F.col("is_month_end_window") == 1)).alias("month_end_amount_usd"))
+
+
 def facts(m: Model, name: str) -> DataFrame:
     """A fact with the dimensions it can be grouped by."""
     teams = m.dim_team.select("team_key", "team_name", "country_code", "country_name", "department_code")
     year = C.year_of("month_key").alias("year")
     if name == "sales":
-        df = m.fact_sales.join(teams, "team_key")
+        df = sales_documents(m).join(teams, "team_key")
     elif name == "targets":
         df = m.fact_targets.join(teams, "team_key")
     elif name == "plan":
         df = m.fact_team_plan.join(teams, "team_key")
     elif name == "rep_months":
-        return kpi_rep_month(m).join(m.dim_team.select("team_key", "country_name"), "team_key")
+        top = m.tiers.groupBy("plan_id").agg(F.max_by("tier_name", "tier_order").alias("_top"))
+        return (kpi_rep_month(m).join(m.dim_team.select("team_key", "country_name"), "team_key").join(top, "plan_id", "left")
+                .withColumn("is_top_tier", F.coalesce(F.col("tier_name") == F.col("_top"), F.lit(False))).drop("_top"))
     else:
         return team_month(m).join(m.dim_team.select("team_key", "country_name"), "team_key")
     return df.select("*", year)

@@ -16,7 +16,7 @@ from attain.policy import Policy, plan_months, tier_bands
 from attain.sources.stage import store
 
 TABLES = ("tiers", "fact_sales", "fact_targets", "fact_team_plan", "bridge", "dim_team", "dim_country",
-          "dim_employee", "dim_product", "dim_customer")
+          "dim_department", "dim_employee", "dim_product", "dim_customer")
 
 
 class Model:
@@ -28,6 +28,7 @@ class Model:
     bridge: DataFrame
     dim_team: DataFrame
     dim_country: DataFrame
+    dim_department: DataFrame
     dim_employee: DataFrame
     dim_product: DataFrame
     dim_customer: DataFrame
@@ -43,11 +44,11 @@ class Model:
 
     @property
     def plan_months(self) -> DataFrame:
-        return plan_months(self.spark, self.policy)
+        return plan_months(self.tiers)
 
     @property
     def tier_bands(self) -> DataFrame:
-        return tier_bands(self.spark, self.policy)
+        return tier_bands(self.tiers)
 
     def with_(self, **changes) -> "Model":
         """The same model with some tables (or the policy) exchanged."""

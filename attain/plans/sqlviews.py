@@ -35,10 +35,10 @@ trend AS (
       FROM spine
     WINDOW last3 AS (PARTITION BY rep_key ORDER BY month_key ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)),
 priced AS (
-    SELECT t.*, p.plan_id, IF(target IS NULL, 0, LEAST(GREATEST(weighted, 0), p.cap_multiple_of_target * target)) AS base
-      FROM trend t JOIN {plans} p ON p.month_key = t.month_key)
+    SELECT t.*, p.plan_id, IF(target IS NULL OR p.plan_id IS NULL, 0, LEAST(GREATEST(weighted, 0), p.cap_multiple_of_target * target)) AS base
+      FROM trend t LEFT JOIN {plans} p ON p.month_key = t.month_key)
 SELECT x.rep_key, x.month_key, x.team_key, x.actual, x.ytd_actual, x.rolling_3m_achievement, x.achievement,
-       COALESCE(b.tier_name, 'No Target') AS tier_name,
+       IF(x.plan_id IS NULL, 'No Plan', COALESCE(b.tier_name, 'No Target')) AS tier_name,
        CAST(x.base AS DECIMAL(24, 4)) * COALESCE(b.commission_rate, 0) AS commission
   FROM priced x
   LEFT JOIN {bands} b ON b.plan_id = x.plan_id AND x.achievement >= COALESCE(b.band_floor, x.achievement)

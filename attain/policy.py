@@ -11,8 +11,9 @@ from dataclasses import dataclass, field, replace
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-NO_TARGET = "No Target"
+NO_TARGET, NO_PLAN = "No Target", "No Plan"
 
 
 @dataclass(frozen=True)
@@ -141,44 +142,20 @@ def plan_tiers(spark: SparkSession, policy: Policy) -> DataFrame:
         "cap_multiple_of_target": "decimal(4,2)", "clawback_window_days": "int"})
 
 
-def policy_plans(tiers: DataFrame, limit: int = 10_000) -> tuple[Plan, ...]:
-    """Plans back from a plan table. The table is configuration; one too large to be that is refused."""
-    rows = tiers.orderBy("plan_id", "tier_order").limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"commission plan table has more than {limit} rows")
-    plans: dict[str, Plan] = {}
-    for r in rows:
-        known = plans.get(r["plan_id"])
-        tier = Tier(r["tier_name"], float(r["min_achievement"]), float(r["max_achievement"]),
-                    Decimal(str(r["commission_rate"])))
-        plans[r["plan_id"]] = replace(known, tiers=known.tiers + (tier,)) if known else Plan(
-            r["plan_id"], r["plan_name"], r["effective_from"], r["effective_to"], (tier,),
-            Decimal(str(r["strategic_weight"])), Decimal(str(r["cap_multiple_of_target"])),
-            int(r["clawback_window_days"]))
-    return tuple(sorted(plans.values(), key=lambda p: p.effective_from))
-
-
-def month_starts(start: dt.date, end: dt.date) -> list[dt.date]:
-    """First days of the months that begin inside [start, end]."""
-    index = start.year * 12 + start.month - 1 + (1 if start.day > 1 else 0)
-    days = []
-    while (day := dt.date(index // 12, index % 12 + 1, 1)) <= end:
-        days.append(day)
-        index += 1
-    return days
-
-
-def plan_months(spark: SparkSession, policy: Policy) -> DataFrame:
-    """Plan parameters per month: the effective-date range becomes an equi-join key."""
-    rows = [(day.year * 100 + day.month, p.plan_id, p.name, p.cap_multiple, p.clawback_days)
-            for p in policy.plans for day in month_starts(p.effective_from, p.effective_to)]
-    return values(spark, rows, {"month_key": "int", "plan_id": "string", "plan_name": "string",
-                                "cap_multiple_of_target": "decimal(4,2)", "clawback_window_days": "int"})
-
-
-def tier_bands(spark: SparkSession, policy: Policy) -> DataFrame:
+def plan_months(tiers: DataFrame) -> DataFrame:
+    """Plan parameters per month that begins inside the plan's dates: the range becomes an equi-join key."""
+    first = F.when(F.dayofmonth("effective_from") > 1, F.add_months(F.trunc("effective_from", "MM"), 1)).otherwise(F.col("effective_from"))
+    months = F.when(first <= F.col("effective_to"), F.sequence(first, F.col("effective_to"), F.expr("interval 1 month")))
+    plans = tiers.select("plan_id", "plan_name", "effective_from", "effective_to", "cap_multiple_of_target", "clawback_window_days").distinct()
+    return (plans.withColumn("_m", F.explode(months))
+            .select((F.year("_m") * 100 + F.month("_m")).cast("int").alias("month_key"), "plan_id", "plan_name",
+                    "cap_multiple_of_target", "clawback_window_days"))
+
+
+def tier_bands(tiers: DataFrame) -> DataFrame:
     """Half-open achievement bands per plan, the outermost ones open-ended (null edge)."""
-    rows = [(p.plan_id, t.name, t.rate, None if i == 0 else t.floor, None if i == len(p.tiers) - 1 else t.ceiling)
-            for p in policy.plans for i, t in enumerate(p.tiers)]
-    return values(spark, rows, {"plan_id": "string", "tier_name": "string", "commission_rate": "decimal(5,4)",
-                                "band_floor": "double", "band_ceiling": "double"})
+    ends = tiers.groupBy("plan_id").agg(F.min("tier_order").alias("_lowest"), F.max("tier_order").alias("_highest"))
+    return tiers.join(ends, "plan_id").select(
+        "plan_id", "tier_name", "commission_rate",
+        F.when(F.col("tier_order") > F.col("_lowest"), F.col("min_achievement")).alias("band_floor"),
+        F.when(F.col("tier_order") < F.col("_highest"), F.col("max_achievement")).alias("band_ceiling"))

@@ -56,7 +56,7 @@ def model_columns(table: str) -> list[str]:
 
 @dataclass(frozen=True)
 class Constraint:
-    """kind: PK, NOT NULL, CHECK or FK; for FK the parent is (table, column)."""
+    """kind: PK, UNIQUE, NOT NULL, CHECK or FK; for FK the parent is (table, column)."""
 
     table: str
     kind: str
@@ -87,4 +87,24 @@ CONSTRAINTS = (
     Constraint("fact_team_plan", "PK", ("team_key", "month_key")),
     Constraint("bridge", "PK", ("rep_key", "month_key")),
     Constraint("bridge", "FK", ("team_key",), parent=("dim_team", "team_key")),
+    Constraint("bridge", "FK", ("rep_key",), parent=("dim_employee", "employee_key")),
+    Constraint("fact_targets", "FK", ("team_key",), parent=("dim_team", "team_key")),
+    Constraint("fact_team_plan", "FK", ("team_key",), parent=("dim_team", "team_key")),
+    Constraint("fact_sales", "FK", ("country_code",), parent=("dim_country", "country_code")),
+    Constraint("dim_country", "PK", ("country_code",)),
+    Constraint("dim_team", "PK", ("team_key",)),
+    Constraint("dim_team", "UNIQUE", ("team_id",)),
+    Constraint("dim_team", "NOT NULL", ("team_name",)),
+    Constraint("dim_team", "FK", ("country_code",), parent=("dim_country", "country_code")),
+    Constraint("dim_team", "FK", ("department_code",), parent=("dim_department", "department_code")),
+    Constraint("dim_employee", "PK", ("employee_key",)),
+    Constraint("dim_employee", "UNIQUE", ("employee_code",)),
+    Constraint("dim_employee", "NOT NULL", ("hire_date",)),
+    Constraint("dim_product", "PK", ("product_key",)),
+    Constraint("dim_product", "UNIQUE", ("sku",)),
+    Constraint("dim_product", "NOT NULL", ("list_price_usd",)),
+    Constraint("dim_customer", "PK", ("customer_key",)),
+    Constraint("dim_customer", "UNIQUE", ("customer_code",)),
+    Constraint("dim_customer", "FK", ("country_code",), parent=("dim_country", "country_code")),
+    Constraint("dim_department", "PK", ("department_code",)),
 )

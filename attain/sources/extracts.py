@@ -65,10 +65,11 @@ def sales_lines(t: Tables) -> DataFrame:
         spelling.alias("country"),
         F.when(every(107), "SKU-UNKNOWN").when(every(6, 1), F.concat(F.lit(" "), F.lower(sku))).otherwise(sku)
         .alias("sku"),
-        (F.col("qty") * sign * F.when(flip, F.lit(-1)).otherwise(F.lit(1))).cast("int").cast("string").alias("quantity"),
+        (F.when(every(179), F.lit(123456789)).otherwise(F.col("qty")) * sign * F.when(flip, F.lit(-1)).otherwise(F.lit(1)))
+        .cast("int").cast("string").alias("quantity"),
         F.when(zero, cents).otherwise(F.col("price")).cast("string").alias("unit_list_price_local"),
-        F.when(every(127), "0.75").when(every(167), "n/a").otherwise(F.col("disc").cast("string")).alias("discount_pct"),
-        net.cast(C.MONEY).cast("string").alias("net_amount_local"),
+        F.when(every(127), "0.75").when(every(173), "150").when(every(193), "1e30").when(every(167), "n/a").otherwise(F.col("disc").cast("string")).alias("discount_pct"),
+        F.concat(net.cast(C.MONEY).cast("string"), F.when(every(181), "5").otherwise("")).alias("net_amount_local"),
         F.when(every(109), "XXX").when(every(4, 2), F.concat(F.lit(" "), F.lower(currency), F.lit(" ")))
         .otherwise(currency).alias("currency"),
         F.date_format("ship_date", "yyyy-MM-dd").alias("exported_at"))

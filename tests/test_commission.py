@@ -4,9 +4,10 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from attain.plans.commission import commission_rep_month, plan_by_month, uncovered_months
-from attain.policy import Policy, plan_months, plan_tiers, policy_plans
+from attain.policy import Policy, plan_months, plan_tiers
 from frames import line, tiny_model
 
 GATE_2024 = {0.7999: 0, 0.80: 0.005, 0.9999: 0.005, 1.0: 0.010, 1.1999: 0.010, 1.20: 0.015, 3.5: 0.015, -0.3: 0,
@@ -20,7 +21,7 @@ def price(spark, lines, targets, policy=None):
 
 
 def test_plan_in_force_by_month(spark):
-    by_month = {r["month_key"]: r["plan_id"] for r in plan_months(spark, Policy()).collect()}
+    by_month = {r["month_key"]: r["plan_id"] for r in plan_months(plan_tiers(spark, Policy())).collect()}
     assert by_month[202406] == "CP2024" and by_month[202506] == "CP2025" and len(by_month) == 24
 
 
@@ -28,11 +29,15 @@ def test_plan_starting_mid_month_begins_with_the_next(spark):
     policy = Policy()
     late = policy.with_(plans=(policy.plans[0].__class__("X", "X", dt.date(2024, 1, 15), dt.date(2024, 3, 31),
                                                          policy.plans[0].tiers),))
-    assert [r["month_key"] for r in plan_months(spark, late).orderBy("month_key").collect()] == [202402, 202403]
+    assert [r["month_key"] for r in plan_months(plan_tiers(spark, late)).orderBy("month_key").collect()] == [202402, 202403]
 
 
-def test_plans_round_trip_through_their_table(spark):
-    assert policy_plans(plan_tiers(spark, Policy())) == Policy().plans
+def test_pay_follows_the_plan_table(spark):
+    m = tiny_model(spark, [line(1, "INV", 130_000)], {(1, 202406): 100_000})
+    raised = F.when(F.col("tier_name") == "T3 Accelerator", F.lit(Decimal("0.9000"))).otherwise(F.col("commission_rate"))
+    other = m.with_(tiers=m.tiers.withColumn("commission_rate", raised.cast("decimal(5,4)")))
+    assert commission_rep_month(m).first()["commission"] == Decimal("1950")
+    assert commission_rep_month(other).first()["commission"] == Decimal("117000")
 
 
 @pytest.mark.parametrize("month, cases", [(202406, GATE_2024), (202506, GATE_2025)])
@@ -80,5 +85,7 @@ def test_late_credit_notes_are_reported(spark):
 def test_uncovered_months_are_reported_and_not_priced(spark):
     m = tiny_model(spark, [line(1, "INV", 100, 202306)], {(1, 202306): 100, (1, 202406): 100})
     assert [r["month_key"] for r in uncovered_months(m).collect()] == [202306]
-    assert [r["month_key"] for r in commission_rep_month(m).collect()] == [202406]
+    rows = {r["month_key"]: r for r in commission_rep_month(m).collect()}
+    assert (rows[202306]["actual"], rows[202306]["commission"], rows[202306]["tier_name"]) == (100, 0, "No Plan")
+    assert rows[202406]["tier_name"] != "No Plan" and len(rows) == 2
     assert {r["month_key"]: r["plan_id"] for r in plan_by_month(m).collect()} == {202306: None, 202406: "CP2024"}
