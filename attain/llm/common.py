@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 SHINGLE_WORDS = 5
 #: Bytes of text that are turned into arrays at once inside a task.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 #: Rows of 64 bits in a filter table: its size is fixed (1 MB), whatever the data.
 FILTER_ROWS = 1 << 16
 
