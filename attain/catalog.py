@@ -271,6 +271,14 @@ RUN_QUERIES: dict[str, Callable] = {
 }
 
 
+# The KPI layer on what the ETL has made of the raw extracts.
+RUN_QUERIES |= {f"etl_{name}": (lambda r, f=f: f(r.model)) for name, f in {
+    "rep_month_base": kpi.rep_month_base, "commission_rep_month": commission.commission_rep_month,
+    "team_month": MODEL_QUERIES["team_month"], "revenue_tie_out": sqlviews.revenue_tie_out,
+    "q01": questions.QUESTIONS["q01_actual_vs_target_by_year"], "q07": questions.QUESTIONS["q07_commission_by_tier"],
+    "q11": questions.QUESTIONS["q11_month_end_loading"]}.items()}
+
+
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {name: partial(on_model, name, f) for name, f in questions.QUESTIONS.items()}
     out |= {name: partial(on_model, name, f) for name, f in MODEL_QUERIES.items()}
@@ -283,4 +291,5 @@ def oracle_sql() -> dict[str, str]:
     from attain.oracle import insight as i
     from attain.oracle import questions as q
 
-    return {**q.statements(), **e.statements(), **i.statements()}
+    plain = {**q.statements(), **e.statements(), **i.statements()}
+    return {**plain, **e.on_the_run({**q.SQL, **i.SQL})}

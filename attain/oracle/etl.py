@@ -429,3 +429,23 @@ SQL = {
 
 def statements() -> dict[str, str]:
     return {name: with_ctes(sql) for name, sql in SQL.items()}
+
+
+# The tables of the ETL model under the names that the KPI statements use; keys there are surrogate.
+ON_THE_RUN = {
+    "fact": "SELECT * FROM efact",
+    "tgt": "SELECT * FROM etgt",
+    "bridge": "SELECT *, ((month_key // 100 - 1995) * 12 + month_key % 100 - 1)::INT AS idx FROM ebridge",
+    "emp": "SELECT employee_key AS rep_key, employee_code, full_name, exit_date FROM demp",
+    "team": "SELECT team_key + 1 AS team_key, team_name, country_code, department_code FROM team",
+    "tplan": "SELECT team_key + 1 AS team_key, month_key, planned_headcount, plan_amount_usd FROM tplan",
+}
+
+
+def on_the_run(sql: dict[str, str]) -> dict[str, str]:
+    """KPI statements on the output of the ETL."""
+    given = {name: with_ctes(body) for name, body in ON_THE_RUN.items()}
+    names = {"rep_month_base": "rep_month_base", "commission_rep_month": "commission_rep_month", "team_month": "team_month",
+             "revenue_tie_out": "revenue_tie_out", "q01": "q01_actual_vs_target_by_year",
+             "q07": "q07_commission_by_tier", "q11": "q11_month_end_loading"}
+    return {f"etl_{short}": with_ctes(sql[name].strip(), given) for short, name in names.items()}
