@@ -14,9 +14,9 @@ from attain.operators.dedupe import keep_first
 from attain.operators.rules import evaluate
 from attain.plans import analysis, commission, etl, kpi, metrics, questions, reports, sqlviews
 from attain.sources import io
-from attain.sources.extracts import ledger_extracts
 from attain.sources.ledger import LedgerModel, line_accounting
 from attain.sources.stage import fingerprint
+from fixtures.extracts import ledger_extracts
 
 Query = Callable[[SparkSession, str], DataFrame]
 

@@ -104,7 +104,7 @@ register({
                        TRY_CAST(discount_pct AS DOUBLE) AS any_discount,
                        CASE WHEN abs(TRY_CAST(discount_pct AS DOUBLE)) < 10000 THEN TRY_CAST(discount_pct AS DECIMAL(9,4)) END
                            AS discount_pct,
-                       net_amount_local::DECIMAL(18,3) AS net,
+                       net_amount_local::DECIMAL(24,3) AS net,
                        coalesce(upper(trim(currency)), '') AS currency, rn
                   FROM (SELECT *, row_number() OVER (PARTITION BY line_id ORDER BY """
                + ", ".join(f"{c.strip()} NULLS FIRST" for c in RAW_ORDER.split(",")) + """) AS rn FROM rawline) x
@@ -118,7 +118,7 @@ register({
     "keptline": "SELECT *, list_filter([" + ", ".join(f"CASE WHEN \"{r}\" THEN '{r}' END" for r in HOLD)
                 + "], lambda x: x IS NOT NULL) AS early FROM flagged WHERE rn = 1",
     "accepted": """
-        SELECT * REPLACE (CASE WHEN a."DQ-S13" THEN round(quantity * price1 * (1 - discount_pct), 2)::DECIMAL(18,3)
+        SELECT * REPLACE (CASE WHEN a."DQ-S13" THEN round(quantity * price1 * (1 - discount_pct), 2)::DECIMAL(24,3)
                                ELSE net END AS net, price1 AS price)
           FROM (SELECT s.*, fx_rate, p.list_price_usd, p.unit_cost_pct, p.commission_weight, p.product_key,
                        t.team_id AS own_team, doc_type = 'CN' AS is_cn,
@@ -139,7 +139,7 @@ register({
                SUM(net::DOUBLE / fx_rate::DOUBLE) FILTER (WHERE NOT is_cn) AS invoiced,
                SUM(-net::DOUBLE / fx_rate::DOUBLE) FILTER (WHERE is_cn) AS credited
           FROM (SELECT *, CASE WHEN is_cn THEN original_document_no ELSE document_no END AS doc,
-                       {cents_over_fx('(net * 10000)::BIGINT')} AS usd_cents FROM accepted)
+                       {cents_over_fx('(net * 10000)::HUGEINT')} AS usd_cents FROM accepted)
          GROUP BY doc""",
     "routed": """
         SELECT a.*, CASE WHEN is_cn THEN invoice_team ELSE own_team END AS team_id,
@@ -151,7 +151,7 @@ register({
             ON d.doc = CASE WHEN a.is_cn THEN a.original_document_no ELSE a.document_no END""",
     "cleanusd": f"""
         SELECT r.*, {cents_over_fx('(quantity * price * 1000)::HUGEINT * 10')} AS gross_usd,
-               {cents_over_fx('(net * 10000)::BIGINT')} AS net_usd,
+               {cents_over_fx('(net * 10000)::HUGEINT')} AS net_usd,
                {cents_over_fx('(price * 10000)::BIGINT')} AS unit_usd,
                round(quantity * list_price_usd * unit_cost_pct, 2)::DECIMAL(18,2) AS cost_usd
           FROM routed r WHERE late_rule IS NULL""",
@@ -335,7 +335,7 @@ SQL = {
     "over_credit": "SELECT doc, invoiced_usd::DOUBLE AS invoiced_usd, credited_usd::DOUBLE AS credited_usd, "
                    "credited > coalesce(invoiced, 0) + 1.0 AS over_credited FROM docs WHERE credited IS NOT NULL",
     "fx_conform": "SELECT line_id, currency, fx_rate::DOUBLE AS fx_rate, "
-                  f"{cents_over_fx('(net * 10000)::BIGINT')}::DOUBLE AS usd FROM accepted",
+                  f"{cents_over_fx('(net * 10000)::HUGEINT')}::DOUBLE AS usd FROM accepted",
     "price_repair": "SELECT line_id, price::DOUBLE AS unit_list_price_local, net::DOUBLE AS net_amount_local "
                     "FROM accepted WHERE \"DQ-S13\"",
     "usd_economics": """

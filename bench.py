@@ -1,7 +1,8 @@
 """Time the headline queries on local[$BENCH_CPUS] over $BENCH_SF_DIR and print one JSON line.
 
 build_star_schema and build_raw_etl time the runs that write the stage tables; the other entries
-read them, as a user asking many questions of one model does. Every result is written to the
+read them, as a user asking many questions of one model does. The messy extracts that the ETL reads are a
+fixture; writing them is not timed. Every result is written to the
 no-op sink, so all rows and columns are computed.
 """
 
@@ -47,6 +48,7 @@ def main() -> None:
 
     spark.range(1000).selectExpr("sum(id)").collect()  # start the executor threads
     timed("build_star_schema", build_star_schema)
+    catalog.run(spark, folder)
     timed("build_raw_etl", build_raw_etl)
     only = set(filter(None, os.environ.get("BENCH_ONLY", "").split(",")))
     for name, query in catalog.queries().items():

@@ -1,4 +1,4 @@
-"""The driver's tables written out as messy raw extracts.
+"""The driver's tables written out as messy raw extracts: a fixture for the ETL, no part of the engine.
 
 Every raw line keeps the amounts of its line item; its text fields get the spellings, gaps and
 contradictions a real export has, chosen by the remainder of the line key.
