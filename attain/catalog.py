@@ -15,7 +15,7 @@ from attain.operators.rules import evaluate
 from attain.plans import analysis, commission, etl, kpi, metrics, questions, reports, sqlviews
 from attain.sources import io
 from attain.sources.ledger import LedgerModel, line_accounting
-from attain.sources.stage import fingerprint
+from attain.sources.stage import fingerprint, remove
 from fixtures.extracts import ledger_extracts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,10 @@ def model(spark: SparkSession, path: str) -> LedgerModel:
     """The star schema of one folder, built once per session for as long as its files stay the same."""
     key = model_key(spark, path)
     if key not in _models:
+        for old in [k for k in _models if k[:3] == key[:3]]:  # the files have changed: what was staged of them goes
+            if old in _runs:
+                _runs.pop(old).close()
+            remove(spark, _models.pop(old).folder)
         _models[key] = LedgerModel(spark, path)
     return _models[key]
 

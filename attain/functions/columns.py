@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
@@ -17,6 +17,12 @@ YEAR_SLASH = r"^(\d{4})/(\d{1,2})/(\d{1,2})$"
 DAY_FIRST = r"^(\d{1,2})([/-])(\d{1,2})\2(\d{4})$"
 
 
+def require_exact(spark: SparkSession) -> None:
+    """Sums of cents must fail when they overflow, which they do under ANSI rules only."""
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ValueError("set spark.sql.ansi.enabled to true: without it, sums that overflow wrap around silently")
+
+
 def ratio(numerator: Column | str, denominator: Column | str) -> Column:
     """Double quotient; null when the denominator is null or zero."""
     num = F.col(numerator) if isinstance(numerator, str) else numerator

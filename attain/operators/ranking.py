@@ -75,7 +75,7 @@ def top_rows(df: DataFrame, value: str, key: str, share: float) -> DataFrame:
     return sure.unionByName(edge).select(*df.columns, "n_all")
 
 
-def dense_key(df: DataFrame, order: str, name: str) -> DataFrame:
+def dense_key(df: DataFrame, order: str, name: str, folder: str | None = None) -> DataFrame:
     """Surrogate keys 1..n in the order of a unique code, ahead of the other columns.
 
     The rows are range-partitioned and sorted by the code and written once; each row's place in its
@@ -85,7 +85,7 @@ def dense_key(df: DataFrame, order: str, name: str) -> DataFrame:
     place = F.monotonically_increasing_id()
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = store(df.repartitionByRange(parts, order).sortWithinPartitions(order)
-                   .withColumns({"_part": F.shiftright(place, 33), "_pos": place.bitwiseAND(F.lit((1 << 33) - 1))}), f"keys-{name}")
+                   .withColumns({"_part": F.shiftright(place, 33), "_pos": place.bitwiseAND(F.lit((1 << 33) - 1))}), f"keys-{name}", folder=folder)
     earlier = W.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     offsets = (placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
                .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset")))

@@ -16,7 +16,7 @@ from attain.plans.model import Model
 from attain.policy import Policy, values
 from attain.schema import RAW, model_columns
 from attain.sources.io import project, read_raw
-from attain.sources.stage import store
+from attain.sources.stage import new_folder, remove, store
 
 REP_ROLE, MANAGER_ROLE = "Sales Representative", "Sales Manager"
 
@@ -174,30 +174,36 @@ class Run:
 
     def __init__(self, x: Extracts, staged: bool = False):
         self.x, self.policy, self.staged = x, x.policy, staged
+        C.require_exact(x.spark)
+        self.folder = new_folder(x.spark)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Stages several others read are written once."""
-        return store(df, name) if self.staged else df
+        return store(df, name, folder=self.folder) if self.staged else df
+
+    def close(self) -> None:
+        """Delete what the run has staged; its tables cannot be read afterwards."""
+        remove(self.x.spark, self.folder)
 
     # masters with surrogate keys
     @cached_property
     def employees(self) -> DataFrame:
-        return self.keep(dense_key(self.x.employees, "employee_code", "employee_key"), "employees")
+        return self.keep(dense_key(self.x.employees, "employee_code", "employee_key", self.folder), "employees")
 
     @cached_property
     def products(self) -> DataFrame:
         strategic = F.col("product_line").isin(*self.policy.strategic_lines)
         weight = F.when(strategic, F.lit(self.policy.strategic_weight)).otherwise(F.lit(1)).cast("decimal(4,2)")
         return self.keep(dense_key(self.x.products.withColumn("is_strategic", strategic.cast("int"))
-                                   .withColumn("commission_weight", weight), "sku", "product_key"), "products")
+                                   .withColumn("commission_weight", weight), "sku", "product_key", self.folder), "products")
 
     @cached_property
     def customers(self) -> DataFrame:
-        return self.keep(dense_key(self.x.customers, "customer_code", "customer_key"), "customers")
+        return self.keep(dense_key(self.x.customers, "customer_code", "customer_key", self.folder), "customers")
 
     @cached_property
     def teams(self) -> DataFrame:
-        return self.keep(dense_key(self.x.teams, "team_id", "team_key"), "teams")
+        return self.keep(dense_key(self.x.teams, "team_id", "team_key", self.folder), "teams")
 
     @cached_property
     def all_lines(self) -> DataFrame:
@@ -436,7 +442,7 @@ class Run:
         """The plan extract, one row per plan and tier; pay, bands and clawback windows all follow from it."""
         order = F.concat(F.date_format("effective_from", "yyyyMMdd"), F.lit("|"), "plan_id", F.lit("|"),
                          F.lpad(F.col("tier_order").cast("string"), 10, "0"))
-        return dense_key(self.x.commission_plans.withColumn("_order", order), "_order", "plan_tier_key").drop("_order")
+        return dense_key(self.x.commission_plans.withColumn("_order", order), "_order", "plan_tier_key", self.folder).drop("_order")
 
     @cached_property
     def model(self) -> Model:

@@ -34,7 +34,7 @@ class Model:
     dim_customer: DataFrame
 
     def __init__(self, policy: Policy, staged: bool = False, **tables: DataFrame):
-        self.policy, self.staged = policy, staged
+        self.policy, self.staged, self.folder = policy, staged, None
         self.__dict__.update(tables)
         self._views: dict = {}
 
@@ -69,7 +69,7 @@ def view(function: Callable[..., DataFrame] | None = None, *, stage: list[str] |
         key = (function.__name__, args, tuple(sorted(options.items())))
         if key not in m._views:
             df = function(m, *args, **options)
-            m._views[key] = store(df, function.__name__, stage) if stage and m.staged else df
+            m._views[key] = store(df, function.__name__, stage, m.folder) if stage and m.staged else df
         return m._views[key]
 
     return described

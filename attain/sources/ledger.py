@@ -18,7 +18,7 @@ from attain.operators.dedupe import keep_first, keep_latest, surplus_rows
 from attain.operators.joins import dated_join
 from attain.plans.model import Model
 from attain.policy import PLAN_PHASING, RAMP_FACTORS, Plan, Policy, plan_tiers, standard_tiers
-from attain.sources.stage import store
+from attain.sources.stage import new_folder, store
 
 BASE_QUOTA = {"ENT": "170000", "SME": "150000", "CHN": "160000"}
 EPOCH = 1995 * 12
@@ -283,7 +283,8 @@ class LedgerModel(Model):
 
     def __init__(self, spark: SparkSession, path: str, policy: Policy = LEDGER_POLICY, staged: bool = True):
         super().__init__(policy, staged)
-        self.source = Tables(spark, path)
+        C.require_exact(spark)
+        self.source, self.folder = Tables(spark, path), new_folder(spark)
 
     tiers = cached_property(lambda self: plan_tiers(self.source.spark, self.policy))
     assignments = cached_property(lambda self: assignments(self.source))
@@ -294,7 +295,7 @@ class LedgerModel(Model):
     def fact_sales(self) -> DataFrame:
         """Written once when staged: every KPI, question and report reads it."""
         lines = fact_sales(self.source, self.assignments, self.dim_product, self.policy)
-        return store(lines, "fact_sales", ["month_key"]) if self.staged else lines
+        return store(lines, "fact_sales", ["month_key"], self.folder) if self.staged else lines
 
     fact_targets = cached_property(lambda self: fact_targets(self.raw_targets))
     fact_team_plan = cached_property(lambda self: fact_team_plan(self.source, self.policy))

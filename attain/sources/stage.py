@@ -27,13 +27,24 @@ def shared_folder(spark: SparkSession) -> str:
     return _local[app]
 
 
-def store(df: DataFrame, name: str, sort_by: list[str] | None = None) -> DataFrame:
+def new_folder(spark: SparkSession) -> str:
+    """A folder of its own for the stage tables of one model or run."""
+    return f"{shared_folder(spark)}/attain-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete the stage tables of a model or run that nothing reads any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def store(df: DataFrame, name: str, sort_by: list[str] | None = None, folder: str | None = None) -> DataFrame:
     """Write and read back: the write runs now, while the query is still being put together.
 
     Sorting inside the partitions costs no shuffle and lets readers skip row groups.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     (df.sortWithinPartitions(*sort_by) if sort_by else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

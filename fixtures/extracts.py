@@ -96,7 +96,7 @@ def ledger_extracts(m: LedgerModel) -> Extracts:
     return Extracts(
         policy=policy,
         orders=t["orders"],
-        sales_lines=store(sales_lines(t), "raw_sales_lines") if m.staged else sales_lines(t),
+        sales_lines=store(sales_lines(t), "raw_sales_lines", folder=m.folder) if m.staged else sales_lines(t),
         sales_targets=m.raw_targets.select(
             month_text(F.col("month_key")).alias("target_month"), code("REP-", "rep_key").alias("rep_code"),
             "target_amount_usd", "revision_no", F.lit(None).cast("date").alias("revised_at")),

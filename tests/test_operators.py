@@ -219,3 +219,13 @@ def test_session_settings_stay_as_they_are(spark):
     for folder in ("/root/testdata/sf0.001", "/root/testdata/sf0.01"):
         catalog.model(spark, folder)
     assert dict(spark.conf.getAll) == before
+
+
+def test_silent_overflow_is_refused(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(ValueError, match="ansi"):
+            C.require_exact(spark)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    C.require_exact(spark)

@@ -1,5 +1,6 @@
 """Every registered query against its DuckDB statement, and the shape of the plans."""
 
+import os
 import re
 
 import pytest
@@ -53,4 +54,6 @@ def test_changed_input_is_read_again(spark, tmp_path):
     query = QUERIES["revenue_tie_out"]
     first = query(spark, str(tmp_path)).collect()
     shutil.copyfile("/root/testdata/sf0.01/lineitem.parquet", tmp_path / "lineitem.parquet")
+    old = next(m.folder for k, m in catalog._models.items() if k[2] == str(tmp_path))
     assert query(spark, str(tmp_path)).collect() != first
+    assert not os.path.exists(old.removeprefix("file:"))
