@@ -6,13 +6,15 @@ line in (document id, line number) order stays.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attain.llm.common import Stages, components, filter_rows, maybe_in
 
 #: Letters whose counts a line carries to the join: two lines within e edits differ by at most 2e in all of them.
-LETTERS = "enai"
+LETTERS = "ena"
 NO_ID = (1 << 63) - 1
 
 
@@ -29,8 +31,7 @@ def lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFr
 
 def segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
     """Start (from 0) and size of segment i (from 0) of a line cut into near equal parts, the longer ones last."""
-    base, more = F.floor(length / parts), length % parts
-    short = F.lit(parts) - more
+    base, short = (length / parts).cast("int"), F.lit(parts) - length % parts
     return i * base + F.greatest(F.lit(0), F.lit(i) - short), base + F.when(F.lit(i) >= short, 1).otherwise(0)
 
 
@@ -45,23 +46,22 @@ def index_keys(max_edits: int) -> Column:
     return F.array(*[F.xxhash64(n, F.lit(i), piece(*cuts[i])) for i in range(parts)])
 
 
-def probe_keys(max_edits: int, min_chars: int) -> Column:
-    """Keys of the substrings that a line of this or a smaller length must share one of, with a flag for smaller;
-    null where a line has no such substring.
+def probe_keys(max_edits: int, less: int, min_chars: int) -> Column:
+    """Keys of the substrings of a line, one of which a line that is shorter by less must have as a segment; null where
+    there is no such substring.
 
     For the i-th segment, a shared substring can only be shifted as far as the edits before it (at most i) and
     those behind it (at most max_edits - i) allow.
     """
     parts, out = max_edits + 1, []
-    for less in range(parts):
-        n = F.col("n") - less
-        for i in range(parts):
-            start, size = segment(n, i, parts)
-            for shift in range(max(-i, less - (max_edits - i)), min(i, less + (max_edits - i)) + 1):
-                at = start + shift
-                fits = (at >= 0) & (at + size <= F.col("n")) & (n >= min_chars)
-                key = F.when(fits, F.xxhash64(n, F.lit(i), piece(at, size)))
-                out.append(F.struct(key.alias("key"), F.lit(less > 0).alias("longer")))
+    n = F.col("n") - less if less else F.col("n")
+    for i in range(parts):
+        start, size = segment(n, i, parts)
+        for shift in range(max(-i, less - (max_edits - i)), min(i, less + (max_edits - i)) + 1):
+            at = start + shift if shift else start
+            key = F.xxhash64(n, F.lit(i), piece(at, size))
+            fits = [at >= 0] * (shift < 0) + [at + size <= F.col("n")] * (shift > less) + [n >= min_chars] * (less > 0)
+            out.append(F.when(reduce(lambda a, b: a & b, fits), key) if fits else key)
     return F.array(*out)
 
 
@@ -131,18 +131,20 @@ def within_edits(ca: Column, cb: Column, max_edits: int) -> Column:
 def line_links(reps: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
     """Pairs (a, b) of line hashes, from (h1, norm, n, letters), whose lines share a segment in place and nearly have the same letters."""
     index = reps.select("h1", "letters", F.explode(index_keys(max_edits)).alias("key"))
-    probe = (reps.select(F.col("h1").alias("h1_b"), F.col("letters").alias("letters_b"), F.explode(probe_keys(max_edits, min_chars)).alias("p"))
-             .select("h1_b", "letters_b", F.col("p.key").alias("key_b"), F.col("p.longer").alias("longer")).where("key_b IS NOT NULL"))
+    probes = [reps.select(F.col("h1").alias("h1_b"), F.col("letters").alias("letters_b"), F.lit(less > 0).alias("longer"),
+                          F.explode(probe_keys(max_edits, less, min_chars)).alias("key_b")) for less in range(max_edits + 1)]
+    probe = reduce(DataFrame.unionByName, probes).where("key_b IS NOT NULL")
     near = letters_apart(F.col("letters"), F.col("letters_b")) <= 2 * max_edits
     return (index.join(probe, (F.col("key") == F.col("key_b")) & (F.col("longer") | (F.col("h1") < F.col("h1_b"))) & near)
             .select(F.least("h1", "h1_b").alias("a"), F.greatest("h1", "h1_b").alias("b")).where("a <> b").distinct())
 
 
 def repeated_lines(docs: DataFrame, stages: Stages, *, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 1,
-                   min_chars: int = 20) -> DataFrame:
-    """(h1, h2, keep) of the lines that occur again or have a near copy; keep is the place of the one that stays."""
+                   min_chars: int = 20) -> tuple[DataFrame, DataFrame]:
+    """Places of all lines, and (h1, h2, keep) of the lines that occur again or have a near copy; keep is the place of the one that stays."""
     all_lines = lines(docs, id_col, text_col, min_chars)
-    classes = stages.write(all_lines.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min("place").alias("first")))
+    places = stages.write(all_lines.drop("norm"))
+    classes = stages.write(places.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min("place").alias("first")))
     again = filter_rows(classes.where("times > 1").select(F.col("h1").alias("key")))
     flagged = maybe_in(all_lines, "h1", again)
     # one line of each class: lines that occur once come straight from the scan, the others by their first place
@@ -164,7 +166,7 @@ def repeated_lines(docs: DataFrame, stages: Stages, *, id_col: str = "doc_id", t
     keeps = near.groupBy("component").agg(F.min("first").alias("keep"))
     near = stages.write(near.join(keeps, "component").select("h1", "h2", "keep"))
     exact = classes.where("times > 1").join(near.select("h1", "h2"), ["h1", "h2"], "left_anti")
-    return stages.write(near.unionByName(exact.select("h1", "h2", F.col("first").alias("keep"))))
+    return places, stages.write(near.unionByName(exact.select("h1", "h2", F.col("first").alias("keep"))))
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 1, min_chars: int = 20) -> DataFrame:
@@ -179,11 +181,10 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     stages = Stages(spark, "lines")
-    repeated = repeated_lines(docs, stages, id_col=id_col, text_col=text_col, max_edits=max_edits, min_chars=min_chars)
+    places, repeated = repeated_lines(docs, stages, id_col=id_col, text_col=text_col, max_edits=max_edits, min_chars=min_chars)
     found = repeated.select(F.col("h1").alias("r1"), F.col("h2").alias("r2"), "keep")
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    among = maybe_in(lines(docs, id_col, text_col, min_chars).select("id", "text_key", "line_no", "h1", "h2", "place"), "h1",
-                     filter_rows(repeated.select(F.col("h1").alias("key"))))
+    among = maybe_in(places, "h1", filter_rows(repeated.select(F.col("h1").alias("key"))))
     lost = stages.write(among.where("__in").join(found, (F.col("h1") == F.col("r1")) & (F.col("h2") == F.col("r2")))
                         .where("place <> keep").select("id", "text_key", "line_no").distinct()
                         .groupBy("id", "text_key").agg(F.collect_list("line_no").alias("lost")))
