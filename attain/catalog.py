@@ -218,7 +218,7 @@ def target_flags(r: etl.Run) -> DataFrame:
     keys = ["rep_code", "target_month"]
     latest = r.x.sales_targets.groupBy(*keys).agg(F.max("revision_no").alias("_latest"))
     return flagged.join(latest, keys).select(
-        F.substring("rep_code", 5, 12).cast("long").alias("rep_key"),
+        F.substring("rep_code", 5, 12).try_cast("long").alias("rep_key"),
         F.regexp_replace("target_month", "-", "").cast("int").alias("month_key"), "revision_no", "target_amount_usd",
         (F.col("revision_no") < F.col("_latest")).alias("superseded"), F.col("DQ-T02").alias("not_positive"),
         F.col("DQ-T03").alias("unknown_rep"))

@@ -44,6 +44,7 @@ RAW_ORDER = ("document_no, doc_type, original_document_no, document_date, rep_co
              "quantity, unit_list_price_local, discount_pct, net_amount_local, currency, exported_at")
 
 register({
+    "strangers": "SELECT month_key FROM months",
     "rawbase": """
         SELECT l_orderkey * 10 + l_linenumber AS k, l_orderkey, l_partkey, l_suppkey, l_quantity::BIGINT AS q,
                (l_extendedprice::DECIMAL(18,2) * 100)::BIGINT AS lc, l_discount::DECIMAL(4,2) AS disc,
@@ -206,6 +207,7 @@ def log_row(rule: str, rows: str, of: str | None) -> str:
 
 
 RAW_ROWS = "SELECT COUNT(*) FROM lineitem"
+TARGET_ROWS = "SELECT (SELECT COUNT(*) FROM rawtgt) + (SELECT COUNT(*) FROM strangers)"
 LOG = " UNION ALL ".join(
     [log_row(f"STD-0{i}", f"SELECT COUNT(*) FROM stdline WHERE {f}", None)
      for i, f in ((1, "fixed_date"), (2, "fixed_country"), (3, "fixed_sku"))]
@@ -213,11 +215,9 @@ LOG = " UNION ALL ".join(
     + [log_row(r, f"SELECT COUNT(*) FROM flagged WHERE \"{r}\"", RAW_ROWS) for r in FLAGS]
     + [log_row(r, f"SELECT COUNT(*) FROM routed WHERE late_rule = '{r}'", RAW_ROWS)
        for r in ("DQ-S16", "DQ-S17", "DQ-S18")]
-    + [log_row("DQ-T01", "SELECT COUNT(*) - COUNT(DISTINCT (rep_key, month_key)) FROM rawtgt",
-               "SELECT COUNT(*) FROM rawtgt"),
-       log_row("DQ-T02", "SELECT COUNT(*) FROM rawtgt WHERE target_amount_usd <= 0", "SELECT COUNT(*) FROM rawtgt"),
-       log_row("DQ-T03", "SELECT COUNT(*) FROM rawtgt WHERE rep_key NOT IN (SELECT rep_key FROM emp)",
-               "SELECT COUNT(*) FROM rawtgt"),
+    + [log_row("DQ-T01", "SELECT COUNT(*) - COUNT(DISTINCT (rep_key, month_key)) FROM rawtgt", TARGET_ROWS),
+       log_row("DQ-T02", "SELECT COUNT(*) FROM rawtgt WHERE target_amount_usd <= 0", TARGET_ROWS),
+       log_row("DQ-T03", "SELECT COUNT(*) FROM strangers", TARGET_ROWS),
        log_row("DQ-T04", "SELECT COUNT(*) FROM bridge b LEFT JOIN tgt t USING (rep_key, month_key) "
                          "WHERE t.rep_key IS NULL", "SELECT COUNT(*) FROM bridge")])
 
@@ -314,7 +314,8 @@ SQL = {
     "dq_target_rules": """
         SELECT rep_key, month_key, revision_no, target_amount_usd::DOUBLE AS target_amount_usd,
                revision_no < MAX(revision_no) OVER (PARTITION BY rep_key, month_key) AS superseded,
-               target_amount_usd <= 0 AS not_positive, FALSE AS unknown_rep FROM rawtgt""",
+               target_amount_usd <= 0 AS not_positive, rep_key NOT IN (SELECT s_suppkey FROM supplier) AS unknown_rep FROM rawtgt
+        UNION ALL SELECT NULL, month_key, 1, 10.0::DOUBLE, FALSE, FALSE, TRUE FROM strangers""",
     "dq_missing_targets": """
         SELECT b.rep_key, e.employee_code, e.full_name, b.month_key, b.team_key
           FROM bridge b JOIN emp e ON e.rep_key = b.rep_key

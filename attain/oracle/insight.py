@@ -72,7 +72,7 @@ register({
            AND regr_slope(100 * rolling_3m_achievement, (6 - rn)::DOUBLE) <= -5.0
            AND MAX(100 * rolling_3m_achievement) FILTER (rn = 1) / 100 <= 0.90""",
     "movedfact": """
-        SELECT f.* REPLACE (CASE WHEN f.doc_type = 'CN' AND f.days_since_original <= 90 THEN b.sale_month
+        SELECT f.* REPLACE (CASE WHEN f.doc_type = 'CN' AND f.days_since_original <= 90 AND b.sale_month IS NOT NULL THEN b.sale_month
                                  ELSE f.month_key END AS month_key)
           FROM fact f LEFT JOIN (SELECT document_no, MIN(month_key) AS sale_month FROM fact WHERE doc_type = 'INV'
                                   GROUP BY 1) b ON b.document_no = f.original_document_no""",

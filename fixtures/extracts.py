@@ -93,13 +93,17 @@ def ledger_extracts(m: LedgerModel) -> Extracts:
                                F.lit(None).cast("string").alias("home_country"),
                                F.lit(None).cast("string").alias("managed_team_id"))
     year_months = F.explode(F.sequence(F.lit(policy.start), F.lit(policy.end), F.expr("interval 1 month")))
+    unknown_reps = seats.where("team_key = 0").select(
+        month_text(F.col("month_key")).alias("target_month"), F.lit("REP-X").alias("rep_code"),
+        F.lit(Decimal("10.00")).cast(C.MONEY).alias("target_amount_usd"), F.lit(1).alias("revision_no"),
+        F.lit(None).cast("date").alias("revised_at"))
     return Extracts(
         policy=policy,
         orders=t["orders"],
         sales_lines=store(sales_lines(t), "raw_sales_lines", folder=m.folder) if m.staged else sales_lines(t),
         sales_targets=m.raw_targets.select(
             month_text(F.col("month_key")).alias("target_month"), code("REP-", "rep_key").alias("rep_code"),
-            "target_amount_usd", "revision_no", F.lit(None).cast("date").alias("revised_at")),
+            "target_amount_usd", "revision_no", F.lit(None).cast("date").alias("revised_at")).unionByName(unknown_reps),
         team_plan=seats.select(team_code.alias("team_id"), month_text(F.col("month_key")).alias("plan_month"),
                                "planned_headcount", "plan_amount_usd"),
         employees=managers.unionByName(reps),
