@@ -142,17 +142,17 @@ def line_links(reps: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
 def repeated_lines(docs: DataFrame, stages: Stages, *, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 1,
                    min_chars: int = 20) -> tuple[DataFrame, DataFrame]:
     """Places of all lines, and (h1, h2, keep) of the lines that occur again or have a near copy; keep is the place of the one that stays."""
-    all_lines = lines(docs, id_col, text_col, min_chars)
-    places = stages.write(all_lines.drop("norm"))
-    classes = stages.write(places.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min("place").alias("first")))
+    written = lines(docs, id_col, text_col, min_chars)
+    written = stages.write(written.withColumns({"n": F.length("norm"), "letters": letter_counts()}))
+    classes = stages.write(written.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min("place").alias("first")))
     again = filter_rows(classes.where("times > 1").select(F.col("h1").alias("key")))
-    flagged = maybe_in(all_lines, "h1", again)
-    # one line of each class: lines that occur once come straight from the scan, the others by their first place
+    flagged = maybe_in(written, "h1", again)
+    # one line of each class: lines that occur once come straight from what was written, the others by their first place
+    columns = ("h1", "norm", "n", "letters")
     firsts = classes.select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), "first")
-    others = (flagged.where("__in").join(firsts, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")) & (F.col("place") == F.col("first"))))
-    columns = ("h1", "h2", "norm")
-    reps = flagged.where("NOT __in").select(*columns).unionByName(others.select(*columns))
-    reps = stages.write(reps.select("h1", "norm", F.length("norm").alias("n"), letter_counts().alias("letters")))
+    others = stages.write(flagged.where("__in").join(firsts, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")) & (F.col("place") == F.col("first")))
+                          .select(*columns))
+    reps = flagged.where("NOT __in").select(*columns).unionByName(others)
     pairs = stages.write(line_links(reps, max_edits, min_chars))
     wanted = filter_rows(pairs.select(F.explode(F.array("a", "b")).alias("key")))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
@@ -166,7 +166,7 @@ def repeated_lines(docs: DataFrame, stages: Stages, *, id_col: str = "doc_id", t
     keeps = near.groupBy("component").agg(F.min("first").alias("keep"))
     near = stages.write(near.join(keeps, "component").select("h1", "h2", "keep"))
     exact = classes.where("times > 1").join(near.select("h1", "h2"), ["h1", "h2"], "left_anti")
-    return places, stages.write(near.unionByName(exact.select("h1", "h2", F.col("first").alias("keep"))))
+    return written.select("id", "text_key", "line_no", "h1", "h2", "place"), stages.write(near.unionByName(exact.select("h1", "h2", F.col("first").alias("keep"))))
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 1, min_chars: int = 20) -> DataFrame:
