@@ -163,15 +163,18 @@ def detect_declines(m: Model) -> DataFrame:
 
 # --------------------------------------------------------------------------- pay scenarios
 def sale_month_facts(m: Model) -> DataFrame:
-    """Credit notes inside the clawback window moved to the month of their invoice, if that is present."""
+    """Credit notes inside the clawback window moved to the month of their invoice.
+
+    Without that invoice they have no month and drop out; the checks IC-10 and A04 count such notes, and
+    the job stops on them before.
+    """
     inv = F.col("doc_type") == "INV"
     booked = (m.fact_sales.where(inv).groupBy(F.col("document_no").alias("original_document_no"))
               .agg(F.min("month_key").alias("_sale_month")))
     windows = m.plan_months.select("month_key", "clawback_window_days")
     credits = (m.fact_sales.where(~inv).join(windows, "month_key", "left")
                .join(booked, "original_document_no", "left"))
-    moved = F.when(F.col("days_since_original") <= F.col("clawback_window_days"),
-                   F.coalesce("_sale_month", "month_key")).otherwise(
+    moved = F.when(F.col("days_since_original") <= F.col("clawback_window_days"), F.col("_sale_month")).otherwise(
         F.col("month_key"))
     columns = m.fact_sales.columns
     restated = credits.withColumn("month_key", moved).select(*columns)
