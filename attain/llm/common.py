@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -113,7 +114,20 @@ def without(df: DataFrame, id_col: str, lost: DataFrame) -> DataFrame:
     return rows.where("NOT __in").select("row.*").unionByName(rest.select("row.*"))
 
 
-# ---------------------------------------------------------------- words and shingles in tasks
+# ---------------------------------------------------------------- in tasks
+
+try:
+    _trim = ctypes.CDLL("libc.so.6").malloc_trim
+except (OSError, AttributeError):  # no glibc
+    _trim = None
+
+
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: workers live on, and other stages need the room."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
 
 _rng = np.random.default_rng(20240817)
 BYTE_CODES = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)

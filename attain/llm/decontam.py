@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attain.llm.common import SHINGLE_WORDS, chunks, mix, shingles, without, word_codes
+from attain.llm.common import SHINGLE_WORDS, chunks, give_back, mix, shingles, without, word_codes
 
 #: Bits of a fingerprint that may differ. At similarity 0.75 about 11 of 64 do, with a standard deviation of 3.
 RADIUS = 23
@@ -175,6 +175,7 @@ def scan(docs: DataFrame, held: Benchmark, id_col: str, text_col: str, item_col:
                 batch.column("id").take(pa.array(rows, pa.int64())), pa.array([bench.ids[f[0]] for f in found], pa.int64()),
                 pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.int64()),
                 pa.array([f[3] for f in found], pa.int64())], names=["id", "item", "similarity", "start_word", "n_words"])
+        give_back()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

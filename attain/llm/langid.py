@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from attain.llm.common import LOWER, SHINGLE_CODES, chunks
+from attain.llm.common import LOWER, SHINGLE_CODES, chunks, give_back
 
 # Families of language codes; any other code is in the family "other".
 FAMILIES = {
@@ -220,6 +220,7 @@ def predict(text: Column, model: Model | None) -> Column:
                 labels, score = model.classify(total)
                 for i in np.flatnonzero(usable[row:row + len(at) - 1]):
                     langs[row + i], scores[row + i] = labels[i], score[i]
+        give_back()
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores)], names=["lang", "score"])
 
     return run(text)

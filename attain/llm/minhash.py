@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attain.llm.common import SHINGLE_WORDS, Stages, chunks, components, filter_rows, maybe_in, mix, shingles, word_codes
+from attain.llm.common import SHINGLE_WORDS, Stages, chunks, components, filter_rows, give_back, maybe_in, mix, shingles, word_codes
 
 #: 32 bands of 4 minima: a pair of similarity 0.75 shares a band but for a chance of 5e-6.
 BANDS, BAND_ROWS = 32, 4
@@ -88,6 +88,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFr
                     batch.column("id").slice(row, n), pa.array(count), pa.array(keys, mask=count == 0),
                     pa.array(signs, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
                     names=["id", "n", "rid", "sign", "bands"])
+        give_back()
 
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
             .mapInArrow(run, "id long, n long, rid long, sign binary, bands array<long>"))
@@ -185,6 +186,7 @@ def in_blocks(members: DataFrame, work) -> DataFrame:
             rest = t.slice(whole)
         if rest is not None and rest.num_rows:
             yield pairs(rest.combine_chunks())
+        give_back()
 
     return (members.repartition("block").sortWithinPartitions("block")
             .mapInArrow(run, "a long, b long").where("a <> b").distinct())
@@ -235,6 +237,7 @@ def check(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
             keep = pa.array(linked, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+        give_back()
 
     left = sets.select(F.col("rid").alias("a"), F.col("codes").alias("codes_a"))
     right = sets.select(F.col("rid").alias("b"), F.col("codes").alias("codes_b"))

@@ -12,6 +12,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from attain.llm.common import give_back
+
 SCHEMA = ("id {id}, start long, length long, ids binary, doc_tokens long, loss_tokens long, "
           "sequence_id long, offset long")
 
@@ -147,5 +149,6 @@ def pack(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str =
                     yield from flush()
         if found:
             yield from flush()
+        give_back()
 
     return docs.select(*columns).mapInArrow(run, schema).withColumnRenamed("id", id_col)
