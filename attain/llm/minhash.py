@@ -307,7 +307,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     least = stages.write(least)
     reps = (all_docs.join(least.withColumnsRenamed({"rid": "least_rid"}), (F.col("rid") == F.col("least_rid")) & F.col("id").eqNullSafe(F.col("least")))
             .select("id", "rid", "n", "sign", "bands"))
-    keys = reps.select("rid", F.explode("bands").alias("bucket"))
+    once = reps.select("rid", "bands").dropDuplicates(["rid"])  # rows may repeat, and bit_xor cancels what comes twice
+    keys = once.select("rid", F.explode("bands").alias("bucket"))
     buckets = keys.groupBy("bucket").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("rid")).alias("who"), F.bit_xor(F.xxhash64(F.lit(1), "rid")).alias("too")).where("size > 1")
     buckets = stages.write(buckets.groupBy("size", "who", "too").agg(F.min("bucket").alias("bucket")).select("bucket", "size"))
     rows = maybe_in(reps.select("rid", F.explode("bands").alias("band")), "band", filter_rows(buckets.select(F.col("bucket").alias("key"))))

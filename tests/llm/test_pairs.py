@@ -116,6 +116,15 @@ def test_near_duplicates_by_brute_force(spark, monkeypatch, few):
     compare_near(spark, rows)
 
 
+@pytest.mark.parametrize("ids", [True, False])
+def test_near_duplicates_of_repeated_rows(spark, ids):
+    rows = []
+    for family in range(20):
+        base = prose(family, 60)
+        rows += [(10 * family + k if ids else None, edited(base, 50 * family + k, k)) for k in range(2)]
+    compare_near(spark, rows + rows)
+
+
 def test_chains_of_links(spark):
     words = prose(3, 200).split()
     compare_near(spark, [(i, " ".join(words[3 * i:3 * i + 80])) for i in range(30)])
