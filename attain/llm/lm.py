@@ -27,7 +27,7 @@ CLASS_ROWS, LEAF_ROWS = 1 << 12, 1 << 14
 #: Words whose counts every task holds; counts of the rest are joined.
 HELD = 100_000
 #: Learning rate of AdaGrad, tokens of a gradient step.
-RATE, STEP = 0.25, 8192
+RATE, STEP = 0.25, 4096
 END = b"\n"  # no word has white space
 TOTAL = CLASSES * LEAVES
 
@@ -127,12 +127,13 @@ class Weights:
 
 
 def features(leaf: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """(features, tokens) codes: the word before, the two before, and the word two before (a skip)."""
+    """(features, tokens) codes: the word before, the two before, and the words two and three before (skips)."""
     n = len(leaf)
     at = np.arange(n)
     start = np.repeat(first[:-1], np.diff(first))
-    back = [np.where(at - k >= start, leaf.take(np.maximum(at - k, 0)), TOTAL).astype(np.uint64) + np.uint64(1) for k in (1, 2)]
-    return np.stack([back[0] * SHINGLE_CODES[1], back[0] * SHINGLE_CODES[2] + back[1] * SHINGLE_CODES[3], back[1] * SHINGLE_CODES[4]])
+    back = [np.where(at - k >= start, leaf.take(np.maximum(at - k, 0)), TOTAL).astype(np.uint64) + np.uint64(1) for k in (1, 2, 3)]
+    return np.stack([back[0] * SHINGLE_CODES[1], back[0] * SHINGLE_CODES[2] + back[1] * SHINGLE_CODES[3],
+                     back[1] * SHINGLE_CODES[4], back[2] * SHINGLE_CODES[5]])
 
 
 def class_index(codes: np.ndarray) -> np.ndarray:

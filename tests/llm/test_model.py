@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from attain.llm import lm
 from cases import awkward, frame, prose
@@ -68,6 +69,24 @@ def test_context_helps_on_unseen_texts(spark):
     assert all(r["score"] > 0.8 * r["base_score"] for r in got)
 
 
+@pytest.mark.parametrize("back", [1, 2, 3])
+def test_words_up_to_three_before_help_in_one_round(spark, back):
+    """Each word depends on one word before it alone; the query fits with one round."""
+    rng = np.random.default_rng(2)
+    follow = {w: rng.permutation(40)[:3] for w in range(40)}
+
+    def walk(n):
+        out = rng.integers(40, size=back).tolist()
+        while len(out) < n:
+            out.append(int(follow[out[-back]][rng.integers(3)]))
+        return " ".join(f"w{x}" for x in out)
+
+    train = frame(spark, [(i, walk(300)) for i in range(120)]).coalesce(2)
+    test = frame(spark, [(i, walk(300)) for i in range(5)])
+    got = lm.score(test, lm.fit(train)).collect()
+    assert all(r["score"] > 0.8 * r["base_score"] for r in got), [r["score"] / r["base_score"] for r in got]
+
+
 def test_empty_tables(spark):
     none = frame(spark, []).limit(0)
     some = frame(spark, [(1, "a b"), (2, None)])
