@@ -16,6 +16,8 @@ from attain.llm.common import Stages, components, filter_rows, maybe_in
 #: Letters whose counts a line carries to the join: two lines within e edits differ by at most 2e in all of them.
 LETTERS = "ena"
 NO_ID = (1 << 63) - 1
+#: What the query and the pipeline take: edits between near copies, and the characters from which exact repeats go.
+EDITS, EXACT_CHARS = 3, 4
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -140,9 +142,9 @@ def line_links(reps: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, stages: Stages, *, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 1,
-                   min_chars: int = 20) -> tuple[DataFrame, DataFrame]:
+                   min_chars: int = 20, exact_chars: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Places of all lines, and (h1, h2, keep) of the lines that occur again or have a near copy; keep is the place of the one that stays."""
-    written = lines(docs, id_col, text_col, min_chars)
+    written = lines(docs, id_col, text_col, min_chars if exact_chars is None else max(1, min(exact_chars, min_chars)))
     written = stages.write(written.withColumns({"n": F.length("norm"), "letters": letter_counts()}))
     classes = stages.write(written.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min("place").alias("first")))
     again = filter_rows(classes.where("times > 1").select(F.col("h1").alias("key")))
@@ -153,7 +155,7 @@ def repeated_lines(docs: DataFrame, stages: Stages, *, id_col: str = "doc_id", t
     others = stages.write(flagged.where("__in").join(firsts, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")) & (F.col("place") == F.col("first")))
                           .select(*columns))
     reps = flagged.where("NOT __in").select(*columns).unionByName(others)
-    pairs = stages.write(line_links(reps, max_edits, min_chars))
+    pairs = stages.write(line_links(reps.where(F.col("n") >= min_chars), max_edits, min_chars))
     wanted = filter_rows(pairs.select(F.explode(F.array("a", "b")).alias("key")))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
     texts = stages.write(maybe_in(reps, "h1", wanted).where("__in").join(ends, F.col("h1") == F.col("end"), "left_semi")
@@ -169,11 +171,13 @@ def repeated_lines(docs: DataFrame, stages: Stages, *, id_col: str = "doc_id", t
     return written.select("id", "text_key", "line_no", "h1", "h2", "place"), stages.write(near.unionByName(exact.select("h1", "h2", F.col("first").alias("keep"))))
 
 
-def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 1, min_chars: int = 20) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 1, min_chars: int = 20,
+                exact_chars: int | None = None) -> DataFrame:
     """The documents with repeated and near repeated lines taken out, and n_lines and n_dropped.
 
     Lines are compared lower-cased and without white space at their ends. Lines of fewer than min_chars characters
-    always stay. Lines within max_edits (0 to 4) edits are linked, linked lines form a class, and the first line of
+    always stay, unless exact_chars is given: then those of exact_chars or more go where they repeat exactly, and only
+    shorter ones (and blank ones) always stay. Of lines of min_chars or more, those within max_edits (0 to 4) edits are linked, linked lines form a class, and the first line of
     a class in (id, line number) order stays; null ids come last. Rows that share their id and text are one document: each keeps
     the same lines. A null text stays null with no lines, an empty text has one empty line. A document that loses
     every line stays with an empty text. Input columns n_lines and n_dropped are replaced. An empty table gives no
@@ -181,7 +185,8 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """
     spark = docs.sparkSession
     stages = Stages(spark, "lines")
-    places, repeated = repeated_lines(docs, stages, id_col=id_col, text_col=text_col, max_edits=max_edits, min_chars=min_chars)
+    places, repeated = repeated_lines(docs, stages, id_col=id_col, text_col=text_col, max_edits=max_edits, min_chars=min_chars,
+                                      exact_chars=exact_chars)
     found = repeated.select(F.col("h1").alias("r1"), F.col("h2").alias("r2"), "keep")
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     among = maybe_in(places, "h1", filter_rows(repeated.select(F.col("h1").alias("key"))))

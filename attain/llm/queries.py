@@ -84,7 +84,7 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents without repeated and near repeated lines."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return linedup.dedup_lines(docs)
+    return linedup.dedup_lines(docs, max_edits=linedup.EDITS, exact_chars=linedup.EXACT_CHARS)
 
 
 def _quoted(text: str) -> str:

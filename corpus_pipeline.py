@@ -20,7 +20,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines, with their new number of characters; those that lose all their text go."""
-    out = linedup.dedup_lines(docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text"))
+    out = linedup.dedup_lines(docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", "text"),
+                              max_edits=linedup.EDITS, exact_chars=linedup.EXACT_CHARS)
     left = out.where((F.col("n_dropped") == 0) | (F.btrim("text", F.lit(" \t\r\n")) != ""))
     new = {"text": F.col("text"), "n_chars": F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("doc.n_chars"))} if "n_chars" in docs.columns else {"text": F.col("text")}
     return left.select(*[new.get(c, F.col("doc")[c]).alias(c) for c in docs.columns])

@@ -196,6 +196,23 @@ def test_line_dedup_by_brute_force(spark, max_edits):
     assert got == expected_lines([(r["doc_id"], r["text"]) for r in docs.collect()], max_edits, 12)
 
 
+def test_near_and_short_lines_of_the_query_and_the_pipeline(spark, tmp_path):
+    """Three edits in a line of any length count as near; short lines go where they repeat exactly, tiny and blank ones stay."""
+    import corpus_pipeline
+    from attain.llm.queries import op10_line_dedup
+
+    line, other = prose(5, 50), "Some twenty characters"
+    near = line[:40] + "#" + line[41:150] + "##" + line[150:]
+    rows = [(1, f"{line}\n{other}\nErheed. Titionly.\n\nab"), (2, f"{near}\nnew line number two here\n  erheed. titionly.\n\nab"),
+            (3, "Erheed. Titionly!\nSome twenti charakter\nab\nab"), (4, line[:-5] + "four!!")]
+    want = {1: rows[0][1], 2: "new line number two here\n\nab", 3: "Erheed. Titionly!\nab\nab", 4: rows[3][1]}
+    docs = frame(spark, rows)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert edits(line, near) == 3 and edits(line, rows[3][1]) > 3
+    for out in (op10_line_dedup(spark, str(tmp_path)), corpus_pipeline.line_dedup(spark, docs, str(tmp_path))):
+        assert {r["doc_id"]: r["text"] for r in out.collect()} == want
+
+
 def test_line_dedup_of_awkward_rows(spark):
     rows = [(i, t) for i, t in awkward() if t is None or len(t) < 60_000]
     out = linedup.dedup_lines(frame(spark, rows))
