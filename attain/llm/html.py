@@ -361,11 +361,13 @@ def fit(pages: DataFrame, *, html_col: str = "html", sample: int = 300, variants
     """
     html = F.col(html_col)
     marked = pages.where(html.isNotNull() & html.rlike("(?is)<(article|main)\\b.*</(article|main)")).select(html.alias("html"))
-    n = marked.count()
+    marked = marked.where(F.length("html") < 200_000)
+    n = marked.select(F.xxhash64("html")).distinct().count()
     if not n:
         return None
     share = F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, 2.0 * sample / n)))
-    rows = marked.where(share & (F.length("html") < 200_000)).orderBy(F.xxhash64("html")).limit(sample).collect()
+    rows = (marked.where(share).groupBy(F.xxhash64("html").alias("h")).agg(F.first("html").alias("html"))
+            .orderBy("h").limit(sample).collect())
     texts = [r["html"] for r in rows]
     pool = [p for t in texts for p in _PARAGRAPH.findall(t)][:5000]
     rng = np.random.default_rng(11)

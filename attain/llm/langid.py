@@ -35,6 +35,8 @@ FAMILY_OF = {code: family for family, codes in FAMILIES.items() for code in code
 #: Hash bits of the character features, and the longest run of bytes that is one.
 BITS = 15
 RUN = 4
+#: Labels of one family that are learned pair by pair; larger families are cut into blocks of labels.
+BLOCK = 20
 UNKNOWN = "und"
 
 _CLASS = LOWER.copy()
@@ -133,24 +135,21 @@ class Model:
         return list(labels), np.clip(score, 0.0, 1.0)
 
 
-def sample(train: DataFrame, text_col: str, lang_col: str, per_language: int, languages: int) -> DataFrame:
-    """At most per_language different texts of each of the most frequent languages, picked by a hash of the text."""
+def sample(train: DataFrame, text_col: str, lang_col: str, per_language: int) -> DataFrame:
+    """At most per_language different texts of each language, picked by a hash of the text."""
     labelled = train.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(languages).collect()
-    if not counts:
-        return labelled
-    shares = F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, 2.0 * per_language / r["n"])))])
+    # a text is picked once for all its copies, so the share is one of different texts
+    different = labelled.select("lang", F.xxhash64("text").alias("h")).distinct()
+    shares = different.groupBy(F.col("lang").alias("of")).agg((2.0 * per_language / F.count("*")).alias("share"))
     spread = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    few = (labelled.where(spread < F.try_element_at(shares, F.col("lang")))
+    few = (labelled.join(F.broadcast(shares), F.col("lang") == F.col("of")).where(spread < F.col("share"))
            .groupBy("lang", F.xxhash64("text").alias("h")).agg(F.first("text").alias("text")))
     order = Window.partitionBy("lang").orderBy("h")
     return few.withColumn("r", F.row_number().over(order)).where(F.col("r") <= per_language).select("lang", "text")
 
 
-def fit(train: DataFrame, *, text_col: str = "text", lang_col: str = "lang", per_language: int = 300,
-        languages: int = 100) -> Model | None:
-    """Fit on a bounded sample, per_language texts of each of the languages most frequent labels; their sparse
-    features meet at the driver.
+def fit(train: DataFrame, *, text_col: str = "text", lang_col: str = "lang", per_language: int = 300) -> Model | None:
+    """Fit on a bounded sample, per_language different texts of each label; their sparse features meet at the driver.
 
     Rows without label, text or letter are not used. Without any usable row there is no model (None).
     """
@@ -166,7 +165,7 @@ def fit(train: DataFrame, *, text_col: str = "text", lang_col: str = "lang", per
                         yield pa.RecordBatch.from_arrays([batch.column("lang").slice(row + i, 1), pa.array([index.tobytes()]),
                                                           pa.array([value.tobytes()])], names=["lang", "index", "value"])
 
-    got = sample(train, text_col, lang_col, per_language, languages).mapInArrow(run, "lang string, index binary, value binary").collect()
+    got = sample(train, text_col, lang_col, per_language).mapInArrow(run, "lang string, index binary, value binary").collect()
     if not got:
         return None
     got.sort(key=lambda r: (r["lang"], bytes(r["index"]), bytes(r["value"])))
@@ -183,7 +182,7 @@ def fit(train: DataFrame, *, text_col: str = "text", lang_col: str = "lang", per
     groups = defaultdict(list)
     for code in sorted(set(lang)):
         groups[FAMILY_OF.get(code, "other")].append(code)
-    families = tuple(tuple(groups[k]) for k in sorted(groups))
+    families = tuple(tuple(groups[k][i:i + BLOCK]) for k in sorted(groups) for i in range(0, len(groups[k]), BLOCK))
     pairs = tuple(p for langs in families for p in combinations(langs, 2))
     tasks = [([i for i in range(len(rows))], {c for c in langs}) for langs in families if len(families) > 1]
     tasks += [([i for i in range(len(rows)) if lang[i] in pair], {pair[0]}) for pair in pairs]

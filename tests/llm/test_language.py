@@ -2,6 +2,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from attain.llm import langid
 from cases import awkward, frame
@@ -58,6 +59,27 @@ def test_unlisted_and_single_language(spark):
     assert langid.identify(frame(spark, [(5, "anything")]), model).first()["lang_pred"] == "xx"
 
 
+def test_copies_do_not_crowd_out_a_language(spark):
+    rows, langs = corpus(10)
+    rows = [r for r in rows if langs[r[0]] != "fr"] + [(1000 + i, f"le la {'et que avec ' * i}") for i in range(30)]
+    langs |= {1000 + i: "fr" for i in range(30)}
+    copies = frame(spark, [(5000, "maison eau")], {5000: "fr"}).crossJoin(spark.range(20_000).select()).select("doc_id", "text", "lang")
+    docs = frame(spark, rows, langs).select("doc_id", "text", "lang").union(copies)
+    got = {r["lang"]: r["n"] for r in langid.sample(docs, "text", "lang", 300).groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    assert got["fr"] == 31
+
+
+def test_every_label_is_learned(spark):
+    labels = [f"q{i:03}" for i in range(110)]
+    rows = [(i, f"{chr(97 + i % 26) * 3}{chr(97 + i // 26) * 4} {chr(97 + i // 26)}{chr(97 + i % 26) * 2}") for i in range(110)]
+    train = rows + [(200 + i, t + " " + t) for i, t in rows]
+    langs = {i: labels[i % 200] for i, _ in train}
+    model = langid.fit(frame(spark, train, langs))
+    assert sorted(x for f in model.families for x in f) == labels and max(map(len, model.families)) == langid.BLOCK
+    found = {r["doc_id"]: r["lang_pred"] for r in langid.identify(frame(spark, rows), model).collect()}
+    assert sum(found[i] == labels[i] for i in range(110)) > 100
+
+
 def test_only_the_text_decides(spark):
     rows, langs = corpus(10)
     model = langid.fit(frame(spark, rows, langs))

@@ -50,6 +50,13 @@ def words(text):
     return set(text.split())
 
 
+def test_copies_do_not_crowd_out_pages(spark):
+    rng = random.Random(8)
+    pages = spark.createDataFrame([(page(rng)[0],) for _ in range(12)], "html string")
+    first = pages.limit(1).crossJoin(spark.range(20_000).select()).select("html")
+    assert html.fit(pages.union(first)) is not None
+
+
 @pytest.mark.parametrize("main", ["article", "main", 'div class="content"', 'div id="main-text"'])
 def test_held_out_pages(spark, trees, main):
     """Pages of a layout that the trees were not fitted on, also without the article element."""
