@@ -79,6 +79,15 @@ def test_round_trip_of_awkward_rows(spark):
             assert b"".join(b for _, b in got) == ids.tobytes()
 
 
+def test_special_tokens_as_the_library_has_them_by_default(spark):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(tokenizer_path())
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n", "<|endoftext|", "plain"]
+    for r in packing.pack(frame(spark, list(enumerate(texts))), tokenizer_path(), end_id=None).collect():
+        assert np.frombuffer(r["ids"], "<u4").tolist() == t.encode(texts[r["doc_id"]], add_special_tokens=False).ids
+
+
 def test_instruction_data(spark):
     docs = spark.createDataFrame([(1, "a question here", "the answer"), (2, None, "only answer"), (3, "only prompt", None)], "doc_id long, prompt string, text string")
     rows = {r["doc_id"]: r for r in packing.pack(docs, tokenizer_path(), prompt_col="prompt", end_id=None).collect()}
