@@ -132,6 +132,15 @@ def test_spellings_of_one_licence(spark):
     assert rows[8]["notice_ids"] == "CC-BY-NC-4.0,MIT"
 
 
+def test_full_texts_and_copyright_anywhere_in_a_line(spark):
+    mit = licenses.KNOWN[0][1].removeprefix("MIT License\n\n")
+    want = [("MIT", f"{c}\n\n{mit}") for c in ("Copyright Foo Inc. 2020", "Portions Copyright (c) 2020 X", "2020, copyright by Y", "Copyright (c) Z\nPortions copyright 2021 W")]
+    want += [(k, "Copyright Foo Inc. 2020\n" + text) for k, text in licenses.KNOWN if len(text) > 400]
+    assert {"BSD-2-Clause", "BSD-3-Clause", "Zlib", "Unlicense", "Apache-2.0", "MPL-2.0", "GPL-3.0-only", "CC0-1.0"} <= {k for k, _ in want}
+    rows = {r["doc_id"]: r["license_id"] for r in licenses.scan(frame(spark, [(i, t) for i, (_, t) in enumerate(want)])).collect()}
+    assert [rows[i] for i in range(len(want))] == [k for k, _ in want]
+
+
 def test_awkward_texts_and_own_table(spark):
     known = spark.createDataFrame([("B", "one"), ("A", "ONE!"), ("C", None), ("D", "")], "license_id string, text string")
     rows = licenses.scan(frame(spark, awkward()), known).collect()
