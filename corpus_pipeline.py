@@ -15,7 +15,7 @@ from attain.llm.queries import tokenizer_path
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the labelled ones teach; those without text or letter go."""
     model = langid.fit(docs)
-    return docs.where(langid.predict(F.col("text"), model)["lang"] != langid.UNKNOWN) if model else docs
+    return docs.where(langid.predict(F.col("text"), model)["lang"] != langid.UNKNOWN) if model else docs.where(F.col("text").rlike(r"\p{L}"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

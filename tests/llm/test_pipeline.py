@@ -70,6 +70,12 @@ def test_run_and_registration(spark, folder):
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_texts_without_letter_go_without_labels_too(spark):
+    docs = frame(spark, awkward())
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.language(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([(i, t) for i, t in awkward() if t and any(c.isalpha() for c in t)], key=str)
+
+
 def test_empty_documents(spark, tmp_path, folder):
     spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
     spark.read.parquet(f"{folder}/benchmark.parquet").write.parquet(str(tmp_path / "none" / "benchmark.parquet"))
