@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attain.llm.common import give_back
+from attain.llm.tokens import byte_alphabet
 
 SCHEMA = ("id {id}, start long, length long, ids binary, doc_tokens long, loss_tokens long, "
           "sequence_id long, offset long")
@@ -26,13 +27,6 @@ class Limits:
     loss: int = 2048
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The printable stand-ins of the 256 bytes in byte-level vocabularies."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 _encoders: dict[str, object] = {}
 
 

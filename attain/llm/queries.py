@@ -7,14 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attain.llm import decontam, html, langid, licenses, linedup, lm, minhash, packing, sharding, vectors
+from attain.llm import align, decontam, html, langid, licenses, linedup, lm, minhash, packing, sharding, tokens, vectors, whitening
 from attain.llm.common import table
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def id_remainder(name: str, n: int) -> Column:
@@ -87,6 +87,21 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linedup.dedup_lines(docs, max_edits=linedup.EDITS, exact_chars=linedup.EXACT_CHARS)
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document."""
+    return tokens.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers over every document."""
+    return align.align_documents(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings in units of their eight leading components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
@@ -123,6 +138,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_multi_index": op8_multi_index,
         "op9_main_text": op9_main_text,
         "op10_line_dedup": op10_line_dedup,
+        "op11_token_counts": op11_token_counts,
+        "op12_alignment": op12_alignment,
+        "op13_whitening": op13_whitening,
     }
 
 
