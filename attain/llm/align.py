@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attain.llm.common import Stages, give_back
-from attain.llm.tokens import Library, byte_alphabet, library
+from attain.llm.tokens import Library, byte_alphabet, encoder, library
 
 #: Characters of a chunk, chunks that one composition takes, and bytes that are aligned at once inside a task.
 CHUNK_CHARS, FAN, BATCH_BYTES = 1 << 16, 16, 1 << 19
@@ -64,6 +64,7 @@ class Pair:
 
     def __post_init__(self):
         self.va, self.vb = Vocabulary(self.a), Vocabulary(self.b)
+        self.encode_a = encoder(self.a.path)
         self.names = np.concatenate([self.va.names(b",", b"|"), self.vb.names(b",", b";")])
 
 
@@ -127,21 +128,32 @@ def align(runs: list[Run], two: Pair) -> list[tuple[Fragment, Groups]]:
     first_b = np.concatenate([[0], np.cumsum([len(x) for x in ends_b])])
     ids_a, ids_b = (np.concatenate([getattr(r, s) for r in runs]).astype(np.int64) for s in "ab")
     ends_a, ends_b = np.concatenate(ends_a), np.concatenate(ends_b)
-    both = np.intersect1d(np.concatenate([starts_a, ends_a]).astype(np.int64), np.concatenate([starts_b, ends_b]).astype(np.int64), assume_unique=True)
+    # one flag for every byte: where a token of a side ends, and where a side is at a border (its starts included)
+    end_a, end_b, both, border = (np.zeros(base, bool) for _ in range(4))
+    end_a[ends_a], end_b[ends_b] = True, True
+    both[:] = end_b
+    both[starts_b] = True
+    border[:] = end_a
+    border[starts_a] = True
+    both &= border
     # the start of each run is a border too, so that no run meets the open tokens of its neighbour
-    borders = np.union1d(both, bases).astype(np.int64)
+    border[:] = both
+    border[bases] = True
+    borders = np.flatnonzero(border)
     own = np.append(np.searchsorted(borders, bases), len(borders))
+    count_a, count_b = np.cumsum(end_a), np.cumsum(end_b)
     # order of all tokens, stretch by stretch between borders: those of a before those of b
-    group_a, group_b = np.searchsorted(borders, ends_a), np.searchsorted(borders, ends_b)
-    until_a = np.concatenate([[0], np.searchsorted(ends_a, borders, side="right"), [len(ids_a)]])
-    until_b = np.concatenate([[0], np.searchsorted(ends_b, borders, side="right")])
+    stretch = np.cumsum(border) - border
+    until_a = np.concatenate([[0], count_a[borders], [len(ids_a)]])
+    until_b = np.concatenate([[0], count_b[borders]])
     names = np.empty(len(ids_a) + len(ids_b), np.int64)
-    names[np.arange(len(ids_a)) + until_b[group_a]] = ids_a + np.isin(ends_a, both, assume_unique=True) * two.va.size
-    names[np.arange(len(ids_b)) + until_a[group_b + 1]] = ids_b + 2 * two.va.size + np.isin(ends_b, both, assume_unique=True) * two.vb.size
+    names[np.arange(len(ids_a)) + until_b[stretch[ends_a]]] = ids_a + both[ends_a] * two.va.size
+    names[np.arange(len(ids_b)) + until_a[stretch[ends_b] + 1]] = ids_b + 2 * two.va.size + both[ends_b] * two.vb.size
     # a link for every stretch between neighbouring ends
-    ends = np.union1d(ends_a, ends_b)
-    codes = ids_a[np.minimum(np.searchsorted(ends_a, ends), len(ids_a) - 1)] << 32 | ids_b[np.minimum(np.searchsorted(ends_b, ends), len(ids_b) - 1)] \
-        if len(ids_a) and len(ids_b) else np.zeros(len(ends), np.int64)
+    ends = np.flatnonzero(end_a | end_b)
+    at_a, at_b = count_a[ends] - end_a[ends], count_b[ends] - end_b[ends]
+    codes = ids_a[np.minimum(at_a, len(ids_a) - 1)] << 32 | ids_b[np.minimum(at_b, len(ids_b) - 1)] if len(ids_a) and len(ids_b) \
+        else np.zeros(len(ends), np.int64)
     out = []
     for k, run in enumerate(runs):
         begin, last = own[k] + (run.a_lo != run.b_lo), own[k + 1] - 1  # borders: first common end, last common end
@@ -202,7 +214,7 @@ def tokenise(slices: list[str], bounds: np.ndarray, first: list[bool], two: Pair
     """
     texts_a = [" " * f + s[a0:a1] for s, f, (a0, a1, _, _) in zip(slices, first, bounds.tolist())]
     texts_b = [s[b0:b1] for s, (_, _, b0, b1) in zip(slices, bounds.tolist())]
-    ids_a, ids_b = two.a.encode(texts_a, first), two.b.encode(texts_b, first)
+    ids_a, ids_b = list(map(two.encode_a, texts_a)), two.b.encode(texts_b, first)
     out = []
     for k, f in enumerate(first):
         a, b = np.array(ids_a[k], np.int64), np.array(ids_b[k], np.int64)

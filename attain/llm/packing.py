@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attain.llm.common import give_back
-from attain.llm.tokens import byte_alphabet
+from attain.llm.tokens import encoder
 
 SCHEMA = ("id {id}, start long, length long, ids binary, doc_tokens long, loss_tokens long, "
           "sequence_id long, offset long")
@@ -27,31 +25,6 @@ class Limits:
     loss: int = 2048
 
 
-_encoders: dict[str, object] = {}
-
-
-def encoder(path: str, special: bool = False):
-    """text -> ids by the vocabulary of a byte-level tokenizers file; strings of its added tokens become their ids if
-    special, as in the library by default, and are ordinary text otherwise.
-
-    tiktoken does the merging: the same ids as the tokenizers library (tested), four times as fast.
-    """
-    if path not in _encoders:
-        import tiktoken
-        from public_tokenizers import PATTERN
-
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        added = {x["content"]: x["id"] for x in spec.get("added_tokens", [])}
-        if any(x.get(k) for x in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip")):
-            raise ValueError("added tokens that take in their surroundings are not supported")
-        byte = byte_alphabet()
-        ranks = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in added}
-        _encoders[path] = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
-    found = _encoders[path]
-    return partial(found.encode, allowed_special="all") if special else found.encode_ordinary
-
-
 def pack_group(tokens: np.ndarray, loss: np.ndarray, limits: Limits) -> list[tuple[int, int, int, int, int, int]]:
     """(example, start, length, loss, sequence, offset) of pieces that cover every token of each example once.
 

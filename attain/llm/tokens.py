@@ -9,6 +9,7 @@ import json
 import os
 import re
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -164,6 +165,49 @@ def library(path: str, special: bool = True) -> Library:
     return _libraries[path, special]
 
 
+_encoders: dict[tuple[str, bool], Callable[[str], list[int]]] = {}
+
+
+def encoder(path: str, special: bool = False) -> Callable[[str], list[int]]:
+    """text -> ids by the vocabulary of a byte-level tokenizers file; strings of its added tokens become their ids if
+    special, as in the library by default, and are ordinary text otherwise.
+
+    tiktoken does the merging: the same ids as the tokenizers library (tested), four times as fast. What it refuses, a
+    million blanks in a row, goes to the tokenizers library, as do files that do not split words by bytes.
+    """
+    if (path, special) not in _encoders:
+        import tiktoken
+        from public_tokenizers import PATTERN
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        added = {x["content"]: x["id"] for x in spec.get("added_tokens", [])}
+        if any(x.get(k) for x in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip")):
+            raise ValueError("added tokens that take in their surroundings are not supported")
+        exact = library(path, special)
+
+        def slow(text: str) -> list[int]:
+            return exact.encode([text], [True])[0]
+
+        byte_level = spec.get("normalizer") is None and (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel"
+        if byte_level:
+            byte = byte_alphabet()
+            ranks = {bytes(byte[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in added}
+            fast = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=added)
+            merge = partial(fast.encode, allowed_special="all") if special else fast.encode_ordinary
+
+            def encode(text: str) -> list[int]:
+                try:
+                    return merge(text)
+                except ValueError:
+                    return slow(text)
+
+            _encoders[path, special] = encode
+        else:
+            _encoders[path, special] = slow
+    return _encoders[path, special]
+
+
 def lengths(texts: pa.Array, lib: Library, batch_bytes: int, part_chars: int) -> np.ndarray:
     """Tokens of each text; parts of different texts share a call, so that calls have about batch_bytes bytes."""
     out = np.zeros(len(texts), np.int64)

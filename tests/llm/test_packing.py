@@ -107,3 +107,13 @@ def test_query_covers_all_documents(spark):
     fill = rows.groupby("sequence_id").length.sum()
     assert fill.max() <= 2048 and fill.sum() / (2048 * len(fill)) > 0.97
     assert prose(1, 2)
+
+
+@pytest.mark.parametrize("character", [" ", "\t", "\n"])
+def test_millions_of_blanks(character):
+    for n in (1_000_000, 2_000_000, 5_000_000):
+        text = "x" + character * n + "y <|endoftext|>"
+        from tokenizers import Tokenizer
+
+        assert packing.encoder(tokenizer_path())(text) == reference_ids(text)
+        assert packing.encoder(tokenizer_path(), special=True)(text) == Tokenizer.from_file(tokenizer_path()).encode(text, add_special_tokens=False).ids
