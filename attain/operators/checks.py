@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from attain.functions import columns as C
 from attain.operators.dedupe import surplus_rows
+from attain.operators.keys import Key, repeats, unknown, with_known
 from attain.schema import CONSTRAINTS, Constraint
 
 
@@ -19,10 +20,6 @@ def rows_failing(df: DataFrame, condition: Column) -> DataFrame:
     return df.agg(C.count_if(condition).alias("failing_rows"))
 
 
-def rows_repeating(df: DataFrame, keys: list[str]) -> DataFrame:
-    return surplus_rows(df, keys, "failing_rows").select("failing_rows")
-
-
 def rows_without(df: DataFrame, keys: list[str], parent: DataFrame, parent_keys: list[str]) -> DataFrame:
     """Rows of df whose keys are not in the parent; a null key counts as missing.
 
@@ -54,49 +51,17 @@ def one_pass(df: DataFrame, checks: list[tuple[str, str, Column]]) -> DataFrame:
     return rows.withColumn("passed", F.col("failing_rows") == 0)
 
 
-def keyed(df: DataFrame, keys: dict[str, list[str]], where: dict[str, Column] | None = None) -> DataFrame:
-    """Rows per value of several keys of one table, (what, key, rows), in a single scan.
+def key_checks(spark, unique: list[tuple[str, str, Key]] = (), refer: list[tuple[str, str, Key, Key]] = ()) -> DataFrame:
+    """Checks (id, description, key) that keys are unique, and (id, description, key, parent) that they are known.
 
-    A key of several columns, or of any type, is its text; null parts give a null key. where limits the rows
-    that count for a key.
+    Null keys are no repeats of their own kind only where the key's condition leaves them out, and never unknown.
     """
-    def text(columns: list[str]) -> Column:
-        parts = [F.col(c).cast("string") for c in columns]
-        return parts[0] if len(parts) == 1 else F.concat(*[x for p in parts for x in (p, F.lit("|"))])
-
-    entries = []
-    for what, columns in keys.items():
-        entry = F.struct(F.lit(what).alias("what"), text(columns).alias("key"))
-        entries.append(F.when(where[what], entry) if where and what in where else entry)
-    return (df.select(F.explode(F.array(*entries)).alias("_e")).where("_e IS NOT NULL")
-            .groupBy("_e.what", "_e.key").agg(F.count(F.lit(1)).alias("rows")))
-
-
-def parents(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
-    """(what, key) of the tables that keys refer to."""
-    parts = []
-    for what, (df, columns) in tables.items():
-        columns = [F.col(c).cast("string") for c in columns]
-        key = columns[0] if len(columns) == 1 else F.concat(*[x for p in columns for x in (p, F.lit("|"))])
-        parts.append(df.select(F.lit(what).alias("what"), key.alias("key")))
-    return reduce(DataFrame.unionAll, parts).distinct()
-
-
-def key_checks(counts: DataFrame, known: DataFrame | None, unique: dict[str, tuple[str, str]],
-               refer: dict[str, tuple[str, str, bool]]) -> DataFrame:
-    """Checks on counted keys: unique ones (what -> id, description), and those that must be known
-    (what -> id, description, whether a null key counts as missing)."""
-    surplus = F.sum(F.when(F.col("what").isin(*unique), F.col("rows") - 1).otherwise(F.lit(0))) if unique else None
-    failing = counts.where(F.col("what").isin(*unique)).groupBy("what").agg(surplus.alias("failing_rows")) if unique else None
-    if refer:
-        allowed = [what for what, (_, _, nulls) in refer.items() if not nulls]
-        asked = counts.where(F.col("what").isin(*refer) & ~(F.col("key").isNull() & F.col("what").isin(*allowed)))
-        missing = asked.join(known, ["what", "key"], "left_anti").groupBy("what").agg(F.sum("rows").alias("failing_rows"))
-        failing = missing if failing is None else failing.unionByName(missing)
-    names = {**{w: (i, d) for w, (i, d) in unique.items()}, **{w: (i, d) for w, (i, d, _) in refer.items()}}
-    listed = F.array(*[F.struct(F.lit(w).alias("what"), F.lit(i).alias("check_id"), F.lit(d).alias("description")) for w, (i, d) in names.items()])
-    spine = counts.sparkSession.range(1).select(F.explode(listed).alias("_c")).select("_c.*")
-    rows = spine.join(failing, "what", "left").select("check_id", "description", F.coalesce("failing_rows", F.lit(0)).cast("long").alias("failing_rows"))
+    parts = [repeats([Key(i, k.table, k.columns, k.where) for i, _, k in unique])] if unique else []
+    parts += [unknown([(Key(i, k.table, k.columns, k.where), parent) for i, _, k, parent in refer])] if refer else []
+    listed = F.array(*[F.struct(F.lit(c[0]).alias("what"), F.lit(c[1]).alias("description")) for c in (*unique, *refer)])
+    spine = spark.range(1).select(F.explode(listed).alias("_c")).select("_c.*")
+    rows = spine.join(reduce(DataFrame.unionByName, parts), "what", "left").select(
+        F.col("what").alias("check_id"), "description", F.coalesce("failing_rows", F.lit(0)).cast("long").alias("failing_rows"))
     return rows.withColumn("passed", F.col("failing_rows") == 0)
 
 
@@ -117,27 +82,25 @@ MASTERS = {"product": ("dim_product", "product_key", "product_key"), "rep": ("di
 
 
 def integrity_checks(m) -> DataFrame:
-    """Eleven checks of the conformed model; the fact is scanned three times: keys, row conditions, documents."""
+    """Eleven checks of the conformed model; the fact is scanned three times: line ids, row conditions with known keys, documents."""
     fs, invoice = m.fact_sales, F.col("doc_type") == "INV"
     gap = F.abs(F.col("gross_amount_usd") - F.col("discount_amount_usd") - F.col("net_amount_usd"))
     cent = F.lit("0.01").cast("decimal(3,2)")
     ordered = F.coalesce(F.col("days_since_original") >= 0, F.lit(False))
-    counts = keyed(fs, {"line": ["line_id"], **{w: [key] for w, (_, key, _) in MASTERS.items()}})
-    known = parents({w: (getattr(m, table), [key]) for w, (table, _, key) in MASTERS.items()})
     missing = F.when((F.col("line") == 0) | F.col("doc").isNull(), F.col("credit")).otherwise(0)
     documents = document_sides(fs).agg(F.coalesce(F.sum(missing), F.lit(0)).alias("failing_rows"))
+    flagged = with_known(fs, {f"_known_{w}": (column, getattr(m, table), key) for w, (table, column, key) in MASTERS.items()})
     return stack([
-        key_checks(counts, known, {"line": ("IC-01", "line ids are unique")},
-                   {"product": ("IC-02", "product keys exist", True), "rep": ("IC-03", "rep keys exist", True),
-                    "team": ("IC-04", "team keys exist", True), "customer": ("IC-05", "customer keys exist", True)}),
-        one_pass(fs, [
+        key_checks(m.spark, unique=[("IC-01", "line ids are unique", Key("line", fs, ("line_id",))),
+                                    ("IC-09", "one target per rep-month", Key("target", m.fact_targets, ("rep_key", "month_key")))]),
+        one_pass(flagged, [
+            *[(i, f"{w} keys exist", ~F.col(f"_known_{w}")) for i, w in (("IC-02", "product"), ("IC-03", "rep"), ("IC-04", "team"), ("IC-05", "customer"))],
             ("IC-06", "invoices positive, credit notes negative",
              invoice != F.coalesce(F.col("net_amount_usd") > 0, F.lit(False))),
             ("IC-07", "gross - discount = net", ~F.coalesce(gap < cent, F.lit(False))),
             ("IC-08", "cost within gross",
              F.abs("cost_amount_usd") > F.abs("gross_amount_usd") + cent),
             ("IC-11", "credit notes not before their invoice", ~invoice & ~ordered)]),
-        as_check("IC-09", "one target per rep-month", rows_repeating(m.fact_targets, ["rep_key", "month_key"])),
         as_check("IC-10", "credit notes reference a document present", documents),
     ])
 
@@ -147,7 +110,6 @@ def sql_assertions(m) -> DataFrame:
     fs, kind, net = m.fact_sales, F.col("doc_type"), F.col("net_amount_usd")
     gap = F.abs(F.col("gross_amount_usd") - F.col("discount_amount_usd") - net)
     spine = ["rep_key", "month_key"]
-    counts = keyed(fs, {"line": ["line_id"], "spine": spine}, {"spine": kind == "INV"})
     orphan = F.when((F.col("invoice") == 0) | F.col("doc").isNull(), F.col("credit")).otherwise(0)
     over = (F.col("credited") > F.col("invoiced") + 1) & F.col("doc").isNotNull()
     documents = one_row_checks(document_sides(fs), [
@@ -156,14 +118,15 @@ def sql_assertions(m) -> DataFrame:
     allocated = m.fact_targets.groupBy("team_key", "month_key").agg(F.sum("target_amount_usd").alias("allocated"))
     above = m.fact_team_plan.join(allocated, ["team_key", "month_key"]).where(
         F.col("allocated") > F.col("plan_amount_usd") * F.lit("1.25").cast("decimal(3,2)"))
+    masters = {f"_known_{w}": (column, getattr(m, table), key) for w, (table, column, key) in MASTERS.items()}
+    unknown_key = reduce(lambda a, b: a | b, [~F.col(flag) for flag in masters])
     return stack([
-        key_checks(counts, parents({"spine": (m.bridge, spine)}), {"line": ("A01", "repeated sales lines")},
-                   {"spine": ("A08", "invoices outside active months", True)}),
-        one_pass(fs, [
+        key_checks(m.spark, unique=[("A01", "repeated sales lines", Key("line", fs, ("line_id",)))]),
+        as_check("A08", "invoices outside active months", rows_without(fs.where(kind == "INV"), spine, m.bridge, spine)),
+        one_pass(with_known(fs, masters), [
+            ("A03", "lines with an unknown product, rep, team or customer", unknown_key),
             ("A02", "sign convention", ((kind == "INV") & (net <= 0)) | ((kind == "CN") & (net >= 0))),
             ("A06", "gross - discount <> net", gap > F.lit("0.01").cast("decimal(3,2)"))]),
-        as_check("A03", "lines with an unknown product, rep, team or customer",
-                 orphans(fs, [(getattr(m, table), key, parent) for table, key, parent in MASTERS.values()])),
         documents,
         as_check("A07", "targets outside active months", rows_without(m.fact_targets, spine, m.bridge, spine)),
         as_check("A09", "allocated targets above 125% of plan", above.agg(F.count(F.lit(1)).alias("failing_rows"))),
@@ -178,25 +141,9 @@ def one_row_checks(df: DataFrame, checks: list[tuple[str, str, Column]]) -> Data
     return counts.select(F.explode(entries).alias("_c")).select("_c.*").withColumn("passed", F.col("failing_rows") == 0)
 
 
-def orphans(fs: DataFrame, masters) -> DataFrame:
-    """Lines missing at least one of several masters, each line counted once.
-
-    Lines are first reduced to the combinations of their keys; the keys of a combination are then looked
-    up together in one join, and a combination counts its lines if any key is missing.
-    """
-    names = [f"k{i}" for i in range(len(masters))]
-    combos = fs.groupBy(*[F.col(key).cast("string").alias(n) for n, (_, key, _) in zip(names, masters)]).agg(F.count(F.lit(1)).alias("rows"))
-    combos = combos.withColumn("combo", F.xxhash64(*names))
-    known = parents({n: (df, [parent]) for n, (df, _, parent) in zip(names, masters)})
-    entries = F.array(*[F.struct(F.lit(n).alias("what"), F.col(n).alias("key")) for n in names])
-    missing = (combos.select("combo", *names, "rows", F.explode(entries).alias("_e")).select("combo", *names, "rows", "_e.*")
-               .join(known, ["what", "key"], "left_anti").groupBy("combo", *names).agg(F.max("rows").alias("rows")))
-    return missing.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("failing_rows"))
-
-
 def constraint_violations(m, constraints: tuple[Constraint, ...] = CONSTRAINTS) -> DataFrame:
-    """Declared constraints as counted violations: two scans of each table, one for keys and one for conditions."""
-    checks = []
+    """Declared constraints as counted violations: one scan of each table for its conditions, all keys of all tables together."""
+    checks, unique, refer = [], [], []
     by_table: dict[str, list[tuple[str, Constraint]]] = {}
     for i, c in enumerate(constraints, start=1):
         by_table.setdefault(c.table, []).append((f"CON-{i:02d}", c))
@@ -206,13 +153,13 @@ def constraint_violations(m, constraints: tuple[Constraint, ...] = CONSTRAINTS)
                       for i, c in declared if c.kind in ("NOT NULL", "CHECK")]
         if conditions:
             checks.append(one_pass(df, conditions))
-        unique = {i: (i, c.label) for i, c in declared if c.kind in ("PK", "UNIQUE")}
-        refer = {i: (i, c.label, False) for i, c in declared if c.kind == "FK"}
-        if unique or refer:
-            present = {i: F.col(c.columns[0]).isNotNull() for i, c in declared if c.kind == "UNIQUE"}
-            counts = keyed(df, {i: list(c.columns) for i, c in declared if c.kind in ("PK", "UNIQUE", "FK")}, present)
-            known = parents({i: (getattr(m, c.parent[0]), [c.parent[1]]) for i, c in declared if c.kind == "FK"}) if refer else None
-            checks.append(key_checks(counts, known, unique, refer))
+        for i, c in declared:
+            if c.kind in ("PK", "UNIQUE"):
+                unique.append((i, c.label, Key(i, df, c.columns, F.col(c.columns[0]).isNotNull() if c.kind == "UNIQUE" else None)))
+            elif c.kind == "FK":
+                refer.append((i, c.label, Key(i, df, c.columns), Key(i, getattr(m, c.parent[0]), (c.parent[1],))))
+    if unique or refer:
+        checks.append(key_checks(df.sparkSession, unique, refer))
     return stack(checks)
 
 

@@ -6,27 +6,38 @@ the shuffle, so a key that owns a large share of the rows never lands on one tas
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from attain.operators.keys import Bitmap, fingerprint, repeated
+
+
+def mark_repeats(df: DataFrame, keys: list[str], flag: str) -> DataFrame:
+    """df with a flag that is true for every row whose key another row has (and for a few others), false for the rest.
+
+    One shuffle of fixed-width states, a 64-bit hash and a count for each key, combined before it; the hashes that repeat
+    come back as a bitmap, so the rows themselves stay where they are.
+    """
+    hashes = df.select(fingerprint(df, keys).alias("h"))
+    return Bitmap(repeated(hashes)).mark(df, fingerprint(df, keys), flag)
+
+
+def least_rows(df: DataFrame, keys: list[str], copies: str = "_copies") -> DataFrame:
+    """Smallest row per key in the order of the remaining columns, and how many copies there were."""
+    rest = [c for c in df.columns if c not in keys]
+    return (df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first"), F.count(F.lit(1)).alias(copies))
+            .select(*keys, "_first.*", copies))
+
 
 def keep_first(df: DataFrame, keys: list[str], copies: str | None = None) -> DataFrame:
     """Smallest row per key in the order of the remaining columns; optionally how many copies there were.
 
-    Keys are counted by a hash aggregate; only rows of keys that repeat are compared with each other,
-    the others pass without being sorted.
+    Only rows whose key may repeat are shuffled and compared with each other; the others pass as they are read.
     """
     rest = [c for c in df.columns if c not in keys]
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
-    again = per_key.select(*[F.col(k).alias(f"_again_{i}") for i, k in enumerate(keys)])
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_again_{i}")) for i, k in enumerate(keys)])
-    once = df.join(again, same, "left_anti").select(*keys, *rest, F.lit(1).cast("long").alias("_copies"))
-    many = (df.join(again, same, "left_semi").groupBy(*keys)
-            .agg(F.min(F.struct(*rest)).alias("_first"), F.count(F.lit(1)).alias("_copies"))
-            .select(*keys, "_first.*", "_copies"))
-    kept = once.unionByName(many)
+    marked = mark_repeats(df, keys, "_again")
+    once = marked.where("NOT _again").select(*keys, *rest, F.lit(1).cast("long").alias("_copies"))
+    kept = once.unionByName(least_rows(marked.where("_again").select(*keys, *rest), keys))
     return kept.withColumnRenamed("_copies", copies) if copies else kept.drop("_copies")
 
 

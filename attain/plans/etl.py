@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attain.functions import columns as C
-from attain.operators.dedupe import keep_first, keep_latest, surplus_rows
+from attain.operators.dedupe import keep_latest, least_rows, mark_repeats, surplus_rows
 from attain.operators.joins import point_in_time_join
 from attain.operators.ranking import dense_key
 from attain.operators.rules import DROP, FIX, FLAG, QUARANTINE, Rule, first_failed, rule_counts, rule_log
@@ -123,8 +123,8 @@ def alias_lookup(text: Column, aliases: dict[str, str]) -> Column:
 QUANTITY, AMOUNT, SHARE = "decimal(14,4)", "decimal(16,4)", "decimal(10,6)"
 
 
-def standardise_sales(df: DataFrame, policy: Policy) -> DataFrame:
-    """Typed and cleaned lines, with a flag per kind of correction made.
+def standardise_sales(df: DataFrame, policy: Policy, *more: Column | str) -> DataFrame:
+    """Typed and cleaned lines, with a flag per kind of correction made, and more columns of df as they are.
 
     Text that is no number becomes null. A number that does not fit its column (or is not finite) is marked as
     impossible, so that a rule holds the line back.
@@ -151,8 +151,7 @@ def standardise_sales(df: DataFrame, policy: Policy) -> DataFrame:
         F.coalesce(sku != F.col("sku"), F.lit(False)).alias("fixed_sku"),
         (impossible("quantity", QUANTITY) | impossible("unit_list_price_local", AMOUNT)
          | impossible("net_amount_local", AMOUNT)).alias("impossible_amount"),
-        impossible("discount_pct", SHARE).alias("impossible_discount"),
-        F.struct(*[c for c in df.columns if c != "line_id"]).alias("raw"))
+        impossible("discount_pct", SHARE).alias("impossible_discount"), *more)
 
 
 def known(master: DataFrame, code: str, name: str, flag: str, *attributes: str) -> DataFrame:
@@ -177,9 +176,9 @@ class Run:
         C.require_exact(x.spark)
         self.folder = new_folder(x.spark)
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, split: str | None = None) -> DataFrame:
         """Stages several others read are written once."""
-        return store(df, name, folder=self.folder) if self.staged else df
+        return store(df, name, folder=self.folder, split=split) if self.staged else df
 
     def close(self) -> None:
         """Delete what the run has staged; its tables cannot be read afterwards."""
@@ -208,11 +207,14 @@ class Run:
     @cached_property
     def all_lines(self) -> DataFrame:
         """Every exported line, repeats included: standardised, with what the masters know of it and a flag
-        per correction and row rule. Read and joined once; counts and kept lines both come from here."""
+        per correction and row rule. Read and joined once; counts and kept lines both come from here. Lines whose id may
+        repeat are marked; only these carry their raw columns, which settle the one that stays."""
         x = self.x
+        raw = mark_repeats(x.sales_lines, ["line_id"], "again")
+        order = F.when(F.col("again"), F.struct(*[c for c in x.sales_lines.columns if c != "line_id"])).alias("raw")
         reps = self.employees.where(F.col("role") == REP_ROLE)
         lines = attach_masters(
-            standardise_sales(x.sales_lines, self.policy),
+            standardise_sales(raw, self.policy, order, "again"),
             known(reps, "employee_code", "rep_code", "known_rep", "employee_key"),
             known(self.products, "sku", "sku", "known_sku", "product_key", "list_price_usd", "unit_cost_pct",
                   "commission_weight"),
@@ -221,14 +223,16 @@ class Run:
         flags = {r.rule_id: r.flag(self.policy) for r in STANDARDS + SALES_RULES}
         return self.keep(lines.withColumns(flags).drop(
             "known_rep", "known_sku", "known_customer", "known_currency", "fixed_date", "fixed_country", "fixed_sku",
-            "impossible_amount", "impossible_discount"), "checked_lines")
+            "impossible_amount", "impossible_discount"), "checked_lines", split="again")
 
     @cached_property
     def kept(self) -> DataFrame:
         """Lines without repeats (the first in the order of the raw columns): the quarantine rules each one
         breaks, exchange rate, repaired price, own team and the document it belongs to."""
-        raw_first = ["line_id", "raw"] + [c for c in self.all_lines.columns if c not in ("line_id", "raw")]
-        unique = keep_first(self.all_lines.select(*raw_first), ["line_id"]).drop("raw")
+        columns = [c for c in self.all_lines.columns if c not in ("line_id", "raw", "again")]
+        once = self.all_lines.where("NOT again").select("line_id", *columns)
+        unique = once.unionByName(least_rows(self.all_lines.where("again").select("line_id", "raw", *columns), ["line_id"])
+                                  .select("line_id", *columns))
         held_back = [F.when(F.col(f"`{r.rule_id}`"), F.lit(r.rule_id)) for r in SALES_RULES if r.action == QUARANTINE]
         lines = unique.withColumns({"failed": F.concat_ws(";", *held_back), "repair": F.col("`DQ-S13`"),
                                     "fx_month": F.date_format("document_date", "yyyy-MM")})
@@ -287,7 +291,9 @@ class Run:
 
     @cached_property
     def repeats(self) -> DataFrame:
-        return surplus_rows(self.all_lines, ["line_id"], "dropped_duplicates")
+        """How many lines repeat an id, and how many lines there are; only lines that may repeat are counted by id."""
+        surplus = surplus_rows(self.all_lines.where("again"), ["line_id"], "dropped_duplicates").select("dropped_duplicates")
+        return surplus.withColumn("_total", self.all_lines.agg(F.count(F.lit(1))).scalar())
 
     # logs
     @cached_property

@@ -38,14 +38,16 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def store(df: DataFrame, name: str, sort_by: list[str] | None = None, folder: str | None = None) -> DataFrame:
+def store(df: DataFrame, name: str, sort_by: list[str] | None = None, folder: str | None = None, split: str | None = None) -> DataFrame:
     """Write and read back: the write runs now, while the query is still being put together.
 
-    Sorting inside the partitions costs no shuffle and lets readers skip row groups.
+    Sorting inside the partitions costs no shuffle and lets readers skip row groups. Rows of each value of the column
+    split (of few values) go to folders of their own, and a reader of one value opens only its folder.
     """
     spark = df.sparkSession
     path = f"{folder or shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    (df.sortWithinPartitions(*sort_by) if sort_by else df).write.parquet(path)
+    writer = (df.sortWithinPartitions(*sort_by) if sort_by else df).write
+    (writer.partitionBy(split) if split else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
