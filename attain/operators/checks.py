@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from attain.functions import columns as C
 from attain.operators.dedupe import surplus_rows
-from attain.operators.keys import Key, repeats, unknown, with_known
+from attain.operators.keys import Key, repeats, stacked, unknown, with_known
 from attain.schema import CONSTRAINTS, Constraint
 
 
@@ -39,7 +39,7 @@ def as_check(check_id: str, description: str, failing: DataFrame) -> DataFrame:
 
 
 def stack(checks: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, checks)
+    return stacked([c.select("check_id", "description", "failing_rows", "passed") for c in checks])
 
 
 def one_pass(df: DataFrame, checks: list[tuple[str, str, Column]]) -> DataFrame:

@@ -63,6 +63,13 @@ class Bitmap:
                 .drop("_word", "_bits"))
 
 
+def stacked(parts: list[DataFrame]) -> DataFrame:
+    """All rows of many tables of equal columns, put together in a balanced tree: planning time grows with their number only."""
+    while len(parts) > 1:
+        parts = [a.unionAll(b) for a, b in zip(parts[::2], parts[1::2])] + (parts[-1:] if len(parts) % 2 else [])
+    return parts[0]
+
+
 # --------------------------------------------------------------------------- many keys at once
 @dataclass(frozen=True)
 class Key:
@@ -102,7 +109,7 @@ def repeats(keys: list[Key]) -> DataFrame:
     All keys of all tables meet in one aggregate of 64-bit fingerprints. Only rows whose fingerprint repeats are read
     again and compared by the key itself; without any, nothing is.
     """
-    rows = reduce(DataFrame.unionByName, _slots(keys))
+    rows = stacked(_slots(keys))
     parts = [c for c in rows.columns if c != "what"]
     rows = rows.withColumn("h", F.xxhash64("what", *parts))
     doubt = Bitmap(repeated(rows.select("h"))).among(rows)
@@ -117,29 +124,23 @@ def unknown(keys: list[tuple[Key, Key]]) -> DataFrame:
     bitmaps together have at most WORDS rows. Other keys are counted by a hash aggregate, and the counted ones looked up.
     """
     held = max(1, WORDS // len(keys)) * 64
-    fine, rest, known = [], [], []
-    for child, parent in keys:
-        own, its = _slots([child, Key(child.what, parent.table, parent.columns, parent.where)])
-        if child.is_integer() and parent.is_integer():
-            inside = F.col("_l0").between(0, held - 1)
-            fine.append((own.where(inside), its.where(inside)))
-            own, its = own.where(~inside), its.where(~inside)
-        rest.append(own), known.append(its)
-
-    def union(parts: list[DataFrame]) -> DataFrame:
-        columns = dict.fromkeys(c for p in parts for c in p.columns)
-        kinds = {c: "long" if c[:2] == "_l" else "string" for c in columns}
-        return reduce(DataFrame.unionByName, [p.select(*[c if c in p.columns else F.lit(None).cast(kinds[c]).alias(c) for c in columns]) for p in parts])
+    children = [child for child, _ in keys]
+    parents = [Key(child.what, parent.table, parent.columns, parent.where) for child, parent in keys]
+    both = _slots(children + parents)
+    pairs = list(zip(both, both[len(keys):], (c.is_integer() and p.is_integer() for c, p in keys)))
+    inside = F.col("_l0").between(0, held - 1)
+    fine = [(c.where(inside), p.where(inside)) for c, p, whole in pairs if whole]
+    rest = [(c.where(~inside), p.where(~inside)) if whole else (c, p) for c, p, whole in pairs]
 
     found = []
     if fine:
-        children, parents = union([c for c, _ in fine]), union([p for _, p in fine])
+        children, parents = stacked([c for c, _ in fine]), stacked([p for _, p in fine])
         word = F.shiftright("_l0", 6).alias("_word")
         words = parents.groupBy("what", word).agg(F.bit_or(one_bit(F.col("_l0"))).alias("_bits"))
         missing = F.coalesce(F.col("_bits").bitwiseAND(one_bit(F.col("_l0"))) == 0, F.lit(True))
         probed = children.select("what", "_l0", word).join(F.broadcast(words), ["what", "_word"], "left")
         found.append(probed.where(missing).groupBy("what").agg(F.count(F.lit(1)).alias("failing_rows")))
-    rows, parents = union(rest), union(known)
+    rows, parents = stacked([c for c, _ in rest]), stacked([p for _, p in rest])
     parts = [c for c in rows.columns if c != "what"]
     some = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in parts])
     counted = rows.where(some).groupBy("what", *parts).agg(F.count(F.lit(1)).alias("n"))
