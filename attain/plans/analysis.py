@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from attain.functions import columns as C
 from attain.operators.joins import band_join, one_row
+from attain.operators.keys import Bitmap
 from attain.operators.ranking import top_rows
-from attain.plans.commission import capped_base, commission_rep_month, kpi_rep_month
-from attain.plans.kpi import company_month, team_month
+from attain.plans.commission import add_commission, capped_base, commission_rep_month, kpi_rep_month
+from attain.plans.kpi import company_month, rep_month_base, team_month
 from attain.plans.model import Model
 
 BRIDGE_STEPS = (("1 Capacity plan", "plan"), ("2 Vacant seats", "vacancy_effect"),
@@ -162,32 +163,49 @@ def detect_declines(m: Model) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- pay scenarios
-def sale_month_facts(m: Model) -> DataFrame:
-    """Credit notes inside the clawback window moved to the month of their invoice.
+def moved_credit_notes(m: Model) -> DataFrame:
+    """What booking clawbacks to the month of sale changes, per rep and month: net amount and weighted clawback.
 
-    Without that invoice they have no month and drop out; the checks IC-10 and A04 count such notes, and
-    the job stops on them before.
+    A credit note inside the clawback window of its month leaves that month and comes to the month of its invoice, where it
+    is weighted only if it lies inside the window of that month too. Without that invoice it has no month and drops out; the
+    checks IC-10 and A04 count such notes, and the job stops on them before. Only invoices that such notes refer to are
+    grouped.
     """
-    inv = F.col("doc_type") == "INV"
-    booked = (m.fact_sales.where(inv).groupBy(F.col("document_no").alias("original_document_no"))
-              .agg(F.min("month_key").alias("_sale_month")))
+    inv, net = F.col("doc_type") == "INV", F.col("net_amount_usd")
     windows = m.plan_months.select("month_key", "clawback_window_days")
-    credits = (m.fact_sales.where(~inv).join(windows, "month_key", "left")
-               .join(booked, "original_document_no", "left"))
-    moved = F.when(F.col("days_since_original") <= F.col("clawback_window_days"), F.col("_sale_month")).otherwise(
-        F.col("month_key"))
-    columns = m.fact_sales.columns
-    restated = credits.withColumn("month_key", moved).select(*columns)
-    return m.fact_sales.where(inv).unionByName(restated)
+    notes = (m.fact_sales.where(~inv).join(windows, "month_key").where(F.col("days_since_original") <= F.col("clawback_window_days"))
+             .select("rep_key", "month_key", "original_document_no", "days_since_original", net.alias("net"),
+                     (net * F.col("commission_weight")).alias("weighted")))
+    referred = Bitmap(notes.select(F.xxhash64("original_document_no").alias("h")))
+    booked = (referred.among(m.fact_sales.where(inv).select("document_no", F.col("month_key").alias("sale_month"), F.xxhash64("document_no").alias("h")))
+              .groupBy(F.col("document_no").alias("original_document_no")).agg(F.min("sale_month").alias("sale_month")))
+    later = windows.select(F.col("month_key").alias("sale_month"), F.col("clawback_window_days").alias("sale_window"))
+    moved = (notes.join(booked, "original_document_no", "left").where(~F.col("sale_month").eqNullSafe(F.col("month_key")))
+             .join(later, "sale_month", "left"))
+    weighted = F.when(F.col("days_since_original") <= F.col("sale_window"), F.col("weighted")).otherwise(F.lit(0))
+    sides = F.array(F.struct("month_key", (-F.col("net")).alias("net"), (-F.col("weighted")).alias("weighted")),
+                    F.struct(F.col("sale_month").alias("month_key"), F.col("net"), weighted.alias("weighted")))
+    return (moved.select("rep_key", F.explode(sides).alias("_s")).select("rep_key", "_s.*").where("month_key IS NOT NULL")
+            .groupBy("rep_key", "month_key").agg(C.total("net").alias("net"), C.total("weighted", None, 4, C.WEIGHTED).alias("weighted")))
 
 
 def scenario_sale_month(m: Model) -> DataFrame:
-    """Commission per year as paid and with clawbacks booked to the month of sale."""
+    """Commission per year as paid and with clawbacks booked to the month of sale.
+
+    Only rep-months that lose or gain a credit note are priced again, once as they are and once as they would be.
+    """
     year = C.year_of("month_key").alias("year")
-    restated = m.with_(fact_sales=sale_month_facts(m), staged=False)
     paid = commission_rep_month(m).groupBy(year).agg(F.sum("commission").alias("paid"))
-    moved = commission_rep_month(restated).groupBy(year).agg(F.sum("commission").alias("moved"))
-    return paid.join(moved, "year").select("year", "paid", "moved", (F.col("paid") - F.col("moved")).alias("leakage"))
+    changed = rep_month_base(m).join(moved_credit_notes(m), ["rep_key", "month_key"])
+    versions = F.explode(F.array(F.lit(0), F.lit(1))).alias("_new")
+    both = changed.select("*", versions).withColumns({
+        "actual": (F.col("actual") + F.when(F.col("_new") == 1, F.col("net")).otherwise(F.lit(0))).cast(C.SUM_MONEY),
+        "weighted_clawback": (F.col("weighted_clawback") + F.when(F.col("_new") == 1, F.col("weighted")).otherwise(F.lit(0))).cast(C.WEIGHTED)})
+    priced = add_commission(both.drop("net", "weighted").withColumn("achievement", C.ratio("actual", "target")), m)
+    difference = F.sum(F.when(F.col("_new") == 1, F.col("commission")).otherwise(-F.col("commission")))
+    deltas = priced.groupBy(year).agg(difference.alias("_delta"))
+    delta = F.coalesce("_delta", F.lit(0).cast("decimal(38,8)"))
+    return paid.join(deltas, "year", "left").select("year", "paid", (F.col("paid") + delta).alias("moved"), (-delta).alias("leakage"))
 
 
 def quarterly_pay(m: Model) -> DataFrame:

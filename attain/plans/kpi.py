@@ -108,8 +108,12 @@ def add_names(df: DataFrame, m: Model) -> DataFrame:
 
 @view
 def rep_month_performance(m: Model) -> DataFrame:
-    """The rep-month view with names and ranks within team and company."""
-    ranked = group_rank(rep_month_trend(m), ["team_key", "month_key"], "achievement", rank="rank_in_team")
+    """The rep-month view with names and ranks within team and company.
+
+    A team has as many rows in a month as it has seats, so a window ranks them; the company has no such bound.
+    """
+    in_team = W.partitionBy("team_key", "month_key").orderBy(F.desc_nulls_last("achievement"))
+    ranked = rep_month_trend(m).withColumn("rank_in_team", F.when(F.col("achievement").isNotNull(), F.rank().over(in_team)).cast("long"))
     return add_names(group_rank(ranked, ["month_key"], "achievement", rank="rank_in_company"), m)
 
 
