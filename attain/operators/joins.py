@@ -1,5 +1,5 @@
-"""Join helpers. None of them carries a broadcast hint: the planner measures the sides and picks,
-and adaptive execution splits skewed partitions of the shuffled ones."""
+"""Join helpers. Only the list of heavy keys, whose length is bounded, carries a broadcast hint: otherwise the planner
+measures the sides and picks, and adaptive execution splits skewed partitions of the shuffled ones."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 OPEN_END = "2099-12-31"
+#: Rows of one key that may meet in one task.
+HEAVY_ROWS = 1 << 20
 
 
 def interval_lists(intervals: DataFrame, on: str, start: str, end: str, value: str) -> DataFrame:
@@ -44,6 +46,23 @@ def dated_join(df: DataFrame, intervals: DataFrame, on: str, at: str,
             .drop("_on", "_end", start))
 
 
+def spread_lookup_join(df: DataFrame, lookup: DataFrame, on: str, rows: str, spread_by: list[str], heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Left join of df to a table of one row per key that carries how many rows of df (at least) have the key.
+
+    Keys with more than heavy_rows rows are cut: their rows are dealt over as many parts as that takes, by a hash of the
+    columns spread_by, and their row of the lookup is copied to each part. There are at most (rows of df / heavy_rows) such
+    keys, so their list is broadcast. Rows without a key find nothing and are dealt over 1024 parts. The column `rows`
+    is not in the result.
+    """
+    copies = F.ceil(F.col(rows) / F.lit(heavy_rows)).cast("int")
+    heavy = lookup.where(F.col(rows) > heavy_rows).select(F.col(on).alias("_on"), copies.alias("_copies"))
+    part = F.pmod(F.xxhash64(*spread_by), F.when(F.col(on).isNull(), 1024).otherwise(F.coalesce("_copies", F.lit(1)))).cast("int")
+    dealt = df.join(F.broadcast(heavy), F.col(on) == F.col("_on"), "left").withColumn("_part", part).drop("_on", "_copies")
+    parts = F.explode(F.sequence(F.lit(0), F.greatest(copies, F.lit(1)) - 1)).alias("_part")
+    copied = lookup.select(*[c for c in lookup.columns if c != rows], parts)
+    return dealt.join(copied, [on, "_part"], "left").drop("_part")
+
+
 def band_join(df: DataFrame, bands: DataFrame, on: str, value: str,
               floor: str = "band_floor", ceiling: str = "band_ceiling") -> DataFrame:
     """Left join to the half-open band [floor, ceiling) of the same plan; a null edge is open."""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from attain.functions import columns as C
 from attain.operators.dedupe import keep_latest, least_rows, mark_repeats, surplus_rows
-from attain.operators.joins import point_in_time_join
+from attain.operators.joins import point_in_time_join, spread_lookup_join
 from attain.operators.ranking import dense_key
 from attain.operators.rules import DROP, FIX, FLAG, QUARANTINE, Rule, first_failed, rule_counts, rule_log
 from attain.plans.model import Model
@@ -255,10 +255,10 @@ class Run:
         usd = F.col("net_amount_local") / F.col("fx_rate")
         cents = F.round(usd, 2).cast(C.MONEY)
         return (self.kept.where(F.col("failed") == "").groupBy("doc")
-                .agg(F.min(F.when(~cn, F.struct("line_id", "team_id", "document_date"))).alias("_first"),
+                .agg(F.count(F.lit(1)).alias("lines"), F.min(F.when(~cn, F.struct("line_id", "team_id", "document_date"))).alias("_first"),
                      F.sum(F.when(~cn, usd)).alias("invoiced"), F.sum(F.when(cn, -usd)).alias("credited"),
                      F.sum(F.when(~cn, cents)).alias("invoiced_usd"), F.sum(F.when(cn, -cents)).alias("credited_usd"))
-                .select("doc", "invoiced_usd", "credited_usd", F.col("_first.team_id").alias("invoice_team"),
+                .select("doc", "lines", "invoiced_usd", "credited_usd", F.col("_first.team_id").alias("invoice_team"),
                         F.col("_first.document_date").alias("invoice_date"),
                         F.coalesce(F.col("credited") > F.coalesce("invoiced", F.lit(0)) + 1, F.lit(False))
                         .alias("over_credited")))
@@ -272,7 +272,8 @@ class Run:
         cn = is_type("CN")
         held = self.kept.where(F.col("failed") != "").withColumns({"original_date": F.lit(None).cast("date"), "late": F.lit(False)})
         passed = self.kept.where(F.col("failed") == "")
-        lines = passed.join(self.documents.drop("invoiced_usd", "credited_usd"), "doc", "left").withColumns({
+        documents = self.documents.drop("invoiced_usd", "credited_usd")
+        lines = spread_lookup_join(passed, documents, "doc", "lines", ["line_id"]).withColumns({
             "team_id": F.when(cn, F.col("invoice_team")).otherwise(F.col("team_id")),
             "original_date": F.when(cn, F.col("invoice_date"))}).drop("invoice_team", "invoice_date")
         late = lines.withColumns({"late": F.lit(True), "failed": first_failed(POST_RULES, self.policy)}).drop("over_credited")

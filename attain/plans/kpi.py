@@ -106,15 +106,16 @@ def add_names(df: DataFrame, m: Model) -> DataFrame:
     return df.join(names, "rep_key")
 
 
+def rank_in_team(df: DataFrame) -> DataFrame:
+    """Rank within team and month by achievement: as many rows as a team has seats, so a window ranks them."""
+    in_team = W.partitionBy("team_key", "month_key").orderBy(F.desc_nulls_last("achievement"))
+    return df.withColumn("rank_in_team", F.when(F.col("achievement").isNotNull(), F.rank().over(in_team)).cast("long"))
+
+
 @view
 def rep_month_performance(m: Model) -> DataFrame:
-    """The rep-month view with names and ranks within team and company.
-
-    A team has as many rows in a month as it has seats, so a window ranks them; the company has no such bound.
-    """
-    in_team = W.partitionBy("team_key", "month_key").orderBy(F.desc_nulls_last("achievement"))
-    ranked = rep_month_trend(m).withColumn("rank_in_team", F.when(F.col("achievement").isNotNull(), F.rank().over(in_team)).cast("long"))
-    return add_names(group_rank(ranked, ["month_key"], "achievement", rank="rank_in_company"), m)
+    """The rep-month view with names and ranks within team and company (which has no bound on its rows)."""
+    return add_names(group_rank(rank_in_team(rep_month_trend(m)), ["month_key"], "achievement", rank="rank_in_company"), m)
 
 
 # --------------------------------------------------------------------------- team, country, company

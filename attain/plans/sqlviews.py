@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attain.operators.checks import reconcile
-from attain.operators.ranking import group_rank
+from attain.plans.kpi import rank_in_team
 from attain.plans.commission import kpi_rep_month
 from attain.plans.model import Model, view
 
@@ -57,10 +57,8 @@ def sql_rep_months(m: Model) -> DataFrame:
 
 def reconcile_kpis(m: Model) -> DataFrame:
     """Seven checks of the two implementations against each other."""
-    team_month = ["team_key", "month_key"]
-    left = group_rank(kpi_rep_month(m), team_month, "achievement", rank="rank_in_team")
-    right = group_rank(sql_rep_months(m), team_month, "achievement", rank="rank_in_team")
-    return reconcile(left, right, ["rep_key", "month_key"], TOLERANCES, total="commission")
+    left, right = rank_in_team(kpi_rep_month(m)), rank_in_team(sql_rep_months(m))
+    return reconcile(left, right, ["rep_key", "month_key"], TOLERANCES, total="commission", nodes=["team_key", "month_key"])
 
 
 def revenue_tie_out(m: Model) -> DataFrame:

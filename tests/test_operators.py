@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from attain.functions import columns as C
 from attain.operators import checks
 from attain.operators.dedupe import keep_first, keep_latest, surplus_rows
-from attain.operators.joins import band_join, dated_join, one_row, point_in_time_join
+from attain.operators.joins import band_join, dated_join, one_row, point_in_time_join, spread_lookup_join
 from attain.operators.ranking import dense_key, group_rank, top_rows
 from attain.operators.rules import FLAG, QUARANTINE, Rule, evaluate, failed_ids, first_failed
 from attain.policy import Policy
@@ -227,3 +227,51 @@ def test_silent_overflow_is_refused(spark):
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
     C.require_exact(spark)
+
+
+def test_one_changed_cent_is_found_and_named(spark):
+    r = random.Random(8)
+    rows = [(i, r.choice([None, 1, 2, 3]), r.choice([202401, 202402]), Decimal(r.randrange(10**6)).scaleb(-2), r.random(), r.choice(["a", None])) for i in range(400)]
+    schema = "k int, team int, month int, paid decimal(18,2), share double, tier string"
+    left = spark.createDataFrame(rows, schema).repartition(3)
+    tolerances = {"paid": 0.001, "share": 1e-9, "tier": None}
+    shaken = spark.createDataFrame([(*x[:4], x[4] + 1e-16, x[5]) for x in reversed(rows)], schema)
+
+    def result(other, nodes):
+        return {x["check"]: x["differing_rows"] for x in checks.reconcile(left, other, ["k"], tolerances, "paid", nodes).collect()}
+
+    changed = shaken.withColumn("paid", F.when(F.col("k") == 77, F.col("paid") + F.lit("0.01").cast("decimal(18,2)")).otherwise(F.col("paid")))
+    moved = shaken.withColumn("team", F.when(F.col("k") == 5, 9).otherwise(F.col("team")))
+    for nodes in (None, ["team", "month"]):
+        assert set(result(shaken, nodes).values()) == {0}
+        assert result(changed, nodes) == {"row_count": 0, "paid": 1, "share": 0, "tier": 0}
+        assert result(shaken.where("k <> 3 AND k <> 4"), nodes)["row_count"] == 2
+        assert set(result(moved, nodes).values()) == {0}  # the team is no compared column
+    sums = [checks.checksums(df, ["team", "month"], ["k"], tolerances, "paid") for df in (left, changed)]
+    tree = checks.differing_nodes(*sums).where("differs").collect()
+    assert [(x["team"], x["month"]) for x in tree] == [rows[77][1:3]] and tree[0]["r_total"] - tree[0]["l_total"] == Decimal("0.01")
+    totals = checks.reconcile(left, changed, ["k"], tolerances, "paid").first()
+    assert totals["right_total"] - totals["left_total"] == pytest.approx(0.01)
+
+
+def test_a_heavy_document_is_spread_over_tasks(spark):
+    n = 30_000
+    lines = [(i, "hot" if i % 3 == 0 else None if i % 3 == 1 else f"d{i % 500}") for i in range(n)]
+    df = spark.createDataFrame(lines, "line_id int, doc string").repartition(16)
+    lookup = df.where("doc IS NOT NULL AND doc <> 'd2'").groupBy("doc").agg(F.count("*").alias("lines"), F.min("line_id").alias("first"))
+    want = {r["doc"]: r["first"] for r in lookup.collect()}
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", 64)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = spread_lookup_join(df, lookup, "doc", "lines", ["line_id"], heavy_rows=100)
+        got = joined.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert len(got) == n
+    assert {r["line_id"]: (r["doc"], r["first"]) for r in got} == {i: (d, want.get(d)) for i, d in lines}
+    assert set(joined.columns) == {"line_id", "doc", "first"}
+    tasks = pd.Series([r["task"] for r in got]).value_counts()
+    assert tasks.max() < 0.05 * n
