@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 OPEN_END = "2099-12-31"
@@ -13,28 +13,43 @@ OPEN_END = "2099-12-31"
 HEAVY_ROWS = 1 << 20
 
 
-def interval_lists(intervals: DataFrame, on: str, start: str, end: str, value: str) -> DataFrame:
-    """One row per key with its dated values in start order.
+def time_slice(day: Column, window: tuple | None) -> Column:
+    """Calendar month of a day as a number, held inside the window (first and last day); one slice for all days without one."""
+    if window is None:
+        return F.when(day.isNotNull(), F.lit(0))
+    month = F.year(day) * 12 + F.month(day)
+    low, high = (d.year * 12 + d.month for d in window)
+    return F.greatest(F.lit(low), F.least(F.lit(high), month))
 
-    Values starting on the same day are reduced first, so a list never has more entries than the
-    calendar has days.
+
+def interval_lists(intervals: DataFrame, on: str, start: str, end: str, value: str, window: tuple | None = None) -> DataFrame:
+    """One row per key and time slice with the dated values that touch the slice, in start order.
+
+    Values starting on the same day are reduced first, so a list never has more entries than the calendar has days up to
+    the end of its slice. Days before or after the window belong to its first or last slice, so every day has one; a value
+    is copied to at most as many slices as the window has months.
     """
     daily = (intervals.groupBy(on, F.col(start).cast("date").alias("start"))
              .agg(F.max(F.struct(F.coalesce(F.col(end).cast("date"), F.lit(OPEN_END).cast("date")).alias("end"),
-                                 F.col(value).alias("value"))).alias("_v")))
-    return (daily.groupBy(on)
-            .agg(F.sort_array(F.collect_list(F.struct("start", F.col("_v.end").alias("end"),
-                                                      F.col("_v.value").alias("value")))).alias("_history")))
+                                 F.col(value).alias("value"))).alias("_v"))
+             .where(F.col("start").isNotNull() & (F.col("_v.end") >= F.col("start"))))
+    slices = F.sequence(time_slice(F.col("start"), window), time_slice(F.col("_v.end"), window))
+    return (daily.select(on, F.explode(slices).alias("_slice"), F.struct("start", F.col("_v.end").alias("end"), F.col("_v.value").alias("value")).alias("_e"))
+            .groupBy(on, "_slice").agg(F.sort_array(F.collect_list("_e")).alias("_history")))
 
 
 def point_in_time_join(df: DataFrame, intervals: DataFrame, on: str, at: str, value: str,
-                       start: str = "start_date", end: str = "end_date") -> DataFrame:
-    """Left join picking the value in force on a date; of several, the one that started last."""
-    history = interval_lists(intervals.where(F.col(on).isNotNull()), on, start, end, value)
+                       start: str = "start_date", end: str = "end_date", window: tuple | None = None) -> DataFrame:
+    """Left join picking the value in force on a date; of several, the one that started last.
+
+    window (first and last day of most dates) cuts histories into months: a row then meets only what touches its month, and
+    the rows of one busy key are spread over months. Any window gives the same result.
+    """
+    history = interval_lists(intervals.where(F.col(on).isNotNull()), on, start, end, value, window)
     covering = F.filter("_history", lambda h: (h["start"] <= F.col(at)) & (F.col(at) <= h["end"]))
-    return (df.join(history, on, "left")
+    return (df.withColumn("_slice", time_slice(F.col(at), window)).join(history, [on, "_slice"], "left")
             .withColumn(value, F.try_element_at(covering, F.lit(-1))["value"])
-            .drop("_history"))
+            .drop("_history", "_slice"))
 
 
 def dated_join(df: DataFrame, intervals: DataFrame, on: str, at: str,

@@ -238,7 +238,7 @@ class Run:
                                     "fx_month": F.date_format("document_date", "yyyy-MM")})
         fx = self.x.fx_rates.select("fx_month", "currency", F.col("rate_per_usd").alias("fx_rate"))
         lines = repair_price(lines.join(fx, ["fx_month", "currency"], "left"))
-        placed = point_in_time_join(lines, self.x.rep_assignments, "rep_code", "document_date", "team_id")
+        placed = point_in_time_join(lines, self.x.rep_assignments, "rep_code", "document_date", "team_id", window=(self.policy.start, self.policy.end))
         cn = is_type("CN")
         return self.keep(placed.withColumns({
             "team_id": F.when(~cn, F.col("team_id")),

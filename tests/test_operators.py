@@ -106,6 +106,41 @@ def test_point_in_time_join_takes_the_latest_covering_start(spark):
         assert got[i] == (max(covering)[1] if covering else None)
 
 
+WINDOW = (dt.date(2024, 3, 1), dt.date(2024, 9, 30))
+
+
+@pytest.mark.parametrize("window", [None, WINDOW, (dt.date(2030, 1, 1), dt.date(2030, 1, 31))])
+def test_any_window_gives_the_same_history(spark, window):
+    r = random.Random(6)
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(days=n)
+    spans = [(rep, f"T{i}", day(start), None if r.random() < 0.2 else day(start + r.randint(-3, 200)))
+             for rep in "abc" for i, start in enumerate(r.sample(range(500), 40))] + [("a", "none", None, day(5)), (None, "x", day(1), None)]
+    probes = [(i, r.choice("abcd"), day(r.randint(-40, 700))) for i in range(500)] + [(999, "a", None), (998, None, day(3))]
+    out = point_in_time_join(spark.createDataFrame(probes, "id int, rep string, at date"),
+                             spark.createDataFrame(spans, "rep string, team string, start_date date, end_date date"), "rep", "at", "team", window=window)
+    got = {x["id"]: x["team"] for x in out.collect()}
+    assert out.columns[-1] == "team" and len(got) == len(probes)
+    for i, rep, at in probes:
+        covering = [(s, t) for p, t, s, e in spans if rep and rep == p and at and s and s <= at and (e is None or at <= e)]
+        assert got[i] == (max(covering)[1] if covering else None)
+
+
+def test_ten_thousand_intervals_of_one_key(spark):
+    from attain.operators.joins import interval_lists
+
+    days = spark.range(10_000).select(F.lit("hot").alias("rep"), F.date_add(F.lit(dt.date(2000, 1, 1)), F.col("id").cast("int")).alias("start_date"),
+                                      F.date_add(F.lit(dt.date(2000, 1, 1)), (F.col("id") + 3).cast("int")).alias("end_date"),
+                                      F.concat(F.lit("T"), F.col("id").cast("string")).alias("team"))
+    window = (dt.date(2000, 1, 1), dt.date(2027, 12, 31))
+    lists = interval_lists(days, "rep", "start_date", "end_date", "team", window).select(F.size("_history").alias("n"))
+    assert lists.agg(F.max("n")).first()[0] <= 35 and lists.count() > 300
+    lines = spark.range(60_000).select("id", F.lit("hot").alias("rep"), F.date_add(F.lit(dt.date(2000, 1, 1)), F.pmod(F.col("id") * 7, F.lit(10_010)).cast("int")).alias("at"))
+    joined = point_in_time_join(lines, days, "rep", "at", "team", window=window)
+    wrong = joined.withColumn("n", F.datediff("at", F.lit(dt.date(2000, 1, 1)))).where(
+        ~F.col("team").eqNullSafe(F.when(F.col("n") < 10_003, F.concat(F.lit("T"), F.least(F.col("n"), F.lit(9_999)).cast("string")))))
+    assert joined.count() == 60_000 and wrong.count() == 0
+
+
 def test_dated_join_for_disjoint_histories(spark):
     spans = spark.createDataFrame([(1, "A", dt.date(2024, 1, 1), dt.date(2024, 6, 30)), (1, "B", dt.date(2024, 7, 1), None)],
                                   "rep int, team string, start_date date, end_date date")
