@@ -60,9 +60,10 @@ def key_checks(spark, unique: list[tuple[str, str, Key]] = (), refer: list[tuple
     parts = [repeats([Key(i, k.table, k.columns, k.where) for i, _, k in unique])] if unique else []
     parts += [unknown([(Key(i, k.table, k.columns, k.where), parent) for i, _, k, parent in refer])] if refer else []
     listed = F.array(*[F.struct(F.lit(c[0]).alias("what"), F.lit(c[1]).alias("description")) for c in (*unique, *refer)])
-    spine = spark.range(1).select(F.explode(listed).alias("_c")).select("_c.*")
-    rows = spine.join(reduce(DataFrame.unionByName, parts), "what", "left").select(
-        F.col("what").alias("check_id"), "description", F.coalesce("failing_rows", F.lit(0)).cast("long").alias("failing_rows"))
+    named = spark.range(1).select(F.explode(listed).alias("_c")).select("_c.what", "_c.description", F.lit(0).cast("long").alias("failing_rows"))
+    found = [p.select("what", F.lit(None).cast("string").alias("description"), F.col("failing_rows").cast("long").alias("failing_rows")) for p in parts]
+    rows = (stacked([named, *found]).groupBy(F.col("what").alias("check_id"))
+            .agg(F.max("description").alias("description"), F.sum("failing_rows").alias("failing_rows")))
     return rows.withColumn("passed", F.col("failing_rows") == 0)
 
 
