@@ -18,7 +18,7 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
                    "h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre search section summary table tbody td tfoot th "
                    "thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("iframe math noscript object script select style svg template textarea title".split())
+SILENT = frozenset("iframe script select style svg template textarea title".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: What ends the search for an element that a new one closes.
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": set()}
@@ -44,7 +44,7 @@ class Page(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.tags, self.parents, self.groups, self.marks, self.texts, self.linked = ["#root"], [-1], [()], [None], [None], [0]
-        self.stack, self.silent, self.run, self.link = [0], [], -1, False
+        self.stack, self.silent, self.inside, self.run, self.link = [0], [], [], -1, False
         self.feed(html.replace("<![", "<!x["))  # a section is a comment in HTML
         self.close()
 
@@ -57,7 +57,11 @@ class Page(HTMLParser):
         if self.silent:
             if tag == self.silent[-1]:
                 self.silent.append(tag)
-            return
+            elif tag in BLOCKS and self.silent[-1] != "svg":
+                self.inside.append(tag)
+            if tag not in BLOCKS or self.silent[-1] != "svg":
+                return
+            self.silent, self.inside = [], []  # blocks end drawings
         if tag in SILENT:
             self.silent.append(tag)
         elif tag == "br":
@@ -93,7 +97,15 @@ class Page(HTMLParser):
         if self.silent:
             if tag == self.silent[-1]:
                 self.silent.pop()
-        elif tag == "a":
+                self.inside = self.inside if self.silent else []
+                return
+            if tag in self.inside:
+                del self.inside[len(self.inside) - 1 - self.inside[::-1].index(tag):]
+                return
+            if tag not in BLOCKS or all(self.tags[at] != tag for at in self.stack[1:]):
+                return
+            self.silent, self.inside = [], []  # an element that was never closed ends with its parent
+        if tag == "a":
             self.link = False
         elif tag in BLOCKS:
             for at in range(len(self.stack) - 1, 0, -1):
@@ -353,21 +365,25 @@ def variant(html: str, pool: list[str], rng: np.random.Generator) -> str | None:
     return before + wrapped(name, inner, "keep") + after
 
 
-def fit(pages: DataFrame, *, html_col: str = "html", sample: int = 300, variants: int = 5) -> Trees | None:
+def fit(pages: DataFrame, *, html_col: str = "html", sample: int = 300, sample_chars: int = 20_000_000, variants: int = 5) -> Trees | None:
     """Trees from variants of at most sample pages that mark their main element (article or main), picked by a hash.
 
+    Pages of any length take part: in the order of the hash, as long as all together have at most sample_chars characters,
+    and the first in any case.
+
     The pages' own marks are the labels; renaming and adding parts keeps the trees from relying on any one mark.
     Without such a page there are no trees (None).
     """
     html = F.col(html_col)
     marked = pages.where(html.isNotNull() & html.rlike("(?is)<(article|main)\\b.*</(article|main)")).select(html.alias("html"))
-    marked = marked.where(F.length("html") < 200_000)
     n = marked.select(F.xxhash64("html")).distinct().count()
     if not n:
         return None
     share = F.pmod(F.xxhash64("html"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, 2.0 * sample / n)))
-    rows = (marked.where(share).groupBy(F.xxhash64("html").alias("h")).agg(F.first("html").alias("html"))
-            .orderBy("h").limit(sample).collect())
+    sizes = (marked.where(share).groupBy(F.xxhash64("html").alias("h")).agg(F.max(F.length("html")).alias("n")).orderBy("h").limit(sample).collect())
+    total = np.cumsum([r["n"] for r in sizes])
+    chosen = [r["h"] for r, t in zip(sizes, total) if t <= sample_chars] or [r["h"] for r in sizes[:1]]
+    rows = (marked.withColumn("h", F.xxhash64("html")).where(F.col("h").isin(chosen)).groupBy("h").agg(F.first("html").alias("html")).orderBy("h").collect())
     texts = [r["html"] for r in rows]
     pool = [p for t in texts for p in _PARAGRAPH.findall(t)][:5000]
     rng = np.random.default_rng(11)
@@ -384,7 +400,7 @@ def extract(pages: DataFrame, trees: Trees | None, *, html_col: str = "html") ->
     """The pages with text and n_chars (input columns of these names are replaced, the html column goes).
 
     Kept runs of text are in page order, joined by a line break; white space inside a run is one space. Null and empty pages
-    have an empty text. Without trees all visible text is kept. Repeated rows get the same text; an empty table
+    have an empty text, long pages are read whole, and nodes of equal score are decided alike. Without trees all visible text is kept. Repeated rows get the same text; an empty table
     gives no rows; nulls in other columns do not matter. Each page is read whole.
     """
     sent = {"trees": trees}

@@ -117,3 +117,22 @@ def test_millions_of_blanks(character):
 
         assert packing.encoder(tokenizer_path())(text) == reference_ids(text)
         assert packing.encoder(tokenizer_path(), special=True)(text) == Tokenizer.from_file(tokenizer_path()).encode(text, add_special_tokens=False).ids
+
+
+def test_many_short_examples_in_little_time():
+    import time
+
+    tokens = np.ones(1_000_000, np.int64)
+    started = time.time()
+    pieces = packing.pack_group(tokens, tokens, packing.Limits())
+    assert time.time() - started < 60 and len(pieces) == len(tokens)
+    assert pieces[:, 4].max() + 1 == -(-len(tokens) // 2048)  # no padding but in the last
+    mixed = np.random.default_rng(3).integers(1, 15, 20_000)
+    pieces = packing.pack_group(mixed, mixed, packing.Limits())
+    assert pieces[:, 4].max() + 1 == -(-mixed.sum() // 2048)
+    assert (np.bincount(pieces[:, 0], pieces[:, 2]) == mixed).all()
+
+
+def test_many_empty_texts(spark):
+    rows = packing.pack(frame(spark, [(i, None if i % 2 else "") for i in range(6000)]).coalesce(1), tokenizer_path()).toPandas()
+    assert len(rows) == 6000 and rows.sequence_id.nunique() == 3

@@ -161,3 +161,27 @@ def test_query_equals_its_sql(spark):
         names = sorted(df.columns)
         want = [tuple(r) for r in con.execute(f"SELECT {', '.join(names)} FROM ({sql})").fetchall()]
         assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in df.select(names).collect())
+
+
+def test_text_of_inline_elements_and_unclosed_silent_ones(spark):
+    pages = [("<p>area <math><mi>x</mi>=<mn>2</mn></math> of <object data='a'>a chart</object> it</p><noscript>shown without scripts</noscript>",
+              "area x=2 of a chart it\nshown without scripts"),
+             ("<div><p>one</p><svg><text>drawn</text><p>two</p></div><p>three</p>", "one\ntwo\nthree"),
+             ("<div><p>one</p><div><select><option>pick</option></div><p>two</p></div>", "one\ntwo"),
+             ("<div><template><div>no</div><p>no</p></template><p>yes</p></div>", "yes"),
+             ("<div><svg><g><title>no</title></g></svg><p>yes</p></div>", "yes"),
+             ("<ul><li><svg><path></li><li>next</li></ul>", "next")]
+    df = spark.createDataFrame([(i, "u", h) for i, (h, _) in enumerate(pages)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html.extract(df, None).collect()}
+    assert got == {i: wanted for i, (_, wanted) in enumerate(pages)}
+
+
+def test_long_pages_train_and_are_read_whole(spark):
+    body = "".join(f"<p>Paragraph number {i} of a very long article tells about places and people in some detail.</p>" for i in range(4000))
+    pages = [(i, "u", f"<html><body><nav><ul><li><a href='x'>Home {i}</a></li></ul></nav><article>{body}<p>end {i}</p></article><footer>Legal {i}</footer></body></html>") for i in range(3)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert min(len(h) for _, _, h in pages) > 200_000
+    trees = html.fit(df, sample_chars=900_000)
+    assert trees is not None
+    for r in html.extract(df, trees).collect():
+        assert r["text"].count("\n") == 4000 and r["text"].endswith(f"end {r['page_id']}") and "Home" not in r["text"] and "Legal" not in r["text"]
