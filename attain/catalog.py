@@ -16,7 +16,6 @@ from attain.plans import analysis, commission, etl, kpi, metrics, questions, rep
 from attain.sources import io
 from attain.sources.ledger import LedgerModel, line_accounting
 from attain.sources.stage import fingerprint, remove
-from fixtures.extracts import ledger_extracts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,7 +43,9 @@ def model(spark: SparkSession, path: str) -> LedgerModel:
 
 
 def run(spark: SparkSession, path: str) -> etl.Run:
-    """The ETL run over the raw extracts of one folder, built once like the model."""
+    """The ETL run over the raw extracts of one folder, built once like the model; only these entries need the fixtures."""
+    from fixtures.extracts import ledger_extracts
+
     key = model_key(spark, path)
     if key not in _runs:
         _runs[key] = etl.Run(ledger_extracts(model(spark, path)), staged=True)
