@@ -201,7 +201,10 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
                .select("row", "lost"))
     both = touched.unionByName(rows.where("NOT __in").select("row", F.lit(None).cast("array<int>").alias("lost")))
     text, split = F.col("row")[text_col], F.split(F.col("row")[text_col], "\n")
-    rest = F.filter(split, lambda line, i: ~F.array_contains(F.col("lost"), i))
+    def stay(lines):  # bound once: every place that is not lost, taken by its number
+        return F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("lost")), lambda i: F.get(lines, i))
+
+    rest = F.get(F.transform(F.array(split), stay), F.lit(0))
     new = F.when(F.col("lost").isNull(), text).otherwise(F.array_join(rest, "\n"))
     return both.select(*[new.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in kept],
                        F.when(text.isNull(), 0).otherwise(F.size(split)).alias("n_lines"),

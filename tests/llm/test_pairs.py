@@ -379,3 +379,11 @@ def test_recall_on_the_table(spark):
         v /= np.linalg.norm(v, axis=1, keepdims=True)
         want += int((v @ v.T >= 0.93).sum() - len(v))
     assert sum(r["n_links"] for r in op8_multi_index(spark, folder).collect()) >= 0.9 * want
+
+
+def test_very_many_lines_of_one_document(spark):
+    n = 20_000
+    texts = [(1, "\n".join(["the same line of more than twenty characters"] * n)), (2, "\n".join(f"line {i} x {i * 7919 % n}" if i % 2 else "again and again" for i in range(n)))]
+    rows = {r["doc_id"]: r for r in linedup.dedup_lines(frame(spark, texts), max_edits=0, exact_chars=linedup.EXACT_CHARS).collect()}
+    assert rows[1]["text"] == texts[0][1].split("\n")[0] and rows[1]["n_dropped"] == n - 1 and rows[1]["n_lines"] == n
+    assert rows[2]["text"].split("\n")[:4] == texts[1][1].split("\n")[:2] + texts[1][1].split("\n")[3:6:2] and rows[2]["n_dropped"] == n // 2 - 1
