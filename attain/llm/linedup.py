@@ -6,15 +6,15 @@ line in (document id, line number) order stays.
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from attain.llm.common import Stages, components, filter_rows, maybe_in
 
-#: Letters whose counts a line carries to the join: two lines within e edits differ by at most 2e in all of them.
-LETTERS = "ena"
+#: Letters whose counts a line carries to the join (a byte each): two lines within e edits differ by at most 2e in all of them.
+LETTERS = "etaoinsr"
 NO_ID = (1 << 63) - 1
 #: What the query and the pipeline take: edits between near copies, and the characters from which exact repeats go.
 EDITS, EXACT_CHARS = 3, 4
@@ -31,40 +31,48 @@ def lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFr
             .select("*", F.xxhash64("norm").alias("h1"), F.xxhash64(F.lit("second"), "norm").alias("h2")))
 
 
-def segment(length: Column, i: int, parts: int) -> tuple[Column, Column]:
-    """Start (from 0) and size of segment i (from 0) of a line cut into near equal parts, the longer ones last."""
-    base, short = (length / parts).cast("int"), F.lit(parts) - length % parts
-    return i * base + F.greatest(F.lit(0), F.lit(i) - short), base + F.when(F.lit(i) >= short, 1).otherwise(0)
+def length_base(length: Column) -> Column:
+    """The lower edge of the range of lengths that are cut alike: four leading bits of the length stay."""
+    unit = F.length(F.bin(length)) - 4
+    return F.when(length < 16, length).otherwise(F.call_function("shiftleft", F.call_function("shiftright", length, unit), unit)).cast("int")
 
 
 def piece(start: Column, size: Column) -> Column:
     return F.substring("norm", (start + 1).cast("int"), size.cast("int"))
 
 
+def segment(base: Column, i: int, parts: int) -> tuple[Column, Column, int]:
+    """Start (from 0) and size of segment i (from 0) in a line of n characters cut by its base, and the shift it allows.
+
+    The first half of the segments is counted from the start of the line and the second half from its end, so that
+    lines of several lengths are cut alike; characters in the middle may be in no segment. Of two lines within
+    parts - 1 edits, some segment i is untouched with at most i edits before and at most parts - 1 - i behind it.
+    """
+    size = (base / parts).cast("int")
+    return (i * size, size, i) if 2 * i < parts else (F.col("n") - (parts - i) * size, size, parts - 1 - i)
+
+
 def index_keys(max_edits: int) -> Column:
     """The key of each of the max_edits + 1 segments of a line."""
-    n, parts = F.col("n"), max_edits + 1
-    cuts = [segment(n, i, parts) for i in range(parts)]
-    return F.array(*[F.xxhash64(n, F.lit(i), piece(*cuts[i])) for i in range(parts)])
-
+    parts, base = max_edits + 1, F.col("base")
+    cuts = [segment(base, i, parts) for i in range(parts)]
+    return F.array(*[F.xxhash64(base, F.lit(i), piece(start, size)) for i, (start, size, _) in enumerate(cuts)])
 
-def probe_keys(max_edits: int, less: int, min_chars: int) -> Column:
-    """Keys of the substrings of a line, one of which a line that is shorter by less must have as a segment; null where
-    there is no such substring.
 
-    For the i-th segment, a shared substring can only be shifted as far as the edits before it (at most i) and
-    those behind it (at most max_edits - i) allow.
-    """
+def probe_keys(max_edits: int) -> Column:
+    """Keys of the substrings of a line, one of which a line that is shorter by 0 to max_edits must have as a segment."""
     parts, out = max_edits + 1, []
-    n = F.col("n") - less if less else F.col("n")
-    for i in range(parts):
-        start, size = segment(n, i, parts)
-        for shift in range(max(-i, less - (max_edits - i)), min(i, less + (max_edits - i)) + 1):
-            at = start + shift if shift else start
-            key = F.xxhash64(n, F.lit(i), piece(at, size))
-            fits = [at >= 0] * (shift < 0) + [at + size <= F.col("n")] * (shift > less) + [n >= min_chars] * (less > 0)
-            out.append(F.when(reduce(lambda a, b: a & b, fits), key) if fits else key)
-    return F.array(*out)
+    for less in range(max_edits + 1):
+        base, keys = F.col(f"base_{less}"), []
+        for i in range(parts):
+            start, size, slack = segment(base, i, parts)
+            for shift in range(-slack, slack + 1):
+                at = start + shift
+                key = F.xxhash64(base, F.lit(i), piece(at, size))
+                keys.append(F.when((at >= 0) & (at + size <= F.col("n")), key) if shift else key)
+        # lengths of one range share their keys
+        out.append(F.when(base != F.col(f"base_{less - 1}"), F.array(*keys)).otherwise(F.array().cast("array<bigint>")) if less else F.array(*keys))
+    return F.concat(*out)
 
 
 def letter_counts() -> Column:
@@ -84,6 +92,41 @@ def letters_apart(a: Column, b: Column) -> Column:
     return out
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def pieces_in_place(a: Column, b: Column, max_edits: int) -> Column:
+    """False only for strings that are more than max_edits edits apart: of many pieces of a, an edit can spoil one,
+    and the others are in b, shifted by max_edits at most."""
+    parts, n = 4 * max(max_edits, 1), F.length(a)
+    found = F.lit(0)
+    for i in range(parts):
+        start, end = (n * i / parts).cast("int"), (n * (i + 1) / parts).cast("int")
+        first = F.greatest(start - max_edits, F.lit(0))
+        found = found + F.contains(F.substring(b, first + 1, end + max_edits - first), F.substring(a, start + 1, end - start)).cast("int")
+    return found >= parts - max_edits
+
+
+def shared_start(a: Column, b: Column) -> Column:
+    """The number of equal characters at the start of both strings, or 2^18 - 1 if it is larger."""
+    shorter = F.least(F.length(a), F.length(b))
+    return F.aggregate(F.array(*[F.lit(1 << k) for k in range(17, -1, -1)]), F.lit(0), lambda n, more: F.when(
+        (n + more <= shorter) & (F.substring(a, n + 1, more) == F.substring(b, n + 1, more)), n + more).otherwise(n))
+
+
+def unlike_middles(pairs: DataFrame) -> DataFrame:
+    """(a, b, chars_a, chars_b): the characters of norm_a and norm_b without what they share at both ends."""
+    def rest(name: str) -> Column:
+        return F.array_remove(F.split(F.substring(name, F.lit(1), F.length(name) - F.col("behind")), ""), "")
+
+    ahead = pairs.select("a", "b", "norm_a", "norm_b", shared_start(F.col("norm_a"), F.col("norm_b")).alias("ahead"))
+    ahead = ahead.select("a", "b", *[F.substring(c, F.col("ahead") + 1, F.length(c)).alias(c) for c in ("norm_a", "norm_b")])
+    behind = ahead.select("a", "b", "norm_a", "norm_b", shared_start(F.reverse("norm_a"), F.reverse("norm_b")).alias("behind"))
+    return behind.select("a", "b", rest("norm_a").alias("chars_a"), rest("norm_b").alias("chars_b"))
+
+
 def within_edits(ca: Column, cb: Column, max_edits: int) -> Column:
     """Whether two strings, given as arrays of characters, are at most max_edits edits apart, by a banded bit-parallel
     automaton.
@@ -109,11 +152,14 @@ def within_edits(ca: Column, cb: Column, max_edits: int) -> Column:
     start = sum(((1 << (max_edits + 1 + e)) - (1 << max_edits)) << (width * e) for e in range(levels))
 
     def step(state: Column, i: Column) -> Column:
-        char = F.get(ca, i)
         same = F.lit(0).cast("long")
         for d in range(width):
-            hit = F.get(cb, i + (d - max_edits)) == char
+            hit = F.get(cb, i + (d - max_edits)) == F.get(ca, i)
             same = same.bitwiseOR(F.when(hit, F.lit(1 << d).cast("long")).otherwise(F.lit(0).cast("long")))
+        # nothing is reachable from an empty state, and the matches of a character are found once for all levels
+        return F.when(state == 0, state).otherwise(bound(same, lambda same: moved(state, same)))
+
+    def moved(state: Column, same: Column) -> Column:
         words: list[Column] = []
         for e in range(levels):
             now = level(state, e).bitwiseAND(same)
@@ -132,12 +178,13 @@ def within_edits(ca: Column, cb: Column, max_edits: int) -> Column:
 
 def line_links(reps: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
     """Pairs (a, b) of line hashes, from (h1, norm, n, letters), whose lines share a segment in place and nearly have the same letters."""
-    index = reps.select("h1", "letters", F.explode(index_keys(max_edits)).alias("key"))
-    probes = [reps.select(F.col("h1").alias("h1_b"), F.col("letters").alias("letters_b"), F.lit(less > 0).alias("longer"),
-                          F.explode(probe_keys(max_edits, less, min_chars)).alias("key_b")) for less in range(max_edits + 1)]
-    probe = reduce(DataFrame.unionByName, probes).where("key_b IS NOT NULL")
+    based = reps.select("h1", "norm", "n", "letters", *[length_base(F.greatest(F.col("n") - less, F.lit(1))).alias(f"base_{less}") for less in range(max_edits + 1)])
+    index = based.withColumn("base", F.col("base_0")).select("h1", "n", "letters", F.explode(index_keys(max_edits)).alias("key"))
+    probe = (based.select(F.col("h1").alias("h1_b"), F.col("n").alias("n_b"), F.col("letters").alias("letters_b"),
+                          F.explode(probe_keys(max_edits)).alias("key_b")).where("key_b IS NOT NULL"))
+    less = F.col("n_b") - F.col("n")
     near = letters_apart(F.col("letters"), F.col("letters_b")) <= 2 * max_edits
-    return (index.join(probe, (F.col("key") == F.col("key_b")) & (F.col("longer") | (F.col("h1") < F.col("h1_b"))) & near)
+    return (index.join(probe, (F.col("key") == F.col("key_b")) & less.between(0, max_edits) & ((less > 0) | (F.col("h1") < F.col("h1_b"))) & near)
             .select(F.least("h1", "h1_b").alias("a"), F.greatest("h1", "h1_b").alias("b")).where("a <> b").distinct())
 
 
@@ -159,10 +206,11 @@ def repeated_lines(docs: DataFrame, stages: Stages, *, id_col: str = "doc_id", t
     wanted = filter_rows(pairs.select(F.explode(F.array("a", "b")).alias("key")))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
     texts = stages.write(maybe_in(reps, "h1", wanted).where("__in").join(ends, F.col("h1") == F.col("end"), "left_semi")
-                         .select("h1", F.split("norm", "").alias("chars")).dropDuplicates(["h1", "chars"]))
-    left, right = (texts.select(F.col("h1").alias(k), F.col("chars").alias(f"chars_{k}")) for k in ("a", "b"))
-    edges = (pairs.join(left, "a").join(right, "b")
-             .where(within_edits(F.col("chars_a"), F.col("chars_b"), max_edits)).select("a", "b"))
+                         .select("h1", "norm").distinct())
+    left, right = (texts.select(F.col("h1").alias(k), F.col("norm").alias(f"norm_{k}")) for k in ("a", "b"))
+    close = pairs.join(left, "a").join(right, "b").where(pieces_in_place(F.col("norm_a"), F.col("norm_b"), max_edits))
+    middles = stages.write(unlike_middles(close))
+    edges = middles.where(within_edits(F.col("chars_a"), F.col("chars_b"), max_edits)).select("a", "b")
     linked = components(edges, stages)
     near = (classes.join(linked, F.col("h1") == F.col("id")).select("h1", "h2", "first", "component"))
     keeps = near.groupBy("component").agg(F.min("first").alias("keep"))
