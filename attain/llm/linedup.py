@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 from attain.llm.common import Stages, components, filter_rows, maybe_in
 
-#: Letters whose counts a line carries to the join (a byte each): two lines within e edits differ by at most 2e in all of them.
-LETTERS = "etaoinsr"
 NO_ID = (1 << 63) - 1
 #: What the query and the pipeline take: edits between near copies, and the characters from which exact repeats go.
 EDITS, EXACT_CHARS = 3, 4
@@ -75,23 +73,6 @@ def probe_keys(max_edits: int) -> Column:
     return F.concat(*out)
 
 
-def letter_counts() -> Column:
-    """Counts of LETTERS, each modulo 256, in the bytes of one number."""
-    out = F.lit(0).cast("long")
-    for k, letter in enumerate(LETTERS):
-        count = F.octet_length("norm") - F.octet_length(F.replace(F.col("norm"), F.lit(letter), F.lit("")))
-        out = out.bitwiseOR(F.shiftleft((count % 256).cast("long"), 8 * k))
-    return out
-
-
-def letters_apart(a: Column, b: Column) -> Column:
-    out = F.lit(0).cast("long")
-    for k in range(len(LETTERS)):
-        gap = F.abs(F.shiftrightunsigned(a, 8 * k).bitwiseAND(F.lit(255)) - F.shiftrightunsigned(b, 8 * k).bitwiseAND(F.lit(255)))
-        out = out + F.least(gap, 256 - gap)
-    return out
-
-
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value) with the value worked out once."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -176,15 +157,14 @@ def within_edits(ca: Column, cb: Column, max_edits: int) -> Column:
     return (F.abs(F.size(ca) - F.size(cb)) <= max_edits) & (F.call_function("shiftright", reached, last.cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1)
 
 
-def line_links(reps: DataFrame, max_edits: int, min_chars: int) -> DataFrame:
-    """Pairs (a, b) of line hashes, from (h1, norm, n, letters), whose lines share a segment in place and nearly have the same letters."""
-    based = reps.select("h1", "norm", "n", "letters", *[length_base(F.greatest(F.col("n") - less, F.lit(1))).alias(f"base_{less}") for less in range(max_edits + 1)])
-    index = based.withColumn("base", F.col("base_0")).select("h1", "n", "letters", F.explode(index_keys(max_edits)).alias("key"))
-    probe = (based.select(F.col("h1").alias("h1_b"), F.col("n").alias("n_b"), F.col("letters").alias("letters_b"),
-                          F.explode(probe_keys(max_edits)).alias("key_b")).where("key_b IS NOT NULL"))
+def line_links(reps: DataFrame, max_edits: int) -> DataFrame:
+    """Pairs (a, b) of line hashes, from (h1, norm, n), whose lines share a segment in place and differ in length by max_edits at most."""
+    based = reps.select("h1", "norm", "n", *[length_base(F.greatest(F.col("n") - less, F.lit(1))).alias(f"base_{less}") for less in range(max_edits + 1)])
+    index = based.withColumn("base", F.col("base_0")).select("h1", "n", F.explode(index_keys(max_edits)).alias("key"))
+    probe = (based.select(F.col("h1").alias("h1_b"), F.col("n").alias("n_b"), F.explode(probe_keys(max_edits)).alias("key_b"))
+             .where("key_b IS NOT NULL"))
     less = F.col("n_b") - F.col("n")
-    near = letters_apart(F.col("letters"), F.col("letters_b")) <= 2 * max_edits
-    return (index.join(probe, (F.col("key") == F.col("key_b")) & less.between(0, max_edits) & ((less > 0) | (F.col("h1") < F.col("h1_b"))) & near)
+    return (index.join(probe, (F.col("key") == F.col("key_b")) & less.between(0, max_edits) & ((less > 0) | (F.col("h1") < F.col("h1_b"))))
             .select(F.least("h1", "h1_b").alias("a"), F.greatest("h1", "h1_b").alias("b")).where("a <> b").distinct())
 
 
@@ -192,17 +172,17 @@ def repeated_lines(docs: DataFrame, stages: Stages, *, id_col: str = "doc_id", t
                    min_chars: int = 20, exact_chars: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Places of all lines, and (h1, h2, keep) of the lines that occur again or have a near copy; keep is the place of the one that stays."""
     written = lines(docs, id_col, text_col, min_chars if exact_chars is None else max(1, min(exact_chars, min_chars)))
-    written = stages.write(written.withColumns({"n": F.length("norm"), "letters": letter_counts()}))
+    written = stages.write(written.withColumn("n", F.length("norm")))
     classes = stages.write(written.groupBy("h1", "h2").agg(F.count("*").alias("times"), F.min("place").alias("first")))
     again = filter_rows(classes.where("times > 1").select(F.col("h1").alias("key")))
     flagged = maybe_in(written, "h1", again)
     # one line of each class: lines that occur once come straight from what was written, the others by their first place
-    columns = ("h1", "norm", "n", "letters")
+    columns = ("h1", "norm", "n")
     firsts = classes.select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), "first")
     others = stages.write(flagged.where("__in").join(firsts, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")) & (F.col("place") == F.col("first")))
                           .select(*columns))
     reps = flagged.where("NOT __in").select(*columns).unionByName(others)
-    pairs = stages.write(line_links(reps.where(F.col("n") >= min_chars), max_edits, min_chars))
+    pairs = stages.write(line_links(reps.where(F.col("n") >= min_chars), max_edits))
     wanted = filter_rows(pairs.select(F.explode(F.array("a", "b")).alias("key")))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
     texts = stages.write(maybe_in(reps, "h1", wanted).where("__in").join(ends, F.col("h1") == F.col("end"), "left_semi")

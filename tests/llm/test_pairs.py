@@ -237,6 +237,35 @@ def test_banded_automaton(spark):
         assert all(r["w"] == (edits(r["a"], r["b"]) <= k) for r in rows)
 
 
+@pytest.mark.parametrize("max_edits", [0, 1, 3, 4])
+def test_line_links_lose_no_pair(spark, max_edits):
+    """Every pair within max_edits is a candidate and passes each filter, at the borders of the ranges of lengths too;
+    what leaves the verification is exact."""
+    rng = random.Random(max_edits)
+
+    def mutate(line):
+        for _ in range(rng.randint(0, max_edits)):
+            at = rng.choice([0, len(line) - 1, rng.randrange(len(line))])
+            line = rng.choice([line[:at] + line[at + 1:], line[:at] + rng.choice("eqé你") + line[at:], line[:at] + rng.choice("eqé") + line[at + 1:]])
+        return line
+
+    groups = [["".join(rng.choice("etaoxé ") for _ in range(n))] for n in (12, 15, 16, 17, 20, 31, 32, 33, 63, 64, 65, 127, 128, 130, 255, 257, 512)]
+    for group in groups:
+        group += [mutate(group[0]) for _ in range(8)]
+    rows = [(g, line) for g, group in enumerate(groups) for line in set(group) if len(line) >= 8]
+    stages = Stages(spark, "test")
+    reps = stages.write(spark.createDataFrame(rows, "g int, norm string").withColumns({"h1": F.xxhash64("norm"), "n": F.length("norm")}))
+    found = {(r["a"], r["b"]) for r in linedup.line_links(reps, max_edits).collect()}
+    ends = [reps.select("g", F.col("h1").alias(k), F.col("norm").alias(f"norm_{k}")) for k in "ab"]
+    pairs = stages.write(ends[0].join(ends[1], "g").where("a < b").withColumn("d", F.levenshtein("norm_a", "norm_b")))
+    near = pairs.select("a", "b", "d", linedup.pieces_in_place(F.col("norm_a"), F.col("norm_b"), max_edits).alias("pieces")).where(F.col("d") <= max_edits).collect()
+    assert all((r["a"], r["b"]) in found and r["pieces"] for r in near)
+    assert len(near) >= 50 or not max_edits
+    middles = stages.write(linedup.unlike_middles(pairs).join(pairs.select("a", "b", "d"), ["a", "b"]))
+    judged = middles.select("d", linedup.within_edits(F.col("chars_a"), F.col("chars_b"), max_edits).alias("w")).collect()
+    assert len(judged) == pairs.count() and all(r["w"] == (r["d"] <= max_edits) for r in judged)
+
+
 def test_line_dedup_is_native(spark):
     plan = linedup.dedup_lines(frame(spark, [(1, prose(1, 20)), (2, prose(1, 20))]))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
