@@ -81,7 +81,7 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 def pieces_in_place(a: Column, b: Column, max_edits: int) -> Column:
     """False only for strings that are more than max_edits edits apart: of many pieces of a, an edit can spoil one,
     and the others are in b, shifted by max_edits at most."""
-    parts, n = 4 * max(max_edits, 1), F.length(a)
+    parts, n = 4 * max(max_edits, 1), F.length(a).cast("long")
     found = F.lit(0)
     for i in range(parts):
         start, end = (n * i / parts).cast("int"), (n * (i + 1) / parts).cast("int")
