@@ -64,7 +64,7 @@ def test_stages_by_brute_force(spark, folder):
 def test_run_and_registration(spark, folder):
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     names = [n.split("_")[0] for n in entry.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 11)]
+    assert sorted(names, key=lambda n: int(n[2:])) == [f"op{i}" for i in range(1, 14)]
     rows = corpus_pipeline.run(spark, folder).collect()
     assert rows and max(r["offset"] + r["length"] for r in rows) <= 2048
     assert set(entry.oracle_sql()) <= set(entry.queries())
