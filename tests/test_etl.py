@@ -201,3 +201,29 @@ def test_no_row_is_lost_or_invented(spark, run, tmp_path_factory, picks):
     kept = [r["line_id"] for r in clean.select("line_id").collect()] + [
         r["line_id"] for r in quarantine.select("line_id").collect()]
     assert sorted(kept) == sorted({x["line_id"] for x in lines})
+
+
+def test_a_repair_that_does_not_fit_holds_the_line_back(spark, tmp_path):
+    zero = dict(unit_list_price_local="0", net_amount_local="0")
+    write_folder(tmp_path, [
+        sale(1), sale(2, quantity="123456789", discount_pct="-9000", **zero),   # beyond 16 digits, held back by its discount
+        sale(3, quantity="9000000000", **zero),                                # beyond 16 digits, fits the repaired column
+        sale(4, quantity="-9000000000", discount_pct="-9000", **zero)])         # fits no column
+    run = Run(Extracts.from_csv(spark, str(tmp_path), Policy()), staged=True)
+    held = {r["line_id"]: r for r in run.quarantine.collect()}
+    assert {k: r["dq_failed_rules"] for k, r in held.items()} == {"L002": "DQ-S14", "L004": "DQ-S10;DQ-S14"}
+    assert held["L004"]["net_amount_local"] == 0
+    net = {r["line_id"]: r["net_amount_usd"] for r in run.fact_sales.collect()}
+    assert net == {"L001": Decimal("180.00"), "L003": Decimal("810000000000.00")}
+
+
+def test_an_unfit_repair_alone_is_an_impossible_amount(spark, tmp_path):
+    write_folder(tmp_path, [sale(1), sale(2, sku="GOLD", quantity="9999999999", unit_list_price_local="0")])
+    with open(tmp_path / "raw_products.csv", "a") as f:
+        f.write("GOLD,Gold,Connectivity,99999999,0.5\n")
+    run = Run(Extracts.from_csv(spark, str(tmp_path), Policy()), staged=True)
+    assert [(r["line_id"], r["dq_failed_rules"]) for r in run.quarantine.collect()] == [("L002", "DQ-S10")]
+    log = {r["rule_id"]: r["rows_affected"] for r in run.rule_log.collect()}
+    assert (log["DQ-S10"], log["DQ-S13"]) == (1, 1)
+    require_balanced(run.reconciliation)
+    assert [r["line_id"] for r in run.fact_sales.collect()] == ["L001"]
