@@ -78,6 +78,12 @@ def spread_lookup_join(df: DataFrame, lookup: DataFrame, on: str, rows: str, spr
     return dealt.join(copied, [on, "_part"], "left").drop("_part")
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """The rows of a small table dealt by key over as many tasks as a shuffle has, before each of them becomes many rows:
+    the planner sizes tasks by what they read, not by what they make."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def band_join(df: DataFrame, bands: DataFrame, on: str, value: str,
               floor: str = "band_floor", ceiling: str = "band_ceiling") -> DataFrame:
     """Left join to the half-open band [floor, ceiling) of the same plan; a null edge is open."""

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from attain.functions import columns as C
 from attain.operators.dedupe import keep_first, keep_latest, surplus_rows
-from attain.operators.joins import dated_join
+from attain.operators.joins import dated_join, dealt
 from attain.plans.model import Model
 from attain.policy import PLAN_PHASING, RAMP_FACTORS, Plan, Policy, plan_tiers, standard_tiers
 from attain.sources.stage import new_folder, store
@@ -227,7 +227,7 @@ def bridge(assigned: DataFrame, policy: Policy) -> DataFrame:
     active = F.filter(months, lambda m: (F.date_add(m, 14) >= F.col("start_date"))
                       & (F.col("end_date").isNull() | (F.date_add(m, 14) <= F.col("end_date"))))
     tenure = (C.month_index("month_key") - EPOCH - F.col("hire_index")).cast("int")
-    return (assigned.select("rep_key", "team_key", "hire_index", F.explode(active).alias("_m"))
+    return (dealt(assigned, "rep_key").select("rep_key", "team_key", "hire_index", F.explode(active).alias("_m"))
             .withColumn("month_key", C.month_key(F.col("_m"))).withColumn("tenure_months", tenure)
             .select("rep_key", "month_key", "team_key", "tenure_months",
                     (F.col("tenure_months") < policy.ramp_months).cast("int").alias("is_ramp_month")))
