@@ -7,6 +7,7 @@ contradictions a real export has, chosen by the remainder of the line key.
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,16 +25,16 @@ def every(n: int, remainder: int = 0):
 
 def sales_lines(t: Tables) -> DataFrame:
     orders = t["orders"].select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("order_date"))
-    market = (t["supplier"].join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
-              .join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-              .select("s_suppkey", "r_regionkey", "r_name"))
     lines = t["lineitem"].select(
-        "l_orderkey", "l_partkey", "l_suppkey", (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("k"),
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
         F.col("l_quantity").cast("decimal(4,0)").alias("qty"), F.col("l_extendedprice").cast(C.MONEY).alias("value"),
         F.col("l_discount").cast("decimal(4,2)").alias("disc"), (F.col("l_returnflag") == "R").alias("credit"),
         F.to_date("l_shipdate").alias("ship_date"))
     j = (lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-         .join(market, F.col("l_suppkey") == F.col("s_suppkey"))
+         .join(t["supplier"].select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
+         .join(t["nation"], F.col("s_nationkey") == F.col("n_nationkey"))  # one by one: their sizes are known, that of their join is not
+         .join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+         .withColumn("k", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
          .withColumn("day", F.when(F.col("credit"), F.col("ship_date")).otherwise(F.col("order_date"))))
     sign = F.when(F.col("credit"), F.lit(-1)).otherwise(F.lit(1))
     fx = fx_rate(F.col("r_regionkey"), F.month("day") - 1)
@@ -79,6 +80,20 @@ def month_text(key):
     return F.concat((F.floor(key / 100)).cast("string"), F.lit("-"), F.lpad((key % 100).cast("string"), 2, "0"))
 
 
+class LedgerExtracts(Extracts):
+    """The extracts of a ledger; the lines, which most tables do not need, are written when they are first read."""
+
+    def __init__(self, m: LedgerModel, **tables: DataFrame):
+        super().__init__(m.policy, **tables)
+        self._model = m
+
+    @cached_property
+    def sales_lines(self) -> DataFrame:
+        m = self._model
+        lines = sales_lines(m.source)
+        return store(lines, "raw_sales_lines", folder=m.folder) if m.staged else lines
+
+
 def ledger_extracts(m: LedgerModel) -> Extracts:
     t, policy = m.source, m.policy
     team_code = F.concat(F.lit("T"), F.lpad(F.col("team_key").cast("string"), 2, "0"))
@@ -97,10 +112,9 @@ def ledger_extracts(m: LedgerModel) -> Extracts:
         month_text(F.col("month_key")).alias("target_month"), F.lit("REP-X").alias("rep_code"),
         F.lit(Decimal("10.00")).cast(C.MONEY).alias("target_amount_usd"), F.lit(1).alias("revision_no"),
         F.lit(None).cast("date").alias("revised_at"))
-    return Extracts(
-        policy=policy,
+    return LedgerExtracts(
+        m,
         orders=t["orders"],
-        sales_lines=store(sales_lines(t), "raw_sales_lines", folder=m.folder) if m.staged else sales_lines(t),
         sales_targets=m.raw_targets.select(
             month_text(F.col("month_key")).alias("target_month"), code("REP-", "rep_key").alias("rep_code"),
             "target_amount_usd", "revision_no", F.lit(None).cast("date").alias("revised_at")).unionByName(unknown_reps),
