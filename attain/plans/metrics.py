@@ -111,6 +111,7 @@ def sales_documents(m: Model) -> DataFrame:
 def facts(m: Model, name: str) -> DataFrame:
     """A fact with the dimensions it can be grouped by."""
     teams = m.dim_team.select("team_key", "team_name", "country_code", "country_name", "department_code")
+    teams = F.broadcast(teams)  # a list of teams, which does not grow with the facts
     year = C.year_of("month_key").alias("year")
     if name == "sales":
         df = sales_documents(m).join(teams, "team_key")
@@ -132,6 +133,16 @@ def bases_of(names: list[str]) -> list[str]:
     return list(dict.fromkeys(wanted))
 
 
+def summed(rows: DataFrame, bases: list[str], by: list[str]) -> DataFrame:
+    """Bases of one fact at a grain. Documents are counted apart from the sums: only their numbers are shuffled one by one,
+    sums are combined before it. The two meet in an aggregate, which puts null groups together too."""
+    apart = [[b for b in bases if b != "deals"], [b for b in bases if b == "deals"]]
+    if not all(apart):
+        return rows.groupBy(*by).agg(*[BASES[b].aggregate().alias(b) for b in bases])
+    sums, deals = (rows.groupBy(*by).agg(*[BASES[b].aggregate().alias(b) for b in some]) for some in apart)
+    return sums.unionByName(deals, allowMissingColumns=True).groupBy(*by).agg(*[F.max(b).alias(b) for b in bases])
+
+
 def measure(m: Model, names: list[str], by: list[str], where: Callable[[], Column] | None = None) -> DataFrame:
     """Any measures at any grain: one aggregate per fact, joined on the grain, then the derived ones."""
     by_fact: dict[str, list[str]] = {}
@@ -141,8 +152,7 @@ def measure(m: Model, names: list[str], by: list[str], where: Callable[[], Colum
     for fact, bases in by_fact.items():
         rows = facts(m, fact)
         rows = rows.where(where()) if where else rows
-        parts.append(rows.groupBy(*by).agg(*[BASES[b].aggregate().alias(b) for b in bases]) if by else
-                     rows.agg(*[BASES[b].aggregate().alias(b) for b in bases]))
+        parts.append(summed(rows, bases, by) if by else rows.agg(*[BASES[b].aggregate().alias(b) for b in bases]))
     joined = reduce(lambda a, b: a.join(b, by, "full_outer"), parts) if by else one_row(*parts)
     return joined.select(*by, *[DERIVED[n].expression().alias(n) if n in DERIVED else F.col(n) for n in names])
 
