@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attain.llm.common import CHUNK_BYTES, LOWER, SHINGLE_CODES, Stages, chunks, span_codes, word_codes, words
+from attain.llm.common import CHUNK_BYTES, LOWER, SHINGLE_CODES, WHITE, Stages, chunks, span_codes, word_codes, words
 
 CLASSES = 32
 #: Leaves of each class; the first OWN of all leaves belong to single words.
@@ -28,6 +28,8 @@ CLASS_ROWS, LEAF_ROWS = 1 << 12, 1 << 14
 HELD = 100_000
 #: Learning rate of AdaGrad, tokens of a gradient step.
 RATE, STEP = 0.25, 4096
+#: Bytes of text whose words are counted at once.
+COUNT_BYTES = 1 << 23
 END = b"\n"  # no word has white space
 TOTAL = CLASSES * LEAVES
 
@@ -59,8 +61,12 @@ def place(leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return leaf % CLASSES, leaf // CLASSES
 
 
-def tokens_of(text: pa.Scalar) -> list[bytes]:
-    return text.as_buffer().to_pybytes().lower().split() + [END] if text.is_valid else [END]
+def distinct_words(lower: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct words of lower-cased texts, and for each word its number among them."""
+    offsets = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int32)
+    packed = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(lower[~WHITE[lower]])])
+    coded = packed.dictionary_encode()
+    return coded.dictionary.to_numpy(zero_copy_only=False), coded.indices.to_numpy()
 
 
 def count_words(docs: DataFrame, text_col: str) -> DataFrame:
@@ -73,12 +79,14 @@ def count_words(docs: DataFrame, text_col: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
             held.clear()
 
-        for batch in batches:
-            for text in batch.column("text"):
-                for w in tokens_of(text):
-                    held[w] = held.get(w, 0) + 1
-                if len(held) > 300_000:
-                    yield from out()
+        for _, offsets, data in (part for batch in batches for part in chunks(batch.column("text"), COUNT_BYTES)):
+            lower = LOWER[data]
+            names, index = distinct_words(lower, *words(offsets, lower)[:2])
+            for w, n in zip(names.tolist(), np.bincount(index, minlength=len(names)).tolist(), strict=True):
+                held[w] = held.get(w, 0) + n
+            held[END] = held.get(END, 0) + len(offsets) - 1
+            if len(held) > 300_000:
+                yield from out()
         if held:
             yield from out()
 
@@ -144,33 +152,53 @@ def leaf_index(codes: np.ndarray, cls: np.ndarray) -> np.ndarray:
     return ((codes + (cls.astype(np.uint64) + np.uint64(1)) * SHINGLE_CODES[21]) * SHINGLE_CODES[22] >> np.uint64(64 - 14)).astype(np.int64)
 
 
-def softmax(rows: np.ndarray, index: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Probabilities (tokens, outcomes) from the summed rows of each token's features."""
+def weights_of(rows: np.ndarray, index: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights (tokens, outcomes) from the summed rows of each token's features, and their sums: a softmax before it is divided."""
     score = rows.take(index[0], axis=0)
     for k in range(1, len(index)):
         score += rows.take(index[k], axis=0)
     score += bias
     np.minimum(score, 60, out=score)  # far above any learned score; keeps exp finite
     np.exp(score, out=score)
-    score /= (score @ np.ones(score.shape[1], np.float32))[:, None]
-    return score
+    return score, score @ np.ones(score.shape[1], np.float32)
+
+
+def softmax(rows: np.ndarray, index: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Probabilities (tokens, outcomes)."""
+    out, total = weights_of(rows, index, bias)
+    out /= total[:, None]
+    return out
+
+
+def errors(rows: np.ndarray, index: np.ndarray, bias: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The right outcome as 1, less the probabilities of all outcomes."""
+    out = softmax(rows, index, bias)
+    out *= -1
+    out[np.arange(len(right)), right] += 1
+    return out
+
+
+def chances(rows: np.ndarray, index: np.ndarray, bias: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The probabilities of the right outcomes."""
+    out, total = weights_of(rows, index, bias)
+    return out[np.arange(len(right)), right] / total
 
 
-def segment_sums(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Sums of runs of rows, by adding neighbours pairwise until one row of each run is left."""
+def segment_sums(values: np.ndarray, at: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of runs of the rows values[at], by adding neighbours pairwise until one row of each run is left."""
     out, runs = np.empty((len(starts), values.shape[1]), values.dtype), np.arange(len(starts))
     while len(runs):
         one = sizes == 1
-        out[runs[one]] = values.take(starts[one], axis=0)
+        out[runs[one]] = values.take(at.take(starts[one]), axis=0)
         runs, starts, sizes = runs[~one], starts[~one], sizes[~one]
         half = sizes >> 1
         begin = np.cumsum(half) - half
         left = np.repeat(starts - 2 * begin, half) + 2 * np.arange(half.sum())
-        halved = values.take(left, axis=0)
-        halved += values.take(left + 1, axis=0)
+        halved = values.take(at.take(left), axis=0)
+        halved += values.take(at.take(left + 1), axis=0)
         odd = np.flatnonzero(sizes & 1)
-        halved[begin[odd]] += values.take(starts[odd] + sizes[odd] - 1, axis=0)
-        values, starts, sizes = halved, begin, half
+        halved[begin[odd]] += values.take(at.take(starts[odd] + sizes[odd] - 1), axis=0)
+        values, at, starts, sizes = halved, np.arange(len(halved)), begin, half
     return out
 
 
@@ -181,7 +209,8 @@ def step(rows: np.ndarray, squares: np.ndarray, index: np.ndarray, gradient: np.
     flat = flat[order]
     starts = np.flatnonzero(np.concatenate([[True], flat[1:] != flat[:-1]]))
     used = flat[starts].astype(np.int64)
-    summed = segment_sums(gradient.take(order % index.shape[1], axis=0), starts, np.diff(np.concatenate([starts, [len(flat)]])))
+    token = np.tile(np.arange(index.shape[1]), len(index)).take(order)
+    summed = segment_sums(gradient, token, starts, np.diff(np.concatenate([starts, [len(flat)]])))
     square = squares.take(used, axis=0)
     square += summed * summed
     squares[used] = square
@@ -193,8 +222,10 @@ def step(rows: np.ndarray, squares: np.ndarray, index: np.ndarray, gradient: np.
     rows[used] = summed
 
 
-def leaves_of(column: pa.Array, own_codes: np.ndarray, own_leaves: np.ndarray, limit: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """First row, leaves of all tokens (ends included) and offsets of whole texts, about limit bytes at a time."""
+def leaves_of(column: pa.Array, own_codes: np.ndarray, own_leaves: np.ndarray,
+              limit: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """First row, leaves of all tokens (ends included) and offsets of whole texts, about limit bytes at a time, and
+    their lower-cased bytes with the starts and ends of their words."""
     for row, offsets, data in chunks(column, limit):
         lower = LOWER[data]
         starts, ends, first = words(offsets, lower)
@@ -208,7 +239,7 @@ def leaves_of(column: pa.Array, own_codes: np.ndarray, own_leaves: np.ndarray, l
             at = np.minimum(np.searchsorted(own_codes, codes), len(own_codes) - 1)
             hit = own_codes[at] == codes
             leaf[hit] = own_leaves[at[hit]]
-        yield row, np.insert(leaf, first[1:], own_leaves[-1]), first + np.arange(len(first))
+        yield row, np.insert(leaf, first[1:], own_leaves[-1]), first + np.arange(len(first)), (lower, starts, ends)
 
 
 def own_tables(vocab: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
@@ -233,21 +264,15 @@ def train(docs: DataFrame, text_col: str, vocab: Vocabulary, rounds: int = 1) ->
             vocab, class_rows, leaf_rows = sent.value
             w = Weights(vocab, class_rows.copy(), leaf_rows.copy())
             squares, own_words = (np.zeros_like(w.class_rows), np.zeros_like(w.leaf_rows)), own_tables(vocab)
-            for leaf, first in ((x, y) for b in batches for _, x, y in leaves_of(b.column("text"), *own_words, CHUNK_BYTES)):
+            for leaf, first in ((x, y) for b in batches for _, x, y, _ in leaves_of(b.column("text"), *own_words, CHUNK_BYTES)):
                 codes = features(leaf, first)
                 cls, inner = place(leaf)
                 for i in range(0, len(leaf), STEP):
                     part = slice(i, i + STEP)
-                    at, c, own = class_index(codes[:, part]), cls[part], np.arange(len(cls[part]))
-                    p = softmax(w.class_rows, at, w.class_bias)
-                    p *= -1
-                    p[own, c] += 1
-                    step(w.class_rows, squares[0], at, p)
+                    at, c = class_index(codes[:, part]), cls[part]
+                    step(w.class_rows, squares[0], at, errors(w.class_rows, at, w.class_bias, c))
                     at = leaf_index(codes[:, part], c)
-                    p = softmax(w.leaf_rows, at, w.leaf_bias[c])
-                    p *= -1
-                    p[own, inner[part]] += 1
-                    step(w.leaf_rows, squares[1], at, p)
+                    step(w.leaf_rows, squares[1], at, errors(w.leaf_rows, at, w.leaf_bias[c], inner[part]))
             for kind, new, old, seen in ((0, w.class_rows, class_rows, squares[0]), (1, w.leaf_rows, leaf_rows, squares[1])):
                 used = np.flatnonzero(seen.any(1))
                 for i in range(0, len(used), 1024):
@@ -303,36 +328,39 @@ def score(docs: DataFrame, model: tuple[DataFrame, Vocabulary, Weights], *, id_c
         vocab, class_rows, leaf_rows = sent.value
         w = Weights(vocab, class_rows, leaf_rows)
         held, below, own_words = vocab.counts, np.log10(vocab.tokens + 0.5 * (vocab.words + 1)), own_tables(vocab)
-        for batch, (begin, leaf, first) in ((b, x) for b in batches for x in leaves_of(b.column("text"), *own_words, CHUNK_BYTES)):
-            texts = [tokens_of(text) for text in batch.column("text").slice(begin, len(first) - 1)]
+        for batch, (begin, leaf, first, spans) in ((b, x) for b in batches for x in leaves_of(b.column("text"), *own_words, CHUNK_BYTES)):
             codes = features(leaf, first)
             cls, inner = place(leaf)
             logs = np.empty(len(leaf))
             for i in range(0, len(leaf), STEP):
                 part = slice(i, i + STEP)
-                c, own = cls[part], np.arange(len(cls[part]))
-                p = softmax(w.class_rows, class_index(codes[:, part]), w.class_bias)[own, c]
-                q = softmax(w.leaf_rows, leaf_index(codes[:, part], c), w.leaf_bias[c])[own, inner[part]]
+                c = cls[part]
+                p = chances(w.class_rows, class_index(codes[:, part]), w.class_bias, c)
+                q = chances(w.leaf_rows, leaf_index(codes[:, part], c), w.leaf_bias[c], inner[part])
                 logs[part] = np.log10(np.maximum(p.astype(float), 1e-38)) + np.log10(np.maximum(q.astype(float), 1e-38))
             logs -= below[leaf]
-            out, counted, seen, rare = np.add.reduceat(logs, first[:-1]), [], [], []
-            for own in texts:
-                found = np.fromiter(map(held.get, own, repeat(0)), np.int64, len(own))
-                missing = np.flatnonzero(found == 0)
-                seen.append(len(own) - len(missing))
-                counted.append(float(np.log10(found[found > 0] + 0.5).sum()))
-                rare.append([own[i] for i in missing.tolist()])
+            names, index = distinct_words(*spans)
+            names = np.append(names, END)
+            index = np.insert(index, first[1:] - np.arange(1, len(first)), len(names) - 1)  # the end of each text
+            found = np.fromiter(map(held.get, names.tolist(), repeat(0)), np.int64, len(names))
+            held_log, unknown = np.where(found > 0, np.log10(found + 0.5), 0.0).take(index), (found == 0).take(index)
+            n_tokens = np.diff(first)
+            asked, times = np.unique(np.repeat(np.arange(len(n_tokens)) * len(names), n_tokens)[unknown] + index[unknown], return_counts=True)
+            cuts = np.searchsorted(asked, np.arange(len(first)) * len(names))
+            rare = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.StructArray.from_arrays(
+                [pa.array(names.take(asked % len(names)), pa.binary()), pa.array(times)], names=["word", "times"]))
             yield pa.RecordBatch.from_arrays([
-                batch.column("id").slice(begin, len(texts)), pa.array(np.diff(first)), pa.array(seen, pa.int64()),
-                pa.array(counted, pa.float64()), pa.array(out), pa.array(rare, pa.list_(pa.binary()))],
+                batch.column("id").slice(begin, len(n_tokens)), pa.array(n_tokens),
+                pa.array(n_tokens - np.add.reduceat(unknown, first[:-1], dtype=np.int64)),
+                pa.array(np.add.reduceat(held_log, first[:-1])), pa.array(np.add.reduceat(logs, first[:-1])), rare],
                 names=["id", "n_tokens", "n_held", "held_log", "model_log", "rare"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
     made = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, f"id {id_type}, n_tokens long, n_held long, held_log double, model_log double, rare array<binary>"))
+            .mapInArrow(run, f"id {id_type}, n_tokens long, n_held long, held_log double, model_log double, rare array<struct<word: binary, times: long>>"))
     made = stages.write(made.withColumn("row", F.monotonically_increasing_id()))
-    # counts of the words that tasks do not hold: rows of one word and document are summed before they meet
-    asked = made.select("row", F.explode("rare").alias("word")).groupBy("row", "word").agg(F.count("*").alias("times"))
+    # counts of the words that tasks do not hold: tasks have summed the rows of one word and document
+    asked = made.select("row", F.inline("rare"))
     joined = asked.join(counts, "word", "left").withColumn("c", F.coalesce("n", F.lit(0)))
     rest = joined.groupBy("row").agg(F.sum(F.when(F.col("c") > 0, F.col("times"))).alias("more"),
                                      F.sum(F.col("times") * F.log10(F.col("c") + 0.5)).alias("rare_log"))

@@ -100,3 +100,16 @@ def test_rows_repeat_and_only_texts_count(spark):
     docs = frame(spark, [(1, "a b c"), (1, "a b c"), (2, "A B C")])
     rows = lm.score(docs, lm.fit(docs)).collect()
     assert len(rows) == 3 and len({(r["score"], r["base_score"]) for r in rows}) == 1
+
+
+def test_rare_words_meet_their_counts_without_a_shuffle_by_document_and_word(spark, monkeypatch):
+    monkeypatch.setattr(lm, "HELD", 0)  # all counts come by the join, that of the end too
+    rows = [(1, "a b a B"), (2, None), (3, " "), (4, "b new new\x0bnew  " * 3)]
+    out = lm.score(frame(spark, rows), lm.fit(frame(spark, rows[:3])))
+    plan = out._jdf.queryExecution().toString()
+    assert "hashpartitioning(row#" in plan
+    assert not [line for line in plan.splitlines() if "hashpartitioning(row#" in line and "word#" in line]
+    got = sorted((r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"]) for r in out.collect())
+    want = sorted(expected([t for _, t in rows[:3]], [t for _, t in rows]))
+    assert [g[:3] for g in got] == [w[:3] for w in want]
+    assert all(abs(g[3] - w[3]) < 1e-9 for g, w in zip(got, want))
