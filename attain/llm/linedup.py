@@ -16,6 +16,9 @@ from attain.llm.common import Stages, components, filter_rows, maybe_in
 NO_ID = (1 << 63) - 1
 #: What the query and the pipeline take: edits between near copies, and the characters from which exact repeats go.
 EDITS, EXACT_CHARS = 3, 4
+#: A key is taken as one of very many lines if PART_LINES of one line in PART have it.
+PART, PART_LINES = 8, 4
+LETTERS = " etaoinsrhldcumfpgwby"
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
@@ -39,38 +42,46 @@ def piece(start: Column, size: Column) -> Column:
     return F.substring("norm", (start + 1).cast("int"), size.cast("int"))
 
 
-def segment(base: Column, i: int, parts: int) -> tuple[Column, Column, int]:
-    """Start (from 0) and size of segment i (from 0) in a line of n characters cut by its base, and the shift it allows.
+def segment(i: Column, parts: int) -> Column:
+    """Start (from 0) of segment i (from 0) of size characters in a line of n characters.
 
     The first half of the segments is counted from the start of the line and the second half from its end, so that
     lines of several lengths are cut alike; characters in the middle may be in no segment. Of two lines within
     parts - 1 edits, some segment i is untouched with at most i edits before and at most parts - 1 - i behind it.
     """
-    size = (base / parts).cast("int")
-    return (i * size, size, i) if 2 * i < parts else (F.col("n") - (parts - i) * size, size, parts - 1 - i)
+    return F.when(2 * i < parts, i * F.col("size")).otherwise(F.col("n") - (parts - i) * F.col("size"))
 
 
-def index_keys(max_edits: int) -> Column:
-    """The key of each of the max_edits + 1 segments of a line."""
-    parts, base = max_edits + 1, F.col("base")
-    cuts = [segment(base, i, parts) for i in range(parts)]
-    return F.array(*[F.xxhash64(base, F.lit(i), piece(start, size)) for i, (start, size, _) in enumerate(cuts)])
+def placed(lines: DataFrame, max_edits: int, shifted: bool) -> DataFrame:
+    """lines, given base, once for each segment and, if asked, each shift that it allows, with i, size and the key."""
+    parts = max_edits + 1
+    slack = [i if 2 * i < parts else parts - 1 - i for i in range(parts)]
+    cuts = [F.struct(F.lit(i).alias("i"), F.lit(shift).alias("shift")) for i in range(parts) for shift in (range(-slack[i], slack[i] + 1) if shifted else [0])]
+    # the cuts are rows, not one long expression: that is too long to be compiled to machine code
+    wide = lines.withColumn("size", (F.col("base") / parts).cast("int")).select("*", F.explode(F.array(*cuts)).alias("cut"))
+    start = segment(F.col("cut.i"), parts) + F.col("cut.shift")
+    return (wide.withColumn("start", start.cast("int")).where((F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("n")))
+            .withColumns({"i": F.col("cut.i"), "key": F.xxhash64("base", "cut.i", piece(F.col("start"), F.col("size")))}))
 
 
-def probe_keys(max_edits: int) -> Column:
-    """Keys of the substrings of a line, one of which a line that is shorter by 0 to max_edits must have as a segment."""
-    parts, out = max_edits + 1, []
-    for less in range(max_edits + 1):
-        base, keys = F.col(f"base_{less}"), []
-        for i in range(parts):
-            start, size, slack = segment(base, i, parts)
-            for shift in range(-slack, slack + 1):
-                at = start + shift
-                key = F.xxhash64(base, F.lit(i), piece(at, size))
-                keys.append(F.when((at >= 0) & (at + size <= F.col("n")), key) if shift else key)
-        # lengths of one range share their keys
-        out.append(F.when(base != F.col(f"base_{less - 1}"), F.array(*keys)).otherwise(F.array().cast("array<bigint>")) if less else F.array(*keys))
-    return F.concat(*out)
+def index_lines(reps: DataFrame) -> DataFrame:
+    return reps.withColumn("base", length_base(F.col("n")))
+
+
+def probe_lines(reps: DataFrame, max_edits: int) -> DataFrame:
+    """reps once for each base of the lines that are shorter by 0 to max_edits; lengths of one range share their keys."""
+    bases = F.array_distinct(F.array(*[length_base(F.greatest(F.col("n") - less, F.lit(1))) for less in range(max_edits + 1)]))
+    return reps.select("*", F.explode(bases).alias("base"))
+
+
+def index_keys(reps: DataFrame, max_edits: int) -> DataFrame:
+    """reps with the key of each of the max_edits + 1 segments of a line."""
+    return placed(index_lines(reps), max_edits, shifted=False)
+
+
+def probe_keys(reps: DataFrame, max_edits: int) -> DataFrame:
+    """reps with keys of substrings of a line, one of which a line that is shorter by 0 to max_edits must have as a segment."""
+    return placed(probe_lines(reps, max_edits), max_edits, shifted=True)
 
 
 def bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -78,6 +89,25 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def letter_counts(text: Column) -> Column:
+    """How often each of LETTERS is in a text."""
+    return bound(text, lambda t: F.transform(F.array(*[F.lit(c) for c in LETTERS]), lambda c: F.length(t) - F.length(F.replace(t, c, F.lit("")))))
+
+
+def half_counts() -> Column:
+    """Letter counts of the first and of the last characters of a line, as many as make half of its base."""
+    half = (F.col("base") / 2).cast("int")
+    return F.concat(letter_counts(piece(F.lit(0), half)), letter_counts(piece(F.col("n") - half, half)))
+
+
+def letters_alike(a: Column, b: Column, max_edits: int) -> Column:
+    """False only for letter counts of lines that are more than max_edits edits apart: an edit changes two counts by one at most,
+    those of a line's start or those of its end.
+    """
+    apart = F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y)), F.lit(0), lambda total, x: total + x)
+    return apart <= 2 * max_edits
+
+
 def pieces_in_place(a: Column, b: Column, max_edits: int) -> Column:
     """False only for strings that are more than max_edits edits apart: of many pieces of a, an edit can spoil one,
     and the others are in b, shifted by max_edits at most."""
@@ -158,14 +188,35 @@ def within_edits(ca: Column, cb: Column, max_edits: int) -> Column:
 
 
 def line_links(reps: DataFrame, max_edits: int) -> DataFrame:
-    """Pairs (a, b) of line hashes, from (h1, norm, n), whose lines share a segment in place and differ in length by max_edits at most."""
-    based = reps.select("h1", "norm", "n", *[length_base(F.greatest(F.col("n") - less, F.lit(1))).alias(f"base_{less}") for less in range(max_edits + 1)])
-    index = based.withColumn("base", F.col("base_0")).select("h1", "n", F.explode(index_keys(max_edits)).alias("key"))
-    probe = (based.select(F.col("h1").alias("h1_b"), F.col("n").alias("n_b"), F.explode(probe_keys(max_edits)).alias("key_b"))
-             .where("key_b IS NOT NULL"))
+    """Pairs (a, b) of line hashes, from (h1, norm, n), that hold every pair of lines within max_edits edits.
+
+    Lines that share a segment in place and differ in length by max_edits at most are pairs. Keys that very many lines
+    have are told by a part of the lines; lines that meet there must have like letters too, and those that share their
+    start are taken by it alone. Which keys count as such changes what is compared, but loses no pair within max_edits.
+    """
+    stages = Stages(reps.sparkSession, "links")
+    part = index_keys(reps.where(F.pmod("h1", F.lit(PART)) == 0), max_edits).groupBy("key").agg(F.count("*").alias("lines"))
+    hot_keys = stages.write(filter_rows(part.where(F.col("lines") >= PART_LINES).select("key")))
+    hot_lines = stages.write(filter_rows(maybe_in(index_keys(reps, max_edits).select("h1", "key"), "key", hot_keys).where("__in")
+                                         .select(F.col("h1").alias("key"))))
+    flagged = maybe_in(reps, "h1", hot_lines).withColumnRenamed("__in", "hot")
     less = F.col("n_b") - F.col("n")
-    return (index.join(probe, (F.col("key") == F.col("key_b")) & less.between(0, max_edits) & ((less > 0) | (F.col("h1") < F.col("h1_b"))))
-            .select(F.least("h1", "h1_b").alias("a"), F.greatest("h1", "h1_b").alias("b")).where("a <> b").distinct())
+    meet = (F.col("key") == F.col("key_b")) & less.between(0, max_edits) & ((less > 0) | (F.col("h1") < F.col("h1_b")))
+
+    def other(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(c).alias(f"{c}_b") for c in df.columns])
+
+    index = index_keys(reps, max_edits).select("h1", "n", "key")
+    # a line without a hot key as an index has no part in the second join: it meets hot keys here
+    probe = maybe_in(probe_keys(flagged, max_edits).select("h1", "n", "key", "hot"), "key", hot_keys).where("NOT (hot AND __in)")
+    plain = index.join(other(probe.select("h1", "n", "key")), meet).select("h1", "h1_b")
+    lines = stages.write(flagged.where("hot").select("h1", "norm", "n"))
+    start = F.xxhash64(piece(F.lit(0), F.col("size")))
+    hot = [maybe_in(placed(based.withColumn("letters", half_counts()), max_edits, shifted), "key", hot_keys).where("__in")
+           .select("h1", "n", "key", "i", start.alias("start"), "letters") for based, shifted in ((index_lines(lines), False), (probe_lines(lines, max_edits), True))]
+    once = (F.col("i") == 0) | (F.col("start") != F.col("start_b"))
+    dense = hot[0].join(other(hot[1]), meet & once & letters_alike(F.col("letters"), F.col("letters_b"), max_edits)).select("h1", "h1_b")
+    return plain.unionByName(dense).select(F.least("h1", "h1_b").alias("a"), F.greatest("h1", "h1_b").alias("b")).where("a <> b").distinct()
 
 
 def repeated_lines(docs: DataFrame, stages: Stages, *, id_col: str = "doc_id", text_col: str = "text", max_edits: int = 1,
@@ -186,9 +237,10 @@ def repeated_lines(docs: DataFrame, stages: Stages, *, id_col: str = "doc_id", t
     wanted = filter_rows(pairs.select(F.explode(F.array("a", "b")).alias("key")))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct()
     texts = stages.write(maybe_in(reps, "h1", wanted).where("__in").join(ends, F.col("h1") == F.col("end"), "left_semi")
-                         .select("h1", "norm").distinct())
-    left, right = (texts.select(F.col("h1").alias(k), F.col("norm").alias(f"norm_{k}")) for k in ("a", "b"))
-    close = pairs.join(left, "a").join(right, "b").where(pieces_in_place(F.col("norm_a"), F.col("norm_b"), max_edits))
+                         .select("h1", "norm").distinct().withColumn("letters", letter_counts(F.col("norm"))))
+    left, right = (texts.select(F.col("h1").alias(k), F.col("norm").alias(f"norm_{k}"), F.col("letters").alias(f"letters_{k}")) for k in ("a", "b"))
+    alike = pairs.join(left, "a").join(right, "b").where(letters_alike(F.col("letters_a"), F.col("letters_b"), max_edits))
+    close = alike.where(pieces_in_place(F.col("norm_a"), F.col("norm_b"), max_edits))
     middles = stages.write(unlike_middles(close))
     edges = middles.where(within_edits(F.col("chars_a"), F.col("chars_b"), max_edits)).select("a", "b")
     linked = components(edges, stages)

@@ -266,6 +266,42 @@ def test_line_links_lose_no_pair(spark, max_edits):
     assert len(judged) == pairs.count() and all(r["w"] == (r["d"] <= max_edits) for r in judged)
 
 
+@pytest.mark.parametrize("max_edits", [0, 1, 3, 4])
+def test_keys_of_many_lines_lose_no_pair(spark, monkeypatch, max_edits):
+    """With every key taken as one of very many lines, each pair within max_edits is still found."""
+    monkeypatch.setattr(linedup, "PART", 1)
+    monkeypatch.setattr(linedup, "PART_LINES", 2)
+    rng = random.Random(50 + max_edits)
+    lines = set()
+    for n in (9, 16, 17, 31, 33, 64, 66, 130, 256):
+        base = "".join(rng.choice("etaoxé ") for _ in range(n))
+        for _ in range(14):
+            line = base
+            for _ in range(rng.randint(0, max_edits)):
+                at = rng.choice([0, len(line) - 1, rng.randrange(len(line))])
+                line = rng.choice([line[:at] + line[at + 1:], line[:at] + rng.choice("eqé你") + line[at:], line[:at] + rng.choice("eqé") + line[at + 1:]])
+            lines.add(line)
+    reps = Stages(spark, "test").write(spark.createDataFrame([(x,) for x in sorted(lines)], "norm string").withColumns({"h1": F.xxhash64("norm"), "n": F.length("norm")}))
+    found = {(r["a"], r["b"]) for r in linedup.line_links(reps, max_edits).collect()}
+    rows = [(r["h1"], r["norm"]) for r in reps.collect()]
+    near = {(min(a, b), max(a, b)) for k, (a, x) in enumerate(rows) for b, y in rows[:k] if abs(len(x) - len(y)) <= max_edits and edits(x, y) <= max_edits}
+    assert near <= found and (near or not max_edits)
+
+
+def test_near_copies_of_one_template_are_few_candidates(spark):
+    """Lines that share a quarter of a template but are far apart are not listed as pairs; the near ones are linked."""
+    rng = random.Random(8)
+    words = prose(3, 40).split()
+    lines = {" ".join("".join(rng.choice("etaoinshr") for _ in range(6)) if rng.random() < 0.12 else w for w in words) for _ in range(400)}
+    first = min(lines)
+    lines |= {first[:40] + "zz" + first[42:], first[:-1]}
+    reps = Stages(spark, "test").write(spark.createDataFrame([(x,) for x in sorted(lines)], "norm string").withColumns({"h1": F.xxhash64("norm"), "n": F.length("norm")}))
+    hashes = {r["norm"]: r["h1"] for r in reps.collect()}
+    found = {(r["a"], r["b"]) for r in linedup.line_links(reps, 3).collect()}
+    near = {tuple(sorted((hashes[first], hashes[x]))) for x in (first[:40] + "zz" + first[42:], first[:-1])}
+    assert near <= found and len(found) < 5_000
+
+
 def test_line_dedup_is_native(spark):
     plan = linedup.dedup_lines(frame(spark, [(1, prose(1, 20)), (2, prose(1, 20))]))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
