@@ -42,6 +42,12 @@ def piece(start: Column, size: Column) -> Column:
     return F.substring("norm", (start + 1).cast("int"), size.cast("int"))
 
 
+def piece_bytes(start: Column, size: Column) -> Column:
+    """The piece in UTF-8; where each character is one byte, none is counted from the start of the line."""
+    return (F.when(F.octet_length("norm") == F.col("n"), F.substring(F.col("norm").cast("binary"), (start + 1).cast("int"), size.cast("int")))
+            .otherwise(piece(start, size).cast("binary")))
+
+
 def segment(i: Column, parts: int) -> Column:
     """Start (from 0) of segment i (from 0) of size characters in a line of n characters.
 
@@ -61,7 +67,7 @@ def placed(lines: DataFrame, max_edits: int, shifted: bool) -> DataFrame:
     wide = lines.withColumn("size", (F.col("base") / parts).cast("int")).select("*", F.explode(F.array(*cuts)).alias("cut"))
     start = segment(F.col("cut.i"), parts) + F.col("cut.shift")
     return (wide.withColumn("start", start.cast("int")).where((F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("n")))
-            .withColumns({"i": F.col("cut.i"), "key": F.xxhash64("base", "cut.i", piece(F.col("start"), F.col("size")))}))
+            .withColumns({"i": F.col("cut.i"), "key": F.xxhash64("base", "cut.i", piece_bytes(F.col("start"), F.col("size")))}))
 
 
 def index_lines(reps: DataFrame) -> DataFrame:
@@ -208,10 +214,11 @@ def line_links(reps: DataFrame, max_edits: int) -> DataFrame:
 
     index = index_keys(reps, max_edits).select("h1", "n", "key")
     # a line without a hot key as an index has no part in the second join: it meets hot keys here
-    probe = maybe_in(probe_keys(flagged, max_edits).select("h1", "n", "key", "hot"), "key", hot_keys).where("NOT (hot AND __in)")
+    probe = probe_keys(flagged, max_edits).select("h1", "n", "key", F.when(F.col("hot"), F.col("key")).alias("hot_key"))
+    probe = maybe_in(probe, "hot_key", hot_keys).where("hot_key IS NULL OR NOT __in")
     plain = index.join(other(probe.select("h1", "n", "key")), meet).select("h1", "h1_b")
     lines = stages.write(flagged.where("hot").select("h1", "norm", "n"))
-    start = F.xxhash64(piece(F.lit(0), F.col("size")))
+    start = F.xxhash64(piece_bytes(F.lit(0), F.col("size")))
     hot = [maybe_in(placed(based.withColumn("letters", half_counts()), max_edits, shifted), "key", hot_keys).where("__in")
            .select("h1", "n", "key", "i", start.alias("start"), "letters") for based, shifted in ((index_lines(lines), False), (probe_lines(lines, max_edits), True))]
     once = (F.col("i") == 0) | (F.col("start") != F.col("start_b"))
