@@ -19,13 +19,22 @@ EDITS, EXACT_CHARS = 3, 4
 #: A key is taken as one of very many lines if PART_LINES of one line in PART have it.
 PART, PART_LINES = 8, 4
 LETTERS = " etaoinsrhldcumfpgwby"
+WHITE = " \t\r"
+
+
+def trimmed(line: Column) -> Column:
+    """The line without white space at its ends; only a line that has some is walked through."""
+    at_ends = F.lit(False)
+    for white in WHITE:
+        at_ends = at_ends | F.startswith(line, F.lit(white)) | F.endswith(line, F.lit(white))
+    return F.when(at_ends, F.btrim(line, F.lit(WHITE))).otherwise(line)
 
 
 def lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """Lines of at least min_chars characters in normal form, with two hashes of it and their place."""
     cut = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("text_key"),
                       F.posexplode(F.split(F.lower(text_col), "\n")).alias("line_no", "line"))
-    norm = F.btrim("line", F.lit(" \t\r"))
+    norm = trimmed(F.col("line"))
     place = F.coalesce("id", F.lit(NO_ID)).cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(11,0)") + F.col("line_no").cast("decimal(10,0)")
     return (cut.where((F.octet_length("line") >= min_chars) & (F.length(norm) >= min_chars))
             .select("id", "text_key", "line_no", norm.alias("norm"), place.cast("decimal(33,0)").alias("place"))
@@ -33,8 +42,8 @@ def lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFr
 
 
 def length_base(length: Column) -> Column:
-    """The lower edge of the range of lengths that are cut alike: four leading bits of the length stay."""
-    unit = F.length(F.bin(length)) - 4
+    """The lower edge of the range of lengths that are cut alike: three leading bits of the length stay."""
+    unit = F.length(F.bin(length)) - 3
     return F.when(length < 16, length).otherwise(F.call_function("shiftleft", F.call_function("shiftright", length, unit), unit)).cast("int")
 
 
@@ -42,9 +51,14 @@ def piece(start: Column, size: Column) -> Column:
     return F.substring("norm", (start + 1).cast("int"), size.cast("int"))
 
 
-def piece_bytes(start: Column, size: Column) -> Column:
+def one_byte_chars() -> Column:
+    """The line in UTF-8 if each of its characters is one byte, else null."""
+    return F.when(F.octet_length("norm") == F.col("n"), F.col("norm").cast("binary"))
+
+
+def piece_bytes(start: Column, size: Column, bytes: Column) -> Column:
     """The piece in UTF-8; where each character is one byte, none is counted from the start of the line."""
-    return (F.when(F.octet_length("norm") == F.col("n"), F.substring(F.col("norm").cast("binary"), (start + 1).cast("int"), size.cast("int")))
+    return (F.when(bytes.isNotNull(), F.substring(bytes, (start + 1).cast("int"), size.cast("int")))
             .otherwise(piece(start, size).cast("binary")))
 
 
@@ -64,10 +78,10 @@ def placed(lines: DataFrame, max_edits: int, shifted: bool) -> DataFrame:
     slack = [i if 2 * i < parts else parts - 1 - i for i in range(parts)]
     cuts = [F.struct(F.lit(i).alias("i"), F.lit(shift).alias("shift")) for i in range(parts) for shift in (range(-slack[i], slack[i] + 1) if shifted else [0])]
     # the cuts are rows, not one long expression: that is too long to be compiled to machine code
-    wide = lines.withColumn("size", (F.col("base") / parts).cast("int")).select("*", F.explode(F.array(*cuts)).alias("cut"))
+    wide = lines.withColumns({"size": (F.col("base") / parts).cast("int"), "bytes": one_byte_chars()}).select("*", F.explode(F.array(*cuts)).alias("cut"))
     start = segment(F.col("cut.i"), parts) + F.col("cut.shift")
     return (wide.withColumn("start", start.cast("int")).where((F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("n")))
-            .withColumns({"i": F.col("cut.i"), "key": F.xxhash64("base", "cut.i", piece_bytes(F.col("start"), F.col("size")))}))
+            .withColumns({"i": F.col("cut.i"), "key": F.xxhash64("base", "cut.i", piece_bytes(F.col("start"), F.col("size"), F.col("bytes")))}))
 
 
 def index_lines(reps: DataFrame) -> DataFrame:
@@ -140,7 +154,9 @@ def unlike_middles(pairs: DataFrame) -> DataFrame:
 
     ahead = pairs.select("a", "b", "norm_a", "norm_b", shared_start(F.col("norm_a"), F.col("norm_b")).alias("ahead"))
     ahead = ahead.select("a", "b", *[F.substring(c, F.col("ahead") + 1, F.length(c)).alias(c) for c in ("norm_a", "norm_b")])
-    behind = ahead.select("a", "b", "norm_a", "norm_b", shared_start(F.reverse("norm_a"), F.reverse("norm_b")).alias("behind"))
+    # turned once, not in each step
+    turned = ahead.select("*", *[F.reverse(f"norm_{k}").alias(f"back_{k}") for k in ("a", "b")])
+    behind = turned.select("a", "b", "norm_a", "norm_b", shared_start(F.col("back_a"), F.col("back_b")).alias("behind"))
     return behind.select("a", "b", rest("norm_a").alias("chars_a"), rest("norm_b").alias("chars_b"))
 
 
@@ -213,12 +229,12 @@ def line_links(reps: DataFrame, max_edits: int) -> DataFrame:
         return df.select(*[F.col(c).alias(f"{c}_b") for c in df.columns])
 
     index = index_keys(reps, max_edits).select("h1", "n", "key")
-    # a line without a hot key as an index has no part in the second join: it meets hot keys here
-    probe = probe_keys(flagged, max_edits).select("h1", "n", "key", F.when(F.col("hot"), F.col("key")).alias("hot_key"))
-    probe = maybe_in(probe, "hot_key", hot_keys).where("hot_key IS NULL OR NOT __in")
-    plain = index.join(other(probe.select("h1", "n", "key")), meet).select("h1", "h1_b")
     lines = stages.write(flagged.where("hot").select("h1", "norm", "n"))
-    start = F.xxhash64(piece_bytes(F.lit(0), F.col("size")))
+    # a line without a hot key as an index has no part in the second join: it meets hot keys here, and none of its keys is looked up
+    probe = probe_keys(flagged.where("NOT hot"), max_edits).select("h1", "n", "key")
+    probe = probe.unionByName(maybe_in(probe_keys(lines, max_edits), "key", hot_keys).where("NOT __in").select("h1", "n", "key"))
+    plain = index.join(other(probe), meet).select("h1", "h1_b")
+    start = F.xxhash64(piece_bytes(F.lit(0), F.col("size"), F.col("bytes")))
     hot = [maybe_in(placed(based.withColumn("letters", half_counts()), max_edits, shifted), "key", hot_keys).where("__in")
            .select("h1", "n", "key", "i", start.alias("start"), "letters") for based, shifted in ((index_lines(lines), False), (probe_lines(lines, max_edits), True))]
     once = (F.col("i") == 0) | (F.col("start") != F.col("start_b"))
@@ -236,7 +252,8 @@ def repeated_lines(docs: DataFrame, stages: Stages, *, id_col: str = "doc_id", t
     flagged = maybe_in(written, "h1", again)
     # one line of each class: lines that occur once come straight from what was written, the others by their first place
     columns = ("h1", "norm", "n")
-    firsts = classes.select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), "first")
+    # lines that occur once may be __in too, so their classes are taken by the same filter
+    firsts = maybe_in(classes, "h1", again).where("__in").select(F.col("h1").alias("c1"), F.col("h2").alias("c2"), "first")
     others = stages.write(flagged.where("__in").join(firsts, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")) & (F.col("place") == F.col("first")))
                           .select(*columns))
     reps = flagged.where("NOT __in").select(*columns).unionByName(others)

@@ -220,6 +220,23 @@ def test_line_dedup_of_awkward_rows(spark):
     assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == expected_lines(rows, 1, 20)
 
 
+def test_white_space_is_taken_from_the_ends_of_lines_that_have_some(spark):
+    """As btrim does it, but a line without white space at its ends is not walked through: neither is it in the filter on lengths."""
+    ends = ["", " ", "\t", "\r", " \t\r ", " ", "\x0b"]
+    texts = [a + mid + b for a in ends for b in ends for mid in ("", "x", "a line", "é 你\tb")] + [None]
+    rows = frame(spark, list(enumerate(texts))).select("text", linedup.trimmed(F.col("text")).alias("t"), F.btrim("text", F.lit(" \t\r")).alias("want")).collect()
+    assert len(rows) == len(texts) and all(r["t"] == r["want"] for r in rows)
+    plan = linedup.lines(frame(spark, [(1, "a")]), "doc_id", "text", 4)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "trim(" in plan and plan.count("trim(") == plan.count("then trim(")
+
+
+def test_probes_of_plain_lines_are_not_looked_up(spark):
+    """Of the 8 or more keys that each line probes with, those of lines without a hot key pass by the table of hot keys."""
+    reps = Stages(spark, "test").write(spark.createDataFrame([(prose(k, 6),) for k in range(40)], "norm string").withColumns({"h1": F.xxhash64("norm"), "n": F.length("norm")}))
+    plan = linedup.line_links(reps, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "hot_key" not in plan
+
+
 def test_no_lines(spark):
     assert linedup.dedup_lines(frame(spark, []).limit(0)).count() == 0
 
