@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from attain.operators import checks
 from attain.operators.dedupe import keep_first
+from attain.operators.joins import many
 from attain.operators.rules import evaluate
 from attain.plans import analysis, commission, etl, kpi, metrics, questions, reports, sqlviews
 from attain.sources import io
@@ -182,7 +183,7 @@ MODEL_QUERIES: dict[str, Callable] = {
     "revenue_tie_out": sqlviews.revenue_tie_out,
     "sql_assertions": lambda m: checks.sql_assertions(m).drop("description"),
     "dq_missing_targets": lambda m: kpi.add_names(
-        m.bridge.join(m.fact_targets.select("rep_key", "month_key"), ["rep_key", "month_key"], "left_anti"), m).select(
+        m.bridge.join(many(m.fact_targets.select("rep_key", "month_key")), ["rep_key", "month_key"], "left_anti"), m).select(
         "rep_key", "employee_code", "full_name", "month_key", "team_key"),
 }
 
@@ -218,7 +219,7 @@ def target_flags(r: etl.Run) -> DataFrame:
     flagged, _ = evaluate(r.checked_targets, etl.TARGET_RULES, r.policy)
     keys = ["rep_code", "target_month"]
     latest = r.x.sales_targets.groupBy(*keys).agg(F.max("revision_no").alias("_latest"))
-    return flagged.join(latest, keys).select(
+    return flagged.join(many(latest), keys).select(
         F.substring("rep_code", 5, 12).try_cast("long").alias("rep_key"),
         F.regexp_replace("target_month", "-", "").cast("int").alias("month_key"), "revision_no", "target_amount_usd",
         (F.col("revision_no") < F.col("_latest")).alias("superseded"), F.col("DQ-T02").alias("not_positive"),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from attain.functions import columns as C
 from attain.operators.dedupe import surplus_rows
-from attain.operators.joins import one_row
+from attain.operators.joins import many, one_row
 from attain.operators.keys import Key, repeats, stacked, unknown, with_known
 from attain.schema import CONSTRAINTS, Constraint
 
@@ -29,7 +29,7 @@ def rows_without(df: DataFrame, keys: list[str], parent: DataFrame, parent_keys:
     """
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     known = parent.select(*[F.col(p).alias(k) for p, k in zip(parent_keys, keys)])
-    missing = per_key.join(known, keys, "left_anti")
+    missing = per_key.join(many(known), keys, "left_anti")
     return missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("failing_rows"))
 
 

@@ -84,6 +84,15 @@ def dealt(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def many(df: DataFrame) -> DataFrame:
+    """A side of a join that is merged and never broadcast: rows made by explode, or read back from a stage table of them.
+
+    The planner takes the former for as small as the rows they were made of, and the latter for as small as their
+    compressed files; both may be millions of rows where it sees a few megabytes.
+    """
+    return df.hint("merge")
+
+
 def band_join(df: DataFrame, bands: DataFrame, on: str, value: str,
               floor: str = "band_floor", ceiling: str = "band_ceiling") -> DataFrame:
     """Left join to the half-open band [floor, ceiling) of the same plan; a null edge is open."""

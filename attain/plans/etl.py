@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from attain.functions import columns as C
 from attain.operators.dedupe import keep_latest, least_rows, mark_repeats, surplus_rows
-from attain.operators.joins import dealt, point_in_time_join, spread_lookup_join
+from attain.operators.joins import dealt, many, point_in_time_join, spread_lookup_join
 from attain.operators.ranking import dense_key
 from attain.operators.rules import DROP, FIX, FLAG, QUARANTINE, Rule, first_failed, rule_counts, rule_log
 from attain.plans.model import Model
@@ -433,9 +433,9 @@ class Run:
     @cached_property
     def fact_targets(self) -> DataFrame:
         people = self.employees.select(F.col("employee_code").alias("rep_code"), F.col("employee_key").alias("rep_key"))
-        keyed = (self.targets.join(people, "rep_code")
+        keyed = (many(self.targets).join(people, "rep_code")
                  .withColumn("month_key", F.regexp_replace("target_month", "-", "").cast("int"))
-                 .join(self.bridge.select("rep_key", "month_key", "team_key", "is_ramp_month"),
+                 .join(many(self.bridge.select("rep_key", "month_key", "team_key", "is_ramp_month")),
                        ["rep_key", "month_key"], "left")
                  .withColumn("date_key", F.col("month_key") * 100 + 1))
         return self.keep(project(keyed, model_columns("fact_targets"), "fact_targets"), "etl_fact_targets")
@@ -449,7 +449,7 @@ class Run:
 
     @cached_property
     def missing_targets(self) -> DataFrame:
-        return self.bridge.join(self.fact_targets.select("rep_key", "month_key"), ["rep_key", "month_key"], "left_anti")
+        return self.bridge.join(many(self.fact_targets.select("rep_key", "month_key")), ["rep_key", "month_key"], "left_anti")
 
     @cached_property
     def tiers(self) -> DataFrame:

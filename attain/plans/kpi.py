@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from attain.functions import columns as C
+from attain.operators.joins import many
 from attain.operators.ranking import group_rank
 from attain.plans.model import Model, view
 
@@ -64,8 +65,8 @@ def rep_month_base(m: Model) -> DataFrame:
     targets = m.fact_targets.select("rep_key", "month_key", F.col("target_amount_usd").alias("target"))
     money = [F.coalesce(c, F.lit(0).cast(C.SUM_MONEY)).alias(c) for c in (*DRIVERS, "credit_notes_outside_window")]
     weighted = [F.coalesce(c, F.lit(0).cast(C.WEIGHTED)).alias(c) for c in ("weighted_invoiced", "weighted_clawback")]
-    return (m.bridge.join(targets, ["rep_key", "month_key"], "left")
-            .join(rep_month_sales(m), ["rep_key", "month_key"], "left")
+    return (m.bridge.join(many(targets), ["rep_key", "month_key"], "left")
+            .join(many(rep_month_sales(m)), ["rep_key", "month_key"], "left")
             .join(teams, "team_key")
             .select("rep_key", "month_key", "team_key", "team_name", "country_code", "department_code",
                     "tenure_months", "is_ramp_month", "target", *money, *weighted,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from attain.operators.checks import reconcile
+from attain.operators.joins import many
 from attain.plans.kpi import rank_in_team
 from attain.plans.commission import kpi_rep_month
 from attain.plans.model import Model, view
@@ -51,7 +52,7 @@ TOLERANCES = {"actual": 0.01, "ytd_actual": 0.01, "rolling_3m_achievement": 1e-9
 
 @view
 def sql_rep_months(m: Model) -> DataFrame:
-    return m.spark.sql(REP_MONTHS, sales=m.fact_sales, plans=m.plan_months, bridge=m.bridge, targets=m.fact_targets,
+    return m.spark.sql(REP_MONTHS, sales=m.fact_sales, plans=m.plan_months, bridge=m.bridge, targets=many(m.fact_targets),
                        bands=m.tier_bands)
 
 

@@ -51,3 +51,23 @@ def test_documents_are_counted_apart_from_sums_also_where_the_group_is_null(spar
                                  "country string, document_no string, doc_type string, net_amount_usd decimal(18,2)")
     df = metrics.summed(rows, ["net_revenue", "deals"], ["country"])
     assert {tuple(r) for r in df.collect()} == {("x", Decimal("11.00"), 1), (None, Decimal("6.00"), 1), ("y", Decimal("-2.00"), 0)}
+
+
+def test_rep_months_are_merged_and_never_broadcast(spark):
+    from attain.operators import checks
+    from attain.plans import sqlviews
+
+    m = tiny_model(spark, [line(1, "INV", 100)], {(1, 202406): 100, (2, 202406): None})
+    assert plan(kpi.rep_month_base(m)).count("SortMergeJoin [rep_key") == 2 and "BroadcastHashJoin [rep_key" not in plan(kpi.rep_month_base(m))
+    assert plan(sqlviews.sql_rep_months(m)).count("SortMergeJoin [rep_key") >= 1
+    spine = ["rep_key", "month_key"]
+    assert "BroadcastHashJoin" not in plan(checks.rows_without(m.fact_targets, spine, m.bridge, spine))
+    assert {(r["rep_key"], r["actual"], r["target"]) for r in kpi.rep_month_base(m).collect()} == {(1, Decimal("100.00"), 100), (2, Decimal("0.00"), None)}
+
+
+def test_targets_of_the_run_meet_the_bridge_without_a_broadcast(spark):
+    run = catalog.run(spark, FOLDER)
+    run.bridge, run.targets  # noqa: B018
+    text = plan(run.missing_targets)
+    assert "SortMergeJoin [rep_key" in text and "BroadcastHashJoin" not in text
+    assert run.missing_targets.count() + run.fact_targets.select("rep_key", "month_key").distinct().count() == run.bridge.count()
