@@ -8,6 +8,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from attain.operators import checks
 from attain.plans.commission import kpi_rep_month
 from attain.plans.etl import Extracts, Run, process_sales, require_balanced
@@ -227,3 +229,42 @@ def test_an_unfit_repair_alone_is_an_impossible_amount(spark, tmp_path):
     assert (log["DQ-S10"], log["DQ-S13"]) == (1, 1)
     require_balanced(run.reconciliation)
     assert [r["line_id"] for r in run.fact_sales.collect()] == ["L001"]
+
+
+def test_repeats_go_before_the_masters_are_met(spark, run, tmp_path):
+    """Only the lines that stay are written, without the raw text of repeats, and customers are met by clean lines only."""
+    assert not run.codes_repeat and "all_lines" not in run.__dict__
+    assert {r["line_id"] for r in run.kept.collect()} == {x["line_id"] for x in LINES} and "raw" not in run.kept.columns
+    assert [r["customer_code"] for r in run.strangers.collect()] == ["C9"]
+    assert {r["customer_key"] for r in run.fact_sales.collect()} == {1}
+    staged = {re.sub("-[0-9a-f]{32}$", "", p.name): p for p in __import__("pathlib").Path(run.folder.removeprefix("file:")).iterdir()}
+    assert not {"checked_lines", "routed_lines"} & staged.keys()
+    written = spark.read.parquet(str(staged["routed_notes"]))
+    assert {r["doc_type"] for r in written.select("doc_type").distinct().collect()} == {"CN"}
+
+
+def test_masters_with_a_code_twice_multiply_lines_and_counts(spark, tmp_path):
+    write_folder(tmp_path, [sale(1), sale(1), sale(2), sale(3, customer_code="C9"), sale(4, customer_code=None)])
+    with open(tmp_path / "raw_customers.csv", "a") as f:
+        f.write("C1,Again,AE,SMB,Retail,Dubai,T1,2020-01-01\n")
+    twice = Run(Extracts.from_csv(spark, str(tmp_path), Policy()), staged=True)
+    assert twice.codes_repeat
+    assert sorted(r["line_id"] for r in twice.clean.collect()) == ["L001", "L002", "L002"]
+    log = {r["rule_id"]: r["rows_affected"] for r in twice.rule_log.collect()}
+    assert (log["DQ-S01"], log["DQ-S07"]) == (3, 2)
+
+
+def test_stage_tables_give_back_what_they_have_shuffled(spark, tmp_path):
+    import glob
+    import time
+
+    from attain.sources.stage import store
+
+    folder = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()[0]
+    shuffled = lambda: set(glob.glob(f"{folder}/**/shuffle_*.data", recursive=True))
+    before = shuffled()
+    out = store(spark.range(20_000).repartition(7, "id").groupBy((F.col("id") % 999).alias("k")).agg(F.count(F.lit(1)).alias("n")), "given_back", folder=str(tmp_path))
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before and out.count() == 999
