@@ -235,10 +235,12 @@ def test_repeats_go_before_the_masters_are_met(spark, run, tmp_path):
     """Only the lines that stay are written, without the raw text of repeats, and customers are met by clean lines only."""
     assert not run.codes_repeat and "all_lines" not in run.__dict__
     assert {r["line_id"] for r in run.kept.collect()} == {x["line_id"] for x in LINES} and "raw" not in run.kept.columns
-    assert [r["customer_code"] for r in run.strangers.collect()] == ["C9"]
+    assert [r["customer_code"] for r in run.strangers["customer_code"].collect()] == ["C9"]
+    assert [r["sku"] for r in run.strangers["sku"].collect()] == ["NOPE"] and "product_key" not in run.kept.columns
     assert {r["customer_key"] for r in run.fact_sales.collect()} == {1}
     staged = {re.sub("-[0-9a-f]{32}$", "", p.name): p for p in __import__("pathlib").Path(run.folder.removeprefix("file:")).iterdir()}
     assert not {"checked_lines", "routed_lines"} & staged.keys()
+    assert [r["line_id"] for r in spark.read.parquet(str(staged["repaired_lines"])).collect()] == ["L013"]
     written = spark.read.parquet(str(staged["routed_notes"]))
     assert {r["doc_type"] for r in written.select("doc_type").distinct().collect()} == {"CN"}
 
